@@ -6,15 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandloom.llm import packing, token_output
+from demandloom.llm import line_dedup, mixing, packing, token_output
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_token_output": token_output.op2_token_output,
+        "op6_curriculum_mixing": mixing.op6_curriculum_mixing,
+        "op7_line_dedup": line_dedup.op7_line_dedup,
         "op10_best_fit_packing": packing.op10_best_fit_packing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_curriculum_mixing": mixing.OP6_SQL, "op7_line_dedup": line_dedup.OP7_SQL}
