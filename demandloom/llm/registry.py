@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandloom.llm import line_dedup, mixing, packing, token_output
+from demandloom.llm import line_dedup, mixing, near_dedup, packing, token_output
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_token_output": token_output.op2_token_output,
         "op6_curriculum_mixing": mixing.op6_curriculum_mixing,
         "op7_line_dedup": line_dedup.op7_line_dedup,
+        "op9_bagminhash_near_dedup": near_dedup.op9_bagminhash_near_dedup,
         "op10_best_fit_packing": packing.op10_best_fit_packing,
     }
 
