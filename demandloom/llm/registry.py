@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandloom.llm import line_dedup, mixing, near_dedup, packing, token_output
+from demandloom.llm import line_dedup, mixing, near_dedup, nearest, packing, token_output
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_token_output": token_output.op2_token_output,
+        "op3_graph_nearest": nearest.op3_graph_nearest,
         "op6_curriculum_mixing": mixing.op6_curriculum_mixing,
         "op7_line_dedup": line_dedup.op7_line_dedup,
         "op9_bagminhash_near_dedup": near_dedup.op9_bagminhash_near_dedup,
