@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandloom.llm import line_dedup, mixing, near_dedup, nearest, packing, token_output
+from demandloom.llm import audio, line_dedup, mixing, near_dedup, nearest, packing, token_output
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_graph_nearest": nearest.op3_graph_nearest,
         "op6_curriculum_mixing": mixing.op6_curriculum_mixing,
         "op7_line_dedup": line_dedup.op7_line_dedup,
+        "op8_audio_features": audio.op8_audio_features,
         "op9_bagminhash_near_dedup": near_dedup.op9_bagminhash_near_dedup,
         "op10_best_fit_packing": packing.op10_best_fit_packing,
     }
