@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandloom.llm import audio, line_dedup, mixing, near_dedup, nearest, packing, token_output
+from demandloom.llm import audio, line_dedup, mixing, near_dedup, nearest, packing, pii, token_output
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_token_output": token_output.op2_token_output,
         "op3_graph_nearest": nearest.op3_graph_nearest,
+        "op4_pii": pii.op4_pii,
         "op6_curriculum_mixing": mixing.op6_curriculum_mixing,
         "op7_line_dedup": line_dedup.op7_line_dedup,
         "op8_audio_features": audio.op8_audio_features,
@@ -22,4 +23,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_curriculum_mixing": mixing.OP6_SQL, "op7_line_dedup": line_dedup.OP7_SQL}
+    return {"op4_pii": pii.OP4_SQL, "op6_curriculum_mixing": mixing.OP6_SQL, "op7_line_dedup": line_dedup.OP7_SQL}

@@ -1,0 +1,69 @@
+import hashlib
+import re
+
+import duckdb
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from demandloom.llm.pii import OP4_SQL, find_personal_data, listed
+
+#: The base expressions as they are stated.
+STATED = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(d):
+    return sum(int(c) if k % 2 == 0 else int(c) * 2 - 9 * (int(c) > 4) for k, c in enumerate(reversed(d))) % 10 == 0
+
+
+def brute_force(text):
+    out = []
+    for no, (kind, pattern) in enumerate(STATED.items()):
+        for m in re.finditer(pattern, text or ""):
+            d = re.sub("[^0-9]", "", m.group())
+            if {"email": True, "ip": kind == "ip" and all(int(x) <= 255 for x in m.group().split(".")), "card": 12 <= len(d) <= 19 and luhn(d), "phone": 9 <= len(d) <= 15}[kind]:
+                out.append((m.start(), no, kind, m.end()))
+    return [f"{k}:{a}:{b}" for a, _, k, b in sorted(out)]
+
+
+TEXTS = [
+    None, "", "no data", "a@b", "x a@b.c_d@e.f@g.h", "äö a.b+c@mail-1.example.com. ok", "\U0001f600 1.2.3.4 and 256.1.1.1 and 1.2.3.4.5.6.7.8", "00255.01.1.1",
+    "card 4111 1111 1111 1111, 4111-1111-1111-1112 4111111111111111 5", "+1 (988) 555-2485 +12 +1-2", "+1 415 555 2671 4111111111111111", "a@b.c 7.7.7.7",
+    "4111111111111111@mail.example.com", "9" * 30_000, "a" * 30_000, "1." * 20_000, "x@y." * 5_000, "+1 " * 9_000, "1 " * 20_000 + "z",
+]
+
+
+@pytest.fixture(scope="module")
+def found(spark):
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string").withColumn("PII", F.lit("clash"))
+    return {r.doc_id: r for r in find_personal_data(docs, name="found").withColumn("listed", listed(F.col("found"))).collect()}
+
+
+@pytest.mark.parametrize("k", range(len(TEXTS)))
+def test_base_spans_are_the_stated_ones(found, k):
+    got = [x for x in found[k].listed.split(",") if x and not x.startswith("iban")]
+    assert got == brute_force(TEXTS[k])
+
+
+def test_account_numbers_and_context(spark):
+    rows = [(1, "iban DE89370400440532013000."), (2, "GB29 NWBK 6016 1331 9268 19"), (3, "DE89370400440532013001"), (4, "call +1 415 555 2671"), (5, "+1 415 555 2671")]
+    got = {r.doc_id: r.pii for r in find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [(s.kind, s.start, s.end) for s in got[1]] == [("iban", 5, 27)] and [(s.kind, s.start, s.end) for s in got[2] if s.kind == "iban"] == [("iban", 0, 27)]
+    assert not [s for s in got[3] if s.kind == "iban"]
+    assert got[4][0].score > got[5][0].score
+    assert find_personal_data(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_sql_states_the_same(found):
+    keep = [k for k, t in enumerate(TEXTS) if t is None or len(t) < 1000]
+    documents = pd.DataFrame({"doc_id": keep, "text": [TEXTS[k] for k in keep]})
+    con = duckdb.connect()
+    con.register("documents", documents)
+    for doc_id, digest, spans in con.execute(f"SELECT doc_id, base_sha256, spans FROM ({OP4_SQL})").fetchall():
+        assert spans == found[doc_id].listed
+        assert digest == hashlib.sha256(",".join(brute_force(TEXTS[doc_id])).encode()).hexdigest()
