@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandloom.llm import audio, line_dedup, mixing, near_dedup, nearest, packing, pii, token_output
+from demandloom.llm import audio, language, line_dedup, mixing, near_dedup, nearest, packing, pii, token_output, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_toxicity": toxicity.op1_toxicity,
         "op2_token_output": token_output.op2_token_output,
         "op3_graph_nearest": nearest.op3_graph_nearest,
         "op4_pii": pii.op4_pii,
+        "op5_language_id": language.op5_language_id,
         "op6_curriculum_mixing": mixing.op6_curriculum_mixing,
         "op7_line_dedup": line_dedup.op7_line_dedup,
         "op8_audio_features": audio.op8_audio_features,
