@@ -14,8 +14,9 @@ from zlib import crc32
 
 import numpy as np
 
-FEATURES = 1 << 16
+FEATURES = 1 << 18
 WINDOW, LANE = 12, 64
+STEMS = (4, 5, 6, 7)
 _EDGES = re.compile(r"[\W_]+")
 
 
@@ -24,9 +25,15 @@ def bare(word: str) -> str:
     return _EDGES.sub("", word.lower())
 
 
+def units(w: str) -> list[str]:
+    """What may mark a word as toxic: itself, and the stems that begin it."""
+    return [w, *(f"{w[:k]}*" for k in STEMS if len(w) > k)] if w else []
+
+
 def token_features(word: str) -> list[int]:
     w = bare(word)
-    return [crc32(x.encode("utf-8", "surrogatepass")) % FEATURES for x in ("bias", f"w {w}", f"p {w[:4]}", f"s {w[-4:]}", f"n {min(len(w), 12)}")]
+    names = ("bias", f"w {w}", *(f"p {w[:k]}" if len(w) > k else f"p{k}" for k in STEMS), f"s {w[-4:]}", f"n {min(len(w), 12)}")
+    return [crc32(x.encode("utf-8", "surrogatepass")) % FEATURES for x in names]
 
 
 @dataclass
@@ -79,33 +86,37 @@ def marginals(emissions: np.ndarray, starts: np.ndarray, model: Crf) -> np.ndarr
 
 
 def seed_words(texts: list[str], toxic: np.ndarray, least: int = 5, ratio: float = 8.0) -> set[str]:
-    """Words that mark toxic texts, from equal texts counted once.
+    """Words and stems (ending in *) that mark toxic texts, from equal texts counted once.
 
-    Words are taken one by one, by how many toxic texts they explain that none before does.
+    They are taken one by one, by how many toxic texts they explain that none before does.
     What is as typical and at least a third as common among toxic texts as the first is taken too.
     """
-    kinds = {}
+    kinds: dict[str, bool] = {}
     for text, bad in zip(texts, toxic, strict=True):
         kinds[text] = bool(bad) or kinds.get(text, False)
-    words = [(set(map(bare, t.split())) - {""}, bad) for t, bad in kinds.items()]
-    clean = Counter(w for ws, bad in words if not bad for w in ws)
-    left = [ws for ws, bad in words if bad]
-    every = Counter(w for ws in left for w in ws)
-    n1, n0, out, first = len(left), max(len(words) - len(left), 1), set(), 0
+    left = [{u for w in set(map(bare, t.split())) for u in units(w)} for t, bad in kinds.items() if bad]
+    every = Counter(u for us in left for u in us)
+    n1, n0, out, first = len(left), max(len(kinds) - len(left), 1), set(), 0
     least = max(least, n1 // 200)
-    typical = {w for w, k in every.items() if k >= least and (k / n1) / ((clean[w] + 0.5) / n0) >= ratio}
-    hits = Counter(every)
+    often = {u for u, k in every.items() if k >= least}
+    clean: Counter[str] = Counter()
+    for text, bad in kinds.items():
+        if not bad:
+            clean.update({u for w in set(map(bare, text.split())) for u in units(w) if u in often})
+    typical = {u for u in often if (every[u] / n1) / ((clean[u] + 0.5) / n0) >= ratio}
+    left = [us & typical for us in left]
+    hits = Counter(u for us in left for u in us)
     while typical:
-        word = max(typical, key=lambda w: (hits[w] / (clean[w] + 1) ** 0.5, w))
-        if hits[word] < least:
+        unit = max(typical, key=lambda u: (hits[u] / (clean[u] + 1) ** 0.5, u))
+        if hits[unit] < least:
             break
-        out.add(word)
-        first = first or every[word]
-        for ws in left:
-            if word in ws:
-                hits.subtract(ws)
-        left = [ws for ws in left if word not in ws]
-    return out | {w for w in typical if first and 3 * every[w] >= first}
+        out.add(unit)
+        first = first or every[unit]
+        for us in left:
+            if unit in us:
+                hits.subtract(us)
+        left = [us for us in left if unit not in us]
+    return out | {u for u in typical if first and 3 * every[u] >= first}
 
 
 def train(texts: list[str], toxic: np.ndarray, rounds: int = 60, rate: float = 0.5, penalty: float = 1e-4, seed: int = 0) -> Crf:
@@ -120,7 +131,7 @@ def train(texts: list[str], toxic: np.ndarray, rounds: int = 60, rate: float = 0
         tokens = text.split()
         if len(tokens) < WINDOW:
             tokens = tokens + [""] * (WINDOW - len(tokens))
-        tag = np.array([bool(bad) and bare(t) in seeds for t in tokens])
+        tag = np.array([bool(bad) and not seeds.isdisjoint(units(bare(t))) for t in tokens])
         at = set(rng.integers(0, len(tokens) - WINDOW + 1, 3).tolist())
         if tag.any():
             at |= {int(min(max(0, k - rng.integers(0, WINDOW)), len(tokens) - WINDOW)) for k in np.nonzero(tag)[0][:20]}
