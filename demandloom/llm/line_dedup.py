@@ -61,12 +61,12 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     clash = {c.lower() for c in docs.columns} & {"n_lines", "n_removed"}
     docs = docs.drop(*[c for c in docs.columns if c.lower() in clash])
-    words = F.size(F.filter(F.split(F.col("_l"), " +"), lambda x: x != ""))
+    enough = F.col("_l").rlike(f"(?:[^ ]+ +){{{min_words - 1}}}[^ ]") if min_words > 1 else F.lit(True)
     exploded = (
         docs.select(*_place(id_col, text_col), F.col(site_col).cast("string").alias("site"), F.char_length(text_col).alias("chars"), F.posexplode(_lines(F.col(text_col))).alias("line", "_raw"))
         .withColumn("_l", _trimmed(F.col("_raw")))
         .filter(F.col("_l") != "")
-        .filter(words >= min_words)
+        .filter(enough)
     )
     lines = materialise(exploded.select("_id", "_text_hash", "site", "line", "chars", F.char_length("_raw").alias("length"), F.xxhash64("_l").alias("h1"), F.xxhash64(F.lit(1), "_l").alias("h2")), "lines")
     spread = materialise(spread_lines(lines, min_sites), "spread-lines")
@@ -81,7 +81,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     gone = gone.filter(F.aggregate("_gone", F.lit(0).cast("long"), lambda a, x: a + x["length"]) <= max_part * F.col("chars")).select("_id", "_text_hash", F.col("_gone.line").alias("_gone"))
     gone = materialise(gone, "lines-removed")
     keyed = docs.withColumns({"_id": F.coalesce(F.col(id_col).cast("string"), F.lit("null")), "_text_hash": F.xxhash64(text_col)})
-    joined = keyed.join(maybe_broadcast(gone, gone.count(), BROADCAST_ROWS // 10), ["_id", "_text_hash"], "left")
+    joined = keyed.join(gone.hint("merge"), ["_id", "_text_hash"], "left")  # both sides grow with the corpus
     kept = F.array_join(F.filter(_lines(F.col(text_col)), lambda x, k: ~F.array_contains(F.col("_gone"), k)), "\n")
     return joined.withColumns(
         {
