@@ -82,6 +82,31 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return float(np.minimum(in_a, in_b).sum() / np.maximum(in_a, in_b).sum())
 
 
+def overlaps(bags: list[np.ndarray], width: int = 8192) -> np.ndarray:
+    """Sizes of the multiset intersections of all pairs of bags.
+
+    The k-th repeat of a shingle is an element of its own. Elements of two bags or more are the
+    columns of a 0/1 matrix, taken ``width`` at a time, whose product with its transpose counts what rows share.
+    """
+    sizes = np.array([len(b) for b in bags])
+    every, owner = np.concatenate(bags), np.repeat(np.arange(len(bags)), sizes)
+    first = np.ones(len(every), bool)
+    first[1:] = (every[1:] != every[:-1]) | (owner[1:] != owner[:-1])
+    repeat = np.arange(len(every)) - np.maximum.accumulate(np.where(first, np.arange(len(every)), 0))
+    _, column, count = np.unique(mix(every + _GOLD * repeat.astype(np.uint64)), return_inverse=True, return_counts=True)
+    keep = count[column] > 1
+    column, owner = np.unique(column[keep], return_inverse=True)[1], owner[keep]
+    out = np.zeros((len(bags), len(bags)))
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        a, b = np.searchsorted(column, [low, low + width])
+        part = np.zeros((len(bags), width), np.float32)
+        part[owner[a:b], column[a:b] - low] = 1
+        out += part @ part.T
+    return out
+
+
 def _streams(bags: list[np.ndarray]) -> tuple[np.ndarray, ...]:
     """(bag, seed, low, length, reach) of every stretch that a bag's weights enter."""
     sizes = np.array([len(x) for x in bags])

@@ -1,7 +1,7 @@
 """Near-duplicate classes of whole texts by BagMinHash, banding and exact bag overlap.
 
-Texts that share a band are first compared with the smallest key of that bucket (a star, not
-all pairs). Connected components of the verified links leave few buckets with texts of several
+Texts that share a band are first compared with one hub of that bucket, the text that meets
+most others (a star, not all pairs). Connected components of the verified links leave few buckets with texts of several
 components; those are compared in blocks, inside a task, so that no link between different
 texts of a bucket is lost and no pair that fails is ever emitted.
 """
@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +31,7 @@ def _text_key(text_col: str):
 
 
 def text_bands(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(key, bands) of every text that has words; a task skips texts it has just seen."""
+    """(key, n_shingles, bands, signature) of every text that has words; a task skips texts it has just seen."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
@@ -47,11 +46,12 @@ def text_bands(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 if len(found := bag.shingle_hashes(text.as_py())):
                     keys.append(key)
                     bags.append(found)
-            found = bag.bands(bag.signatures(bags)) if bags else np.zeros((0, bag.BANDS), np.int64)
+            signed = bag.signatures(bags) if bags else np.zeros((0, bag.COMPONENTS), np.uint32)
             offsets = pa.array(np.arange(len(keys) + 1) * bag.BANDS, pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.ListArray.from_arrays(offsets, pa.array(found.reshape(-1)))], names=["key", "bands"])
+            columns = [pa.array(keys, pa.binary()), pa.array([len(b) for b in bags], pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(bag.bands(signed).reshape(-1))), pa.array([x.astype("<u4").tobytes() for x in signed], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "n_shingles", "bands", "signature"])
 
-    return docs.filter(F.col(text_col).isNotNull()).select(_text_key(text_col).alias("key"), F.col(text_col).alias("text")).mapInArrow(run, "key binary, bands array<long>")
+    return docs.filter(F.col(text_col).isNotNull()).select(_text_key(text_col).alias("key"), F.col(text_col).alias("text")).mapInArrow(run, "key binary, n_shingles long, bands array<long>, signature binary")
 
 
 def verified(pairs: DataFrame, threshold: float) -> DataFrame:
@@ -71,14 +71,14 @@ def verified(pairs: DataFrame, threshold: float) -> DataFrame:
 
 
 def _cross_links(threshold: float):
-    """A function for one block pair of one bucket: links between different labels, at most one a label."""
+    """A function over rows sorted by block pair of a bucket: links between different labels, at most one a label."""
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.drop_duplicates("key").reset_index(drop=True)
-        bags = [bag.shingle_hashes(t) for t in rows["text"]]
-        sizes = np.array([len(x) for x in bags])
-        blocks, lo, hi = rows["block"].to_numpy(), rows["lo"].iloc[0], rows["hi"].iloc[0]
-        root = {x: x for x in rows["label"]}
+    def links(rows: dict[str, list]) -> list[tuple[bytes, bytes]]:
+        order = sorted(range(len(rows["key"])), key=rows["key"].__getitem__)
+        rows = {c: [v[k] for k in order] for c, v in rows.items()}
+        labels, sizes, blocks = rows["label"], np.array(rows["n_shingles"]), np.array(rows["block"])
+        lo, hi = rows["lo"][0], rows["hi"][0]
+        root = {x: x for x in labels}
 
         def find(x: bytes) -> bytes:
             while root[x] != x:
@@ -87,22 +87,52 @@ def _cross_links(threshold: float):
             return x
 
         least = bag.COMPONENTS * threshold - _SURE * np.sqrt(bag.COMPONENTS * threshold * (1 - threshold))
-        signature = bag.signatures(bags) if len(rows) > 8 else None
-        out = []
-        for i in range(len(rows)):
-            other = np.arange(i + 1, len(rows))
-            fits = np.minimum(sizes[other], sizes[i]) >= threshold * np.maximum(sizes[other], sizes[i])
+        signature = np.stack([np.frombuffer(x, "<u4") for x in rows["signature"]])
+        keys = bag.bands(signature)
+        band = rows["band"][0]
+        numbers = np.unique(labels, return_inverse=True)[1]
+        pairs = []
+        for i in range(len(labels) - 1):
+            other = np.arange(i + 1, len(labels))
+            fits = (np.minimum(sizes[other], sizes[i]) >= threshold * np.maximum(sizes[other], sizes[i])) & (numbers[other] != numbers[i])
             if lo != hi:
                 fits &= blocks[other] != blocks[i]
             other = other[fits]
-            if signature is not None and len(other):
-                other = other[(signature[other] == signature[i]).sum(axis=1) >= least]
-            for j in other:
-                a, b = find(rows["label"][i]), find(rows["label"][j])
-                if a != b and bag.similarity(bags[i], bags[j]) >= threshold:
-                    root[b] = a
+            other = other[(signature[other] == signature[i]).sum(axis=1) >= least]
+            if band and len(other):  # a pair belongs to the first band that it shares
+                other = other[~(keys[other, :band] == keys[i, :band]).any(axis=1)]
+            pairs.append(np.stack([np.full(len(other), i), other], axis=1))
+        pairs = np.concatenate(pairs)
+        out = []
+        if len(pairs):
+            who, place = np.unique(pairs, return_inverse=True)
+            shared = bag.overlaps([bag.shingle_hashes(rows["text"][k]) for k in who])
+            a, b = place.reshape(-1, 2).T
+            both = shared[a, b]
+            for i, j in pairs[both >= threshold * (sizes[pairs[:, 0]] + sizes[pairs[:, 1]] - both) - 1e-9]:
+                x, y = find(labels[i]), find(labels[j])
+                if x != y:
+                    root[y] = x
                     out.append((rows["key"][i], rows["key"][j]))
-        return pd.DataFrame(out, columns=["key", "hub"])
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list] = {}
+        group = None
+
+        def flush() -> pa.RecordBatch:
+            found = links(held) if held and len(held["key"]) > 1 else []
+            return pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.binary()), pa.array([b for _, b in found], pa.binary())], names=["key", "hub"])
+
+        for batch in batches:  # sorted, so that the rows of a block pair follow one another
+            rows = batch.to_pydict()
+            for k, now in enumerate(zip(rows["band"], rows["h"], rows["lo"], rows["hi"], strict=True)):
+                if now != group:
+                    yield flush()
+                    group, held = now, {c: [] for c in rows}
+                for c, values in rows.items():
+                    held[c].append(values[k])
+        yield flush()
 
     return run
 
@@ -110,25 +140,34 @@ def _cross_links(threshold: float):
 def near_classes(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(key, label) of the texts that are linked to a different text; label is one text's key a class."""
     small_batches(docs.sparkSession)
-    bands = materialise(text_bands(docs, text_col), "bands").select("key", F.explode("bands").alias("h"))
-    buckets = bands.groupBy("h").agg(F.min("key").alias("hub"), F.max("key").alias("_last")).filter("hub <> _last").select("h", "hub")
-    members = materialise(bands.join(buckets, "h").select("h", "key", "hub").distinct(), "band-members")
+    signed = materialise(text_bands(docs, text_col), "bands")
+    bands = signed.select("key", F.posexplode("bands").alias("band", "h"))
+    bucket = ["band", "h"]
+    buckets = bands.groupBy(*bucket).agg(F.min("key").alias("_first"), F.max("key").alias("_last"), F.count("*").alias("n")).filter("_first <> _last").select(*bucket, "n")
+    shared = materialise(bands.join(buckets, bucket).select(*bucket, "key", "n").distinct(), "shared-bands")
+    # a bucket's hub is the text that meets most others over all its bands: an original rather than one of its copies
+    popular = shared.groupBy("key").agg(F.sum("n").alias("met"))
+    hubs = shared.join(popular, "key").groupBy(*bucket).agg(F.max(F.struct("met", "key")).alias("_top")).select(*bucket, F.col("_top.key").alias("hub"))
+    members = materialise(shared.select(*bucket, "key").join(hubs, bucket), "band-members")
     pairs = members.filter("key <> hub").select("key", "hub").distinct()
     asked = materialise(members.select("key").distinct(), "near-keys")
     keyed = docs.filter(F.col(text_col).isNotNull()).select(_text_key(text_col).alias("key"), F.col(text_col).alias("text"))
-    texts = materialise(keyed.join(maybe_broadcast(asked, asked.count(), BROADCAST_ROWS), "key", "left_semi").dropDuplicates(["key"]), "near-texts")
-    hubs = texts.select(F.col("key").alias("hub"), F.col("text").alias("hub_text"))
-    links = materialise(verified(pairs.join(texts, "key").join(hubs, "hub"), threshold), "near-links")
+    only = maybe_broadcast(asked, asked.count(), BROADCAST_ROWS)
+    texts = materialise(keyed.join(only, "key", "left_semi").dropDuplicates(["key"]), "near-texts")
+    signs = signed.join(only, "key", "left_semi").select("key", "n_shingles", "signature").dropDuplicates(["key"])
+    hub_texts = texts.select(F.col("key").alias("hub"), F.col("text").alias("hub_text"))
+    links = materialise(verified(pairs.join(texts, "key").join(hub_texts, "hub"), threshold), "near-links")
     labels = materialise(connected_components(links, "key", "hub"), "near-labels")
 
-    named = members.select("h", "key").join(labels.select(F.col("node").alias("key"), "label"), "key", "left").withColumn("label", F.coalesce("label", "key"))
+    named = members.select(*bucket, "key").join(labels.select(F.col("node").alias("key"), "label"), "key", "left").withColumn("label", F.coalesce("label", "key"))
     named = materialise(named, "band-labels")
-    # buckets of the same texts, known by count, extremes and a combined hash of their keys, are compared once
-    open_ = named.groupBy("h").agg(F.count("*").alias("n"), F.min("label").alias("_a"), F.max("label").alias("_z"), F.bit_xor(F.xxhash64("key")).alias("_x"), F.min("key").alias("_k")).filter("_a <> _z and n > 2")
-    open_ = open_.groupBy("n", "_a", "_z", "_x", "_k").agg(F.min("h").alias("h")).select("h", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    spread = named.join(open_, "h").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")).withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    blocks = spread.select("h", "key", "label", "block", F.least("block", "_with").alias("lo"), F.greatest("block", "_with").alias("hi")).join(texts, "key")
-    more = materialise(blocks.groupBy("h", "lo", "hi").applyInPandas(_cross_links(threshold), "key binary, hub binary"), "near-more")
+    # buckets of the same texts, known by count, extremes and a combined hash of their keys, are compared once, in their first band
+    open_ = named.groupBy(*bucket).agg(F.count("*").alias("n"), F.min("label").alias("_a"), F.max("label").alias("_z"), F.bit_xor(F.xxhash64("key")).alias("_x"), F.min("key").alias("_k")).filter("_a <> _z and n > 2")
+    open_ = open_.groupBy("n", "_a", "_z", "_x", "_k").agg(F.min(F.struct(*bucket)).alias("_b")).select("_b.*", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    spread = named.join(open_, bucket).withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")).withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    pair = [*bucket, "lo", "hi"]
+    blocks = spread.select(*bucket, "key", "label", "block", F.least("block", "_with").alias("lo"), F.greatest("block", "_with").alias("hi")).join(texts.join(signs, "key"), "key")
+    more = materialise(blocks.repartition(*pair).sortWithinPartitions(*pair).mapInArrow(_cross_links(threshold), "key binary, hub binary"), "near-more")
     if more.isEmpty():
         return labels.select(F.col("node").alias("key"), "label")
     everything = connected_components(links.unionByName(more), "key", "hub")
