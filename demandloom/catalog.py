@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from demandloom.queries import base, panel  # noqa: F401
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    return {}
+    return dict(base.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(base.SQL)
