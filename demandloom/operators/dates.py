@@ -139,17 +139,17 @@ def acf_pacf(series: DataFrame, lags: int = 30) -> DataFrame:
 
 def cross_correlation(series: DataFrame, indicators: DataFrame, columns: Sequence[str], lags: int = 50) -> DataFrame:
     """column, lag, ccf: the indicator ``lag`` days later against y, without centring, over the root of both sums of squares."""
-    x = indicators.select("day", F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in columns))).alias("p")).select("day", "p.*").filter("x is not null")
-    sent = x.select("column", "x", F.col("day").alias("_x_day"), F.explode(F.sequence(F.lit(-lags), F.lit(lags))).alias("lag")).withColumn("day", F.col("_x_day") - F.col("lag"))
-    sums = sent.join(series, "day").groupBy("column", "lag").agg(F.sum(F.col("x") * F.col("y")).alias("xy"))
-    norm_x = x.groupBy("column").agg(F.sum(F.col("x") * F.col("x")).alias("xx"))
+    x = indicators.select("day", F.explode(F.array(*(F.struct(F.lit(c).alias("field"), F.col(c).cast("double").alias("x")) for c in columns))).alias("p")).select("day", "p.*").filter("x is not null")
+    sent = x.select("field", "x", F.col("day").alias("_x_day"), F.explode(F.sequence(F.lit(-lags), F.lit(lags))).alias("lag")).withColumn("day", F.col("_x_day") - F.col("lag"))
+    sums = sent.join(series, "day").groupBy("field", "lag").agg(F.sum(F.col("x") * F.col("y")).alias("xy"))
+    norm_x = x.groupBy("field").agg(F.sum(F.col("x") * F.col("x")).alias("xx"))
     norm_y = series.agg(F.sum(F.col("y") * F.col("y")).alias("yy"))
-    return sums.join(F.broadcast(norm_x), "column").join(F.broadcast(norm_y)).select("column", "lag", F.try_divide("xy", F.sqrt(F.col("xx") * F.col("yy"))).alias("ccf"))
+    return sums.join(F.broadcast(norm_x), "field").join(F.broadcast(norm_y)).select("field", "lag", F.try_divide("xy", F.sqrt(F.col("xx") * F.col("yy"))).alias("ccf"))
 
 
 def best_lag(ccf: DataFrame) -> DataFrame:
     """column, best lag among those up to 0 (the indicator earlier or on the day), its value; ties to the smaller lag."""
-    return ccf.filter("lag <= 0").groupBy("column").agg(F.max_by("lag", F.struct("ccf", -F.col("lag"))).alias("best_lag"), F.max("ccf").alias("ccf"))
+    return ccf.filter("lag <= 0").groupBy("field").agg(F.max_by("lag", F.struct("ccf", -F.col("lag"))).alias("best_lag"), F.max("ccf").alias("ccf"))
 
 
 def series_correlation(series: DataFrame, indicators: DataFrame, column: str, lag: int) -> DataFrame:

@@ -12,26 +12,26 @@ from pyspark.sql import types as T
 def _long(df: DataFrame, aggs: dict[str, Column], name: str) -> DataFrame:
     """One aggregate a column, as rows (column, name, rows)."""
     one = df.agg(F.count("*").alias("_rows"), *(c.alias(k) for k, c in aggs.items()))
-    pairs = F.array(*(F.struct(F.lit(k).alias("column"), F.col(f"`{k}`").cast("long").alias(name)) for k in aggs))
+    pairs = F.array(*(F.struct(F.lit(k).alias("field"), F.col(f"`{k}`").cast("long").alias(name)) for k in aggs))
     return one.select("_rows", F.explode(pairs).alias("p")).select("p.*", F.col("_rows").alias("n_rows"))
 
 
 def missing_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """column, n_missing, pct of rows."""
     out = _long(df, {c: F.count_if(F.col(f"`{c}`").isNull()) for c in columns or df.columns}, "n_missing")
-    return out.select("column", "n_missing", F.try_divide(100.0 * F.col("n_missing"), F.col("n_rows")).alias("pct"))
+    return out.select("field", "n_missing", F.try_divide(100.0 * F.col("n_missing"), F.col("n_rows")).alias("pct"))
 
 
 def null_report(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Columns that contain nulls, with their counts."""
-    return missing_profile(df, columns).filter("n_missing > 0").select("column", "n_missing")
+    return missing_profile(df, columns).filter("n_missing > 0").select("field", "n_missing")
 
 
 def zero_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """column, n_zero, pct of rows; a null isn't a zero."""
     columns = columns or [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
     out = _long(df, {c: F.count_if(F.col(f"`{c}`") == 0) for c in columns}, "n_zero")
-    return out.select("column", "n_zero", F.try_divide(100.0 * F.col("n_zero"), F.col("n_rows")).alias("pct"))
+    return out.select("field", "n_zero", F.try_divide(100.0 * F.col("n_zero"), F.col("n_rows")).alias("pct"))
 
 
 def column_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -40,7 +40,7 @@ def column_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def frame_summary(df: DataFrame) -> DataFrame:
     """A row for each column: place, name, type, and the table's row and column counts."""
-    kinds = F.array(*(F.struct(F.lit(k).alias("place"), F.lit(n).alias("column"), F.lit(t).alias("type")) for k, (n, t) in enumerate(df.dtypes)))
+    kinds = F.array(*(F.struct(F.lit(k).alias("place"), F.lit(n).alias("field"), F.lit(t).alias("type")) for k, (n, t) in enumerate(df.dtypes)))
     return df.agg(F.count("*").alias("n_rows")).select("n_rows", F.lit(len(df.columns)).alias("n_columns"), F.explode(kinds).alias("k")).select("k.*", "n_rows", "n_columns")
 
 
@@ -60,7 +60,7 @@ def describe_columns(df: DataFrame, columns: Sequence[str], by: Sequence[str] =
     stats = []
     for c in columns:
         q = F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-        stats.append(F.struct(F.lit(c).alias("column"), F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"), q[0].alias("q25"), q[1].alias("q50"), q[2].alias("q75"), F.max(c).cast("double").alias("max")))
+        stats.append(F.struct(F.lit(c).alias("field"), F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"), q[0].alias("q25"), q[1].alias("q50"), q[2].alias("q75"), F.max(c).cast("double").alias("max")))
     return df.groupBy(*by).agg(F.array(*stats).alias("_s")).select(*by, F.explode("_s").alias("s")).select(*by, "s.*")
 
 
