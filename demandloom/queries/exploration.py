@@ -11,7 +11,7 @@ from demandloom.jobs import assembly as W
 from demandloom.operators import dims as D
 from demandloom.queries import dims as QD
 from demandloom.queries import panel as QP
-from demandloom.queries.base import query
+from demandloom.queries.base import SQL, query, with_ctes
 from demandloom.sources import adapters as A
 
 S, PS = A.sales, A.panel_sales
@@ -52,8 +52,8 @@ add("ffill_by_group_counter", "SELECT shop_id, date, first_value(CASE WHEN qty >
     lambda s, d: J.fill_from_later(QP.shop_daily(s, d).withColumn("qty", F.when(F.col("qty") > 3, F.col("qty"))), ["shop_id"], "qty")
 )
 add("monthly_totals", "SELECT date_block_num, count(*) AS n_rows, sum(item_cnt_day) AS qty FROM sales GROUP BY 1", "sales")(lambda s, d: S(s, d).groupBy("date_block_num").agg(F.count("*").alias("n_rows"), F.sum("item_cnt_day").alias("qty")))
-add("monthly_shop_item", "SELECT date_block_num, shop_id, item_id, min(date) AS first_date, max(date) AS last_date, round(avg(item_price), 5) AS avg_price, sum(item_cnt_day) AS qty FROM sales GROUP BY 1, 2, 3", "sales")(
-    lambda s, d: S(s, d).groupBy("date_block_num", "shop_id", "item_id").agg(F.min("date").alias("first_date"), F.max("date").alias("last_date"), F.round(F.avg("item_price"), 5).alias("avg_price"), F.sum("item_cnt_day").alias("qty"))
+add("monthly_shop_item", "SELECT date_block_num, shop_id, item_id, min(date) AS first_date, max(date) AS last_date, round(avg(item_price), 9) AS avg_price, sum(item_cnt_day) AS qty FROM sales GROUP BY 1, 2, 3", "sales")(
+    lambda s, d: S(s, d).groupBy("date_block_num", "shop_id", "item_id").agg(F.min("date").alias("first_date"), F.max("date").alias("last_date"), F.round(F.avg("item_price"), 9).alias("avg_price"), F.sum("item_cnt_day").alias("qty"))
 )
 add("shop_counts", "SELECT shop_id, count(*) AS n_rows, count(DISTINCT item_id) AS n_items FROM sales GROUP BY 1", "sales")(lambda s, d: S(s, d).groupBy("shop_id").agg(F.count("*").alias("n_rows"), F.count_distinct("item_id").alias("n_items")))
 for _n, _k in (("price_changed", ["item_id"]), ("price_changed_by_day", ["date", "item_id"]), ("price_changed_by_day_shop", ["date", "item_id", "shop_id"])):
@@ -90,9 +90,9 @@ add("resample_sum", f"SELECT CAST(date_trunc('month', date) AS DATE) AS period,
 add("resample_sum_by_week", f"SELECT CAST(CAST(date_trunc('week', date) AS DATE) + 6 AS DATE) AS period, CAST(sum(n_items) AS BIGINT) AS n_items FROM ({_SEEN}) GROUP BY 1", "sales")(lambda s, d: J.resample_sum(J.seen_counts(S(s, d)), "n_items", "week"))
 add("dow_counts", "SELECT dayname(date) AS dow, count(*) AS n_rows, sum(item_cnt_day) AS qty FROM sales GROUP BY 1", "sales")(lambda s, d: J.dow_counts(S(s, d)))
 add("shops_not_every_dow", "SELECT shop_id, count(DISTINCT isodow(date)) AS n_dow FROM train GROUP BY 1 HAVING count(DISTINCT isodow(date)) < 7", "train")(lambda s, d: J.shops_not_every_dow(QP.split(s, d)[0]))
-_DOW = "SELECT shop_id, CAST(isodow(date) - 1 AS INT) AS dow, round(100 * sum(item_cnt_day) / nullif(sum(sum(item_cnt_day)) OVER (PARTITION BY shop_id), 0), 7) AS pct FROM sales GROUP BY shop_id, isodow(date)"
-add("dow_share_by_shop", _DOW, "sales")(lambda s, d: J.dow_share_by_shop(S(s, d)).withColumn("pct", F.round("pct", 7)))
-add("dow_share_top", f"SELECT * FROM ({_DOW}) WHERE dow = 1 AND pct IS NOT NULL ORDER BY pct DESC, shop_id LIMIT 1", "sales")(lambda s, d: J.dow_share_by_shop(S(s, d)).withColumn("pct", F.round("pct", 7)).filter("dow = 1 and pct is not null").orderBy(F.desc("pct"), "shop_id").limit(1))
+_DOW = "SELECT shop_id, CAST(isodow(date) - 1 AS INT) AS dow, round(100 * sum(item_cnt_day) / nullif(sum(sum(item_cnt_day)) OVER (PARTITION BY shop_id), 0), 9) AS pct FROM sales GROUP BY shop_id, isodow(date)"
+add("dow_share_by_shop", _DOW, "sales")(lambda s, d: J.dow_share_by_shop(S(s, d)).withColumn("pct", F.round("pct", 9)))
+add("dow_share_top", f"SELECT * FROM ({_DOW}) WHERE dow = 1 AND pct IS NOT NULL ORDER BY pct DESC, shop_id LIMIT 1", "sales")(lambda s, d: J.dow_share_by_shop(S(s, d)).withColumn("pct", F.round("pct", 9)).filter("dow = 1 and pct is not null").orderBy(F.desc("pct"), "shop_id").limit(1))
 add("items_by_shop_count", "SELECT n_shops, count(*) AS n_keys FROM (SELECT count(DISTINCT shop_id) AS n_shops FROM sales GROUP BY item_id) GROUP BY 1", "sales")(lambda s, d: J.items_by_shop_count(S(s, d)))
 _RUN = "SELECT item_id, date, running, CAST(date - min(date) OVER (PARTITION BY item_id) <= 7 AS INT) AS first_week, running / nullif(max(running) OVER (PARTITION BY item_id), 0) AS share FROM (SELECT item_id, date, sum(sum(item_cnt_day)) OVER (PARTITION BY item_id ORDER BY date) AS running FROM sales GROUP BY item_id, date)"
 add("running_share", f"SELECT * REPLACE (round(share, 8) AS share) FROM ({_RUN})", "sales")(lambda s, d: J.running_share(S(s, d)).withColumn("share", F.round("share", 8)))
@@ -152,24 +152,22 @@ _K = [c.strip() for c in _WIDE_COLUMNS.split(",")]
 _CATEGORY = "category_qty, category_qty_7d, category_sold"
 
 
-def wide_sql(kind: str, columns: str, where: str = "true") -> str:
-    """The join of the grains' own statements."""
-    from demandloom.queries.base import SQL
+def wide_sql(kind: str | None, columns: str, where: str = "true") -> str:
+    """The join of the grains' own statements; kind is that of the category's join (None: no such join)."""
 
     sub = {n: SQL[f"build_{n}_features"] for n in ("shop_item_date", "item_date", "shop_date")}
     cat = QP.CATEGORY_SQL.format(cols="shop_id, item_category_id, date, qty AS category_qty, category_qty_7d, category_sold")
-    from demandloom.queries.base import with_ctes
-
+    category = f"{kind} JOIN (SELECT shop_id, item_category_id AS sid_item_category_id, date, {_CATEGORY} FROM ({with_ctes(cat, 'train')})) c USING (shop_id, sid_item_category_id, date)" if kind is not None else ""
     return f"""SELECT {columns} FROM ({sub['shop_item_date']}) p
 JOIN ({with_ctes('SELECT shop_id, count(*) AS s_rows FROM train GROUP BY 1', 'train')}) s USING (shop_id)
 JOIN ({with_ctes('SELECT date, sum(item_cnt_day) AS d_total_qty FROM train GROUP BY 1', 'train')}) d USING (date)
 JOIN ({sub['item_date']}) i USING (item_id, date) JOIN ({sub['shop_date']}) sd USING (shop_id, date)
-{kind} JOIN (SELECT shop_id, item_category_id AS sid_item_category_id, date, {_CATEGORY} FROM ({with_ctes(cat, 'train')})) c USING (shop_id, sid_item_category_id, date) WHERE {where}"""
+{category} WHERE {where}"""
 
 
 _ZERO = "coalesce(category_qty, 0) AS category_qty, coalesce(category_qty_7d, 0) AS category_qty_7d, coalesce(category_sold, 0) AS category_sold"
 _JAN = "date BETWEEN DATE '2024-01-08' AND DATE '2024-01-14'"
-add("merge_all_features", wide_sql("", _WIDE_COLUMNS))(lambda s, d: W.merge_all_features(parts(s, d)).select(*_K))
+add("merge_all_features", wide_sql(None, _WIDE_COLUMNS))(lambda s, d: W.merge_all_features(parts(s, d)).select(*_K))
 add("monthly_feature_table", wide_sql("", f"{_WIDE_COLUMNS}, {_CATEGORY}", _JAN))(lambda s, d: W.feature_table(parts(s, d), date(2024, 1, 8), date(2024, 1, 14)).select(*_K, *W.CATEGORY))
 add("monthly_feature_table_addl", wide_sql("LEFT", f"{_WIDE_COLUMNS}, {_ZERO}", _JAN))(lambda s, d: W.feature_table(parts(s, d), date(2024, 1, 8), date(2024, 1, 14), additional=True).select(*_K, *W.CATEGORY))
 add("zero_fill_category_cols", wide_sql("LEFT", f"shop_id, item_id, date, {_ZERO}", _JAN))(lambda s, d: W.feature_table(parts(s, d), date(2024, 1, 8), date(2024, 1, 14), additional=True).select("shop_id", "item_id", "date", *W.CATEGORY))

@@ -75,7 +75,7 @@ _SQL = {
     "sale_day_counts": ", ".join(f"CAST(coalesce(sum(CAST(qty > 0 AS INT)) OVER {w}, 0) AS BIGINT) AS sale_days_{n}" for n, w in (("7d", "w7"), ("30d", "w30"), ("all", "w"))),
     "rolling_7d_stats": five("qty_7d", "w7"),
     "expanding_qty_stats": five("qty_all", "w"),
-    "expanding_cv2": f"round(coalesce(power(stddev_pop({_POS}) OVER w / nullif(avg({_POS}) OVER w, 0), 2), 0.0), 10) AS qty_cv2",
+    "expanding_cv2": f"CAST(CAST(coalesce(power(stddev_pop({_POS}) OVER w / nullif(avg({_POS}) OVER w, 0), 2), 0.0) AS FLOAT) AS DOUBLE) AS qty_cv2",
     "expanding_adi": "CASE WHEN age = 0 THEN 0.0 ELSE round(CAST(age AS DOUBLE) / nullif(sum(CAST(qty > 0 AS INT)) OVER w, 0), 10) END AS adi",
     "qty_lags": ", ".join(f"coalesce(lag(qty, {k}) OVER o, 0.0) AS qty_lag{k}" for k in (1, 2, 3, 7)),
     "days_since_max_qty": "CAST(coalesce(date - arg_max(date, struct_pack(q := qty, d := DATE '1970-01-01' - date)) OVER w, 0) AS INT) AS days_since_max_qty",
@@ -87,7 +87,10 @@ _ROUNDED = {"qty_7d_mean", "qty_all_mean", "qty_cv2", "adi", "gap_mean", "gap_st
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    return df.select(*(F.round(c, 10).alias(c) if c.removeprefix("id_").removeprefix("sd_").removeprefix("sid_") in _ROUNDED else F.col(c) for c in df.columns))
+    """Ratios rounded for comparison; squares of ratios are often exact binary fractions, which decimal rounding would tie on."""
+    bare = {c: c.removeprefix("id_").removeprefix("sd_").removeprefix("sid_") for c in df.columns}
+    near = {c: F.col(c).cast("float").cast("double") if bare[c] == "qty_cv2" else F.round(c, 10) for c in df.columns if bare[c] in _ROUNDED}
+    return df.withColumns(near)
 
 
 def simple(name: str, levels) -> None:
