@@ -58,35 +58,64 @@ def fit(texts: list[str], langs: list[str]) -> tuple[list[str], dict[str, list[f
 
 def text_evidence(names: list[str], known: dict[str, list[float]], unseen: list[float]):
     """A pandas UDF: tempered log-likelihoods of a text for each language and any other; zeros without letters."""
-    width = len(names) + 1
-
-    class Words(dict):
-        def __missing__(self, word: str) -> np.ndarray:
-            if len(self) >= WORDS_KEPT:
-                self.clear()
-            rows = [known.get(g, unseen) for g in trigrams(word)]
-            out = self[word] = np.sum(rows, axis=0) if rows else np.zeros(width)
-            return out
+    model = (known, unseen)
 
     @F.pandas_udf(ArrayType(DoubleType()))
     def evidence(texts: pd.Series) -> pd.Series:
-        global _cache
-        if _cache is None or _cache[0] != (len(known), unseen):
-            _cache = ((len(known), unseen), Words())
-        words, out = _cache[1], []
-        for text in texts:
-            total = np.zeros(width)
-            for word, n in Counter(text.split() if text else ()).items():
-                total += n * words[word]
-            total = TEMPER * (total - total.max())
-            least = total.min()
-            out.append(total * (MOST / -least) if least < -MOST else total)
-        return pd.Series(out)
+        global _words
+        if _words is None or _words.model[1] != unseen or len(_words.model[0]) != len(known):
+            _words = WordScores(model)
+        total = TEMPER * _words.sums(list(texts))
+        total -= total.max(axis=1, keepdims=True)
+        least = total.min(axis=1, keepdims=True)
+        return pd.Series(list(np.where(least < -MOST, total * (MOST / np.maximum(-least, MOST)), total)))
 
     return evidence
 
 
-_cache = None
+class WordScores(dict):
+    """word -> row of its summed trigram log-probabilities; one a worker process."""
+
+    def __init__(self, model: tuple[dict[str, list[float]], list[float]]):
+        self.model = model
+        known, unseen = model
+        self.grams = {g: k + 1 for k, g in enumerate(known)}
+        self.table = np.array([unseen, *known.values()])
+        self.rows, self.used = np.zeros((1 << 16, len(unseen))), 0
+
+    def __missing__(self, word: str) -> int:
+        bare = word.lower()
+        if not bare.isalpha():
+            bare = _EDGES.sub("", bare)
+        if bare != word:
+            self[word] = at = self[bare]
+            return at
+        at = self[word] = self.used
+        self.used += 1
+        if at == len(self.rows):
+            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+        self.rows[at] = self.table[[self.grams.get(g, 0) for g in trigrams(word)]].sum(axis=0) if word else 0.0
+        return at
+
+    def clear(self) -> None:
+        super().clear()
+        self.used = 0
+
+    def sums(self, texts: list[str | None]) -> np.ndarray:
+        """Summed rows of the words of each text; zeros for a text without words."""
+        if len(self) > WORDS_KEPT:
+            self.clear()
+        found = [t.split() if t else [] for t in texts]
+        sizes = np.array([len(x) for x in found], np.int64)
+        out = np.zeros((len(texts), self.rows.shape[1]))
+        if sizes.sum():
+            at = np.fromiter((self[w] for ws in found for w in ws), np.int64, int(sizes.sum()))
+            full = sizes > 0
+            out[full] = np.add.reduceat(self.rows[at], (np.cumsum(sizes) - sizes)[full], axis=0)
+        return out
+
+
+_words: WordScores | None = None
 
 
 def declared_in_markup(text: Column) -> Column:
