@@ -58,14 +58,9 @@ def fit(texts: list[str], langs: list[str]) -> tuple[list[str], dict[str, list[f
 
 def text_evidence(names: list[str], known: dict[str, list[float]], unseen: list[float]):
     """A pandas UDF: tempered log-likelihoods of a text for each language and any other; zeros without letters."""
-    model = (known, unseen)
-
     @F.pandas_udf(ArrayType(DoubleType()))
     def evidence(texts: pd.Series) -> pd.Series:
-        global _words
-        if _words is None or _words.model[1] != unseen or len(_words.model[0]) != len(known):
-            _words = WordScores(model)
-        total = TEMPER * _words.sums(list(texts))
+        total = TEMPER * word_scores(known, unseen).sums(list(texts))
         total -= total.max(axis=1, keepdims=True)
         least = total.min(axis=1, keepdims=True)
         return pd.Series(list(np.where(least < -MOST, total * (MOST / np.maximum(-least, MOST)), total)))
@@ -81,7 +76,7 @@ class WordScores(dict):
         known, unseen = model
         self.grams = {g: k + 1 for k, g in enumerate(known)}
         self.table = np.array([unseen, *known.values()])
-        self.rows, self.used = np.zeros((1 << 16, len(unseen))), 0
+        self.rows, self.used, self.fresh = np.zeros((1 << 16, len(unseen))), 0, []
 
     def __missing__(self, word: str) -> int:
         bare = word.lower()
@@ -94,9 +89,24 @@ class WordScores(dict):
         self.used += 1
         if at == len(self.rows):
             self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-        self.rows[at] = self.table[[self.grams.get(g, 0) for g in trigrams(word)]].sum(axis=0) if word else 0.0
+        self.fresh.append(bare)
         return at
 
+    def fill(self) -> None:
+        """Rows of the words met since the last call, by one gather."""
+        grams, get, starts, full = [], self.grams.get, [], []
+        for k, word in enumerate(self.fresh):
+            if word:
+                starts.append(len(grams))
+                full.append(k)
+                padded = f" {word} "
+                grams += [get(padded[i : i + 3], 0) for i in range(len(word))]
+        rows = np.zeros((len(self.fresh), self.table.shape[1]))
+        if grams:
+            rows[full] = np.add.reduceat(self.table[grams], starts, axis=0)
+        self.rows[self.used - len(rows) : self.used] = rows
+        self.fresh.clear()
+
     def clear(self) -> None:
         super().clear()
         self.used = 0
@@ -110,6 +120,7 @@ class WordScores(dict):
         out = np.zeros((len(texts), self.rows.shape[1]))
         if sizes.sum():
             at = np.fromiter((self[w] for ws in found for w in ws), np.int64, int(sizes.sum()))
+            self.fill()
             full = sizes > 0
             out[full] = np.add.reduceat(self.rows[at], (np.cumsum(sizes) - sizes)[full], axis=0)
         return out
@@ -118,6 +129,14 @@ class WordScores(dict):
 _words: WordScores | None = None
 
 
+def word_scores(known: dict[str, list[float]], unseen: list[float]) -> WordScores:
+    """The scores of this worker process, which outlive a task."""
+    global _words
+    if _words is None or _words.model[1] != unseen or len(_words.model[0]) != len(known):
+        _words = WordScores((known, unseen))
+    return _words
+
+
 def declared_in_markup(text: Column) -> Column:
     """The primary language tag that an html element or xml:lang attribute at the text's start declares, or null."""
     found = F.lower(F.regexp_extract(text, r"(?i)<[a-z][^<>]{0,200}?\s(?:xml:)?lang\s*=\s*[\"']?([a-z]{2,3})", 1))
