@@ -59,6 +59,11 @@ def source_targets(sources: DataFrame, share: float = SHARE, cap: float = CAP, w
     return capped.select("source", "source_size", "class", F.when(F.col("_full"), most).otherwise(rest * F.col("weight") / free).alias("target"))
 
 
+def document_key(id_col: str, text_col: str) -> Column:
+    """MD5 of a row's id and text: the order of documents within a source."""
+    return F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit(":"), F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))).cast("binary"))
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", share: float = SHARE, cap: float = CAP, weights: Sequence[int] = WEIGHTS, schedules: Sequence = SCHEDULES) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken, copies, position, source and key.
 
@@ -72,11 +77,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rows each count; an empty table gives an empty one. No document passes ``cap`` times its size.
     """
     passes = ceil(cap)
-    key = F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit(":"), F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))).cast("binary"))
+    key = document_key(id_col, text_col)
     sized = materialise(
         docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"), key.alias("key")), "mix-sizes"
     )
-    digits = next(d for d in range(1, 9) if sized.count() <= 20_000 * 16**d)
+    digits = next(d for d in range(1, 9) if sized.count() <= 1_000 * 16**d)
     named = sized.withColumns({"_none": F.col("source").isNull(), "_name": F.coalesce("source", F.lit("")), "_b": F.substring("key", 1, digits)})
     at = running(named, ["_none", "_name"], "_b", ["key", "doc_id", "size"], F.col("size"), "_start")
     targets = source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), share, cap, weights)
@@ -99,16 +104,17 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
 
     Columns are those of ``docs``. Repeats of a document stand next to each other.
     """
-    id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
-    key = F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit(":"), F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))).cast("binary"))
-    # a repeated row has its copies summed up on its key and source, so that the join matches each kind of row once
-    plan = mix(docs, **options).groupBy(F.col("key").alias("_key"), F.col("source").alias("_source")).agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"), F.min("position").alias("_position"))
-    source_col = options.get("source_col", "source")
-    w = Window.partitionBy("_key", F.col(source_col)).orderBy(*[F.col(f"`{c}`") for c in docs.columns])
-    joined = docs.withColumn("_key", key).join(plan.filter("_copies > 0"), (F.col("_key") == plan["_key"]) & F.col(source_col).eqNullSafe(plan["_source"])).drop(plan["_key"])
+    id_col, text_col, source_col = (options.get(k, v) for k, v in (("id_col", "doc_id"), ("text_col", "text"), ("source_col", "source")))
+    named = lambda key, source: F.md5(F.concat(key, F.when(source.isNull(), F.lit("0")).otherwise(F.concat(F.lit("1"), source.cast("string")))).cast("binary"))
+    # a repeated row has its copies summed up on its id, text and source, so that the join meets each kind of row once
+    plan = mix(docs, **options).groupBy(named(F.col("key"), F.col("source")).alias("_mix_key")).agg(F.sum("copies").alias("_mix_copies"), F.count("*").alias("_mix_rows"), F.min("position").alias("_mix_position"))
+    marked = docs.withColumn("_mix_key", named(document_key(id_col, text_col), F.col(source_col)))
+    joined = marked.join(plan.filter("_mix_copies > 0"), "_mix_key")
+    w = Window.partitionBy("_mix_key").orderBy(F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns)))  # as the join is: no other exchange
     nth = F.row_number().over(w) - 1
-    each = F.floor(F.col("_copies") / F.col("_rows")) + (F.col("_nth") < F.pmod("_copies", "_rows")).cast("long")
-    return joined.withColumn("_nth", nth).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.greatest(each, F.lit(1)).cast("long")))).filter(each >= F.col("_copy")).orderBy("_position", "_key").select(*docs.columns)
+    each = (F.floor(F.col("_mix_copies") / F.col("_mix_rows")) + (nth < F.pmod("_mix_copies", "_mix_rows")).cast("long")).cast("int")
+    counted = joined.withColumn("_mix_each", each).filter("_mix_each > 0")
+    return counted.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_each")))).orderBy("_mix_position", "_mix_key").select(*docs.columns)
 
 
 def op6_curriculum_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
