@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandloom.queries import base, cleaning, dims, exploration, panel  # noqa: F401
+from demandloom.queries import base, cleaning, dims, exploration, files, panel  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
 

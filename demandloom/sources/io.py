@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -63,3 +65,9 @@ def export_month(df: DataFrame, yymm: str, path: str, date: str = "date") -> Non
 
 def write_all_features(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path in the folder that all executors share (``spark.checkpoint.dir``); a local one only where that is unset."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="demandloom-")
+    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
