@@ -15,7 +15,7 @@ import numpy as np
 WORDS_KEPT = 900_000
 
 #: The word splitter of the vocabulary, for the letters of Latin-1.
-_LETTERS = "a-zà-öø-ÿ"
+_LETTERS = "a-zß-öø-ÿ"
 _SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9]+")
 _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
 _WHOLE = ("<|", "\x1c", "\x1d", "\x1e", "\x1f")

@@ -76,9 +76,14 @@ def test_plan_places_every_piece_once(counts):
             assert offset == at
             at += length
         assert at <= 64
-    # never more bins than first fit decreasing's bound
-    total = sum(k * n for k, n in counts.items())
-    assert len(bins) <= 11 / 9 * -(-total // 64) + sum(n for k, n in counts.items() if k > 32) + 1
+    rooms = []  # best-fit decreasing, one piece at a time
+    for length in sorted((k for k, n in counts.items() for _ in range(n)), reverse=True):
+        fits = [k for k, room in enumerate(rooms) if room >= length]
+        if fits:
+            rooms[min(fits, key=rooms.__getitem__)] -= length
+        else:
+            rooms.append(64 - length)
+    assert len(bins) == len(rooms)
 
 
 def test_packed_documents(spark):
