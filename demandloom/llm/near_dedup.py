@@ -175,33 +175,39 @@ def near_classes(docs: DataFrame, text_col: str = "text", threshold: float = THR
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """(_key, _class_id, _at_min): for texts with copies or near copies, the class's smallest id and how many of its rows have it."""
+    """(_nd_key, _nd_label, _nd_class, _nd_rows) of texts with copies or near copies: class, its smallest id, rows that have it."""
     near = materialise(near_classes(docs, text_col, threshold), "near-classes")
-    per_text = docs.filter(F.col(text_col).isNotNull()).select(_text_key(text_col).alias("key"), F.col(id_col).alias("_doc")).groupBy("key", "_doc").agg(F.count("*").alias("n"))
-    per_text = per_text.groupBy("key").agg(F.sum("n").alias("n"), F.min(F.struct(F.col("_doc").isNull().alias("none"), F.col("_doc").alias("doc"), (-F.col("n")).alias("rows"))).alias("least"))
+    per_text = docs.filter(F.col(text_col).isNotNull()).select(_text_key(text_col).alias("key"), F.col(id_col).alias("doc")).groupBy("key", "doc").agg(F.count("*").alias("n"))
+    per_text = per_text.groupBy("key").agg(F.sum("n").alias("n"), F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", (-F.col("n")).alias("rows"))).alias("least"))
     labelled = per_text.join(near, "key", "left").withColumn("label", F.coalesce("label", "key"))
     per_class = labelled.groupBy("label").agg(F.sum("n").alias("_n"), F.min("least").alias("_least")).filter("_n > 1")
-    return labelled.join(per_class, "label").select(F.col("key").alias("_key"), F.col("_least.doc").alias("_class_id"), (-F.col("_least.rows")).alias("_at_min"))
+    return labelled.select("key", "label").join(per_class, "label").select(F.col("key").alias("_nd_key"), F.col("label").alias("_nd_label"), F.col("_least.doc").alias("_nd_class"), (-F.col("_least.rows")).alias("_nd_rows"))
+
+
+def _classed(docs: DataFrame, id_col: str, text_col: str, threshold: float) -> DataFrame:
+    found = materialise(classes(docs, id_col, text_col, threshold), "classes")
+    return docs.withColumn("_nd_key", _text_key(text_col)).join(maybe_broadcast(found, found.count(), BROADCAST_ROWS), "_nd_key", "left")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with class_id: the smallest id of the documents that are linked, over others, to this one.
 
     Two texts are linked if they are equal or the weighted Jaccard similarity of their bags of
-    five-word shingles is at least ``threshold``. A null text is linked to nothing; empty texts are equal; a null id sorts
-    last; repeated rows are copies; an empty table gives an empty one.
+    five-word shingles is at least ``threshold``. A null text is linked to nothing; empty texts
+    are equal; a null id sorts last; repeated rows are copies; an empty table gives an empty one. A
+    column called class_id is replaced, all others stay.
     """
-    found = materialise(classes(docs, id_col, text_col, threshold), "classes")
-    joined = docs.withColumn("_key", _text_key(text_col)).join(maybe_broadcast(found, found.count(), BROADCAST_ROWS), "_key", "left")
     # without a match the class is the document itself
-    return joined.withColumn("class_id", F.when(F.col("_at_min").isNull(), F.col(id_col)).otherwise(F.col("_class_id"))).drop("_key", "_class_id")
+    named = F.when(F.col("_nd_rows").isNull(), F.col(id_col)).otherwise(F.col("_nd_class"))
+    return _classed(docs, id_col, text_col, threshold).withColumn("class_id", named).drop("_nd_key", "_nd_label", "_nd_class", "_nd_rows")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """One document of each class: the row of its smallest id. Columns are those of ``docs``."""
-    named = near_duplicates(docs.select("*"), id_col, text_col, threshold).filter(F.col("_at_min").isNull() | F.col(id_col).eqNullSafe(F.col("class_id")))
-    sure = named.filter(F.col("_at_min").isNull() | (F.col("_at_min") == 1))
-    again = named.filter(F.col("_at_min") > 1).dropDuplicates([id_col])
+    """One document of each class: a row of its smallest id. Columns are those of ``docs``."""
+    named = _classed(docs, id_col, text_col, threshold)
+    alone, only = F.col("_nd_rows").isNull(), F.col(id_col).eqNullSafe(F.col("_nd_class"))
+    sure = named.filter(alone | (only & (F.col("_nd_rows") == 1)))
+    again = named.filter(only & (F.col("_nd_rows") > 1)).dropDuplicates(["_nd_label"])
     return sure.unionByName(again).select(*docs.columns)
 
 

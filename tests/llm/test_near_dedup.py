@@ -77,6 +77,9 @@ def test_odd_rows(spark):
     assert keep_one(docs).filter("text is not null").count() == 1
     assert keep_one(docs).columns == docs.columns
     assert near_duplicates(docs.limit(0)).count() == 0
+    # classes without any id stay apart, and a column named class_id is left as it is
+    unnamed = spark.createDataFrame([(None, "p q r s t u", 5), (None, "p q r s t u", 5), (None, "v w x y z a", 6), (None, "v w x y z a", 6)], "doc_id long, text string, class_id int")
+    assert sorted(r.class_id for r in keep_one(unnamed).collect()) == [5, 6]
 
 
 @pytest.mark.parametrize("weights", [((1, 1), (1, 2)), ((3, 5), (7, 4)), ((9, 1), (2, 8))])
