@@ -44,8 +44,11 @@ def fit(texts: list[str], langs: list[str]) -> tuple[list[str], dict[str, list[f
     """Languages, log-probabilities of seen trigrams by language (the last for any other), and of unseen ones."""
     names = sorted(set(langs))
     counts = {n: Counter() for n in names}
+    words = {n: Counter() for n in names}
     for text, lang in zip(texts, langs, strict=True):
-        for word, n in Counter(text.split()).items():
+        words[lang].update(text.split())
+    for lang, found in words.items():
+        for word, n in found.items():
             for g in trigrams(word):
                 counts[lang][g] += n
     kinds = sorted(set().union(*counts.values())) if names else []
