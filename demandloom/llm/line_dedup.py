@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from demandloom.llm.common import materialise, maybe_broadcast, table
 
 MIN_SITES = 8
-MIN_WORDS = 5
+#: Lines of fewer words than MIN_WORDS recur by chance, so they are spread only from SHORT_SITES on.
+MIN_WORDS, SHORT_SITES = 5, 16
 LG_K = 12
 #: Estimates within this share of the threshold are counted exactly (a sketch of 2^12 entries errs by 1.6 %).
 MARGIN = 0.25
@@ -41,24 +42,24 @@ def _place(id_col: str, text_col: str) -> list[Column]:
     return [F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("_id"), F.xxhash64(text_col).alias("_text_hash")]
 
 
-def spread_lines(lines: DataFrame, min_sites: int = MIN_SITES, margin: float = MARGIN, lg_k: int = LG_K) -> DataFrame:
-    """Keys (h1, h2) of lines shown by at least ``min_sites`` distinct sites, of rows (h1, h2, site).
+def spread_lines(lines: DataFrame, margin: float = MARGIN, lg_k: int = LG_K) -> DataFrame:
+    """Keys (h1, h2) of lines shown by at least ``need`` distinct sites, of rows (h1, h2, need, site).
 
     A null site doesn't count as a site. An empty table gives no line.
     """
     by_site = lines.filter(F.col("site").isNotNull())
-    sketches = by_site.groupBy("h1", "h2").agg(F.min("site").alias("_a"), F.max("site").alias("_z"), F.hll_sketch_agg("site", F.lit(lg_k)).alias("_sketch"))
-    estimated = materialise(sketches.filter("_a < _z").select("h1", "h2", F.hll_sketch_estimate("_sketch").alias("sites")).filter(F.col("sites") >= min_sites * (1 - margin)), "line-spread")
-    near = estimated.filter(F.col("sites") <= min_sites * (1 + margin)).select("h1", "h2")
-    exact = by_site.join(maybe_broadcast(near, near.count(), BROADCAST_ROWS), ["h1", "h2"], "left_semi").groupBy("h1", "h2").agg(F.count_distinct("site").alias("n")).filter(F.col("n") >= min_sites)
-    return estimated.filter(F.col("sites") > min_sites * (1 + margin)).select("h1", "h2").unionByName(exact.select("h1", "h2"))
+    sketches = by_site.groupBy("h1", "h2", "need").agg(F.min("site").alias("_a"), F.max("site").alias("_z"), F.hll_sketch_agg("site", F.lit(lg_k)).alias("_sketch"))
+    estimated = materialise(sketches.filter("_a < _z").select("h1", "h2", "need", F.hll_sketch_estimate("_sketch").alias("sites")).filter(F.col("sites") >= F.col("need") * (1 - margin)), "line-spread")
+    near = estimated.filter(F.col("sites") <= F.col("need") * (1 + margin)).select("h1", "h2")
+    exact = by_site.join(maybe_broadcast(near, near.count(), BROADCAST_ROWS), ["h1", "h2"], "left_semi").groupBy("h1", "h2", "need").agg(F.count_distinct("site").alias("n")).filter(F.col("n") >= F.col("need"))
+    return estimated.filter(F.col("sites") > F.col("need") * (1 + margin)).select("h1", "h2").unionByName(exact.select("h1", "h2"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", min_sites: int = MIN_SITES, min_words: int = MIN_WORDS, max_part: float = MAX_PART) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", min_sites: int = MIN_SITES, min_words: int = MIN_WORDS, short_sites: int = SHORT_SITES, max_part: float = MAX_PART) -> DataFrame:
     """``docs`` with spread lines taken out of ``text_col``, and n_lines, n_removed.
 
-    A line is compared without tabs, carriage returns and spaces around it, and takes part from
-    ``min_words`` words on. It goes from every document but those in which spread lines make up
+    A line is compared without tabs, carriage returns and spaces around it. It is spread from
+    ``min_sites`` sites on, and from ``short_sites`` on if it has under ``min_words`` words. It goes from every document but those in which spread lines make up
     over ``max_part`` of the characters that are no spaces: such a document has next to nothing of
     its own, so it is a copy, which near-duplicate removal decides on as a whole.
 
@@ -73,10 +74,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .select("_id", "_text_hash", "site", "chars", F.posexplode("_split").alias("line", "_raw"))
         .withColumn("_l", _trimmed(F.col("_raw")))
         .filter(F.col("_l") != "")
-        .filter(enough)
+        .withColumn("need", F.when(enough, min_sites).otherwise(short_sites))
     )
-    lines = materialise(exploded.select("_id", "_text_hash", "site", "line", "chars", _bare_length(F.col("_raw")).alias("length"), F.xxhash64("_l").alias("h1"), F.xxhash64(F.lit(1), "_l").alias("h2")), "lines")
-    spread = materialise(spread_lines(lines, min_sites), "spread-lines")
+    lines = materialise(exploded.select("_id", "_text_hash", "site", "line", "chars", "need", _bare_length(F.col("_raw")).alias("length"), F.xxhash64("_l").alias("h1"), F.xxhash64(F.lit(1), "_l").alias("h2")), "lines")
+    spread = materialise(spread_lines(lines), "spread-lines")
     found = spread.count()
     if found <= BROADCAST_ROWS:
         hit = lines.join(F.broadcast(spread), ["h1", "h2"], "left_semi")

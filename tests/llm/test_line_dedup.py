@@ -31,10 +31,18 @@ def test_boilerplate_goes_where_it_outweighs_the_rest(spark):
     assert all(got[20 + k] == (FOOT, 0) for k in range(3))
 
 
+def test_short_lines_take_part(spark):
+    rows = [(k, f"a text of its own {k}\nAll rights reserved.", f"s{k}") for k in range(20)]
+    rows += [(40 + k, f"another text of its own {k}\nYes.", f"s{k}") for k in range(15)]  # under 16 sites
+    got = removed(spark, rows)
+    assert all(got[k] == (f"a text of its own {k}", 1) for k in range(20))
+    assert all(got[40 + k] == (f"another text of its own {k}\nYes.", 0) for k in range(15))
+
+
 def test_removals_are_those_of_the_rule(spark):
     sf = "/root/testdata/sf0.01"
     con = duckdb.connect()
     con.sql(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
-    want = dict(con.sql(RULE.format(short=1_000_000)).fetchall())
+    want = dict(con.sql(RULE.format(short=16)).fetchall())
     got = {r.doc_id: r.n_removed for r in line_dedup.op7_line_dedup(spark, sf).filter("n_removed > 0").select("doc_id", "n_removed").collect()}
     assert got == want and len(want) > 100
