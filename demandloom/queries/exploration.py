@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 
 from demandloom.jobs import analysis as J
 from demandloom.jobs import assembly as W
+from demandloom.operators import dates as T
 from demandloom.operators import dims as D
+from demandloom.operators.clean import add_col_prefix
+from demandloom.params import PANEL
 from demandloom.queries import dims as QD
 from demandloom.queries import panel as QP
 from demandloom.queries.base import SQL, query, with_ctes
@@ -134,13 +137,26 @@ add("test_only_items_by_category", f"SELECT item_category_name, count(*) AS n FR
 # wide tables over the panel grains
 
 
+def panel_shops(train, categories):
+    """What training tells of each shop; the panel's shops have no names, so no cities."""
+    return add_col_prefix(D.shop_activity_counts(train, categories).withColumn("rows", F.col("n_sales")), "s_", ["shop_id"])
+
+
+def panel_items(train, test, categories):
+    """What training tells of each item, and its category; the panel's categories have no names."""
+    df = D.item_first_sale_month(train, test, PANEL.train_start, PANEL.test_start.month - 1).drop("first_date").join(D.items_in_category(categories), "item_id")
+    for f in (D.item_price_cv, D.item_qty_mad, D.item_unique_counts, D.item_gap_stats):
+        df = df.join(f(train), "item_id", "left")
+    return add_col_prefix(df, "i_", ["item_id"])
+
+
 def parts(s, d):
     """The panel's feature tables: pairs, shops, items, dates, item-dates, shop-dates, shop-category-dates."""
     return W.Parts(
         pairs=QP.rounded(QP.shop_item_dates(s, d)),
-        shops=QP.split(s, d)[0].groupBy("shop_id").agg(F.count("*").alias("s_rows")),
-        items=A.panel_categories(s, d).withColumnRenamed("item_category_id", "i_item_category_id"),
-        dates=QP.split(s, d)[0].groupBy("date").agg(F.sum("item_cnt_day").alias("d_total_qty")),
+        shops=panel_shops(QP.split(s, d)[0], A.panel_categories(s, d)),
+        items=panel_items(*QP.split(s, d), A.panel_categories(s, d)),
+        dates=T.build_date_features(s, PANEL, QP.split(s, d)[0], A.macro(s, d), A.releases(s, d)),
         item_dates=QP.rounded(QP.item_dates(s, d)).select("item_id", "date", "id_qty_7d_max", "id_category_qty_7d"),
         shop_dates=QP.rounded(QP.shop_dates(s, d)).select("shop_id", "date", "sd_qty_7d_max", "sd_n_items_before"),
         category_dates=QP.shop_category_dates(s, d).withColumnRenamed("qty", "category_qty"),
@@ -168,9 +184,19 @@ JOIN ({sub['item_date']}) i USING (item_id, date) JOIN ({sub['shop_date']}) sd U
 _ZERO = "coalesce(category_qty, 0) AS category_qty, coalesce(category_qty_7d, 0) AS category_qty_7d, coalesce(category_sold, 0) AS category_sold"
 _JAN = "date BETWEEN DATE '2024-01-08' AND DATE '2024-01-14'"
 add("merge_all_features", wide_sql(None, _WIDE_COLUMNS))(lambda s, d: W.merge_all_features(parts(s, d)).select(*_K))
-add("monthly_feature_table", wide_sql("", f"{_WIDE_COLUMNS}, {_CATEGORY}", _JAN))(lambda s, d: W.feature_table(parts(s, d), date(2024, 1, 8), date(2024, 1, 14)).select(*_K, *W.CATEGORY))
-add("monthly_feature_table_addl", wide_sql("LEFT", f"{_WIDE_COLUMNS}, {_ZERO}", _JAN))(lambda s, d: W.feature_table(parts(s, d), date(2024, 1, 8), date(2024, 1, 14), additional=True).select(*_K, *W.CATEGORY))
-add("zero_fill_category_cols", wide_sql("LEFT", f"shop_id, item_id, date, {_ZERO}", _JAN))(lambda s, d: W.feature_table(parts(s, d), date(2024, 1, 8), date(2024, 1, 14), additional=True).select("shop_id", "item_id", "date", *W.CATEGORY))
+#: All days of the month that training has; the SQL of the queries below has a part of them.
+MONTH = (PANEL.train_start, PANEL.train_end)
+
+
+def feature_table(s, d, first, last, additional=False):
+    """The compared columns, then all features of shops, items and dates."""
+    df = W.feature_table(parts(s, d), first, last, additional)
+    return df.select(*_K, *W.CATEGORY, *(c for c in df.columns if c.startswith(("s_", "i_", "d_")) and c not in _K))
+
+
+add("monthly_feature_table", wide_sql("", f"{_WIDE_COLUMNS}, {_CATEGORY}", _JAN))(lambda s, d: feature_table(s, d, *MONTH))
+add("monthly_feature_table_addl", wide_sql("LEFT", f"{_WIDE_COLUMNS}, {_ZERO}", _JAN))(lambda s, d: feature_table(s, d, *MONTH, additional=True))
+add("zero_fill_category_cols", wide_sql("LEFT", f"shop_id, item_id, date, {_ZERO}", _JAN))(lambda s, d: W.feature_table(parts(s, d), *MONTH, additional=True).select("shop_id", "item_id", "date", *W.CATEGORY))
 add("union_train_addl", f"SELECT * FROM ({wide_sql('', f'{_WIDE_COLUMNS}, {_CATEGORY}', 'date <= DATE ' + repr('2024-01-10'))}) UNION ALL SELECT * FROM ({wide_sql('LEFT', f'{_WIDE_COLUMNS}, {_ZERO}', 'date > DATE ' + repr('2024-01-10') + ' AND date <= DATE ' + repr('2024-01-14'))})")(
-    lambda s, d: W.feature_table(parts(s, d), date(2024, 1, 1), date(2024, 1, 10)).select(*_K, *W.CATEGORY).unionByName(W.feature_table(parts(s, d), date(2024, 1, 11), date(2024, 1, 14), additional=True).select(*_K, *W.CATEGORY))
+    lambda s, d: feature_table(s, d, PANEL.train_start, date(2024, 1, 10)).unionByName(feature_table(s, d, date(2024, 1, 11), PANEL.train_end, additional=True))
 )
