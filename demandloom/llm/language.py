@@ -19,8 +19,10 @@ from pyspark.sql.types import ArrayType, DoubleType
 
 from demandloom.llm.common import materialise, maybe_broadcast, small_batches, table
 
-#: Documents with a known language that the text model is fitted on, about: a bounded sample by hash of the id.
+#: Documents with a known language that the text model is fitted on, about: a bounded sample by hash.
 TRAIN_DOCS = 4_000
+#: Each language has about TRAIN_DOCS / LEAST_PART of them at least, or all that it has.
+LEAST_PART = 20
 SMOOTH, HOST_WEIGHT, SUFFIX_WEIGHT = 0.5, 20.0, 50.0
 #: Trigrams of a word depend on one another, so their evidence is tempered; more than MOST of it adds nothing.
 TEMPER, MOST = 0.25, 200.0
@@ -156,6 +158,22 @@ def _softmax(logs: Column) -> Column:
     return F.transform(raised, lambda x: x / F.aggregate(raised, F.lit(0.0), lambda a, y: a + y))
 
 
+def training_rows(docs: DataFrame, id_col: str, text_col: str, label_col: str, train_docs: int) -> DataFrame:
+    """(t, l) of about ``train_docs`` labelled documents, and of more where a language would have too few.
+
+    The languages and their rates come from counts over all rows, so a language stays however rare
+    it is. Rows are told apart by id and text: repeated ones count once, and those that only share
+    an id are drawn one by one.
+    """
+    keyed = docs.filter(F.col(label_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(text_col).alias("t"), F.col(label_col).alias("l"), F.xxhash64(F.col(id_col), F.col(text_col), F.lit(5)).alias("_h"))
+    counts = keyed.select("l", "_h").distinct().groupBy("l").agg(F.count("*").alias("n")).collect()  # one row a language
+    total = sum(x["n"] for x in counts)
+    shares = [(x["l"], max(1, round(1_000_000_000 * min(1.0, max(train_docs / total, train_docs / LEAST_PART / x["n"]))))) for x in counts]
+    rates = docs.sparkSession.createDataFrame(shares, keyed.select("l", F.lit(0).alias("_share")).schema)
+    drawn = keyed.join(F.broadcast(rates), "l").filter(F.pmod("_h", F.lit(1_000_000_000)) < F.col("_share"))
+    return drawn.dropDuplicates(["l", "_h"]).select("t", "l")
+
+
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", host: Column | None = None, declared: Column | None = None, train_docs: int = TRAIN_DOCS) -> DataFrame:
     """``docs`` with language, posterior and accepted.
 
@@ -171,9 +189,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     small_batches(spark)
     host = F.coalesce(host if host is not None else F.lit(None).cast("string"), F.lit(""))
     declared = declared if declared is not None else declared_in_markup(F.col(text_col))
-    share = max(1, round(1_000_000 * train_docs / max(docs.count(), 1)))
-    sample = docs.filter(F.col(label_col).isNotNull() & F.col(text_col).isNotNull() & (F.pmod(F.xxhash64(F.col(id_col), F.lit(5)), F.lit(1_000_000)) < share))
-    rows = sample.select(F.col(text_col).alias("t"), F.col(label_col).alias("l")).toArrow()
+    rows = training_rows(docs, id_col, text_col, label_col, train_docs).toArrow().sort_by([("l", "ascending"), ("t", "ascending")])
     names, known, unseen = fit(rows["t"].to_pylist(), rows["l"].to_pylist())
     classes = [*names, OTHER]
     evidence = text_evidence(names, known, unseen)
