@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandloom.llm.common import materialise, small_batches, table
+from demandloom.llm.common import materialise, slices, table
 
 RATE, TARGET_RATE = 12_000, 8_000
 #: 25 ms frames every 10 ms at the target rate, over 20 bands.
@@ -141,10 +141,8 @@ def write_audio(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     A null text counts as empty (one unit of spaces); null ids and repeated rows keep their own row; an empty table gives none.
     """
-    small_batches(docs.sparkSession)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "text"):
             made = [payload(t.as_py()) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([n for n, _ in made], pa.int64()), pa.array([wav(p) for _, p in made], pa.binary())], names=["doc_id", "n_bytes", "media"])
 
@@ -157,11 +155,10 @@ def audio_features(stored: DataFrame) -> DataFrame:
 
     Equal stored bytes give equal features: nothing else enters them.
     """
-    small_batches(stored.sparkSession)
     schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, seconds double, tensor array<float>, spans array<struct<start: double, end: double>>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "media"):
             out: dict[str, list] = {k: [] for k in ("payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "seconds")}
             tensors, spans = [], []
             for value in batch.column("media"):

@@ -2,9 +2,9 @@
 
 A shingle of weight w takes part with a Poisson process of points over (0, w] x time. The
 weight axis is discretised at whole numbers and cut at powers of two, (0,1], (1,2], (2,4],
-(4,8], ...; each stretch is one stream of points, in order of time, whose hash bits say where
-in the stretch a point lies (halving by halving), so that a lighter bag sees exactly the
-points below its own weight. Every point belongs to one signature component; a component keeps
+(4,8], ...; each stretch is one stream of points, in order of time, whose hash says in which unit of
+the stretch a point lies (the low bits, as its length is a power of two), so that a lighter bag sees
+exactly the points below its own weight. Every point belongs to one signature component; a component keeps
 its earliest point. Two bags agree in a component with probability equal to their weighted
 Jaccard similarity. Streams stop at the time by which all components are filled.
 """
@@ -14,13 +14,14 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
+from demandloom.llm.common import Recent, text_parts, worker_kept
+
 SHINGLE = 5
 ROWS, BANDS = 5, 26
 COMPONENTS = ROWS * BANDS
 
 _U = np.uint64
 _GOLD, _M1, _M2, _POLY = _U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB), _U(0x100000001B3 * 0x9E3779B1 & (1 << 64) - 1 | 1)
-WORDS_KEPT = 1_000_000
 
 
 _MASK = (1 << 64) - 1
@@ -37,29 +38,22 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-class WordHashes(dict):
-    def __missing__(self, word: str) -> int:
-        if len(self) >= WORDS_KEPT:
-            self.clear()
-        out = self[word] = xxhash.xxh64_intdigest(word)
-        return out
-
-
-_words = WordHashes()
-
-
 def shingle_hashes(text: str | None) -> np.ndarray:
     """Sorted 64-bit hashes of all five-word shingles, with repeats.
 
     Words are runs of anything but white space, in lower case. A text of one to four words has
     one shingle, all of it; one without words has none.
     """
-    found = text.lower().split() if text else []
-    if not found:
-        return np.zeros(0, np.uint64)
-    if len(found) < SHINGLE:
-        return np.array([xxhash.xxh64_intdigest(" ".join(found))], np.uint64)
-    one = np.fromiter(map(_words.__getitem__, found), np.uint64, len(found))
+    words = worker_kept("words", lambda: Recent(xxhash.xxh64_intdigest))
+    parts = []
+    for part in text_parts(text or ""):
+        found = part.lower().split()
+        parts.append(np.fromiter(map(words.__getitem__, found), np.uint64, len(found)))
+    one = np.concatenate(parts)
+    if not len(one):
+        return one
+    if len(one) < SHINGLE:
+        return np.array([xxhash.xxh64_intdigest(" ".join(text.lower().split()))], np.uint64)
     out = one[: len(one) - SHINGLE + 1].copy()
     for k in range(1, SHINGLE):
         out *= _POLY

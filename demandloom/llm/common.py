@@ -4,41 +4,138 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from typing import Any
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows of one (group, bucket) that a window may sort in one task.
 ROWS_PER_BUCKET = 20_000
+#: Bytes of text that a Python task turns into objects at a time, words that it remembers, and the longest of those.
+SLICE_BYTES, WORDS_KEPT, LONG_WORD = 1 << 20, 125_000, 64
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where that is unset (tests on one machine) a temporary folder is made and set.
+    On one machine (master ``local``) a temporary folder is made and set where that is unset. On a
+    cluster it must be set: a folder of one machine would lose rows there.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="demandloom-")
         spark.conf.set("spark.checkpoint.dir", found)
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def materialise(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     schema = df.schema
-    df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    df.write.parquet(path, compression=codec)
+    out = spark.read.schema(schema).parquet(path)
+    out._written_to = path
+    return out
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Keep Arrow batches of long texts small, so that a Python worker's memory stays bounded."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
+def discard(*written: DataFrame) -> None:
+    """Delete the folders of tables that ``materialise`` wrote and that nothing reads any more."""
+    for df in written:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._written_to)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def cuts(values: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with about ``size`` bytes in all; a longer value is a range of its own.
+
+    Python objects made from a batch take many times its bytes, so tasks work on one range at a time.
+    """
+    ends = np.cumsum(pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(values):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, "right")))
+        yield at, to
+        at = to
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of about ``size`` bytes of ``column``, without copying."""
+    for batch in batches:
+        for at, to in cuts(batch.column(column), size):
+            yield batch.slice(at, to - at)
+
+
+def text_parts(text: str, size: int = SLICE_BYTES) -> Iterator[str]:
+    """A text in parts of about ``size`` characters, cut before a space or line break, so that no word is torn."""
+    at = 0
+    while len(text) - at > size:
+        to = max(text.rfind(" ", at + 1, at + size), text.rfind("\n", at + 1, at + size))
+        if to < 0:
+            to = min((x for x in (text.find(" ", at + size), text.find("\n", at + size)) if x > 0), default=len(text))
+        yield text[at:to]
+        at = to
+    yield text[at:]
+
+
+class Recent(dict):
+    """word -> make(word), of recent words: two generations of ``WORDS_KEPT``, so about 40 MB at most.
+
+    What is asked for again moves to the younger one; words of over LONG_WORD characters are made anew each time.
+    """
+
+    def __init__(self, make: Callable[[str], Any]):
+        self.make, self.older = make, {}
+
+    def __missing__(self, word: str) -> Any:
+        out = self.older.get(word)
+        if out is None:
+            out = self.make(word)
+            if len(word) > LONG_WORD:
+                return out
+        if len(self) >= WORDS_KEPT:
+            self.older = dict(self)
+            self.clear()
+        self[word] = out
+        return out
+
+
+_kept: tuple[Any, Any] = (None, None)
+
+
+def worker_kept(key: Any, make: Callable[[], Any]) -> Any:
+    """The one object that a worker process keeps between its tasks; another key's takes its place."""
+    global _kept
+    if _kept[0] != key:
+        _kept = (None, None)
+        _kept = (key, make())
+    return _kept[1]
+
+
+def packed(docs: DataFrame, name: str = "row") -> DataFrame:
+    """``docs`` as one column of structs, so that columns beside it can't clash with any of its own."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias(name))
+
+
+def own(docs: DataFrame, *names: str) -> list[str]:
+    """``names``, each with as many underscores behind it as no column of ``docs`` has (in any case)."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

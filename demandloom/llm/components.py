@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandloom.llm.common import materialise, maybe_broadcast
+from demandloom.llm.common import discard, materialise, maybe_broadcast
 
 BROADCAST_ROWS = 200_000
 
@@ -32,7 +32,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         large = materialise(_joined_min(both).filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct(), "large-star")
         small = _joined_min(large)
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
-        now = materialise(small, "small-star")
+        before, now = now, materialise(small, "small-star")
+        discard(before, large)
         state = tuple(now.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
         if state == seen:
             break

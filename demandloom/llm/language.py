@@ -9,18 +9,21 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from hashlib import md5
 from math import log
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from demandloom.llm.common import materialise, maybe_broadcast, small_batches, table
+from demandloom.llm.common import LONG_WORD, SLICE_BYTES, WORDS_KEPT, cuts, discard, materialise, maybe_broadcast, table, text_parts, worker_kept
 
 #: Documents with a known language that the text model is fitted on, about: a bounded sample by hash.
 TRAIN_DOCS = 4_000
+#: Longer texts are not drawn for the fit, which bounds what the driver holds; they are scored like all others.
+TRAIN_LONGEST = 100_000
 #: Each language has about TRAIN_DOCS / LEAST_PART of them at least, or all that it has.
 LEAST_PART = 20
 SMOOTH, HOST_WEIGHT, SUFFIX_WEIGHT = 0.5, 20.0, 50.0
@@ -30,7 +33,6 @@ DECLARED_TRUST, OTHER_PRIOR = 0.9, 1e-3
 MIN_POSTERIOR = 0.34
 BROADCAST_ROWS = 100_000
 OTHER = "und"
-WORDS_KEPT = 500_000
 
 _EDGES = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 
@@ -62,35 +64,43 @@ def fit(texts: list[str], langs: list[str]) -> tuple[list[str], dict[str, list[f
 
 
 def text_evidence(names: list[str], known: dict[str, list[float]], unseen: list[float]):
-    """A pandas UDF: tempered log-likelihoods of a text for each language and any other; zeros without letters."""
-    @F.pandas_udf(ArrayType(DoubleType()))
-    def evidence(texts: pd.Series) -> pd.Series:
-        total = TEMPER * word_scores(known, unseen).sums(list(texts))
+    """An Arrow UDF: tempered log-likelihoods of a text for each language and any other; zeros without letters."""
+    table_ = np.array([unseen, *known.values()])
+    model = (md5(table_.tobytes() + "".join(known).encode("utf-8", "surrogatepass")).hexdigest(), list(known), table_)
+
+    @F.arrow_udf(ArrayType(DoubleType()))
+    def evidence(texts: pa.Array) -> pa.Array:
+        words = worker_kept(("language", model[0]), lambda: WordScores(model[1], model[2]))
+        out = np.zeros((len(texts), len(names) + 1))
+        for at, to in cuts(texts):
+            out[at:to] = words.sums(texts[at:to].to_pylist())
+        total = TEMPER * out
         total -= total.max(axis=1, keepdims=True)
         least = total.min(axis=1, keepdims=True)
-        return pd.Series(list(np.where(least < -MOST, total * (MOST / np.maximum(-least, MOST)), total)))
+        total = np.where(least < -MOST, total * (MOST / np.maximum(-least, MOST)), total)
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(total) + 1) * total.shape[1], pa.int32()), pa.array(total.ravel()))
 
     return evidence
 
 
 class WordScores(dict):
-    """word -> row of its summed trigram log-probabilities; one a worker process."""
+    """word -> place of the row of its summed trigram log-probabilities; at most WORDS_KEPT words and those of one text part."""
 
-    def __init__(self, model: tuple[dict[str, list[float]], list[float]]):
-        self.model = model
-        known, unseen = model
-        self.grams = {g: k + 1 for k, g in enumerate(known)}
-        self.table = np.array([unseen, *known.values()])
-        self.rows, self.used, self.fresh = np.zeros((1 << 16, len(unseen))), 0, []
+    def __init__(self, grams: list[str], table_: np.ndarray):
+        self.grams = {g: k + 1 for k, g in enumerate(grams)}
+        self.table = table_
+        self.rows, self.used, self.fresh = np.zeros((1 << 16, table_.shape[1])), 0, []
 
     def __missing__(self, word: str) -> int:
         bare = word.lower()
         if not bare.isalpha():
             bare = _EDGES.sub("", bare)
-        if bare != word:
+        if bare != word and len(word) <= LONG_WORD:
             self[word] = at = self[bare]
             return at
-        at = self[word] = self.used
+        at = self.used
+        if len(word) <= LONG_WORD:
+            self[word] = at
         self.used += 1
         if at == len(self.rows):
             self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
@@ -112,17 +122,19 @@ class WordScores(dict):
         self.rows[self.used - len(rows) : self.used] = rows
         self.fresh.clear()
 
-    def clear(self) -> None:
-        super().clear()
-        self.used = 0
-
     def sums(self, texts: list[str | None]) -> np.ndarray:
         """Summed rows of the words of each text; zeros for a text without words."""
-        if len(self) > WORDS_KEPT:
+        out = np.zeros((len(texts), self.table.shape[1]))
+        if sum(len(t) for t in texts if t) > 2 * SLICE_BYTES:  # one very long text
+            for k, text in enumerate(texts):
+                for part in text_parts(text or ""):
+                    out[k] += self.sums([part])[0]
+            return out
+        if self.used > WORDS_KEPT:
             self.clear()
+            self.used = 0
         found = [t.split() if t else [] for t in texts]
         sizes = np.array([len(x) for x in found], np.int64)
-        out = np.zeros((len(texts), self.rows.shape[1]))
         if sizes.sum():
             at = np.fromiter((self[w] for ws in found for w in ws), np.int64, int(sizes.sum()))
             self.fill()
@@ -131,17 +143,6 @@ class WordScores(dict):
         return out
 
 
-_words: WordScores | None = None
-
-
-def word_scores(known: dict[str, list[float]], unseen: list[float]) -> WordScores:
-    """The scores of this worker process, which outlive a task."""
-    global _words
-    if _words is None or _words.model[1] != unseen or len(_words.model[0]) != len(known):
-        _words = WordScores((known, unseen))
-    return _words
-
-
 def declared_in_markup(text: Column) -> Column:
     """The primary language tag that an html element or xml:lang attribute at the text's start declares, or null."""
     found = F.lower(F.regexp_extract(text, r"(?i)<[a-z][^<>]{0,200}?\s(?:xml:)?lang\s*=\s*[\"']?([a-z]{2,3})", 1))
@@ -158,71 +159,89 @@ def _softmax(logs: Column) -> Column:
     return F.transform(raised, lambda x: x / F.aggregate(raised, F.lit(0.0), lambda a, y: a + y))
 
 
-def training_rows(docs: DataFrame, id_col: str, text_col: str, label_col: str, train_docs: int) -> DataFrame:
+def training_rows(docs: DataFrame, id_col: str, text_col: str, label_col: str, train_docs: int, longest: int = TRAIN_LONGEST) -> DataFrame:
     """(t, l) of about ``train_docs`` labelled documents, and of more where a language would have too few.
 
     The languages and their rates come from counts over all rows, so a language stays however rare
     it is. Rows are told apart by id and text: repeated ones count once, and those that only share
-    an id are drawn one by one.
+    an id are drawn one by one. Texts of over ``longest`` characters are not drawn, and no more
+    than four times ``train_docs`` rows are.
     """
-    keyed = docs.filter(F.col(label_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(text_col).alias("t"), F.col(label_col).alias("l"), F.xxhash64(F.col(id_col), F.col(text_col), F.lit(5)).alias("_h"))
+    keyed = docs.filter(F.col(label_col).isNotNull() & (F.char_length(text_col) <= longest)).select(F.col(text_col).alias("t"), F.col(label_col).alias("l"), F.xxhash64(F.col(id_col), F.col(text_col), F.lit(5)).alias("_h"))
     counts = keyed.select("l", "_h").distinct().groupBy("l").agg(F.count("*").alias("n")).collect()  # one row a language
     total = sum(x["n"] for x in counts)
     shares = [(x["l"], max(1, round(1_000_000_000 * min(1.0, max(train_docs / total, train_docs / LEAST_PART / x["n"]))))) for x in counts]
     rates = docs.sparkSession.createDataFrame(shares, keyed.select("l", F.lit(0).alias("_share")).schema)
     drawn = keyed.join(F.broadcast(rates), "l").filter(F.pmod("_h", F.lit(1_000_000_000)) < F.col("_share"))
-    return drawn.dropDuplicates(["l", "_h"]).select("t", "l")
+    return drawn.dropDuplicates(["l", "_h"]).orderBy("_h").limit(4 * train_docs).select("t", "l")
+
+
+def _prior_sums(scored: DataFrame, classes: int) -> tuple[DataFrame, list[float]]:
+    """Posterior sums (host, suffix, c0, c1, ...) of all rows by host, and smoothed shares of the whole corpus."""
+    sums = [F.sum(F.col("p")[k]).alias(f"c{k}") for k in range(classes)]
+    by_host = materialise(scored.select("host", "suffix", _softmax(F.col("evidence")).alias("p")).groupBy("host", "suffix").agg(*sums), "host-languages")
+    whole = by_host.agg(*(F.sum(f"c{k}") for k in range(classes))).first()
+    total = sum(x or 0.0 for x in whole)
+    return by_host, [((x or 0.0) + 1) / (total + classes) for x in whole]
+
+
+def host_priors(by_host: DataFrame, every: list[float]) -> DataFrame:
+    """(host, counts, suffix_prior): a host's sums, and what they are smoothed towards."""
+    classes = len(every)
+    suffixes = by_host.groupBy("suffix").agg(*(F.sum(f"c{k}").alias(f"s{k}") for k in range(classes)))
+    total = sum((F.col(f"s{k}") for k in range(classes)), F.lit(0.0))
+    prior = F.array(*((F.col(f"s{k}") + SUFFIX_WEIGHT * every[k]) / (total + SUFFIX_WEIGHT) for k in range(classes)))
+    return by_host.join(suffixes.select("suffix", prior.alias("suffix_prior")), "suffix").select("host", F.array(*(f"c{k}" for k in range(classes))).alias("counts"), "suffix_prior")
 
 
-def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", host: Column | None = None, declared: Column | None = None, train_docs: int = TRAIN_DOCS) -> DataFrame:
-    """``docs`` with language, posterior and accepted.
+def fused(names: list[str], evidence: Column, counts: Column, suffix_prior: Column, declared: Column) -> Column:
+    """Posteriors of the languages and any other, of all evidence for one document."""
+    classes = [*names, OTHER]
+    own_part = _softmax(evidence)
+    prior = F.transform(F.arrays_zip(counts.alias("c"), suffix_prior.alias("s"), own_part.alias("p")), lambda x: F.greatest(x["c"] - x["p"], F.lit(0.0)) + HOST_WEIGHT * x["s"])
+    told = F.when(declared.isin(names), F.transform(F.array(*map(F.lit, classes)), lambda c: F.when(c == declared, log(DECLARED_TRUST)).otherwise(log((1 - DECLARED_TRUST) / max(len(names), 1)))))
+    told = F.coalesce(told, F.array(*[F.lit(0.0)] * len(classes)))
+    floor = F.array(*[F.lit(0.0)] * len(names), F.lit(log(OTHER_PRIOR)))
+    return _softmax(F.transform(F.arrays_zip(evidence.alias("t"), prior.alias("p"), told.alias("d"), floor.alias("f")), lambda x: x["t"] + F.log(x["p"] + 1e-9) + x["d"] + x["f"]))
+
+
+def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", host: Column | None = None, declared: Column | None = None, train_docs: int = TRAIN_DOCS, keep: list[str] | None = None) -> DataFrame:
+    """The columns ``keep`` of ``docs`` (all of them if None) with language, posterior and accepted.
 
-    ``label_col`` only fits the text model, on about ``train_docs`` documents; it is no evidence
-    for a document. accepted is false if another language than the fitted ones is likeliest, if no
-    language reaches MIN_POSTERIOR, or if the text has no letters at all (language is then "und").
+    Every text is scored once; scores and kept columns are written, and host sums and results are
+    made from what was written. ``label_col`` only fits the text model, on about ``train_docs``
+    documents; it is no evidence for a document. accepted is false if another language than the
+    fitted ones is likeliest, if no language reaches MIN_POSTERIOR, or if the text has no letters at
+    all (language is then "und").
 
     Null and empty texts are rejected; a null host is a host of its own; without any labelled row
-    every document is rejected; repeated rows get equal results. Columns called language,
-    posterior or accepted are replaced, all others stay.
+    every document is rejected; repeated rows get equal results; of equally likely languages the first
+    by name is given. Columns called language, posterior or accepted are replaced, all others stay,
+    whatever their names.
     """
-    spark = docs.sparkSession
-    small_batches(spark)
-    host = F.coalesce(host if host is not None else F.lit(None).cast("string"), F.lit(""))
+    host = F.coalesce(host.cast("string") if host is not None else F.lit(None).cast("string"), F.lit(""))
     declared = declared if declared is not None else declared_in_markup(F.col(text_col))
     rows = training_rows(docs, id_col, text_col, label_col, train_docs).toArrow().sort_by([("l", "ascending"), ("t", "ascending")])
     names, known, unseen = fit(rows["t"].to_pylist(), rows["l"].to_pylist())
-    classes = [*names, OTHER]
     evidence = text_evidence(names, known, unseen)
 
-    kept = docs.drop(*[c for c in docs.columns if c.lower() in ("language", "posterior", "accepted")])
-    scored = kept.withColumns({"_host": host, "_suffix": F.coalesce(address_suffix(host), F.lit("")), "_declared": declared, "_text": evidence(F.col(text_col))})
-    scored = scored.withColumn("_p", _softmax(F.col("_text")))
-    sums = [F.sum(F.col("_p")[k]).alias(f"c{k}") for k in range(len(classes))]
-    by_host = materialise(scored.select("_host", "_suffix", "_p").groupBy("_host", "_suffix").agg(*sums), "host-languages")
-    whole = by_host.agg(*(F.sum(f"c{k}") for k in range(len(classes)))).first()
-    total = sum(x or 0.0 for x in whole)
-    every = [((x or 0.0) + 1) / (total + len(classes)) for x in whole]
-    suffixes = by_host.groupBy("_suffix").agg(*(F.sum(f"c{k}").alias(f"s{k}") for k in range(len(classes))))
-    n_suffix = sum((F.col(f"s{k}") for k in range(len(classes))), F.lit(0.0))
-    suffix_prior = F.array(*((F.col(f"s{k}") + SUFFIX_WEIGHT * every[k]) / (n_suffix + SUFFIX_WEIGHT) for k in range(len(classes))))
-    priors = by_host.join(suffixes.select("_suffix", suffix_prior.alias("_suffix_prior")), "_suffix")
-    priors = materialise(priors.select("_host", "_suffix_prior", F.array(*(f"c{k}" for k in range(len(classes)))).alias("_counts")), "host-priors")
-
-    met = scored.join(maybe_broadcast(priors, priors.count(), BROADCAST_ROWS), "_host")
-    prior = F.transform(F.arrays_zip("_counts", "_suffix_prior", "_p"), lambda x: F.greatest(x["_counts"] - x["_p"], F.lit(0.0)) + HOST_WEIGHT * x["_suffix_prior"])
-    told = F.when(F.col("_declared").isin(names), F.transform(F.array(*map(F.lit, classes)), lambda c: F.when(c == F.col("_declared"), log(DECLARED_TRUST)).otherwise(log((1 - DECLARED_TRUST) / max(len(names), 1)))))
-    told = F.coalesce(told, F.array(*[F.lit(0.0)] * len(classes)))
-    floor = F.array(*[F.lit(0.0)] * len(names), F.lit(log(OTHER_PRIOR)))
-    logs = F.transform(F.arrays_zip(F.col("_text").alias("t"), prior.alias("p"), told.alias("d"), floor.alias("f")), lambda x: x["t"] + F.log(x["p"] + 1e-9) + x["d"] + x["f"])
-    post = met.withColumn("_post", _softmax(logs))
-    best = F.array_max("_post")
+    kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in ("language", "posterior", "accepted")]
+    row = F.struct(*(F.col(f"`{c}`") for c in kept)) if kept else F.struct(F.lit(0).alias("_"))
     letters = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
-    guess = F.element_at(F.array(*map(F.lit, classes)), F.array_position("_post", best).cast("int"))
-    return post.withColumn("language", F.when(letters, guess).otherwise(OTHER)).withColumn("posterior", F.when(letters, best).otherwise(0.0)).withColumn(
-        "accepted", letters & (F.col("language") != OTHER) & (F.col("posterior") >= MIN_POSTERIOR)
-    ).select(*kept.columns, "language", "posterior", "accepted")
+    parts = docs.select(row.alias("row"), host.alias("host"), declared.alias("declared"), letters.alias("letters"), evidence(F.col(text_col).cast("string")).alias("evidence"))
+    scored = materialise(parts.withColumn("suffix", F.coalesce(address_suffix(F.col("host")), F.lit(""))), "language-scores")
+    by_host, every = _prior_sums(scored, len(names) + 1)
+    priors = materialise(host_priors(by_host, every), "host-priors")
+    discard(by_host)
+
+    met = scored.join(maybe_broadcast(priors, priors.count(), BROADCAST_ROWS), "host")
+    post = met.withColumn("post", fused(names, F.col("evidence"), F.col("counts"), F.col("suffix_prior"), F.col("declared")))
+    guess = F.element_at(F.array(*map(F.lit, [*names, OTHER])), F.array_position("post", F.array_max("post")).cast("int"))
+    named = post.select("row", "letters", F.when(F.col("letters"), guess).otherwise(OTHER).alias("language"), F.when(F.col("letters"), F.array_max("post")).otherwise(0.0).alias("posterior"))
+    accepted = F.col("letters") & (F.col("language") != OTHER) & (F.col("posterior") >= MIN_POSTERIOR)
+    return named.select(*(F.col("row").getField(c).alias(c) for c in kept), "language", "posterior", accepted.alias("accepted"))
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = identify(table(spark, sf_dir, "documents"), host=F.col("source"))
+    found = identify(table(spark, sf_dir, "documents"), host=F.col("source"), keep=["doc_id"])
     return found.select("doc_id", "language", F.round("posterior", 6).alias("posterior"), "accepted")

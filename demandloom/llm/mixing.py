@@ -13,7 +13,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from demandloom.llm.common import materialise, running, table
+from demandloom.llm.common import materialise, packed, running, shuffle_partitions, table
 
 #: Words are runs of anything but the six ASCII white-space characters.
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -39,29 +39,37 @@ def inverse_demand(part: Column, knots: Sequence[tuple[float, float]]) -> Column
     return F.least(F.greatest(out.otherwise(F.lit(knots[-1][0])), F.lit(0.0)), F.lit(1.0))
 
 
+def _ranged(df: DataFrame, label: str, *order: Column) -> DataFrame:
+    """``df`` with bucket: its number among ranges of rows in ``order``, written so that it stays the same."""
+    return materialise(df.repartitionByRange(shuffle_partitions(df.sparkSession), *order).withColumn("bucket", F.spark_partition_id()), label)
+
+
 def source_targets(sources: DataFrame, share: float = SHARE, cap: float = CAP, weights: Sequence[int] = WEIGHTS) -> DataFrame:
     """Add class and target to rows (source, source_size): one row per source.
 
     Sources by code point, null last, take the weights in turn. Targets share ``share`` of all
     sizes by weight; none passes ``cap`` times its source's size, and what one leaves goes to
     the others by weight. In ascending order of capped size per weight the capped sources
-    come first, so running sums find the level without iterating. Its windows see one row a source.
+    come first, so running sums find the level without iterating. Ranks and running sums go over
+    ranges of sources, so that sources may be as many as hosts are.
     """
-    every = Window.orderBy(F.col("source").isNull(), "source")
-    named = sources.withColumn("class", F.pmod(F.row_number().over(every) - 1, F.lit(len(weights)))).withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), (F.col("class") + 1).cast("int")).cast("double"))
-    most = cap * F.col("source_size")
-    by_room = Window.orderBy(most / F.col("weight"), F.col("source").isNull(), "source")
-    whole = Window.partitionBy()
-    level = (share * F.sum("source_size").over(whole) - F.coalesce(F.sum(most).over(by_room.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))) / F.sum("weight").over(by_room.rowsBetween(0, Window.unboundedFollowing))
-    capped = named.withColumn("_full", most <= level * F.col("weight"))
-    rest = share * F.sum("source_size").over(whole) - F.coalesce(F.sum(F.when(F.col("_full"), most)).over(whole), F.lit(0.0))
-    free = F.sum(F.when(~F.col("_full"), F.col("weight"))).over(whole)
-    return capped.select("source", "source_size", "class", F.when(F.col("_full"), most).otherwise(rest * F.col("weight") / free).alias("target"))
-
-
-def document_key(id_col: str, text_col: str) -> Column:
+    none, most = F.col("source").isNull(), cap * F.col("source_size")
+    by_name = _ranged(sources, "sources", none, F.col("source"))
+    ranked = running(by_name.withColumn("none", none), [], "bucket", ["none", "source"], F.lit(1).cast("long"), "nth").drop("bucket")
+    named = ranked.withColumn("class", F.pmod("nth", F.lit(len(weights)))).withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), (F.col("class") + 1).cast("int")).cast("double")).withColumn("room", most / F.col("weight"))
+    by_room = _ranged(named, "sources-by-room", F.col("room"), F.col("none"), F.col("source"))
+    order = ["room", "none", "source"]
+    filled = running(running(by_room, [], "bucket", order, most, "full_before"), [], "bucket", order, F.col("weight"), "weight_before", before="weight_all")
+    total = sources.agg(F.sum("source_size")).first()[0] or 0
+    level = (share * total - F.col("full_before")) / (F.col("weight_all") - F.col("weight_before"))
+    capped = materialise(filled.withColumn("full", most <= level * F.col("weight")), "sources-capped")
+    full, free = capped.agg(F.coalesce(F.sum(F.when(F.col("full"), most)), F.lit(0.0)), F.coalesce(F.sum(F.when(~F.col("full"), F.col("weight"))), F.lit(0.0))).first()
+    return capped.select("source", "source_size", "class", F.when(F.col("full"), most).otherwise(F.lit(share * total - full) * F.col("weight") / F.lit(free or 1.0)).alias("target"))
+
+
+def document_key(id_: Column, text: Column) -> Column:
     """MD5 of a row's id and text: the order of documents within a source."""
-    return F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit(":"), F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))).cast("binary"))
+    return F.md5(F.concat(F.coalesce(id_.cast("string"), F.lit("null")), F.lit(":"), F.md5(F.coalesce(text, F.lit("")).cast("binary"))).cast("binary"))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", share: float = SHARE, cap: float = CAP, weights: Sequence[int] = WEIGHTS, schedules: Sequence = SCHEDULES) -> DataFrame:
@@ -77,7 +85,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rows each count; an empty table gives an empty one. No document passes ``cap`` times its size.
     """
     passes = ceil(cap)
-    key = document_key(id_col, text_col)
+    key = document_key(F.col(id_col), F.col(text_col))
     sized = materialise(
         docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"), key.alias("key")), "mix-sizes"
     )
@@ -102,23 +110,27 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 def mix_documents(docs: DataFrame, **options) -> DataFrame:
     """The documents themselves, each as often as its copies, range-sorted by training position.
 
-    Columns are those of ``docs``. Repeats of a document stand next to each other.
+    Columns are those of ``docs``, whatever their names. Repeats of a document stand next to each
+    other. Null texts and null sources take part as ``mix`` says; repeated rows share the copies of
+    all of them, which differ by one at most; an empty table gives an empty one.
     """
     id_col, text_col, source_col = (options.get(k, v) for k, v in (("id_col", "doc_id"), ("text_col", "text"), ("source_col", "source")))
     named = lambda key, source: F.md5(F.concat(key, F.when(source.isNull(), F.lit("0")).otherwise(F.concat(F.lit("1"), source.cast("string")))).cast("binary"))
     # a repeated row has its copies summed up on its id, text and source, so that the join meets each kind of row once
-    plan = mix(docs, **options).groupBy(named(F.col("key"), F.col("source")).alias("_mix_key")).agg(F.sum("copies").alias("_mix_copies"), F.count("*").alias("_mix_rows"), F.min("position").alias("_mix_position"))
-    marked = docs.withColumn("_mix_key", named(document_key(id_col, text_col), F.col(source_col)))
-    joined = marked.join(plan.filter("_mix_copies > 0"), "_mix_key")
-    w = Window.partitionBy("_mix_key").orderBy(F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns)))  # as the join is: no other exchange
+    plan = mix(docs, **options).groupBy(named(F.col("key"), F.col("source")).alias("key")).agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"), F.min("position").alias("position"))
+    row = packed(docs).select("row", named(document_key(F.col("row").getField(id_col), F.col("row").getField(text_col)), F.col("row").getField(source_col)).alias("key"))
+    joined = row.join(plan.filter("copies > 0"), "key")
+    w = Window.partitionBy("key").orderBy(F.xxhash64("row"))  # as the join is: no other exchange
     nth = F.row_number().over(w) - 1
-    each = (F.floor(F.col("_mix_copies") / F.col("_mix_rows")) + (nth < F.pmod("_mix_copies", "_mix_rows")).cast("long")).cast("int")
-    counted = joined.withColumn("_mix_each", each).filter("_mix_each > 0")
-    return counted.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_each")))).orderBy("_mix_position", "_mix_key").select(*docs.columns)
+    each = (F.floor(F.col("copies") / F.col("rows")) + (nth < F.pmod("copies", "rows")).cast("long")).cast("int")
+    counted = joined.withColumn("each", each).filter("each > 0")
+    placed = counted.select("row", "position", "key", F.explode(F.sequence(F.lit(1), F.col("each"))).alias("copy")).orderBy("position", "key")
+    return placed.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
 
 
 def op6_curriculum_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents")).orderBy("position", "key").drop("source", "key", "position", "copies")
+    out = mix(table(spark, sf_dir, "documents")).orderBy("position", "key")
+    return out.select("doc_id", "size", "source_size", "target", "taken", "copies", F.round("position", 9).alias("position"))
 
 
 OP6_SQL = r"""
@@ -139,10 +151,16 @@ step(round, source, source_size, weight, is_full) AS (
 fin AS (SELECT source, source_size, weight, is_full FROM step WHERE round = 64),
 tgt AS (SELECT source, source_size, CASE WHEN is_full THEN CAST(2.0 * source_size AS DOUBLE) ELSE CAST(((SELECT t FROM total)
           - coalesce((SELECT sum(2.0 * source_size) FROM fin WHERE is_full), 0.0)) * weight / (SELECT sum(weight) FROM fin WHERE NOT is_full) AS DOUBLE) END AS target FROM fin),
-placed AS (SELECT s.doc_id, s.size, t.source_size, t.target, CAST(round(t.target) AS BIGINT) AS e,
+placed AS (SELECT s.doc_id, s.size, t.source_size, t.target, t.weight, CAST(round(t.target) AS BIGINT) AS e,
          coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.key, s.doc_id, s.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b
-  FROM sized s JOIN tgt t ON s.source IS NOT DISTINCT FROM t.source)
+  FROM sized s JOIN tgt t ON s.source IS NOT DISTINCT FROM t.source),
+-- demand from 0 to t is 1.4 t - 0.4 t^2 for early sources (weight 5), t for even ones (2), and for late ones (1)
+-- 0.4 t + 0.8 t^2 up to t = 0.5, then 0.4 + 1.2 (t - 0.5), of 1.0 in all
+due AS (SELECT *, CASE WHEN target > 0 THEN b / target END AS part FROM placed)
 SELECT doc_id, size, source_size, target,
-       CAST(least(greatest(e - b, 0), size) + least(greatest(e - b - source_size, 0), size) AS BIGINT) AS taken
-FROM placed
+       CAST(least(greatest(e - b, 0), size) + least(greatest(e - b - source_size, 0), size) AS BIGINT) AS taken,
+       CAST(CAST(2 * b + size < 2 * e AS INT) + CAST(2 * (b + source_size) + size < 2 * e AS INT) AS INT) AS copies,
+       CASE WHEN b < e THEN round(least(greatest(CASE weight WHEN 5 THEN (1.4 - sqrt(greatest(1.96 - 1.6 * part, 0.0))) / 0.8 WHEN 2 THEN part
+            ELSE CASE WHEN part <= 0.4 THEN (sqrt(0.16 + 3.2 * part) - 0.4) / 1.6 ELSE 0.5 + (part - 0.4) / 1.2 END END, 0.0), 1.0), 9) END AS position
+FROM due
 """

@@ -73,7 +73,6 @@ def search_shards(index: DataFrame, queries: DataFrame, top: int = TOP) -> DataF
                 found = search_index(held, ids, np.asarray(row["flat"].values, np.float64).reshape(len(ids), dim), top)
                 yield pa.RecordBatch.from_pydict({"query_id": pa.array(ids), "vec_ids": pa.array([f[0] for f in found], pa.list_(pa.int64())), "scores": pa.array([f[1] for f in found], pa.list_(pa.float64()))})
 
-    pairs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")
     found = pairs.mapInArrow(search, "query_id long, vec_ids array<long>, scores array<double>")
     # each shard gives at most ``top`` to a query
     merged = found.groupBy("query_id").agg(F.flatten(F.collect_list(F.arrays_zip(F.transform("scores", lambda s: -s).alias("minus"), F.col("vec_ids").alias("vec_id")))).alias("all"))

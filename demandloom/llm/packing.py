@@ -16,10 +16,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandloom.llm.common import bucket_bits, hash_bucket, materialise, running, small_batches, table
-from demandloom.llm.tokens import default_tokenizer, word_ids
+from demandloom.llm.common import bucket_bits, hash_bucket, materialise, maybe_broadcast, running, slices, table
+from demandloom.llm.tokens import default_tokenizer, text_ids
 
 SEQUENCE = 2048
+#: Ranks of one block in which pieces of a length look for their slot.
+RANKS = 4_096
+BROADCAST_ROWS = 200_000
 
 
 def plan_best_fit(counts: dict[int, int], size: int) -> list[tuple[int, int, int, int, int, int]]:
@@ -75,11 +78,10 @@ def token_pieces(docs: DataFrame, tokenizer: str, size: int = SEQUENCE, end_id:
     Only texts over ``size`` ids are cut. A null text counts as empty (its end id alone);
     null ids and repeated rows keep their own pieces; an empty table gives none.
     """
-    small_batches(docs.sparkSession)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = word_ids(tokenizer)
-        for batch in batches:
+        cache = text_ids(tokenizer)
+        for batch in slices(batches, "text"):
             out = {"doc_id": [], "piece": [], "start": [], "length": [], "ids_crc32": []}
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
                 raw = memoryview(cache.ids(text.as_py(), end_id).tobytes())
@@ -98,18 +100,22 @@ def pack_pieces(pieces: DataFrame, size: int = SEQUENCE) -> DataFrame:
 
     The driver holds one count per length (at most ``size``) and the plan made of it. Ranks
     within a length come from hash buckets, so a length that many pieces share is spread
-    over tasks. Identical rows are interchangeable. Lengths must be from 1 to ``size``.
+    over tasks; pieces meet their slots by length and block of ranks, so each looks at few slots.
+    Identical rows are interchangeable. Lengths must be from 1 to ``size``.
     """
     spark = pieces.sparkSession
     pieces = materialise(pieces, "pieces")
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     plan = plan_best_fit(histogram, size)
     slots = spark.createDataFrame(plan or [(0, 0, 0, 0, 1, 0)], "length long, from_rank long, to_rank long, first_sequence long, per_sequence long, first_offset long")
+    block = lambda rank: F.floor(rank / RANKS).cast("long")
+    slots = slots.withColumn("block", F.explode(F.sequence(block(F.col("from_rank")), block(F.greatest(F.col("to_rank"), F.lit(1)) - 1))))
+    n_slots = len(plan) + sum(histogram.values()) // RANKS + len(histogram)  # the most that the line above can make
     hashed = pieces.withColumn("_h", F.xxhash64("doc_id", "piece", "ids_crc32", "start"))
     ranked = running(hashed.withColumn("_b", hash_bucket(F.col("_h"), bucket_bits(sum(histogram.values())))), ["length"], "_b", ["_h", "doc_id", "piece", "start", "ids_crc32"], F.lit(1).cast("long"), "_rank")
-    p, s = ranked.alias("p"), F.broadcast(slots).alias("s")  # its size is bounded by the square of the sequence length
+    p, s = ranked.withColumn("block", block(F.col("_rank"))).alias("p"), maybe_broadcast(slots, n_slots, BROADCAST_ROWS).alias("s")
     at = F.col("p._rank") - F.col("s.from_rank")
-    return p.join(s, (F.col("p.length") == F.col("s.length")) & (F.col("p._rank") >= F.col("s.from_rank")) & (F.col("p._rank") < F.col("s.to_rank"))).select(
+    return p.join(s, (F.col("p.length") == F.col("s.length")) & (F.col("p.block") == F.col("s.block")) & (F.col("p._rank") >= F.col("s.from_rank")) & (F.col("p._rank") < F.col("s.to_rank"))).select(
         *(f"p.{c}" for c in ("doc_id", "piece", "start", "length", "ids_crc32")),
         (F.col("s.first_sequence") + F.floor(at / F.col("s.per_sequence"))).cast("long").alias("sequence_id"),
         (F.col("s.first_offset") + F.pmod(at, F.col("s.per_sequence")) * F.col("p.length")).cast("long").alias("offset"),
@@ -117,6 +123,13 @@ def pack_pieces(pieces: DataFrame, size: int = SEQUENCE) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, tokenizer: str | None = None, size: int = SEQUENCE, end_id: int = 0) -> DataFrame:
+    """Pieces of all documents with their places: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
+
+    Null and empty texts are pieces of their end id alone; very long texts are cut into pieces of
+    ``size``; null ids and repeated rows keep their own pieces; pieces of equal length are
+    interchangeable, ties go by hash; other columns of ``docs``, whatever their names, play no part;
+    an empty table gives an empty one.
+    """
     return pack_pieces(token_pieces(docs, tokenizer or default_tokenizer(), size, end_id), size)
 
 

@@ -20,8 +20,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from demandloom.llm.common import materialise, shuffle_partitions, small_batches, table
-from demandloom.llm.tokens import default_tokenizer, word_ids
+from demandloom.llm.common import materialise, shuffle_partitions, slices, table
+from demandloom.llm.tokens import default_tokenizer, text_ids
 
 MAGIC = b"PFR1"
 BLOCK = 128
@@ -88,32 +88,79 @@ def encode_segment(ids: np.ndarray, doc_ids: list[int | None], lengths: list[int
     )
 
 
+class Segment:
+    """The parts of a segment, without its packed differences unpacked."""
+
+    def __init__(self, data: bytes):
+        magic, self.n, block, docs, overs = _HEAD.unpack_from(data)
+        if magic != MAGIC or block != BLOCK:
+            raise ValueError("not a segment of this format")
+        self.blocks, at = -(-self.n // BLOCK), _HEAD.size
+
+        def take(kind: str, count: int) -> np.ndarray:
+            nonlocal at
+            out = np.frombuffer(data, kind, count, at)
+            at += out.nbytes
+            return out
+
+        named, known, self.lengths = take("<i8", docs), take("u1", docs), take("<u4", docs)
+        self.doc_ids = [int(x) if ok else None for x, ok in zip(named, known, strict=True)]
+        self.starts, self.base, self.width = take("<u4", self.blocks + 1), take("<u4", self.blocks), take("u1", self.blocks)
+        self.over_block, self.over_place, self.high = take("<u4", overs), take("u1", overs), take("<u4", overs)
+        self.payload = np.frombuffer(data, np.uint8, int(self.starts[-1]), at)
+
+    def ids(self, first: int = 0, last: int | None = None) -> np.ndarray:
+        """The ids of blocks [first, last), found by the index of block starts; of all blocks by default."""
+        last = self.blocks if last is None else min(last, self.blocks)
+        width, starts = self.width[first:last], self.starts[first:last]
+        delta = np.zeros((len(width), BLOCK), np.uint32)
+        for w in np.unique(width[width > 0]):
+            rows = np.nonzero(width == w)[0]
+            for k in range(0, len(rows), _SLICE):
+                part = rows[k : k + _SLICE]
+                delta[part] = _unpack(self.payload[starts[part, None] + np.arange(int(w) * BLOCK // 8, dtype=np.uint32)], int(w))
+        a, b = np.searchsorted(self.over_block, [first, last])  # exceptions are in order of blocks
+        blocks = self.over_block[a:b] - np.uint32(first)
+        delta[blocks, self.over_place[a:b]] |= self.high[a:b] << width[blocks].astype(np.uint32)
+        return (delta + self.base[first:last, None]).reshape(-1)[: self.n - first * BLOCK]
+
+    def slice(self, start: int, count: int) -> np.ndarray:
+        """``count`` ids from ``start`` on, of which only the blocks that hold them are unpacked."""
+        first = start // BLOCK
+        return self.ids(first, -(-(start + count) // BLOCK))[start - first * BLOCK :][:count]
+
+
 def decode_segment(data: bytes) -> tuple[np.ndarray, list[int | None], np.ndarray]:
     """ids, doc ids and lengths of one segment."""
-    magic, n, block, docs, overs = _HEAD.unpack_from(data)
-    if magic != MAGIC or block != BLOCK:
-        raise ValueError("not a segment of this format")
-    blocks, at = -(-n // BLOCK), _HEAD.size
-
-    def take(kind: str, count: int) -> np.ndarray:
-        nonlocal at
-        out = np.frombuffer(data, kind, count, at)
-        at += out.nbytes
-        return out
-
-    named, known, lengths = take("<i8", docs), take("u1", docs), take("<u4", docs)
-    starts, base, width = take("<u4", blocks + 1), take("<u4", blocks), take("u1", blocks)
-    over_block, over_place, high = take("<u4", overs), take("u1", overs), take("<u4", overs)
-    payload = np.frombuffer(data, np.uint8, int(starts[-1]), at)
-    delta = np.zeros((blocks, BLOCK), np.uint32)
-    for w in np.unique(width[width > 0]):
-        rows = np.nonzero(width == w)[0]
-        for k in range(0, len(rows), _SLICE):
-            part = rows[k : k + _SLICE]
-            delta[part] = _unpack(payload[starts[part, None] + np.arange(int(w) * BLOCK // 8, dtype=np.uint32)], int(w))
-    delta[over_block, over_place] |= high << width[over_block].astype(np.uint32)
-    ids = (delta + base[:, None]).reshape(-1)[:n]
-    return ids, [int(x) if ok else None for x, ok in zip(named, known, strict=True)], lengths
+    found = Segment(data)
+    return found.ids(), found.doc_ids, found.lengths
+
+
+def read_documents(segments: DataFrame, wanted: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """doc_id and token ids of the documents of ``wanted`` (one id a row), from the blocks that hold them.
+
+    Ids that no segment holds, and null ids, give no row; an id that several documents share gives each.
+    """
+    inside = segments.select("part", "segment", "data").mapInArrow(_places, "part int, segment int, doc_id long, at long, n long")
+    asked = wanted.select(F.col(id_col).cast("long").alias("doc_id")).filter("doc_id is not null").distinct()
+    places = inside.join(asked, "doc_id", "left_semi").groupBy("part", "segment").agg(F.collect_list(F.struct("doc_id", "at", "n")).alias("places"))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "data"):
+            for data, found in zip(batch.column("data"), batch.column("places").to_pylist(), strict=True):
+                held = Segment(data.as_py())
+                yield pa.RecordBatch.from_pydict({"doc_id": pa.array([x["doc_id"] for x in found], pa.int64()), "ids": pa.array([held.slice(x["at"], x["n"]).astype(np.int64) for x in found], pa.list_(pa.int64()))})
+
+    return segments.join(places, ["part", "segment"]).select("data", "places").mapInArrow(read, "doc_id long, ids array<long>")
+
+
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Where each document lies in its segment; only the segment's head is read."""
+    for batch in slices(batches, "data"):
+        for part, segment, data in zip(batch.column("part"), batch.column("segment"), batch.column("data"), strict=True):
+            held = Segment(data.as_py())
+            n = held.lengths.astype(np.int64)
+            yield pa.RecordBatch.from_pydict({"part": pa.array([part.as_py()] * len(n), pa.int32()), "segment": pa.array([segment.as_py()] * len(n), pa.int32()), "doc_id": pa.array(held.doc_ids, pa.int64()), "at": pa.array(np.cumsum(n) - n), "n": pa.array(n)})
 
 
 def write_token_segments(docs: DataFrame, tokenizer: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", label: str = "token-segments") -> DataFrame:
@@ -124,20 +171,19 @@ def write_token_segments(docs: DataFrame, tokenizer: str, end_id: int = 1, id_co
     text counts as empty (its end id alone); null ids come last; rows that share an id are
     ordered by a hash of their text; an empty table gives an empty one.
     """
-    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     keys = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text").asc()]
     ordered = rows.repartitionByRange(shuffle_partitions(docs.sparkSession), *keys).sortWithinPartitions(*keys)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, part = word_ids(tokenizer), TaskContext.get().partitionId()
+        cache, part = text_ids(tokenizer), TaskContext.get().partitionId()
         held, names, lengths, count, segment, before = [], [], [], 0, 0, 0
 
         def flush() -> pa.RecordBatch:
             data = encode_segment(np.concatenate(held), names, lengths)
             return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "segment": pa.array([segment], pa.int32()), "before": pa.array([before], pa.int64()), "n_ids": pa.array([count], pa.int64()), "data": pa.array([data], pa.binary())})
 
-        for batch in batches:
+        for batch in slices(batches, "text"):
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
                 ids = cache.ids(text.as_py(), end_id)
                 held.append(ids)
@@ -164,7 +210,7 @@ def read_token_segments(segments: DataFrame) -> DataFrame:
     placed = segments.join(F.broadcast(offsets), "part").select((F.col("part_start") + F.col("before")).alias("start"), "data")
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "data"):
             for start, data in zip(batch.column("start").to_pylist(), batch.column("data"), strict=True):
                 ids, names, lengths = decode_segment(data.as_py())
                 raw, ends = memoryview(ids.astype("<u4").tobytes()), np.cumsum(lengths, dtype=np.int64)
@@ -172,8 +218,6 @@ def read_token_segments(segments: DataFrame) -> DataFrame:
                 crcs = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
                 yield pa.RecordBatch.from_pydict({"doc_id": pa.array(names, pa.int64()), "start": pa.array(starts + start, pa.int64()), "n_tokens": pa.array(lengths.astype(np.int64)), "ids_crc32": pa.array(crcs, pa.int64())})
 
-    small = placed.sparkSession
-    small.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
     return placed.mapInArrow(decode, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

@@ -1,24 +1,33 @@
-"""Token ids of whole texts by the tokenizers library, with each distinct word encoded once a worker.
+"""Token ids of whole texts by the tokenizers library, with recent words encoded once a worker.
 
-White space never joins two words in this vocabulary's normaliser or word splitter, so
-the ids of a text are those of its words in order. Texts for which that might not hold
-(special-token strings, ASCII separators that only Python treats as space) are encoded whole.
+For a vocabulary file with the normaliser and word splitter below, white space never joins
+two words, so the ids of a text are those of its split pieces in order, and a piece is encoded by
+the file's own model. Any other file, and texts for which that might not hold (characters outside
+Latin-1, special-token strings, separators that only Python treats as space), are encoded whole.
 """
 
 from __future__ import annotations
 
+import json
 import re
-from functools import lru_cache
 
 import numpy as np
 
-WORDS_KEPT = 900_000
-
-#: The word splitter of the vocabulary, for the letters of Latin-1.
+from demandloom.llm.common import Recent, text_parts, worker_kept
+
+#: The rules of a vocabulary file whose words may be encoded one by one.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLITTER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+#: The same splitter for the letters of Latin-1, and what the pieces may not be taken from.
 _LETTERS = "a-zß-öø-ÿ"
-_SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9]+")
-_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
-_WHOLE = ("<|", "\x1c", "\x1d", "\x1e", "\x1f")
+_SPLIT = re.compile(rf"[{_LETTERS}]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\s{_LETTERS}0-9]+")
+_ODD = re.compile("[^\\s!-~À-ÖØ-öø-ÿ]|[\x1c-\x1f]|<\\|")
 
 
 def _byte_letters() -> list[str]:
@@ -31,16 +40,25 @@ def _byte_letters() -> list[str]:
     return out
 
 
-class WordIds(dict):
-    """word -> its ids as little-endian 16-bit (32-bit for large vocabularies) bytes."""
+def splits_into_words(path: str) -> bool:
+    """True if the file's rules are the ones that the splitter above restates."""
+    with open(path, encoding="utf-8") as f:
+        rules = json.load(f)
+    return rules.get("normalizer") == NORMALIZER and rules.get("pre_tokenizer") == SPLITTER and all(x["content"].startswith("<|") for x in rules.get("added_tokens", []))
+
+
+class TextIds:
+    """Ids of texts as little-endian 16-bit (32-bit for large vocabularies) integers."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
-        self.pieces: dict[str, bytes] = {}
         self.letters = _byte_letters()
+        self.pieces = Recent(self._piece) if splits_into_words(path) else None
 
     def _library(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
@@ -49,32 +67,15 @@ class WordIds(dict):
         shown = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
         return np.array([t.id for t in self.tokenizer.model.tokenize(shown)], self.kind).tobytes()
 
-    def __missing__(self, word: str) -> bytes:
-        if _PLAIN.fullmatch(word):
-            out = b""
-            for piece in _SPLIT.findall(word.lower()):
-                got = self.pieces.get(piece)
-                if got is None:
-                    if len(self.pieces) >= WORDS_KEPT:
-                        self.pieces.clear()
-                    got = self._piece(piece)
-                    if len(piece) < 64:
-                        self.pieces[piece] = got
-                out += got
-        else:
-            out = self._library(word)
-        if len(word) < 64:
-            if len(self) >= WORDS_KEPT:
-                self.clear()
-            self[word] = out
-        return out
-
     def raw(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if any(x in text for x in _WHOLE):
+        if self.pieces is None or "<|" in text:
             return self._library(text)
-        return b"".join(map(self.__getitem__, text.split()))
+        out = []
+        for part in text_parts(text):
+            out += [self._library(part)] if _ODD.search(part) else map(self.pieces.__getitem__, _SPLIT.findall(part.lower()))
+        return b"".join(out)
 
     def ids(self, text: str | None, end: int) -> np.ndarray:
         """All ids of ``text`` and then ``end``, as unsigned 32-bit integers."""
@@ -85,10 +86,9 @@ class WordIds(dict):
         return out
 
 
-@lru_cache(maxsize=2)
-def word_ids(path: str) -> WordIds:
-    """One per worker process and vocabulary file."""
-    return WordIds(path)
+def text_ids(path: str) -> TextIds:
+    """The worker process's encoder for a vocabulary file."""
+    return worker_kept(("ids", path), lambda: TextIds(path))
 
 
 def default_tokenizer() -> str:

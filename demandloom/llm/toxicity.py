@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandloom.llm import crf
-from demandloom.llm.common import small_batches, table
+from demandloom.llm.common import slices, table
 
 #: Labelled documents that the model is fitted on, about: a bounded sample by hash of the id.
 TRAIN_DOCS = 8_000
@@ -74,14 +74,13 @@ def score(docs: DataFrame, model: crf.Crf, weights: np.ndarray, id_col: str = "d
     Null texts count as empty: no token, the score of a text without toxic ones. Equal texts get
     equal scores; null ids and repeated rows keep their own row; an empty table gives an empty one.
     """
-    small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast((model, weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, weights = held.value
         words = Emissions(model)
         span_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("p", pa.float64())]))
-        for batch in batches:
+        for batch in slices(batches, "text"):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             p, ends = token_marginals(texts, words)
             x = crf.summary(p, ends)

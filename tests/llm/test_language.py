@@ -15,7 +15,7 @@ def test_held_out_accuracy_and_kept_documents(spark):
 
 def test_scores_of_words_are_sums_of_trigrams():
     names, known, unseen = L.fit(["aaa bab", "zzz yzy", "aab"], ["x", "y", "x"])
-    scores = L.WordScores((known, unseen))
+    scores = L.WordScores(list(known), np.array([unseen, *known.values()]))
     got = scores.sums(["aaa, ZZZ qqq", None, "", "123 ...", "aaa, ZZZ qqq"])
     want = np.sum([known.get(g, unseen) for w in ("aaa", "zzz", "qqq") for g in L.trigrams(w)], axis=0)
     assert names == ["x", "y"] and np.allclose(got[0], want) and not got[1:4].any() and (got[0] == got[4]).all()

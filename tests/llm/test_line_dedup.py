@@ -6,43 +6,47 @@ from demandloom.llm import line_dedup
 
 SCHEMA = "doc_id long, text string, source string"
 FOOT = "this is the common footer line of many sites"
-#: The whole rule over the documents: every line counts, and only documents of spread lines throughout stay as they are.
-RULE = r"""
-WITH lines AS (
-  SELECT doc_id, source, length(translate(text, chr(9) || chr(10) || chr(13) || ' ', '')) AS chars, i - 1 AS line, l[i] AS raw, trim(translate(l[i], chr(9) || chr(13), '  '), ' ') AS t
-  FROM (SELECT doc_id, source, text, string_split(text, chr(10)) AS l, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents WHERE text IS NOT NULL)),
-counted AS (SELECT *, len(list_filter(string_split(t, ' '), lambda x: x <> '')) AS words FROM lines WHERE t <> ''),
-spread AS (SELECT t FROM counted GROUP BY t, words HAVING count(DISTINCT source) >= CASE WHEN words >= 5 THEN 8 ELSE {short} END),
-hit AS (SELECT c.doc_id, c.line, length(translate(c.raw, chr(9) || chr(13) || ' ', '')) AS n, c.chars FROM counted c SEMI JOIN spread s ON c.t = s.t)
-SELECT doc_id, count(*) AS n_removed FROM hit GROUP BY doc_id, chars HAVING sum(n) <= 0.9 * chars
-"""
 
 
-def removed(spark, rows):
-    return {r.doc_id: (r.text, r.n_removed) for r in line_dedup.dedup_lines(spark.createDataFrame(rows, SCHEMA)).collect()}
+def removed(spark, rows, **options):
+    return {r.doc_id: (r.text, r.n_removed) for r in line_dedup.dedup_lines(spark.createDataFrame(rows, SCHEMA), **options).collect()}
 
 
-def test_boilerplate_goes_where_it_outweighs_the_rest(spark):
+def test_boilerplate_goes_whatever_its_share_and_length(spark):
     own = "own text number"
-    rows = [(k, f"{own} {k}\n{FOOT}", f"s{k}") for k in range(9)]  # FOOT is two thirds of the text or more
+    rows = [(k, f"{own} {k}\n{FOOT}\nYes.", f"s{k}") for k in range(8)]
     rows += [(20 + k, FOOT, f"s{k}") for k in range(3)]  # nothing of their own
+    rows += [(40 + k, f"{own} x{k}\nNo.", f"s{k}") for k in range(7)]  # on seven sites
     got = removed(spark, rows)
-    assert all(got[k] == (f"{own} {k}", 1) for k in range(9))
-    assert all(got[20 + k] == (FOOT, 0) for k in range(3))
+    assert all(got[k] == (f"{own} {k}", 2) for k in range(8))
+    assert all(got[20 + k] == ("", 1) for k in range(3))
+    assert all(got[40 + k] == (f"{own} x{k}\nNo.", 0) for k in range(7))
 
 
-def test_short_lines_take_part(spark):
-    rows = [(k, f"a text of its own {k}\nAll rights reserved.", f"s{k}") for k in range(20)]
-    rows += [(40 + k, f"another text of its own {k}\nYes.", f"s{k}") for k in range(15)]  # under 16 sites
+def test_limits_are_on_demand(spark):
+    rows = [(k, f"own text number {k}\n{FOOT}\nYes.", f"s{k}") for k in range(8)] + [(20, FOOT, "s1")]
+    got = removed(spark, rows, min_words=5, max_part=0.9)
+    assert all(got[k] == (f"own text number {k}\nYes.", 1) for k in range(8)) and got[20] == (FOOT, 0)
+
+
+def test_exact_counts_decide_near_the_threshold(spark):
+    rows = [(100 * n + k, f"line on {n} sites\nown line {n} {k}", f"s{k}") for n in range(4, 14) for k in range(n)]
     got = removed(spark, rows)
-    assert all(got[k] == (f"a text of its own {k}", 1) for k in range(20))
-    assert all(got[40 + k] == (f"another text of its own {k}\nYes.", 0) for k in range(15))
+    assert all(got[100 * n + k][1] == int(n >= 8) for n in range(4, 14) for k in range(n))
+
+
+def test_long_texts_and_repeated_rows(spark):
+    long = "\n".join([FOOT, *(f"line {k} of a long text" for k in range(60_000)), FOOT])
+    rows = [(k, f"own text {k}\n{FOOT}", f"s{k}") for k in range(8)] + [(50, long, "s1"), (50, long, "s1"), (None, FOOT, None)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = line_dedup.dedup_lines(docs).filter("doc_id = 50 or doc_id is null").collect()
+    assert sorted((r.n_removed, r.n_lines, len(r.text)) for r in got) == [(1, 1, 0), *[(2, 60_002, len(long) - 2 * len(FOOT) - 2)] * 2]
 
 
-def test_removals_are_those_of_the_rule(spark):
+def test_removals_are_those_of_the_sql(spark):
     sf = "/root/testdata/sf0.01"
     con = duckdb.connect()
     con.sql(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
-    want = dict(con.sql(RULE.format(short=16)).fetchall())
-    got = {r.doc_id: r.n_removed for r in line_dedup.op7_line_dedup(spark, sf).filter("n_removed > 0").select("doc_id", "n_removed").collect()}
-    assert got == want and len(want) > 100
+    want = {r[0]: r[1:] for r in con.sql(line_dedup.OP7_SQL).fetchall()}
+    got = {r.doc_id: (r.n_lines, r.n_removed, r.text) for r in line_dedup.op7_line_dedup(spark, sf).collect()}
+    assert got == want and sum(r[1] for r in want.values()) > 500

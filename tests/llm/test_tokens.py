@@ -10,21 +10,21 @@ from pyspark.sql import functions as F
 
 from demandloom.llm import packing as P
 from demandloom.llm import token_output as O
-from demandloom.llm.tokens import WordIds, default_tokenizer, word_ids
+from demandloom.llm.tokens import TextIds, default_tokenizer, text_ids
 
 TEXTS = ["", "Hello, World's best?! it's 42x  ÄÖß naïve", "áb é ｆｕｌｌ 中文 emoji \U0001f600!", "x<|endoftext|>y <|startoftext|>", "a\x1cb c\xa0d\x85e", "ΑΣ ΑΣΑ İI", "_-_ ''s 'll''", "word " * 3000, "y" * 5000]
 
 
 @pytest.mark.parametrize("text", TEXTS)
 def test_ids_are_the_librarys(text):
-    cache = word_ids(default_tokenizer())
+    cache = text_ids(default_tokenizer())
     assert cache.ids(text, 1).tolist() == [*cache.tokenizer.encode(text, add_special_tokens=False).ids, 1]
 
 
 @settings(max_examples=300, deadline=None)
 @given(st.text(max_size=40))
 def test_ids_of_any_text(text):
-    cache = word_ids(default_tokenizer())
+    cache = text_ids(default_tokenizer())
     assert cache.ids(text, 1).tolist()[:-1] == cache.tokenizer.encode(text, add_special_tokens=False).ids
 
 
@@ -47,7 +47,7 @@ def test_written_segments_read_back_in_id_order(spark):
     rows = [(k * 7 % 50, f"doc {k} " * (k % 9)) for k in range(50)] + [(7, None), (60, "x " * 200_000), (None, "last"), (None, "")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5).withColumn("DATA", F.lit(1))
     got = O.read_token_segments(O.write_token_segments(docs, default_tokenizer())).orderBy("start").collect()
-    cache, at = WordIds(default_tokenizer()), 0
+    cache, at = TextIds(default_tokenizer()), 0
     assert [r.doc_id for r in got] == sorted((r[0] for r in rows if r[0] is not None)) + [None, None]
     texts = {}
     for i, t in rows:
@@ -90,7 +90,7 @@ def test_packed_documents(spark):
     rows = [(k, "token " * (k * 37 % 700)) for k in range(200)] + [(500, "long " * 5000), (501, None), (502, ""), (None, "none"), (3, "token " * 111), (3, "token " * 111)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     got = P.pack_documents(docs).collect()
-    cache = word_ids(default_tokenizer())
+    cache = text_ids(default_tokenizer())
     want = sum(-(-len(cache.ids(t, 0)) // 2048) for _, t in rows)
     assert len(got) == want
     bins = {}
