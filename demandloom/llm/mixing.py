@@ -149,7 +149,7 @@ step(round, source, source_size, weight, is_full) AS (
                                      / coalesce(sum(CASE WHEN NOT is_full THEN weight END) OVER (), 1.0)
   FROM step WHERE round < 64),
 fin AS (SELECT source, source_size, weight, is_full FROM step WHERE round = 64),
-tgt AS (SELECT source, source_size, CASE WHEN is_full THEN CAST(2.0 * source_size AS DOUBLE) ELSE CAST(((SELECT t FROM total)
+tgt AS (SELECT source, source_size, weight, CASE WHEN is_full THEN CAST(2.0 * source_size AS DOUBLE) ELSE CAST(((SELECT t FROM total)
           - coalesce((SELECT sum(2.0 * source_size) FROM fin WHERE is_full), 0.0)) * weight / (SELECT sum(weight) FROM fin WHERE NOT is_full) AS DOUBLE) END AS target FROM fin),
 placed AS (SELECT s.doc_id, s.size, t.source_size, t.target, t.weight, CAST(round(t.target) AS BIGINT) AS e,
          coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.key, s.doc_id, s.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b
