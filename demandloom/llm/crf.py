@@ -1,5 +1,9 @@
 """A linear-chain conditional random field with the tags clean and toxic, in numpy.
 
+A token's tag depends on its own word, the words beside it, and the tags beside it. The field is
+trained from document labels: token tags are hidden, and a document is toxic if it has a toxic
+token (or, rarely, by a wrong label).
+
 Messages are kept as ratios toxic : clean, for which a step of the chain is a fraction of two
 linear terms. Texts of a batch form one chain that starts anew at every text; it is cut into
 lanes that advance together, and passes repeat until the ratios that lanes hand on stand still.
@@ -17,6 +21,10 @@ import numpy as np
 FEATURES = 1 << 18
 WINDOW, LANE = 12, 64
 STEMS = (4, 5, 6, 7)
+#: Blocks of a training document that hold a seed word, at most, and other blocks of it.
+MARKED_BLOCKS, OTHER_BLOCKS = 20, 3
+#: Shares of documents whose label is toxic without a toxic token, and clean with one.
+NOISE_TOXIC, NOISE_CLEAN = 0.02, 0.05
 _EDGES = re.compile(r"[\W_]+")
 
 
@@ -30,12 +38,24 @@ def units(w: str) -> list[str]:
     return [w, *(f"{w[:k]}*" for k in STEMS if len(w) > k)] if w else []
 
 
-def token_features(word: str) -> list[int]:
-    w = bare(word)
-    names = ("bias", f"w {w}", *(f"p {w[:k]}" if len(w) > k else f"p{k}" for k in STEMS), f"s {w[-4:]}", f"n {min(len(w), 12)}")
+def _numbers(names) -> list[int]:
     return [crc32(x.encode("utf-8", "surrogatepass")) % FEATURES for x in names]
 
 
+def token_features(word: str) -> tuple[list[int], list[int], list[int]]:
+    """Feature numbers of a word for its own tag, for the tag of the token after it and of the one before it."""
+    w = bare(word)
+    own = ("bias", f"w {w}", *(f"p {w[:k]}" if len(w) > k else f"p{k}" for k in STEMS), f"s {w[-4:]}", f"n {min(len(w), 12)}")
+    return _numbers(own), _numbers((f"l {w}", f"l {w[:5]}*")), _numbers((f"r {w}", f"r {w[:5]}*"))
+
+
+def chain_features(tokens: list[str], at: int) -> list[list[int]]:
+    """Features of the WINDOW tokens from ``at`` on; beyond the text's ends stands the empty word."""
+    get = lambda k: token_features(tokens[k] if 0 <= k < len(tokens) else "")
+    around = [get(k) for k in range(at - 1, at + WINDOW + 1)]
+    return [around[k][0] + around[k - 1][1] + around[k + 1][2] for k in range(1, WINDOW + 1)]
+
+
 @dataclass
 class Crf:
     weight: np.ndarray = field(default_factory=lambda: np.zeros(FEATURES, np.float32))
@@ -43,8 +63,10 @@ class Crf:
     step: np.ndarray = field(default_factory=lambda: np.zeros((2, 2)))
     start: float = 0.0
 
-    def emission(self, word: str) -> float:
-        return float(self.weight[token_features(word)].sum())
+    def emission(self, word: str) -> tuple[float, float, float]:
+        """What a word adds to the log-odds of its own tag, of the next token's and of the one before."""
+        own, after, before = token_features(word)
+        return float(self.weight[own].sum()), float(self.weight[after].sum()), float(self.weight[before].sum())
 
 
 def _sweep(e: np.ndarray, fresh: np.ndarray, start: float, t: np.ndarray) -> np.ndarray:
@@ -119,50 +141,96 @@ def seed_words(texts: list[str], toxic: np.ndarray, least: int = 5, ratio: float
     return out | {u for u in typical if first and 3 * every[u] >= first}
 
 
-def train(texts: list[str], toxic: np.ndarray, rounds: int = 60, rate: float = 0.5, penalty: float = 1e-4, seed: int = 0) -> Crf:
-    """Fit the tags of tokens: toxic for seed words within toxic texts, clean else.
+@dataclass
+class Blocks:
+    """Blocks of WINDOW tokens of the training documents: features [n, WINDOW, k], seed tags, document numbers, and labels of documents."""
 
-    Windows of tokens around toxic ones, and as many elsewhere, are the chains; full-batch
-    AdaGrad on the conditional log-likelihood.
-    """
+    x: np.ndarray
+    seeded: np.ndarray
+    doc: np.ndarray
+    toxic: np.ndarray
+
+
+def training_blocks(texts: list[str], toxic: np.ndarray, seed: int = 0) -> Blocks:
+    """Blocks that hold seed words, of clean documents too, and a few others of each document."""
     seeds, rng = seed_words(texts, toxic), np.random.default_rng(seed)
-    chains, tags = [], []
-    for text, bad in zip(texts, toxic, strict=True):
+    chains, tags, owner = [], [], []
+    for d, text in enumerate(texts):
         tokens = text.split()
-        if len(tokens) < WINDOW:
-            tokens = tokens + [""] * (WINDOW - len(tokens))
-        tag = np.array([bool(bad) and not seeds.isdisjoint(units(bare(t))) for t in tokens])
-        at = set(rng.integers(0, len(tokens) - WINDOW + 1, 3).tolist())
-        if tag.any():
-            at |= {int(min(max(0, k - rng.integers(0, WINDOW)), len(tokens) - WINDOW)) for k in np.nonzero(tag)[0][:20]}
-        for k in sorted(at):
-            chains.append([token_features(t) for t in tokens[k : k + WINDOW]])
-            tags.append(tag[k : k + WINDOW])
-    model = Crf()
-    if not chains:
-        return model
-    x, y = np.array(chains), np.array(tags, np.float64)
+        hit = np.array([not seeds.isdisjoint(units(bare(t))) for t in tokens], bool)
+        blocks = -(-len(tokens) // WINDOW)
+        if not blocks:
+            continue
+        marked = np.unique(np.nonzero(hit)[0] // WINDOW)[:MARKED_BLOCKS].tolist()
+        for k in sorted({*marked, *rng.integers(0, blocks, OTHER_BLOCKS).tolist()}):
+            part = np.zeros(WINDOW, bool)
+            own = hit[k * WINDOW : (k + 1) * WINDOW]
+            part[: len(own)] = own
+            chains.append(chain_features(tokens, k * WINDOW))
+            tags.append(part)
+            owner.append(d)
+    width = len(chain_features([], 0)[0])
+    return Blocks(np.array(chains, np.int64).reshape(-1, WINDOW, width), np.array(tags, bool).reshape(-1, WINDOW), np.array(owner, np.int64), np.asarray(toxic, bool))
+
+
+def expectations(model: Crf, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each block: P(toxic) of its tokens [n, WINDOW], of pairs of tags [n, 2, 2] summed over its steps, and log P(all clean)."""
     n = len(x)
+    s = np.clip(model.weight[x].sum(axis=2).astype(np.float64), -30, 30)
+    t = np.exp(model.step)
+    alpha, beta = np.empty((WINDOW, n, 2)), np.ones((WINDOW, n, 2))
+    e = np.exp(np.stack([np.zeros_like(s), s], axis=2)).transpose(1, 0, 2)
+    alpha[0] = e[0] * np.array([1.0, np.exp(model.start)])
+    total = np.zeros(n)  # log of the partition sum
+    for k in range(WINDOW):
+        if k:
+            alpha[k] = e[k] * (alpha[k - 1] @ t)
+        size = alpha[k].sum(axis=1)
+        alpha[k] /= size[:, None]
+        total += np.log(size)
+    for k in range(WINDOW - 2, -1, -1):
+        beta[k] = (e[k + 1] * beta[k + 1]) @ t.T
+        beta[k] /= beta[k].sum(axis=1, keepdims=True)
+    p = alpha * beta
+    p = (p / p.sum(axis=2, keepdims=True))[:, :, 1].T
+    joint = alpha[:-1, :, :, None] * t * (e[1:] * beta[1:])[:, :, None, :]
+    joint = (joint / joint.sum(axis=(2, 3), keepdims=True)).sum(axis=0)
+    return p, joint, (WINDOW - 1) * model.step[0, 0] - total
+
+
+def label_factors(none: np.ndarray, blocks: Blocks) -> tuple[np.ndarray, float]:
+    """What a document's label does to the odds of tags with any toxic token, and the labels' log-likelihood; none: log P(all clean) a block."""
+    clean = np.exp(np.minimum(np.bincount(blocks.doc, none, len(blocks.toxic)), 0.0))
+    clean = np.clip(clean, 1e-12, 1 - 1e-12)
+    told = np.where(blocks.toxic, (1 - clean) + NOISE_TOXIC * clean, NOISE_CLEAN * (1 - clean) + clean)
+    return np.where(blocks.toxic, 1.0, NOISE_CLEAN) / told, float(np.log(told).sum())
+
+
+def gradient(model: Crf, blocks: Blocks, hidden: bool) -> tuple[np.ndarray, np.ndarray, float]:
+    """Of the log-likelihood, for weights, steps and start: of the seed tags, or, with hidden tags, of the documents' labels."""
+    p, joint, none = expectations(model, blocks.x)
+    if hidden:
+        factor = label_factors(none, blocks)[0][blocks.doc]
+        q, pairs = p * factor[:, None], joint * factor[:, None, None]
+        pairs[:, 0, 0] = WINDOW - 1 - (pairs[:, 0, 1] + pairs[:, 1, 0] + pairs[:, 1, 1])
+    else:
+        q = (blocks.seeded & blocks.toxic[blocks.doc][:, None]).astype(np.float64)
+        a, b = np.stack([1 - q[:, :-1], q[:, :-1]], 2), np.stack([1 - q[:, 1:], q[:, 1:]], 2)
+        pairs = np.einsum("nka,nkb->nab", a, b)
+    more = q - p
+    return np.bincount(blocks.x.ravel(), np.repeat(more.ravel(), blocks.x.shape[2]), FEATURES), (pairs - joint).sum(axis=0), float(more[:, 0].sum())
+
+
+def train(texts: list[str], toxic: np.ndarray, seeded_rounds: int = 25, rounds: int = 50, rate: float = 0.5, penalty: float = 1e-4, seed: int = 0) -> Crf:
+    """A field fitted to the labels of documents by AdaGrad on all blocks; its first rounds follow the seed words."""
+    blocks, model = training_blocks(texts, toxic, seed), Crf()
+    if not len(blocks.x):
+        return model
+    n = len(blocks.x)
     grown_w, grown_t, grown_s = np.full(FEATURES, 1e-6), np.full((2, 2), 1e-6), 1e-6
-    pair = lambda a, b: float((a * b).sum())
-    seen_step = np.array([[pair(1 - y[:, :-1], 1 - y[:, 1:]), pair(1 - y[:, :-1], y[:, 1:])], [pair(y[:, :-1], 1 - y[:, 1:]), pair(y[:, :-1], y[:, 1:])]])
-    for _ in range(rounds):
-        s = model.weight[x].sum(axis=2).astype(np.float64)
-        t = np.exp(model.step)
-        alpha, beta = np.empty((WINDOW, n, 2)), np.ones((WINDOW, n, 2))
-        e = np.exp(np.clip(np.stack([np.zeros_like(s), s], axis=2).transpose(1, 0, 2), -30, 30))
-        alpha[0] = e[0] * np.array([1.0, np.exp(model.start)])
-        for k in range(1, WINDOW):
-            alpha[k] = e[k] * ((alpha[k - 1] / alpha[k - 1].sum(axis=1, keepdims=True)) @ t)
-        for k in range(WINDOW - 2, -1, -1):
-            beta[k] = (e[k + 1] * beta[k + 1]) @ t.T
-            beta[k] /= beta[k].sum(axis=1, keepdims=True)
-        p = alpha * beta
-        p = (p / p.sum(axis=2, keepdims=True))[:, :, 1].T
-        joint = alpha[:-1, :, :, None] * t * (e[1:] * beta[1:])[:, :, None, :]
-        joint = (joint / joint.sum(axis=(2, 3), keepdims=True)).sum(axis=(0, 1))
-        g_w = np.bincount(x.ravel(), np.repeat((y - p).ravel(), x.shape[2]), FEATURES) / n - penalty * model.weight
-        g_t, g_s = (seen_step - joint) / n, float((y[:, 0] - p[:, 0]).mean())
+    for k in range(seeded_rounds + rounds):
+        g_w, g_t, g_s = gradient(model, blocks, hidden=k >= seeded_rounds)
+        g_w, g_t, g_s = g_w / n - penalty * model.weight, g_t / n, g_s / n
         grown_w += g_w**2
         grown_t += g_t**2
         grown_s += g_s**2
@@ -173,8 +241,9 @@ def train(texts: list[str], toxic: np.ndarray, rounds: int = 60, rate: float = 0
 
 
 def summary(p: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """[texts, 3]: logit of the largest marginal, log of 1 + the expected toxic tokens, 1. ends: where each text's tokens end."""
+    """[texts, 5] of marginals and where each text's tokens end: logit of the largest, logs of 1 + their sum, of 1 + their sum in 100 tokens and of 1 + tokens, 1."""
     starts = np.concatenate([[0], ends[:-1]])
+    n = (ends - starts).astype(np.float64)
     most, total = np.zeros(len(ends)), np.zeros(len(ends))
     full = ends > starts
     if full.any():
@@ -182,7 +251,7 @@ def summary(p: np.ndarray, ends: np.ndarray) -> np.ndarray:
         most[full] = np.maximum.reduceat(p, at)
         total[full] = np.add.reduceat(p, at)
     most = np.clip(most, 1e-6, 1 - 1e-6)
-    return np.stack([np.log(most / (1 - most)), np.log1p(total), np.ones(len(ends))], axis=1)
+    return np.stack([np.log(most / (1 - most)), np.log1p(total), np.log1p(100 * total / np.maximum(n, 1)), np.log1p(n), np.ones(len(ends))], axis=1)
 
 
 def fit_scores(x: np.ndarray, y: np.ndarray, rounds: int = 50, penalty: float = 1e-2) -> np.ndarray:

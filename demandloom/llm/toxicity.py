@@ -11,33 +11,57 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandloom.llm import crf
-from demandloom.llm.common import slices, table
+from demandloom.llm.common import LONG_WORD, WORDS_KEPT, packed, slices, table
 
 #: Labelled documents that the model is fitted on, about: a bounded sample by hash of the id.
 TRAIN_DOCS = 8_000
+#: Longer texts aren't drawn for the fit, which bounds what the driver holds; they are scored like all others.
+TRAIN_LONGEST = 100_000
 THRESHOLD, SPAN_THRESHOLD = 0.3, 0.5
-WORDS_KEPT = 900_000
-BATCH_TOKENS = 1 << 19
-
 _TOKEN = re.compile(r"\S+")
 
 
 class Emissions(dict):
-    def __init__(self, model: crf.Crf):
-        self.model = model
+    """word -> place of its three emissions; at most WORDS_KEPT words and those of one slice of texts."""
 
-    def __missing__(self, word: str) -> float:
-        if len(self) >= WORDS_KEPT:
+    def __init__(self, model: crf.Crf):
+        self.model, self.rows, self.used = model, np.zeros((1 << 16, 3)), 1
+        self.rows[0] = model.emission("")  # stands beyond both ends of a text
+
+    def __missing__(self, word: str) -> int:
+        at = self.used
+        if at == len(self.rows):
+            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+        self.rows[at] = self.model.emission(word)
+        self.used += 1
+        if len(word) <= LONG_WORD:
+            self[word] = at
+        return at
+
+    def of(self, words: list[list[str]]) -> np.ndarray:
+        """Log-odds of all tokens, each of its own word and of the words beside it in its text."""
+        if self.used > WORDS_KEPT:
             self.clear()
-        out = self[word] = self.model.emission(word)
-        return out
+            self.used = 1
+        at = np.fromiter((k for ws in words for k in (0, *map(self.__getitem__, ws), 0)), np.int64)
+        own, after, before = self.rows[at].T
+        return (own + np.concatenate([[0.0], after[:-1]]) + np.concatenate([before[1:], [0.0]]))[_inside(words)] if len(at) else np.zeros(0)
+
+
+def _inside(words: list[list[str]]) -> np.ndarray:
+    """True for the tokens of texts that each have one more place on either side."""
+    sizes = np.array([len(ws) for ws in words]) + 2
+    out = np.ones(int(sizes.sum()), bool)
+    ends = np.cumsum(sizes)
+    out[ends - 1] = out[ends - sizes] = False
+    return out
 
 
 def token_marginals(texts: list[str], words: Emissions) -> tuple[np.ndarray, np.ndarray]:
     """P(toxic) of all tokens of the texts, and where each text's tokens end."""
     found = [t.split() for t in texts]
     ends = np.cumsum([len(x) for x in found])
-    emissions = np.fromiter((words[w] for ws in found for w in ws), np.float64, int(ends[-1]) if len(ends) else 0)
+    emissions = words.of(found)
     starts = np.zeros(len(emissions), bool)
     starts[[a for a, ws in zip(np.concatenate([[0], ends[:-1]]).astype(int), found, strict=True) if ws]] = True
     return crf.marginals(emissions, starts, words.model), ends
@@ -52,16 +76,21 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """The field and the weights that turn its marginals into a score, both fitted on the sample.
 
     Only labels of ids that aren't held out are read. Of several labels of an id the largest
-    counts. Without both kinds of label all scores are the smoothed share of toxic ones.
+    counts. At most twice ``train_docs`` texts of at most TRAIN_LONGEST characters reach the
+    driver. Without both kinds of label all scores are the smoothed share of toxic ones.
     """
-    known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col))).groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).alias("_toxic"))
+    known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col))).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("toxic"))
     share = max(1, round(1_000_000 * train_docs / max(labels.count(), 1)))
-    sample = known.filter(F.pmod(F.xxhash64("_id", F.lit(7)), F.lit(1_000_000)) < share)
-    rows = docs.join(F.broadcast(sample), F.col(id_col) == F.col("_id")).select("_id", F.coalesce(F.col(text_col), F.lit("")).alias("t"), "_toxic").toArrow().sort_by([("_id", "ascending"), ("t", "ascending")])
-    texts, toxic = rows["t"].to_pylist(), np.array(rows["_toxic"].to_pylist(), np.float64) > 0
+    sample = known.filter(F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1_000_000)) < share).limit(2 * train_docs)
+    row = packed(docs)
+    text = F.coalesce(F.col("row").getField(text_col).cast("string"), F.lit(""))
+    # equal rows count once; ids that many rows share are drawn from by hash of the text
+    drawn = row.select(F.col("row").getField(id_col).alias("id"), text.alias("t")).filter(F.char_length("t") <= TRAIN_LONGEST).join(F.broadcast(sample), "id").distinct()
+    rows = drawn.orderBy(F.xxhash64("id", "t")).limit(2 * train_docs).toArrow().sort_by([("id", "ascending"), ("t", "ascending")])
+    texts, toxic = rows["t"].to_pylist(), np.array(rows["toxic"].to_pylist(), np.float64) > 0
     if not toxic.any() or toxic.all():
         share = (toxic.sum() + 0.1) / (len(toxic) + 1.0)
-        return crf.Crf(), np.array([0.0, 0.0, np.log(share / (1 - share))])
+        return crf.Crf(), np.array([0.0, 0.0, 0.0, 0.0, np.log(share / (1 - share))])
     model = crf.train(texts, toxic)
     p, ends = token_marginals(texts, Emissions(model))
     return model, crf.fit_scores(crf.summary(p, ends), toxic.astype(np.float64))

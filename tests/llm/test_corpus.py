@@ -87,6 +87,85 @@ def test_marginals_match_enumeration():
     assert np.allclose(crf.marginals(long, np.arange(5_000) == 0, model)[:5], crf.marginals(np.concatenate([[0.3], long]), np.arange(5_001) < 2, model)[1:6], atol=1e-9)
 
 
+def brute_gradient(model, blocks, eps=1e-4):
+    """Of the labels' log-likelihood, by summing over all taggings of each block, at the weights in use, steps and start."""
+    from itertools import product
+
+    def told(m):
+        clean = np.zeros(len(blocks.toxic))
+        for x, d in zip(blocks.x, blocks.doc, strict=True):
+            e = m.weight[x].sum(axis=1).astype(float)
+            sizes = {tags: np.exp(m.start * tags[0] + (e * tags).sum() + sum(m.step[a, b] for a, b in zip(tags, tags[1:], strict=False))) for tags in product((0, 1), repeat=len(e))}
+            clean[d] += np.log(sizes[(0,) * len(e)] / sum(sizes.values()))
+        clean = np.exp(clean)
+        return np.log(np.where(blocks.toxic, 1 - clean + crf.NOISE_TOXIC * clean, crf.NOISE_CLEAN * (1 - clean) + clean)).sum()
+
+    def slope(change):
+        out = []
+        for sign in (1, -1):
+            m = crf.Crf(model.weight.astype(float).copy(), model.step.copy(), model.start)
+            change(m, sign * eps)
+            out.append(told(m))
+        return (out[0] - out[1]) / (2 * eps)
+
+    used = np.unique(blocks.x)[:12]
+    weights = [slope(lambda m, h, k=k: m.weight.__setitem__(k, m.weight[k] + h)) for k in used]
+    steps = [slope(lambda m, h, a=a, b=b: m.step.__setitem__((a, b), m.step[a, b] + h)) for a in (0, 1) for b in (0, 1)]
+    return used, weights, steps, slope(lambda m, h: setattr(m, "start", m.start + h))
+
+
+def test_training_gradient_matches_enumeration(monkeypatch):
+    monkeypatch.setattr(crf, "WINDOW", 6)
+    rng = np.random.default_rng(2)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 9, 14)) for _ in range(6)]
+    blocks = crf.training_blocks(texts, np.array([1, 0, 1, 0, 0, 1]) > 0)
+    model = crf.Crf(step=rng.normal(size=(2, 2)), start=-0.4)
+    model.weight = rng.normal(size=crf.FEATURES).astype(np.float64) * 0.3
+    g_w, g_t, g_s = crf.gradient(model, blocks, hidden=True)
+    used, weights, steps, start = brute_gradient(model, blocks)
+    assert np.allclose(g_w[used], weights, atol=1e-5) and np.allclose(g_t.ravel(), steps, atol=1e-5) and abs(g_s - start) < 1e-5
+
+
+def test_neighbours_tell_tokens_apart():
+    rng = np.random.default_rng(3)
+    texts, toxic = [], []
+    for k in range(1200):  # "bat" is toxic after "old" only; either word alone stands in a few clean texts
+        words = [f"word{x}" for x in rng.integers(0, 200, 24)]
+        at = int(rng.integers(1, 22))
+        if k % 4 == 0:
+            words[at : at + 2] = ["old", "bat"]
+        elif k % 12 == 1:
+            words[at : at + 2] = ["fruit", "bat"]
+        elif k % 12 == 2:
+            words[at] = "old"
+        texts.append(" ".join(words))
+        toxic.append(k % 4 == 0)
+    model = crf.train(texts, np.array(toxic))
+    p, ends = toxicity.token_marginals(["a fruit bat is", "an old bat is"], toxicity.Emissions(model))
+    assert p[2] < 0.3 < 0.6 < p[6] and list(ends) == [4, 8]
+
+
+def test_held_out_toxicity_beats_the_mined_list(spark):
+    """At sf0.1 the list has recall 0.86 and precision 0.76, the field 0.95 and 0.93."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    known = docs.join(labels, "doc_id")
+    model, weights = toxicity.fit(docs, labels)
+    fresh = known.filter(toxicity.held_out(F.col("doc_id")))
+    told = {r.doc_id: r.toxic > 0 for r in fresh.select("doc_id", "toxic").collect()}
+    got = {r.doc_id: r.score >= toxicity.THRESHOLD for r in toxicity.score(fresh, model, weights).select("doc_id", "score").collect()}
+    train = known.filter(~toxicity.held_out(F.col("doc_id"))).select("text", "toxic").toPandas()
+    seeds = crf.seed_words(train["text"].fillna("").tolist(), train["toxic"].to_numpy() > 0)
+    listed = {r.doc_id: any(not seeds.isdisjoint(crf.units(crf.bare(w))) for w in (r.text or "").split()) for r in fresh.select("doc_id", "text").collect()}
+
+    def recall_and_precision(said):
+        both = sum(told[k] and said[k] for k in told)
+        return both / sum(told.values()), both / sum(said.values())
+
+    field, plain = recall_and_precision(got), recall_and_precision(listed)
+    assert field[0] > max(0.9, plain[0]) and field[1] > max(0.9, plain[1]), (field, plain)
+
+
 def test_toxicity_learns_words_and_stems(spark):
     rng = np.random.default_rng(1)
     rows, labels = [], []
