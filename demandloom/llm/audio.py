@@ -1,4 +1,9 @@
-"""Audio columns: 8-bit PCM in WAV form, polyphase resampling, log-mel filterbanks and energy segments."""
+"""Audio columns: 8-bit PCM in WAV form, polyphase resampling, log-mel filterbanks and energy segments.
+
+Features are stored as fixed-shape Arrow tensors: the frames of a recording are cut into spans of
+time of SPAN_FRAMES frames, each a tensor [SPAN_FRAMES, BANDS] with its start and end in seconds. They are
+rows of an Arrow stream, one stream a recording, in a Parquet column.
+"""
 
 from __future__ import annotations
 
@@ -18,8 +23,8 @@ from demandloom.llm.common import materialise, slices, table
 RATE, TARGET_RATE = 12_000, 8_000
 #: 25 ms frames every 10 ms at the target rate, over 20 bands.
 FRAME, HOP, BANDS, FFT = 200, 80, 20, 256
-#: A document's tensor: its frames pooled to 8 equal spans of time.
-SPANS = 8
+#: Frames of one tensor; a recording's last one is filled up with zeros.
+SPAN_FRAMES = 32
 #: A segment opens at OPEN dB above the text's quietest tenth and closes below CLOSE dB; it lasts SHORTEST frames at least.
 OPEN, CLOSE, SHORTEST = 1.5, 0.5, 3
 TAPS = 8
@@ -115,25 +120,40 @@ def segments(energy: np.ndarray) -> list[tuple[int, int]]:
 
 
 def features(data: bytes) -> tuple[np.ndarray, list[tuple[float, float]], float]:
-    """Of a stored file: the tensor [SPANS, BANDS], time spans in seconds of its segments, and its duration."""
+    """Of a stored file: log-mel bands [frames, BANDS], time spans in seconds of its segments, and its duration."""
     rate, raw = wav_samples(data)
     x = (np.frombuffer(raw, np.uint8).astype(np.float32) - 128) / 128
     common = np.gcd(rate, TARGET_RATE)
     bands, energy = log_mel(resample(x - x.mean(dtype=np.float64).astype(np.float32), int(TARGET_RATE // common), int(rate // common)))
-    cuts = np.linspace(0, len(bands), SPANS + 1).astype(int)
-    tensor = np.stack([bands[a : max(b, a + 1)].mean(axis=0, dtype=np.float64) if a < len(bands) else bands[-1] for a, b in zip(cuts, cuts[1:], strict=False)]).astype(np.float32)
     step = HOP / TARGET_RATE
-    return tensor, [(a * step, (b - 1) * step + FRAME / TARGET_RATE) for a, b in segments(energy)], len(raw) / rate
+    return bands, [(a * step, (b - 1) * step + FRAME / TARGET_RATE) for a, b in segments(energy)], len(raw) / rate
+
 
+TENSORS = pa.schema([("frames", pa.fixed_shape_tensor(pa.float32(), (SPAN_FRAMES, BANDS))), ("n_frames", pa.int32()), ("start", pa.float64()), ("end", pa.float64())])
 
-def tensor_type() -> pa.DataType:
-    return pa.fixed_shape_tensor(pa.float32(), (SPANS, BANDS))
 
+def pack_tensors(bands: np.ndarray) -> bytes:
+    """An Arrow stream of the tensors [SPAN_FRAMES, BANDS] of all frames, the frames that each holds, and its time span in seconds."""
+    n = -(-len(bands) // SPAN_FRAMES)
+    full = np.zeros((n * SPAN_FRAMES, BANDS), np.float32)
+    full[: len(bands)] = bands
+    first = np.arange(n) * SPAN_FRAMES
+    held = np.minimum(len(bands) - first, SPAN_FRAMES)
+    frames = pa.ExtensionArray.from_storage(TENSORS.field("frames").type, pa.FixedSizeListArray.from_arrays(pa.array(full.reshape(-1)), SPAN_FRAMES * BANDS))
+    step = HOP / TARGET_RATE
+    columns = [frames, pa.array(held, pa.int32()), pa.array(first * step), pa.array((first + held - 1) * step + FRAME / TARGET_RATE)]
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, TENSORS) as out:
+        out.write_batch(pa.RecordBatch.from_arrays(columns, schema=TENSORS))
+    return sink.getvalue().to_pybytes()
 
-def tensor_column(tensors: list[np.ndarray]) -> pa.Array:
-    """A fixed-shape Arrow tensor column; its storage is what Spark carries."""
-    flat = np.concatenate([t.reshape(-1) for t in tensors]) if tensors else np.zeros(0, np.float32)
-    return pa.ExtensionArray.from_storage(tensor_type(), pa.FixedSizeListArray.from_arrays(pa.array(flat, pa.float32()), SPANS * BANDS))
+
+def unpack_tensors(data: bytes) -> tuple[np.ndarray, list[tuple[float, float]]]:
+    """The frames [frames, BANDS] that pack_tensors stored, and the time span of each tensor."""
+    found = pa.ipc.open_stream(data).read_all().combine_chunks()
+    tensors = found["frames"].chunk(0).to_numpy_ndarray() if found.num_rows else np.zeros((0, SPAN_FRAMES, BANDS), np.float32)
+    kept = np.arange(SPAN_FRAMES) < found["n_frames"].to_numpy()[:, None]
+    return tensors[kept], list(zip(found["start"].to_pylist(), found["end"].to_pylist(), strict=True))
 
 
 def write_audio(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "audio") -> DataFrame:
@@ -141,42 +161,53 @@ def write_audio(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     A null text counts as empty (one unit of spaces); null ids and repeated rows keep their own row; an empty table gives none.
     """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             made = [payload(t.as_py()) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([n for n, _ in made], pa.int64()), pa.array([wav(p) for _, p in made], pa.binary())], names=["doc_id", "n_bytes", "media"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return materialise(rows.mapInArrow(run, "doc_id long, n_bytes long, media binary"), label)
+    return materialise(rows.mapInArrow(run, "doc_id long, n_bytes long, media binary"), label, "zstd")
 
 
-def audio_features(stored: DataFrame) -> DataFrame:
-    """Features of each stored file: tensor (SPANS x BANDS, flat), spans of its segments in seconds, seconds, and digests.
+def write_features(stored: DataFrame, label: str = "audio-features") -> DataFrame:
+    """The written table of features of each stored file: digests, seconds, tensors (see pack_tensors) and spans of its segments in seconds.
 
-    Equal stored bytes give equal features: nothing else enters them.
+    Equal stored bytes give equal features: nothing else enters them. An empty table gives an empty one.
     """
-    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, seconds double, tensor array<float>, spans array<struct<start: double, end: double>>"
+    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, seconds double, tensors binary, spans array<struct<start: double, end: double>>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "media"):
-            out: dict[str, list] = {k: [] for k in ("payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "seconds")}
-            tensors, spans = [], []
+            out: dict[str, list] = {k: [] for k in ("payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "seconds", "tensors")}
+            spans = []
             for value in batch.column("media"):
                 data = value.as_py()
                 raw = wav_samples(data)[1]
-                tensor, found, seconds = features(data)
-                tensors.append(tensor)
+                bands, found, seconds = features(data)
                 spans.append([{"start": a, "end": b} for a, b in found])
-                for k, v in zip(out, (len(raw), hashlib.sha256(raw).hexdigest(), zlib.crc32(raw[-16:]), len(data), hashlib.sha256(data).hexdigest(), seconds), strict=True):
+                for k, v in zip(out, (len(raw), hashlib.sha256(raw).hexdigest(), zlib.crc32(raw[-16:]), len(data), hashlib.sha256(data).hexdigest(), seconds, pack_tensors(bands)), strict=True):
                     out[k].append(v)
             span = pa.list_(pa.struct([("start", pa.float64()), ("end", pa.float64())]))
-            column = tensor_column(tensors).storage.cast(pa.list_(pa.float32()))
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "n_bytes": batch.column("n_bytes"), **out, "tensor": column, "spans": pa.array(spans, span)})
+            columns = [batch.column("doc_id"), batch.column("n_bytes"), *(pa.array(out[k], t) for k, t in zip(out, (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.float64(), pa.binary()), strict=True)), pa.array(spans, span)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_bytes", *out, "spans"])
 
-    return stored.mapInArrow(run, schema)
+    return materialise(stored.mapInArrow(run, schema), label, "zstd")
+
+
+def feature_digest(tensors: bytes) -> str:
+    """A digest of stored tensors: SHA-256 of all frames in thousandths."""
+    frames, _ = unpack_tensors(tensors)
+    return hashlib.sha256(np.round(frames.astype(np.float64) * 1000).astype("<i4").tobytes()).hexdigest()
 
 
 def op8_audio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = audio_features(write_audio(table(spark, sf_dir, "documents")))
-    digest = F.sha2(F.to_json(F.struct(F.transform("tensor", lambda x: F.round(x, 3)).alias("tensor"), "spans")).cast("binary"), 256)
-    return found.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", F.concat_ws(":", F.size("spans").cast("string"), digest).alias("feature"))
+    found = write_features(write_audio(table(spark, sf_dir, "documents")))
+
+    @F.arrow_udf("string")
+    def digest(tensors: pa.Array) -> pa.Array:
+        return pa.array([feature_digest(x.as_py()) for x in tensors], pa.string())
+
+    spans = F.sha2(F.to_json("spans").cast("binary"), 256)
+    return found.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", F.concat_ws(":", F.size("spans").cast("string"), spans, digest("tensors")).alias("feature"))

@@ -46,7 +46,7 @@ def test_other_columns_stay_as_they_are(spark, odd, name, make):
 
 
 @pytest.mark.parametrize("make", [
-    lambda d: audio.audio_features(audio.write_audio(d)),
+    lambda d: audio.write_features(audio.write_audio(d)),
     lambda d: token_output.read_token_segments(token_output.write_token_segments(d, default_tokenizer())),
     lambda d: packing.pack_documents(d).filter("piece = 0"),
 ])
