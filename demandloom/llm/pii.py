@@ -1,8 +1,10 @@
 """Personal data by expressions, checksums and context words, in DataFrame functions only.
 
-Base kinds are email, ip, card and phone; the method adds bank account numbers (IBAN, confirmed
-mod 97). Every span has a score: a prior of its kind, raised by a passed checksum and by
-context words shortly before it. Base spans always stay; added kinds need ``MIN_SCORE``.
+Base kinds are email, ip, card and phone; the method adds bank account numbers (iban, confirmed
+mod 97), identity numbers (ssn) and access secrets (secret, long runs of letters and digits). Every
+span has a score: a prior of its kind, raised by a passed checksum and by context words
+shortly before it. Base spans always stay; added kinds need ``MIN_SCORE``, which those without
+a checksum reach only in context.
 
 Offsets come from marking matches in the text: matches stand between two private-use
 characters, the text is split there, and running lengths give code points. Classes are
@@ -20,7 +22,7 @@ from demandloom.llm.common import table
 
 MARK, STAND_IN = "\ue000", "\ue001"
 BASE = ("email", "ip", "card", "phone")
-KINDS = (*BASE, "iban")
+KINDS = (*BASE, "iban", "ssn", "secret")
 
 _LOCAL = "A-Za-z0-9._%+-"
 #: A start within a run is possible only right after a match, which \G stands for.
@@ -30,10 +32,12 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "iban": r"(?<![A-Za-z0-9_])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9_])",
+    "ssn": r"(?<![A-Za-z0-9_])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9_])",
+    "secret": r"[A-Za-z0-9+/_-]{20,}+",
 }
 #: Cheap tests that a text must pass before the pattern runs at all.
-NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+", "iban": None}
-PRIOR = {"email": 0.8, "ip": 0.5, "card": 0.4, "phone": 0.5, "iban": 0.4}
+NEEDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9][0-9 -]", "phone": r"\+[0-9]", "iban": "[A-Z]{2}[0-9]{2}", "ssn": "[0-9]-[0-9]{2}-[0-9]"}
+PRIOR = {"email": 0.8, "ip": 0.5, "card": 0.4, "phone": 0.5, "iban": 0.4, "ssn": 0.4, "secret": 0.3}
 CHECKED = {"card": 0.4, "iban": 0.5}
 CONTEXT_BONUS, CONTEXT_CHARS, MIN_SCORE = 0.2, 48, 0.5
 CONTEXT = {
@@ -42,7 +46,10 @@ CONTEXT = {
     "card": "card|visa|master|credit|debit|payment",
     "phone": "phone|call|tel|mobile|fax|dial",
     "iban": "iban|account|bank|transfer",
+    "ssn": "ssn|social|security|tax id|identity",
+    "secret": "token|secret|passw|credential|api.?key|access.?key|private.?key|auth",
 }
+NEEDS["secret"] = f"(?i){CONTEXT['secret']}"
 
 
 def _digits(match: Column) -> Column:
@@ -81,6 +88,10 @@ def valid(kind: str, match: Column) -> Column:
         return F.char_length(_digits(match)).between(9, 15)
     if kind == "iban":
         return mod97(match)
+    if kind == "ssn":  # areas, groups and serials that are never issued
+        return ~match.rlike("^(?:000|666|9)|-00-|-0000$")
+    if kind == "secret":
+        return match.rlike("[0-9]") & match.rlike("[A-Za-z]")
     return F.lit(True)
 
 
@@ -100,9 +111,7 @@ def spans(kind: str, text: Column) -> Column:
         return F.struct(end.alias("at"), (a["no"] + 1).alias("no"), F.right(part, F.lit(CONTEXT_CHARS)).alias("before"), F.when(keep, F.array_append(a["found"], span)).otherwise(a["found"]).alias("found"))
 
     found = F.aggregate(parts, start, step, lambda a: a["found"])
-    may = F.contains(text, F.lit(NEEDS[kind])) if NEEDS[kind] else F.lit(True)
-    if kind != "email":
-        may = may & text.rlike("[0-9]" if kind in ("ip", "phone") else "[0-9][0-9 -]")
+    may = text.rlike(NEEDS[kind])
     return F.when(may, found).otherwise(F.array().cast("array<struct<start:int,kind_no:int,kind:string,end:int,score:double>>"))
 
 
@@ -126,16 +135,21 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
     count = lambda kind: F.size(F.filter("pii", lambda s: s["kind"] == kind)).cast("long")
     base = F.filter("pii", lambda s: s["kind_no"] < len(BASE))
-    return found.select("doc_id", *(count(k).alias(f"n_{k}") for k in BASE), F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("pii")).alias("spans"))
+    scores = F.array_join(F.transform("pii", lambda s: F.round(100 * s["score"]).cast("int").cast("string")), ",")
+    return found.select(
+        "doc_id", *(count(k).alias(f"n_{k}") for k in KINDS), F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("pii")).alias("spans"), F.size("pii").cast("long").alias("n_spans"), scores.alias("score_pct")
+    )
 
 
 def _duck(kind: str, pattern: str, ok: str) -> str:
+    score = f"least({PRIOR[kind] + CHECKED.get(kind, 0.0)} + CASE WHEN regexp_matches(lower(before), '{CONTEXT[kind]}') THEN {CONTEXT_BONUS} ELSE 0 END, 1.0)"
+    enough = "" if kind in BASE else f" AND {score} >= {MIN_SCORE}"
     return f"""
 {kind}_parts AS (
   SELECT doc_id, string_split(regexp_replace(t, '({pattern})', chr(57344) || '\\1' || chr(57344), 'g'), chr(57344)) AS p FROM base),
 {kind}_at AS (
-  SELECT doc_id, p[i] AS m, i, length(array_to_string(p[1:i - 1], '')) AS s FROM (SELECT doc_id, p, unnest(range(2, len(p), 2)) AS i FROM {kind}_parts WHERE len(p) > 1)),
-{kind}_spans AS (SELECT doc_id, '{kind}' AS kind, {KINDS.index(kind)} AS kind_no, s, s + length(m) AS e FROM {kind}_at WHERE {ok})"""
+  SELECT doc_id, p[i] AS m, right(p[i - 1], {CONTEXT_CHARS}) AS before, i, length(array_to_string(p[1:i - 1], '')) AS s FROM (SELECT doc_id, p, unnest(range(2, len(p), 2)) AS i FROM {kind}_parts WHERE len(p) > 1)),
+{kind}_spans AS (SELECT doc_id, '{kind}' AS kind, {KINDS.index(kind)} AS kind_no, s, s + length(m) AS e, {score} AS score FROM {kind}_at WHERE {ok}{enough})"""
 
 
 _D = "regexp_replace(m, '[^0-9]', '', 'g')"
@@ -153,14 +167,20 @@ OP4_SQL = (
             _duck("card", r"[0-9](?:[\x20-]?[0-9])+", f"length({_D}) BETWEEN 12 AND 19 AND {_LUHN}"),
             _duck("phone", r"\+[0-9][\x20().0-9-]+[0-9]", f"length({_D}) BETWEEN 9 AND 15"),
             _duck("iban", r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}\b", _MOD97),
+            _duck("ssn", r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b", "NOT regexp_matches(m, '^(?:000|666|9)|-00-|-0000$')"),
+            _duck("secret", r"[A-Za-z0-9+/_-]{20,}", "regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Za-z]')"),
         )
     )
     + """,
-spans AS (SELECT * FROM email_spans UNION ALL SELECT * FROM ip_spans UNION ALL SELECT * FROM card_spans UNION ALL SELECT * FROM phone_spans UNION ALL SELECT * FROM iban_spans),
+spans AS ("""
+    + " UNION ALL ".join(f"SELECT * FROM {k}_spans" for k in KINDS)
+    + """),
 joined AS (SELECT doc_id, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, kind_no) AS listed, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, kind_no) FILTER (kind_no < 4) AS base_listed,
-  count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip, count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone
-  FROM spans GROUP BY doc_id)
-SELECT b.doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card, coalesce(n_phone, 0) AS n_phone,
-       sha256(coalesce(base_listed, '')) AS base_sha256, coalesce(listed, '') AS spans
+  string_agg(CAST(CAST(round(100 * score) AS INT) AS VARCHAR), ',' ORDER BY s, kind_no) AS scores, count(*) AS n_spans, """
+    + ", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in KINDS)
+    + """ FROM spans GROUP BY doc_id)
+SELECT b.doc_id, """
+    + ", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in KINDS)
+    + """, sha256(coalesce(base_listed, '')) AS base_sha256, coalesce(listed, '') AS spans, coalesce(n_spans, 0) AS n_spans, coalesce(scores, '') AS score_pct
 FROM base b LEFT JOIN joined j ON b.doc_id = j.doc_id"""
 )

@@ -27,6 +27,22 @@ def test_recall_on_the_whole_table(spark):
     assert np.mean([len({h[0] for h in got[q]} & set(want[q])) / 20 for q in want]) >= 0.95
 
 
+def test_recall_over_several_shards(spark):
+    """2,000 vectors in shards of 500: every shard is searched by a beam that holds a quarter of it; and in one shard, where it holds 6 %."""
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = [(r.vec_id, r.embedding) for r in table.collect()]
+    ids, vectors = np.array([i for i, _ in rows]), np.array([v for _, v in rows], float)
+    asked = ids % 20 == 0
+    scores = vectors[asked] @ vectors.T
+    scores[np.arange(asked.sum()), np.nonzero(asked)[0]] = -np.inf
+    want = {q: set(ids[np.lexsort([ids, -s])[:20]].tolist()) for q, s in zip(ids[asked].tolist(), scores, strict=True)}
+    for size in (500, 4_500):
+        got = {}
+        for r in nearest(table, F.col("vec_id") % 20 == 0, shard_rows=size).collect():
+            got.setdefault(r.query_id, set()).add(r.vec_id)
+        assert got.keys() == want.keys() and np.mean([len(got[q] & want[q]) / 20 for q in want]) >= 0.95
+
+
 def test_shards_ties_copies_and_bad_vectors(spark):
     rng = np.random.default_rng(0)
     rows = [(k, [float(x) for x in rng.normal(size=8) * (1 + k % 3)]) for k in range(300)]
