@@ -1,29 +1,38 @@
-"""From raw documents to packed training sequences: one corpus operator a stage."""
+"""From raw documents to packed training sequences: one corpus operator a stage.
+
+Every stage takes rows with nulls in any column, empty and very long texts, repeated rows, an empty
+table, and further columns of any name; all but the last return the columns that they were given.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandloom.llm import language, line_dedup, mixing, near_dedup, packing
 from demandloom.llm.common import materialise, table
 
 
+def _same(docs: DataFrame) -> list[Column]:
+    """The columns of ``docs``, whatever their names."""
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is accepted."""
-    return language.identify(docs, host=F.col("source")).filter("accepted").select(*docs.columns)
+    """Documents whose language is accepted; null texts and texts without letters are not."""
+    return language.identify(docs, host=F.col("source")).filter("accepted").select(*_same(docs))
 
 
 def remove_spread_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that many sites show; n_chars follows the text."""
+    """Documents without lines that many sites show; n_chars follows the text. All documents stay, a null text as null."""
     out = line_dedup.dedup_lines(docs)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    return out.select(*_same(docs))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of copies and near copies."""
+    """One document of each class of copies and near copies; null texts all stay, empty ones are one class."""
     return near_dedup.keep_one(docs)
 
 
