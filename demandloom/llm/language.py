@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from demandloom.llm.common import LONG_WORD, SLICE_BYTES, WORDS_KEPT, cuts, discard, materialise, maybe_broadcast, table, text_parts, worker_kept
+from demandloom.llm.common import LONG_WORD, SLICE_BYTES, WORDS_KEPT, cuts, discard, materialise, maybe_broadcast, once, table, text_parts, worker_kept
 
 #: Documents with a known language that the text model is fitted on, about: a bounded sample by hash.
 TRAIN_DOCS = 4_000
@@ -155,8 +155,8 @@ def address_suffix(host: Column) -> Column:
 
 
 def _softmax(logs: Column) -> Column:
-    raised = F.transform(logs, lambda x: F.exp(x - F.array_max(logs)))
-    return F.transform(raised, lambda x: x / F.aggregate(raised, F.lit(0.0), lambda a, y: a + y))
+    shares = lambda up: once(F.aggregate(up, F.lit(0.0), lambda a, y: a + y), lambda total: F.transform(up, lambda x: x / total))
+    return once(logs, lambda xs: once(F.array_max(xs), lambda top: once(F.transform(xs, lambda x: F.exp(x - top)), shares)))
 
 
 def training_rows(docs: DataFrame, id_col: str, text_col: str, label_col: str, train_docs: int, longest: int = TRAIN_LONGEST) -> DataFrame:
@@ -235,9 +235,11 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     discard(by_host)
 
     met = scored.join(maybe_broadcast(priors, priors.count(), BROADCAST_ROWS), "host")
-    post = met.withColumn("post", fused(names, F.col("evidence"), F.col("counts"), F.col("suffix_prior"), F.col("declared")))
-    guess = F.element_at(F.array(*map(F.lit, [*names, OTHER])), F.array_position("post", F.array_max("post")).cast("int"))
-    named = post.select("row", "letters", F.when(F.col("letters"), guess).otherwise(OTHER).alias("language"), F.when(F.col("letters"), F.array_max("post")).otherwise(0.0).alias("posterior"))
+    post = fused(names, F.col("evidence"), F.col("counts"), F.col("suffix_prior"), F.col("declared"))
+    every_name = F.array(*map(F.lit, [*names, OTHER]))
+    best = once(post, lambda xs: once(F.array_max(xs), lambda top: F.struct(F.element_at(every_name, F.array_position(xs, top).cast("int")).alias("language"), top.alias("posterior"))))
+    guess = met.select("row", "letters", F.when(F.col("letters"), best).alias("best"))
+    named = guess.select("row", "letters", F.coalesce("best.language", F.lit(OTHER)).alias("language"), F.coalesce("best.posterior", F.lit(0.0)).alias("posterior"))
     accepted = F.col("letters") & (F.col("language") != OTHER) & (F.col("posterior") >= MIN_POSTERIOR)
     return named.select(*(F.col("row").getField(c).alias(c) for c in kept), "language", "posterior", accepted.alias("accepted"))
 

@@ -41,3 +41,62 @@ def test_empty_table_and_no_labels(spark):
     schema = "doc_id long, text string, lang string, source string"
     assert L.identify(spark.createDataFrame([], schema), host=F.col("source")).count() == 0
     assert not L.identify(spark.createDataFrame([(1, "words here", None, "s")], schema), host=F.col("source")).first().accepted
+
+
+def brute_force(rows, names, known, unseen):
+    """doc_id -> (language, posterior) of rows (doc_id, text, lang, host), in plain loops."""
+    classes = [*names, L.OTHER]
+
+    def softmax(v):
+        e = np.exp(np.array(v) - max(v))
+        return e / e.sum()
+
+    def evidence(text):
+        total = np.zeros(len(classes))
+        for w in (text or "").split():
+            for g in L.trigrams(w):
+                total += known.get(g, unseen)
+        total = L.TEMPER * total
+        total -= total.max()
+        return total * min(1.0, L.MOST / -total.min()) if total.min() else total
+
+    suffix = lambda h: h.rsplit(".", 1)[1].lower() if h and "." in h else ""
+    logs = {r: evidence(r[1]) for r in rows}
+    shares = {r: softmax(logs[r]) for r in rows}
+    host, by_suffix, every = {}, {}, np.zeros(len(classes))
+    for r in rows:
+        h = r[3] or ""
+        host[h] = host.get(h, 0) + shares[r]
+        by_suffix[suffix(h)] = by_suffix.get(suffix(h), 0) + shares[r]
+        every = every + shares[r]
+    every = (every + 1) / (every.sum() + len(classes))
+    out = {}
+    for r in rows:
+        h = r[3] or ""
+        s = by_suffix[suffix(h)]
+        towards = (s + L.SUFFIX_WEIGHT * every) / (s.sum() + L.SUFFIX_WEIGHT)
+        prior = np.maximum(host[h] - shares[r], 0) + L.HOST_WEIGHT * towards
+        total = logs[r] + np.log(prior + 1e-9)
+        total[-1] += np.log(L.OTHER_PRIOR)
+        post = softmax(total)
+        letters = any(c.isalpha() for c in r[1] or "")
+        out[r[0]] = (classes[int(post.argmax())], float(post.max())) if letters else (L.OTHER, 0.0)
+    return out
+
+
+def test_fusion_against_brute_force(spark):
+    rng = np.random.default_rng(4)
+    vocabulary = {"en": ["the", "thing", "with", "shall"], "de": ["der", "und", "nicht", "schon"], "fr": ["le", "quel", "vous", "eaux"]}
+    rows = []
+    for k in range(240):
+        lang = ("en", "de", "fr")[k % 3]
+        other = ("de", "fr", "en")[k % 3]
+        words = [str(rng.choice(vocabulary[lang if rng.random() < 0.7 else other])) for _ in range(int(rng.integers(1, 6)))]
+        rows.append((k, " ".join(words), lang, None if k % 40 == 0 else f"h{k % 11}.{lang if k % 5 else 'com'}"))
+    rows += [(900, "zqzq", None, "h1.de"), (901, "", None, "h1.de"), (902, "123", None, None), (903, None, None, "x"), (904, "the und", None, "H.DE")]
+    names, known, unseen = L.fit([r[1] for r in rows if r[2]], [r[2] for r in rows if r[2]])
+    want = brute_force(rows, names, {g: np.array(v) for g, v in known.items()}, np.array(unseen))
+    got = L.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string, host string"), host=F.col("host"), train_docs=100_000).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.language == want[r.doc_id][0] and abs(r.posterior - want[r.doc_id][1]) < 1e-9, r
