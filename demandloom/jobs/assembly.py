@@ -1,11 +1,15 @@
-"""The wide training table: one row a shop, item and day with the features of every grain."""
+"""The wide training table: one row a shop, item and day with the features of every grain.
+
+Each grain is computed and written once, dated ones in folders by month; a month's table joins
+what those folders hold.
+"""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CATEGORY = ("category_qty", "category_qty_7d", "category_sold")
@@ -13,7 +17,7 @@ CATEGORY = ("category_qty", "category_qty_7d", "category_sold")
 
 @dataclass(frozen=True)
 class Parts:
-    """Feature tables by grain. Columns other than keys have a prefix of their grain, so joins make no name twice."""
+    """Feature tables by grain. Columns other than keys have a prefix of their grain; additional has the pairs that only the test period has."""
 
     pairs: DataFrame
     shops: DataFrame
@@ -22,13 +26,43 @@ class Parts:
     item_dates: DataFrame
     shop_dates: DataFrame
     category_dates: DataFrame
+    additional: DataFrame
+
+
+def write_all_features(parts: Parts, path: str) -> None:
+    """Write every grain; those with dates in folders by month (a number yyyymm)."""
+    for f in fields(parts):
+        df = getattr(parts, f.name)
+        if "date" in df.columns:
+            df.withColumn("month", F.year("date") * 100 + F.month("date")).write.mode("overwrite").partitionBy("month").parquet(f"{path}/{f.name}")
+        else:
+            df.write.mode("overwrite").parquet(f"{path}/{f.name}")
+
+
+def stored(spark: SparkSession, path: str) -> Parts:
+    return Parts(**{f.name: spark.read.parquet(f"{path}/{f.name}") for f in fields(Parts)})
+
+
+def cut(df: DataFrame, first: date, last: date) -> DataFrame:
+    """The period's rows of a stored grain; months outside it are never read."""
+    if "date" not in df.columns:
+        return df
+    months = F.col("month").between(first.year * 100 + first.month, last.year * 100 + last.month)
+    return df.filter(months & F.col("date").between(F.lit(first), F.lit(last))).drop("month")
+
+
+def join_once(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """A join that has every column name once: of columns that both sides have, the left one's stay."""
+    taken = {c.lower() for c in left.columns if c not in on}
+    return left.join(right.select(*(c for c in right.columns if c in on or c.lower() not in taken)), on, how)
 
 
-def merge_all_features(parts: Parts) -> DataFrame:
+def merge_all_features(parts: Parts, pairs: DataFrame | None = None) -> DataFrame:
     """Inner joins of all grains but the category's. The planner broadcasts what its statistics show to be small."""
-    return (
-        parts.pairs.join(parts.shops, "shop_id").join(parts.items, "item_id").join(parts.dates, "date").join(parts.item_dates, ["item_id", "date"]).join(parts.shop_dates, ["shop_id", "date"])
-    )
+    df = parts.pairs if pairs is None else pairs
+    for part, on in ((parts.shops, ["shop_id"]), (parts.items, ["item_id"]), (parts.dates, ["date"]), (parts.item_dates, ["item_id", "date"]), (parts.shop_dates, ["shop_id", "date"])):
+        df = join_once(df, part, on)
+    return df
 
 
 def zero_fill(df: DataFrame, columns=CATEGORY) -> DataFrame:
@@ -36,13 +70,11 @@ def zero_fill(df: DataFrame, columns=CATEGORY) -> DataFrame:
 
 
 def feature_table(parts: Parts, first: date, last: date, additional: bool = False) -> DataFrame:
-    """The period's rows joined to all grains. For additional pairs the category's days may be missing and count as 0.
+    """The period's pair days (or those of additional pairs) joined to all stored grains.
 
-    The period is cut before any join; its filter on date reaches the scans of all dated tables.
+    For additional pairs the category's days may be missing and count as 0.
     """
-    inside = F.col("date").between(F.lit(first), F.lit(last))
-    cut = Parts(parts.pairs.filter(inside), parts.shops, parts.items, parts.dates.filter(inside), parts.item_dates.filter(inside), parts.shop_dates.filter(inside), parts.category_dates.filter(inside))
-    category = cut.category_dates.withColumnRenamed("item_category_id", "sid_item_category_id")
-    key = ["shop_id", "sid_item_category_id", "date"]
-    wide = merge_all_features(cut).join(category, key, "left" if additional else "inner")
+    now = Parts(**{f.name: cut(getattr(parts, f.name), first, last) for f in fields(parts)})
+    category = now.category_dates.withColumnRenamed("item_category_id", "sid_item_category_id")
+    wide = join_once(merge_all_features(now, now.additional if additional else None), category, ["shop_id", "sid_item_category_id", "date"], "left" if additional else "inner")
     return zero_fill(wide) if additional else wide

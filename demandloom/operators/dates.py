@@ -3,20 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date, timedelta
+from datetime import date
 from math import pi
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandloom.operators.clean import add_col_prefix
 from demandloom.params import Calendar
 
 
-def date_spine(spark: SparkSession, calendar: Calendar) -> DataFrame:
-    days = F.sequence(F.lit(calendar.train_start), F.lit(calendar.test_end))
-    return spark.range(1).select(F.explode(days).alias("date"))
+def date_spine(df: DataFrame, until: date | None = None, col: str = "date") -> DataFrame:
+    """Every day from the first date of ``df`` to its last one, or to ``until`` if that is later; none without dates."""
+    ends = df.agg(F.min(col).alias("a"), F.max(col).alias("z"))
+    last = F.greatest("z", F.lit(until)) if until else F.col("z")
+    return ends.filter("a is not null").select(F.explode(F.sequence("a", last)).alias("date"))
 
 
 def calendar_parts(df: DataFrame, start: date) -> DataFrame:
@@ -90,12 +92,19 @@ def daily_lags(df: DataFrame, macro_column: str | None = None) -> DataFrame:
     return df.withColumns(out)
 
 
-def build_date_features(spark: SparkSession, calendar: Calendar, sales: DataFrame, macro: DataFrame, releases: DataFrame, macro_column: str = "brent") -> DataFrame:
-    df = cyclic_encoding(calendar_parts(date_spine(spark, calendar), calendar.train_start))
-    df = event_flag(holiday_features(df, calendar.holidays), calendar.events)
-    df = macro_join(df, macro, calendar.train_start, calendar.train_end)
-    df = daily_total_qty(release_features(df, releases, calendar.test_end), sales)
-    return add_col_prefix(daily_lags(df, macro_column), "d_", ["date"])
+def calendar_features(days: DataFrame, calendar: Calendar) -> DataFrame:
+    """Parts, their cycles, holidays and events of each day."""
+    return event_flag(holiday_features(cyclic_encoding(calendar_parts(days, calendar.train_start)), calendar.holidays), calendar.events)
+
+
+def build_date_features(calendar: Calendar, sales: DataFrame, macro: DataFrame | None = None, releases: DataFrame | None = None, macro_column: str = "brent") -> DataFrame:
+    """All date features from the first sale to the end of the test period; sales are those of the train period."""
+    df = calendar_features(date_spine(sales, calendar.test_end), calendar)
+    if macro is not None:
+        df = macro_join(df, macro, calendar.train_start, calendar.train_end)
+    if releases is not None:
+        df = release_features(df, releases, calendar.test_end)
+    return add_col_prefix(daily_lags(daily_total_qty(df, sales), macro_column if macro is not None else None), "d_", ["date"])
 
 
 def daily_series(sales: DataFrame, start: date, end: date, qty: str = "item_cnt_day") -> DataFrame:
@@ -157,11 +166,3 @@ def series_correlation(series: DataFrame, indicators: DataFrame, column: str, la
     now = indicators.select("day", F.col(column).cast("double").alias("x"))
     past = indicators.select((F.col("day") + lag).alias("day"), F.col(column).cast("double").alias("x_past"))
     return series.join(now, "day", "left").join(past, "day", "left").agg(F.corr("y", "x").alias("corr"), F.corr("y", "x_past").alias("corr_lagged"))
-
-
-def days_between(a: date, b: date) -> list[date]:
-    return [a + timedelta(k) for k in range((b - a).days + 1)]
-
-
-def as_int(flag: Column) -> Column:
-    return flag.cast("int")

@@ -195,19 +195,31 @@ def unique_partners_before(panel: DataFrame, sales: DataFrame, levels: Sequence[
     return panel.join(fresh, [*levels, "date"], "left").withColumn(name, _or0(F.sum("_new").over(before(levels)))).drop("_new")
 
 
-def build_panel(sales: DataFrame, test: DataFrame, levels: Sequence[str], train_end: date, extras: Sequence[str] = ()) -> DataFrame:
-    """The dense panel of a grain with all features that its levels share."""
-    daily = sales.groupBy(*levels, "date").agg(F.sum("item_cnt_day").alias("qty"), *((F.avg("item_price").alias("price"),) if "price" in extras else ()))
-    df = densify(daily, levels, test, train_end)
+def panel_features(panel: DataFrame, levels: Sequence[str], extras: Sequence[str] = ()) -> DataFrame:
+    """A dense panel with all features that its levels share."""
     columns: dict[str, Column] = {}
     for f in SIMPLE:
         columns |= f(levels)
-    df = add_spikes(add_last_two_qty_diff(add_gap_stats(df.withColumns(columns), levels), levels), levels)
+    df = add_spikes(add_last_two_qty_diff(add_gap_stats(panel.withColumns(columns), levels), levels), levels)
     if "price" in extras:
         df = add_deviations(df.withColumns(expanding_price_cv(levels)), levels).drop("price")
     return df
 
 
+def build_panel(sales: DataFrame, test: DataFrame, levels: Sequence[str], train_end: date, extras: Sequence[str] = ()) -> DataFrame:
+    """The dense panel of a grain with all features that its levels share."""
+    daily = sales.groupBy(*levels, "date").agg(F.sum("item_cnt_day").alias("qty"), *((F.avg("item_price").alias("price"),) if "price" in extras else ()))
+    return panel_features(densify(daily, levels, test, train_end), levels, extras)
+
+
+def additional_days(pairs: DataFrame, sales: DataFrame, train_end: date) -> DataFrame:
+    """Empty days of pairs that never sold: from the first day on which both their shop and their item had sold, to ``train_end``."""
+    first = lambda key: sales.groupBy(key).agg(F.min("date").alias(f"_{key}"))
+    begun = pairs.select(*PAIR).distinct().join(first("shop_id"), "shop_id").join(first("item_id"), "item_id")
+    days = begun.select(*PAIR, F.explode(F.sequence(F.greatest("_shop_id", "_item_id"), F.lit(train_end))).alias("date"))
+    return days.select(*PAIR, "date", F.lit(0.0).alias("qty"), F.lit(False).alias("sold"), F.lit(None).cast("double").alias("price"))
+
+
 # Older variants on the sparse series.
 
 
@@ -286,5 +298,3 @@ def shop_category_panel(sales: DataFrame, categories: DataFrame) -> DataFrame:
     return daily.withColumns(
         {"category_qty_7d": F.coalesce(F.sum("qty").over(before(key, 7)), F.lit(0.0)), "category_sold": (F.coalesce(F.sum("qty").over(before(key)), F.lit(0.0)) != 0).cast("int")}
     ).drop("sold")
-
-

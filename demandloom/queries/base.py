@@ -14,7 +14,7 @@ CTE = {
        CAST((year(l_shipdate) - 1995) * 12 + month(l_shipdate) - 1 AS INT) AS date_block_num, l_extendedprice / l_quantity AS item_price,
        CASE WHEN l_returnflag = 'R' THEN -l_quantity ELSE l_quantity END AS item_cnt_day FROM lineitem""",
     "panel_sales": """SELECT user_id AS shop_id, CASE event_type WHEN 'click' THEN 0 WHEN 'error' THEN 1 WHEN 'purchase' THEN 2 WHEN 'signup' THEN 3 ELSE 4 END AS item_id,
-       CAST(ts AS DATE) AS date, CAST(month(ts) - 1 AS INT) AS date_block_num,
+       CASE WHEN (5 * user_id + CASE event_type WHEN 'click' THEN 0 WHEN 'error' THEN 1 WHEN 'purchase' THEN 2 WHEN 'signup' THEN 3 ELSE 4 END) % 11 = 0 THEN DATE '2024-01-24' + CAST(day(ts) % 7 AS INT) ELSE CAST(ts AS DATE) END AS date, CAST(month(ts) - 1 AS INT) AS date_block_num,
        CAST(10 * (CASE event_type WHEN 'click' THEN 0 WHEN 'error' THEN 1 WHEN 'purchase' THEN 2 WHEN 'signup' THEN 3 ELSE 4 END + 1) + event_id % 3 AS DOUBLE) AS item_price,
        CASE WHEN event_type = 'error' AND event_id % 2 = 0 THEN CAST(-(event_id % 5 + 1) AS DOUBLE) ELSE CAST(event_id % 5 + 1 AS DOUBLE) END AS item_cnt_day FROM events""",
     "items": """SELECT CAST(p_partkey AS INT) AS item_id, p_name AS item_name, CAST(100 * (CASE p_type WHEN 'ECONOMY' THEN 0 WHEN 'LARGE' THEN 1 WHEN 'MEDIUM' THEN 2
@@ -28,13 +28,17 @@ CTE = {
        concat('UTC+', CAST(3 + n_nationkey % 6 AS VARCHAR)) AS time_zone FROM nation""",
     "macro": """SELECT CAST(o_orderdate AS DATE) AS date, min(o_totalprice) AS brent, max(o_totalprice) AS usdrub, count(*) AS orders_cnt,
        CASE WHEN count(*) % 4 = 0 THEN NULL ELSE count(*) END AS with_nulls FROM orders GROUP BY 1""",
-    "releases": "SELECT CAST(o_orderdate AS DATE) AS release_date FROM orders WHERE o_orderpriority = '1-URGENT' AND o_custkey % 50 = 0",
+    "releases": "SELECT CAST(o_orderdate AS DATE) AS release_date FROM orders WHERE o_orderpriority = '1-URGENT' AND o_totalprice > 490000",
     "housing": """SELECT l_orderkey AS id, CAST(l_shipdate AS DATE) AS timestamp, l_extendedprice AS price_doc, l_quantity AS full_sq, nullif(l_tax, 0) AS life_sq, nullif(l_discount, 0) AS kitch_sq,
        CAST(l_linenumber AS INT) AS floor, CAST(p_size AS INT) AS max_floor, CASE WHEN p_size % 7 <> 0 THEN CAST(l_linenumber + 1990 AS INT) END AS build_year, l_tax AS num_room,
        l_returnflag AS product_type, p_brand AS sub_area FROM lineitem JOIN part ON l_partkey = p_partkey""",
     "houses": """SELECT p_partkey AS id, p_retailprice AS SalePrice, p_brand AS brand, p_type AS kind, CAST(p_size AS VARCHAR) AS size,
        CASE p_size % 6 WHEN 0 THEN 'Ex' WHEN 1 THEN 'Gd' WHEN 2 THEN 'TA' WHEN 3 THEN 'Fa' WHEN 4 THEN 'Po' END AS quality FROM part""",
     "image_labels": "SELECT doc_id AS Image, concat(lang, '-', source) AS Id FROM documents",
+    "closing_sales": "SELECT * FROM sales WHERE shop_id % 5 <> 0 OR date < DATE '1999-01-01' + CAST(shop_id % 24 * 30 AS INT)",
+    "launched_sales": "SELECT s.* FROM sales s JOIN items i ON s.item_id = i.item_id WHERE date >= DATE '1995-01-01' + CAST(item_category_id * 37 % 2500 AS INT)",
+    "known_shops": "SELECT * FROM shops WHERE shop_id % 10 <> 0",
+    "known_items": "SELECT * FROM items WHERE item_id % 7 <> 0",
     # cleaning, as one statement of its rules
     "d": "SELECT DISTINCT * FROM panel_sales",
     "g": """SELECT shop_id, item_id, date, min(date_block_num) AS date_block_num, count(*) AS n, bool_or(item_cnt_day > 0) AND bool_or(item_cnt_day < 0) AS mixed,
@@ -44,7 +48,7 @@ CTE = {
     "train": "SELECT * FROM clean WHERE date <= DATE '2024-01-23'",
     "test": "SELECT DISTINCT shop_id, item_id FROM clean WHERE date >= DATE '2024-01-24'",
 }
-NEEDS = {"d": ["panel_sales"], "g": ["d"], "clean_all": ["g"], "clean": ["clean_all"], "train": ["clean"], "test": ["clean"]}
+NEEDS = {"closing_sales": ["sales"], "launched_sales": ["sales", "items"], "known_shops": ["shops"], "known_items": ["items"], "d": ["panel_sales"], "g": ["d"], "clean_all": ["g"], "clean": ["clean_all"], "train": ["clean"], "test": ["clean"]}
 
 
 def with_ctes(body: str, *names: str) -> str:
@@ -63,6 +67,8 @@ def with_ctes(body: str, *names: str) -> str:
     body = body.strip()
     if not head:
         return body
+    if body.upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {head}, {body[15:]}"
     return f"WITH {head}, {body[5:]}" if body.upper().startswith("WITH ") else f"WITH {head}\n{body}"
 
 

@@ -62,9 +62,15 @@ def q_downcast(spark, sf):
     return C.downcast(PS(spark, sf).select("shop_id", "item_id", "item_cnt_day"))
 
 
-@query("sql_type_map", "SELECT field, sql_type FROM (VALUES ('shop_id', 'BIGINT'), ('item_id', 'INT'), ('date', 'DATETIME'), ('date_block_num', 'INT'), ('item_price', 'FLOAT'), ('item_cnt_day', 'FLOAT')) t(field, sql_type)")
+_TYPES = {"shop_id": "BIGINT", "item_id": "INT", "date": "DATETIME", "date_block_num": "INT", "item_price": "FLOAT", "item_cnt_day": "FLOAT"}
+
+
+@query("sql_type_map", " UNION ALL ".join(f"SELECT '{c}' AS field, '{t}' AS sql_type, count({c}) AS n_values FROM panel_sales" for c, t in _TYPES.items()), "panel_sales")
 def q_types(spark, sf):
-    return spark.createDataFrame(list(C.sql_type_map(PS(spark, sf)).items()), "field string, sql_type string")
+    df = PS(spark, sf)
+    kinds = C.sql_type_map(df)
+    counts = df.agg(F.array(*(F.struct(F.lit(c).alias("field"), F.lit(t).alias("sql_type"), F.count(c).alias("n_values")) for c, t in kinds.items())).alias("rows"))
+    return counts.select(F.explode("rows").alias("r")).select("r.*")
 
 
 @query("add_col_prefix", "SELECT shop_id, item_id, date, item_price AS x_item_price, item_cnt_day AS x_item_cnt_day FROM d", "d")

@@ -181,27 +181,47 @@ def q_crosstab(spark, sf):
 
 # dates
 
-_SPINE = "SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2001-11-30', INTERVAL 1 DAY)) AS DATE) AS date"
-_MC = "((year(date) - 1995) * 12 + month(date) - 1)"
-_PARTS = f"CAST({_MC} AS INT) AS month_counter, CAST(date - DATE '1995-01-01' + 1 AS INT) AS day_counter, CAST(year(date) AS INT) AS year, CAST({_MC} % 12 AS INT) AS month, CAST(day(last_day(date)) AS INT) AS days_in_month, CAST(isodow(date) - 1 AS INT) AS weekday, CAST(isodow(date) >= 6 AS INT) AS weekend, CAST(quarter(date) AS INT) AS quarter, CAST({_MC} // 3 AS INT) + 1 AS quarter_counter, CAST(weekofyear(date) AS INT) AS week"
-_CYCLE = ", ".join(f"round({f}({n} * {2 * pi / p!r}), 9) AS {n}_{f}" for n, p in (("month", 12), ("weekday", 7), ("quarter", 4), ("week", 52)) for f in ("sin", "cos"))
-_DAYS = "(VALUES " + ", ".join(f"(DATE '{h}')" for h in SALES.holidays) + ") h(h)"
-_HOLIDAY = f"CAST(date IN (SELECT h FROM {_DAYS}) AS INT) AS holiday, CAST((SELECT min(h) FROM {_DAYS} WHERE h >= date) - date AS INT) AS days_to_holiday, CAST(date - (SELECT max(h) FROM {_DAYS} WHERE h <= date) AS INT) AS days_since_holiday"
-_EVENT = "CAST(" + " OR ".join(f"date BETWEEN DATE '{a}' AND DATE '{b}'" for a, b in SALES.events) + " AS INT) AS event"
+_TRAIN_SALES = "(SELECT * FROM sales WHERE date <= DATE '2001-08-31')"
 
 
-def spine(spark):
-    return T.date_spine(spark, SALES)
+def spine_sql(sales: str, calendar) -> str:
+    return f"SELECT CAST(unnest(generate_series(min(date), greatest(max(date), DATE '{calendar.test_end}'), INTERVAL 1 DAY)) AS DATE) AS date FROM {sales}"
 
 
-@query("date_spine", _SPINE)
+def calendar_sql(calendar) -> tuple[str, str, str, str]:
+    """Parts, cycles, holidays and events of a table's date."""
+    first = calendar.train_start
+    mc = f"((year(date) - {first.year}) * 12 + month(date) - {first.month})"
+    parts = f"CAST({mc} AS INT) AS month_counter, CAST(date - DATE '{first}' + 1 AS INT) AS day_counter, CAST(year(date) AS INT) AS year, CAST({mc} % 12 AS INT) AS month, CAST(day(last_day(date)) AS INT) AS days_in_month, CAST(isodow(date) - 1 AS INT) AS weekday, CAST(isodow(date) >= 6 AS INT) AS weekend, CAST(quarter(date) AS INT) AS quarter, CAST({mc} // 3 AS INT) + 1 AS quarter_counter, CAST(weekofyear(date) AS INT) AS week"
+    cycle = ", ".join(f"round({f}({n} * {2 * pi / p!r}), 9) AS {n}_{f}" for n, p in (("month", 12), ("weekday", 7), ("quarter", 4), ("week", 52)) for f in ("sin", "cos"))
+    days = "(VALUES " + ", ".join(f"(DATE '{h}')" for h in calendar.holidays) + ") h(h)"
+    holiday = f"CAST(date IN (SELECT h FROM {days}) AS INT) AS holiday, CAST((SELECT min(h) FROM {days} WHERE h >= date) - date AS INT) AS days_to_holiday, CAST(date - (SELECT max(h) FROM {days} WHERE h <= date) AS INT) AS days_since_holiday"
+    event = "CAST(" + " OR ".join(f"date BETWEEN DATE '{a}' AND DATE '{b}'" for a, b in calendar.events) + " AS INT) AS event"
+    return parts, cycle, holiday, event
+
+
+_SPINE = spine_sql(_TRAIN_SALES, SALES)
+_PARTS, _CYCLE, _HOLIDAY, _EVENT = calendar_sql(SALES)
+#: Rows of sales with their own date's features: what a model reads.
+_FACTS = "SELECT DISTINCT date, shop_id FROM sales"
+
+
+def spine(spark, sf):
+    return T.date_spine(train_test(spark, sf)[0], SALES.test_end)
+
+
+def facts(spark, sf):
+    return A.sales(spark, sf).select("date", "shop_id").distinct()
+
+
+@query("date_spine", _SPINE, "sales")
 def q_spine(spark, sf):
-    return spine(spark)
+    return spine(spark, sf)
 
 
-@query("calendar_parts", f"SELECT date, {_PARTS} FROM ({_SPINE})")
+@query("calendar_parts", f"SELECT date, shop_id, {_PARTS} FROM ({_FACTS})", "sales")
 def q_parts(spark, sf):
-    return T.calendar_parts(spine(spark), SALES.train_start)
+    return T.calendar_parts(facts(spark, sf), SALES.train_start)
 
 
 def _nine(df, *columns):
@@ -211,41 +231,41 @@ def _nine(df, *columns):
 _TRIG = [f"{n}_{f}" for n in ("month", "weekday", "quarter", "week") for f in ("sin", "cos")]
 
 
-@query("cyclic_encoding", f"SELECT date, {_CYCLE} FROM (SELECT date, {_PARTS} FROM ({_SPINE}))")
+@query("cyclic_encoding", f"SELECT date, shop_id, {_CYCLE} FROM (SELECT date, shop_id, {_PARTS} FROM ({_FACTS}))", "sales")
 def q_cyclic(spark, sf):
-    return _nine(T.cyclic_encoding(T.calendar_parts(spine(spark), SALES.train_start)).select("date", *_TRIG), *_TRIG)
+    return _nine(T.cyclic_encoding(T.calendar_parts(facts(spark, sf), SALES.train_start)).select("date", "shop_id", *_TRIG), *_TRIG)
 
 
-@query("holiday_features", f"SELECT date, {_HOLIDAY} FROM ({_SPINE})")
+@query("holiday_features", f"SELECT date, shop_id, {_HOLIDAY} FROM ({_FACTS})", "sales")
 def q_holiday(spark, sf):
-    return T.holiday_features(spine(spark), SALES.holidays)
+    return T.holiday_features(facts(spark, sf), SALES.holidays)
 
 
-@query("event_flag", f"SELECT date, {_EVENT} FROM ({_SPINE})")
+@query("event_flag", f"SELECT date, shop_id, {_EVENT} FROM ({_FACTS})", "sales")
 def q_event(spark, sf):
-    return T.event_flag(spine(spark), SALES.events)
+    return T.event_flag(facts(spark, sf), SALES.events)
 
 
 _INSIDE = "SELECT date, brent, usdrub, orders_cnt FROM macro WHERE date BETWEEN DATE '1995-01-01' AND DATE '2001-08-31'"
 
 
-@query("macro_join", f"SELECT s.date, brent, usdrub, orders_cnt FROM ({_SPINE}) s LEFT JOIN ({_INSIDE}) m ON s.date = m.date", "macro")
+@query("macro_join", f"SELECT s.date, brent, usdrub, orders_cnt FROM ({_SPINE}) s LEFT JOIN ({_INSIDE}) m ON s.date = m.date", "macro", "sales")
 def q_macro(spark, sf):
-    return T.macro_join(spine(spark), A.macro(spark, sf), SALES.train_start, SALES.train_end)
+    return T.macro_join(spine(spark, sf), A.macro(spark, sf), SALES.train_start, SALES.train_end)
 
 
 _REL = "(SELECT release_date, count(*) AS n FROM releases WHERE release_date <= DATE '2001-11-30' GROUP BY 1)"
 _RELEASES = f"coalesce((SELECT n FROM {_REL} WHERE release_date = date), 0) AS n_releases, CAST(EXISTS (SELECT 1 FROM {_REL} WHERE release_date = date) AS INT) AS any_release, CAST(EXISTS (SELECT 1 FROM {_REL} WHERE date BETWEEN release_date AND release_date + 2) AS INT) AS release_window"
 
 
-@query("release_counts", f"SELECT date, n_releases, any_release FROM (SELECT date, {_RELEASES} FROM ({_SPINE}))", "releases")
+@query("release_counts", f"SELECT date, n_releases, any_release FROM (SELECT date, {_RELEASES} FROM ({_SPINE}))", "releases", "sales")
 def q_releases(spark, sf):
-    return T.release_features(spine(spark), A.releases(spark, sf), SALES.test_end).drop("release_window")
+    return T.release_features(spine(spark, sf), A.releases(spark, sf), SALES.test_end).drop("release_window")
 
 
-@query("release_window_flag", f"SELECT date, release_window FROM (SELECT date, {_RELEASES} FROM ({_SPINE}))", "releases")
+@query("release_window_flag", f"SELECT date, release_window FROM (SELECT date, {_RELEASES} FROM ({_SPINE}))", "releases", "sales")
 def q_window(spark, sf):
-    return T.release_features(spine(spark), A.releases(spark, sf), SALES.test_end).select("date", "release_window")
+    return T.release_features(spine(spark, sf), A.releases(spark, sf), SALES.test_end).select("date", "release_window")
 
 
 _TOTAL = f"SELECT s.date, coalesce(q, 0.0) AS total_qty FROM ({_SPINE}) s LEFT JOIN (SELECT date, sum(item_cnt_day) AS q FROM sales WHERE date <= DATE '2001-08-31' GROUP BY 1) t ON s.date = t.date"
@@ -253,7 +273,7 @@ _TOTAL = f"SELECT s.date, coalesce(q, 0.0) AS total_qty FROM ({_SPINE}) s LEFT J
 
 @query("daily_total_qty", _TOTAL, "sales")
 def q_total(spark, sf):
-    return T.daily_total_qty(spine(spark), train_test(spark, sf)[0])
+    return T.daily_total_qty(spine(spark, sf), train_test(spark, sf)[0])
 
 
 _LAGS = ", ".join(f"coalesce(lag(total_qty, {k}) OVER (ORDER BY date), 0.0) AS total_qty_lag{k}" for k in (1, 6, 7))
@@ -261,11 +281,11 @@ _LAGS = ", ".join(f"coalesce(lag(total_qty, {k}) OVER (ORDER BY date), 0.0) AS t
 
 @query("daily_lags", f"SELECT date, total_qty, {_LAGS} FROM ({_TOTAL})", "sales")
 def q_lags(spark, sf):
-    return T.daily_lags(T.daily_total_qty(spine(spark), train_test(spark, sf)[0]))
+    return T.daily_lags(T.daily_total_qty(spine(spark, sf), train_test(spark, sf)[0]))
 
 
 def date_features(spark, sf):
-    df = T.build_date_features(spark, SALES, train_test(spark, sf)[0], A.macro(spark, sf), A.releases(spark, sf))
+    df = T.build_date_features(SALES, train_test(spark, sf)[0], A.macro(spark, sf), A.releases(spark, sf))
     return _nine(df, *(f"d_{c}" for c in _TRIG))
 
 
@@ -289,7 +309,19 @@ def q_acf(spark, sf):
     return T.acf_pacf(series(spark, sf)).select("lag", F.round("acf", 8).alias("acf"))
 
 
-@query("partial_autocorrelation")
+#: Coefficients of order k + 1 from those of order k (the recursion of Durbin and Levinson); r[1] is the autocorrelation at lag 0.
+_PACF = (
+    _SERIES.replace("WITH y AS", "WITH RECURSIVE y AS")
+    + """, c AS (SELECT day, y - (SELECT avg(y) FROM s) AS y FROM s), k AS (SELECT CAST(unnest(range(0, 31)) AS INT) AS lag),
+a AS (SELECT list(acf ORDER BY lag) AS r FROM (SELECT lag, sum(a.y * b.y) / (SELECT sum(y * y) FROM c) AS acf FROM k JOIN c a ON true JOIN c b ON b.day = a.day + lag GROUP BY lag)),
+p(k, phi, v) AS (SELECT 1, [r[2]], r[2] FROM a UNION ALL
+  SELECT k + 1, list_append(list_transform(range(1, k + 1), lambda j: phi[j] - nv * phi[k + 1 - j]), nv), nv FROM
+    (SELECT k, phi, (r[k + 2] - list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * r[k + 2 - j]))) / (1 - list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * r[j + 1]))) AS nv FROM p, a WHERE k < 30))
+SELECT CAST(0 AS INT) AS lag, CAST(1.0 AS DOUBLE) AS pacf UNION ALL SELECT CAST(k AS INT), round(v, 8) FROM p"""
+)
+
+
+@query("partial_autocorrelation", _PACF, "sales")
 def q_pacf(spark, sf):
     return T.acf_pacf(series(spark, sf)).select("lag", F.round("pacf", 8).alias("pacf"))
 

@@ -6,8 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from demandloom.queries.base import SQL, query
-from demandloom.queries.panel import rounded, shop_item_dates
+from demandloom.queries.base import query
 from demandloom.sources import adapters as A
 from demandloom.sources import io
 
@@ -61,15 +60,18 @@ def q_query(spark, sf):
     return io.read_csv_table(spark, path, "shop_id long, n long")
 
 
-@query("export_month", "SELECT shop_id, item_id, date, item_price, item_cnt_day FROM sales WHERE year(date) = 1998 AND month(date) = 3", "sales")
+_MONTH = "SELECT shop_id, item_id, date, item_price, item_cnt_day FROM sales WHERE year(date) = 1998 AND month(date) = 3"
+
+
+@query("export_month", _MONTH, "sales")
 def q_month(spark, sf):
-    path = io.scratch_path(spark, "months")
-    io.export_months(A.sales(spark, sf).drop("date_block_num"), path)
-    return spark.read.parquet(path).filter(F.col("yr_mon") == 9803).drop("yr_mon")
+    path = io.scratch_path(spark, "month")
+    io.export_month(A.sales(spark, sf).drop("date_block_num"), 1998, 3, path)
+    return spark.read.parquet(f"{path}/199803")
 
 
-@query("write_all_features", f"SELECT shop_id, item_id, date, sid_qty, sid_qty_7d_max FROM ({SQL['build_shop_item_date_features']})")
-def q_all(spark, sf):
-    path = io.scratch_path(spark, "features")
-    io.write_all_features(rounded(shop_item_dates(spark, sf)).select("shop_id", "item_id", "date", "sid_qty", "sid_qty_7d_max"), path)
-    return spark.read.parquet(path)
+@query("export_months", _MONTH, "sales")
+def q_months(spark, sf):
+    path = io.scratch_path(spark, "months")
+    io.export_months(A.sales(spark, sf).drop("date_block_num"), path)
+    return spark.read.parquet(path).filter(F.col("yr_mon") == 199803).drop("yr_mon")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from demandloom.jobs.analysis import new_pairs_not_in_train
 from demandloom.operators import panel as P
 from demandloom.operators.clean import add_col_prefix, clean_sales
 from demandloom.params import PANEL
@@ -28,13 +29,21 @@ def dense(spark: SparkSession, sf: str, levels, price: bool = False) -> DataFram
     return P.densify(daily, levels, test, PANEL.train_end)
 
 
-def dense_sql(levels, body: str, more: str = "") -> str:
+_DENSE = "dense AS (SELECT {k}, date, coalesce(qty, 0.0) AS qty, qty IS NOT NULL AS sold, price FROM spine LEFT JOIN daily USING ({k}, date))"
+NEW_PAIRS = "SELECT DISTINCT shop_id, item_id FROM test WHERE item_id IN (SELECT item_id FROM train) AND (shop_id, item_id) NOT IN (SELECT (shop_id, item_id) FROM train)"
+#: Empty days of pairs that only the test period has.
+ADDITIONAL = f"""dense AS (SELECT n.shop_id, n.item_id, CAST(unnest(generate_series(greatest(s.a, i.a), DATE '2024-01-23', INTERVAL 1 DAY)) AS DATE) AS date, 0.0 AS qty, false AS sold, CAST(NULL AS DOUBLE) AS price
+FROM ({NEW_PAIRS}) n JOIN (SELECT shop_id, min(date) AS a FROM train GROUP BY 1) s USING (shop_id) JOIN (SELECT item_id, min(date) AS a FROM train GROUP BY 1) i USING (item_id))"""
+
+
+def dense_sql(levels, body: str, more: str = "", dense: str = _DENSE) -> str:
     k = ", ".join(levels)
+    dense = dense.replace("{k}", k)
     return f"""WITH daily AS (SELECT {k}, date, sum(item_cnt_day) AS qty, avg(item_price) AS price FROM train GROUP BY {k}, date),
 ends AS (SELECT {k}, min(date) AS a, max(date) AS z FROM daily GROUP BY {k}),
 tail AS (SELECT DISTINCT {k}, 1 AS in_test FROM test),
 spine AS (SELECT {k}, CAST(unnest(generate_series(a, CASE WHEN in_test = 1 THEN greatest(z, DATE '2024-01-23') ELSE z END, INTERVAL 1 DAY)) AS DATE) AS date FROM ends LEFT JOIN tail USING ({k})),
-dense AS (SELECT {k}, date, coalesce(qty, 0.0) AS qty, qty IS NOT NULL AS sold, price FROM spine LEFT JOIN daily USING ({k}, date)),
+{dense},
 gaps AS (SELECT *, coalesce(date - max(CASE WHEN qty > 0 THEN date END) OVER w, 0) AS gap,
          CASE WHEN qty <> 0 THEN qty - last_value(CASE WHEN qty <> 0 THEN qty END IGNORE NULLS) OVER w END AS step,
          date - min(date) OVER (PARTITION BY {k}) AS age
@@ -194,13 +203,13 @@ def q_categories(spark, sf):
     return P.unique_partners_before(dense(spark, sf, P.SHOP), named, P.SHOP, "item_category_id", "n_categories_before").drop("qty", "sold")
 
 
-def all_sql(levels, prefix: str, more: str = "", extra: str = "", joins: str = "") -> str:
+def all_sql(levels, prefix: str, more: str = "", extra: str = "", joins: str = "", dense: str = _DENSE) -> str:
     """All shared features of a grain, with further columns of its own."""
     k = ", ".join(levels)
     cols = ", ".join(v for v in _SQL.values() if v)
     select = f"full_panel AS (SELECT {k}, date, qty, {cols}, n_spikes, CAST(n_spikes > 0 AS INT) AS had_spike{extra} FROM m JOIN sn2 USING ({k}, date) {joins} {frames(levels)})"
     body = f"SELECT {k}, date, COLUMNS(lambda c: c NOT IN ({', '.join(repr(x) for x in (*levels, 'date'))})) AS '{prefix}\\0' FROM full_panel"
-    return dense_sql(levels, body, MODES.replace("{frames}", frames(levels)) + spike_more(levels) + f", sn2 AS (SELECT {k}, date, n_spikes FROM sn)" + more + ", " + select)
+    return dense_sql(levels, body, MODES.replace("{frames}", frames(levels)) + spike_more(levels) + f", sn2 AS (SELECT {k}, date, n_spikes FROM sn)" + more + ", " + select, dense)
 
 
 _CAT = """, named AS (SELECT item_id, date, qty, item_id % 2 AS cat FROM dense), cd AS (SELECT cat, date, sum(qty) AS q FROM named GROUP BY ALL),
@@ -257,14 +266,26 @@ def q_shop_dates(spark, sf):
 def shop_item_dates(spark: SparkSession, sf: str) -> DataFrame:
     train, test = split(spark, sf)
     df = P.build_panel(train, test, P.PAIR, PANEL.train_end, extras=("price",))
-    df = df.join(F.broadcast(A.panel_categories(spark, sf)), "item_id", "left")  # items of the panel: five by construction
-    return add_col_prefix(df.drop("sold"), "sid_", ["shop_id", "item_id", "date"])
+    return named_pairs(spark, sf, df)
+
 
+def named_pairs(spark: SparkSession, sf: str, df: DataFrame) -> DataFrame:
+    """A pair panel with its items' categories."""
+    return add_col_prefix(df.join(A.panel_categories(spark, sf), "item_id", "left").drop("sold"), "sid_", ["shop_id", "item_id", "date"])
 
-PAIR_SQL = all_sql(
+
+def additional_pair_dates(spark: SparkSession, sf: str) -> DataFrame:
+    """The pair features of pairs that only the test period has."""
+    train, test = split(spark, sf)
+    days = P.additional_days(new_pairs_not_in_train(test, train), train, PANEL.train_end)
+    return named_pairs(spark, sf, P.panel_features(days, P.PAIR, ("price",)))
+
+
+_PAIR_PARTS = (
     P.PAIR, "sid_", _DEV, ", round(coalesce(stddev_pop(price) OVER w / nullif(avg(price) OVER w, 0), 0.0), 10) AS price_cv, round(coalesce(list_avg(list_transform(l1, lambda x: abs(x - list_avg(l1)))), 0.0), 10) AS qty_mean_ad, round(coalesce(1.4826 * list_median(list_transform(l1, lambda x: abs(x - list_median(l1)))), 0.0), 10) AS qty_median_ad, CAST(item_id % 2 AS INT) AS item_category_id",
     "JOIN (SELECT shop_id, item_id, date, l1 FROM s2) USING (shop_id, item_id, date)",
 )
+PAIR_SQL, ADDITIONAL_SQL = all_sql(*_PAIR_PARTS), all_sql(*_PAIR_PARTS, dense=ADDITIONAL)
 
 
 @query("build_shop_item_date_features", PAIR_SQL, "train", "test")
@@ -272,6 +293,11 @@ def q_pair_dates(spark, sf):
     return rounded(shop_item_dates(spark, sf))
 
 
+@query("additional_shop_item_dates", ADDITIONAL_SQL, "train", "test")
+def q_additional(spark, sf):
+    return rounded(additional_pair_dates(spark, sf))
+
+
 CATEGORY_SQL = """WITH cd AS (SELECT shop_id, CAST(item_id % 2 AS INT) AS item_category_id, date, sum(item_cnt_day) AS q FROM train GROUP BY ALL),
 cs AS (SELECT shop_id, item_category_id, CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date FROM cd GROUP BY shop_id, item_category_id),
 shop_cat AS (SELECT shop_id, item_category_id, date, coalesce(q, 0.0) AS qty, coalesce(sum(coalesce(q, 0.0)) OVER (PARTITION BY shop_id, item_category_id ORDER BY date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING), 0.0) AS category_qty_7d,

@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from demandloom.params import PANEL
+
+
+RELEASE_PRICE = 490_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -24,13 +31,16 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def panel_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sales of events: five items, many shops, one month; prices repeat and errors may be returns."""
+    """Sales of events: five items, many shops, one month; prices repeat and errors may be returns.
+
+    One pair in eleven has all its sales in the last week: a pair that the test period is the first to have.
+    """
     item = F.when(F.col("event_type") == "click", 0).when(F.col("event_type") == "error", 1).when(F.col("event_type") == "purchase", 2).when(F.col("event_type") == "signup", 3).otherwise(4)
     qty = (F.pmod(F.col("event_id"), F.lit(5)) + 1).cast("double")
     return table(spark, sf_dir, "events").select(
         F.col("user_id").alias("shop_id"),
         item.alias("item_id"),
-        F.col("ts").cast("date").alias("date"),
+        F.when(F.pmod(5 * F.col("user_id") + item, F.lit(11)) == 0, F.date_add(F.lit(PANEL.test_start), F.pmod(F.day("ts"), F.lit(7)))).otherwise(F.col("ts").cast("date")).alias("date"),
         (F.month("ts") - 1).cast("int").alias("date_block_num"),
         (10 * (item + 1) + F.pmod(F.col("event_id"), F.lit(3))).cast("double").alias("item_price"),
         F.when((F.col("event_type") == "error") & (F.pmod(F.col("event_id"), F.lit(2)) == 0), -qty).otherwise(qty).alias("item_cnt_day"),
@@ -76,7 +86,8 @@ def macro(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def releases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    urgent = table(spark, sf_dir, "orders").filter((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_custkey") % 50 == 0))
+    """Days of the largest urgent orders."""
+    urgent = table(spark, sf_dir, "orders").filter((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_totalprice") > RELEASE_PRICE))
     return urgent.select(F.col("o_orderdate").cast("date").alias("release_date"))
 
 
@@ -107,5 +118,24 @@ def image_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("Image"), F.concat_ws("-", "lang", "source").alias("Id"))
 
 
-def points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").select(F.monotonically_increasing_id().alias("id"), F.col("l_quantity").alias("x"), F.col("l_extendedprice").alias("y"), F.col("l_discount").alias("z"))
+def closing_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales of shops of which every fifth closes: in 1999 or the two years after."""
+    close = F.date_add(F.lit(date(1999, 1, 1)), (F.pmod(F.col("shop_id"), F.lit(24)) * 30).cast("int"))
+    return sales(spark, sf_dir).filter((F.col("shop_id") % 5 != 0) | (F.col("date") < close))
+
+
+def launched_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales of items from the launch of their category on, which for some lies in the test period."""
+    df = sales(spark, sf_dir).join(items(spark, sf_dir).select("item_id", "item_category_id"), "item_id")
+    launch = F.date_add(F.lit(date(1995, 1, 1)), F.pmod(F.col("item_category_id") * 37, F.lit(2500)).cast("int"))
+    return df.filter(F.col("date") >= launch).select(*sales(spark, sf_dir).columns)
+
+
+def known_shops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A shop table that lacks one shop in ten."""
+    return shops(spark, sf_dir).filter("shop_id % 10 <> 0")
+
+
+def known_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An item table that lacks one item in seven."""
+    return items(spark, sf_dir).filter("item_id % 7 <> 0")

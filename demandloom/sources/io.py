@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
+from datetime import date as calendar_date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,20 +55,23 @@ def query_to_csv(spark: SparkSession, sql: str, path: str) -> None:
 
 
 def export_months(df: DataFrame, path: str, date: str = "date", format: str = "parquet") -> None:
-    """Rows in folders by month (yr_mon=yymm), so that reading one month prunes all others."""
-    df.withColumn("yr_mon", F.date_format(date, "yyMM")).write.mode("overwrite").partitionBy("yr_mon").format(format).option("header", True).save(path)
+    """Rows in folders by month (yr_mon=yyyymm), so that reading one month prunes all others."""
+    df.withColumn("yr_mon", F.year(date) * 100 + F.month(date)).write.mode("overwrite").partitionBy("yr_mon").format(format).option("header", True).save(path)
 
 
-def export_month(df: DataFrame, yymm: str, path: str, date: str = "date") -> None:
-    """One month of a table, as Parquet files named by it."""
-    df.filter(F.date_format(date, "yyMM") == yymm).write.mode("overwrite").parquet(f"{path}/{yymm}")
-
-
-def write_all_features(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+def export_month(df: DataFrame, year: int, month: int, path: str, date: str = "date") -> None:
+    """One month of a table, as Parquet files named by it; the range of its dates reaches the scan."""
+    first = calendar_date(year, month, 1)
+    after = calendar_date(year + month // 12, month % 12 + 1, 1)
+    df.filter((F.col(date) >= F.lit(first)) & (F.col(date) < F.lit(after))).write.mode("overwrite").parquet(f"{path}/{year}{month:02d}")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path in the folder that all executors share (``spark.checkpoint.dir``); a local one only where that is unset."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="demandloom-")
+    """A new path in the folder that driver and executors share (``spark.checkpoint.dir``); a local one only on one machine."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        shared = "file://" + tempfile.mkdtemp(prefix="demandloom-")
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -1,25 +1,48 @@
-"""The wide tables cover all days that training has of the month, with the features of shops, items and dates."""
+"""Wide tables of a month, from grains that are written once by month."""
+
+from datetime import date
 
-import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from demandloom import catalog
+from demandloom.jobs import assembly as W
+from demandloom.params import PANEL
 from demandloom.queries import exploration as X
 
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name,kind", [("monthly_feature_table", ""), ("monthly_feature_table_addl", "LEFT"), ("zero_fill_category_cols", "LEFT"), ("union_train_addl", "LEFT")])
-def test_whole_month(spark, name, kind):
-    con = duckdb.connect()
-    con.sql(f"CREATE VIEW events AS SELECT * FROM '{SF}/events.parquet'")
-    columns = "shop_id, item_id, date, " + (X._ZERO if name == "zero_fill_category_cols" else f"s_rows, sid_qty, d_total_qty, {X._ZERO}")
-    want = con.sql(X.wide_sql(kind, columns, "date BETWEEN DATE '2024-01-01' AND DATE '2024-01-23'"))
-    df = catalog.queries()[name](spark, SF).cache()
-    norm = lambda rows: sorted(tuple(str(float(v)) if isinstance(v, (int, float)) else str(v)[:10] for v in r) for r in rows)
-    assert norm(df.select(*want.columns).collect()) == norm(want.fetchall())
-    assert df.select(F.count_distinct("date")).first()[0] == 23
-    if name != "zero_fill_category_cols":
-        assert {"s_n_items", "i_month_of_first_sale", "i_price_cv", "d_holiday", "d_total_qty"} <= set(df.columns) and df.filter("s_n_items is null or i_n_shops is null or d_holiday is null").count() == 0
+@pytest.fixture(scope="module")
+def grains(spark):
+    return X.stored(spark, SF)
+
+
+def test_only_the_month_is_read(grains, capsys):
+    W.feature_table(grains, date(2024, 1, 5), date(2024, 1, 9)).explain("formatted")
+    plan = capsys.readouterr().out
+    assert plan.count("PartitionFilters: [isnotnull(month") >= 5 and plan.count("Scan parquet") == 7  # one scan a grain
+    assert W.feature_table(grains, date(2023, 12, 1), date(2023, 12, 31)).count() == 0
+
+
+def test_additional_pairs_are_new_and_their_categories_filled(spark, grains):
+    pairs = grains.additional.select("shop_id", "item_id").distinct()
+    assert pairs.count() > 0 and pairs.join(grains.pairs, ["shop_id", "item_id"]).count() == 0
+    wide = W.feature_table(grains, PANEL.train_start, PANEL.train_end, additional=True)
+    assert wide.count() == grains.additional.count() and wide.filter("category_qty is null").count() == 0
+    key = [F.col("shop_id"), F.col("sid_item_category_id").alias("item_category_id"), F.col("date")]
+    unmet = grains.additional.select(*key).join(grains.category_dates, ["shop_id", "item_category_id", "date"], "left_anti")
+    assert unmet.count() > 0 and wide.filter("category_qty = 0 and category_qty_7d = 0").count() >= unmet.count()
+
+
+def test_names_stand_once(spark):
+    left = spark.createDataFrame([(1, 2, 3)], "k int, a int, b int")
+    right = spark.createDataFrame([(1, 9, 8)], "k int, A int, c int")
+    assert W.join_once(left, right, ["k"]).collect() == [(1, 2, 3, 8)]
+
+
+def test_all_features_and_days(spark):
+    df = catalog.queries()["monthly_feature_table"](spark, SF).cache()
+    assert df.select(F.count_distinct("date")).first()[0] == 23 and len(set(df.columns)) == len(df.columns) > 130
+    assert {"s_n_items", "i_price_cv", "d_holiday", "d_month_sin", "id_n_shops_before", "sd_n_items_before", "sid_qty_median_ad"} <= set(df.columns)
     df.unpersist()
