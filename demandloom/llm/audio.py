@@ -1,7 +1,7 @@
 """Audio columns: 8-bit PCM in WAV form, polyphase resampling, log-mel filterbanks and energy segments.
 
 Features are stored as fixed-shape Arrow tensors: the frames of a recording are cut into spans of
-time of SPAN_FRAMES frames, each a tensor [SPAN_FRAMES, BANDS] with its start and end in seconds. They are
+time of SPAN_FRAMES frames, each a tensor [SPAN_FRAMES, BANDS] of half floats with its start and end in seconds. They are
 rows of an Arrow stream, one stream a recording, in a Parquet column.
 """
 
@@ -129,13 +129,13 @@ def features(data: bytes) -> tuple[np.ndarray, list[tuple[float, float]], float]
     return bands, [(a * step, (b - 1) * step + FRAME / TARGET_RATE) for a, b in segments(energy)], len(raw) / rate
 
 
-TENSORS = pa.schema([("frames", pa.fixed_shape_tensor(pa.float32(), (SPAN_FRAMES, BANDS))), ("n_frames", pa.int32()), ("start", pa.float64()), ("end", pa.float64())])
+TENSORS = pa.schema([("frames", pa.fixed_shape_tensor(pa.float16(), (SPAN_FRAMES, BANDS))), ("n_frames", pa.int32()), ("start", pa.float64()), ("end", pa.float64())])
 
 
 def pack_tensors(bands: np.ndarray) -> bytes:
     """An Arrow stream of the tensors [SPAN_FRAMES, BANDS] of all frames, the frames that each holds, and its time span in seconds."""
     n = -(-len(bands) // SPAN_FRAMES)
-    full = np.zeros((n * SPAN_FRAMES, BANDS), np.float32)
+    full = np.zeros((n * SPAN_FRAMES, BANDS), np.float16)
     full[: len(bands)] = bands
     first = np.arange(n) * SPAN_FRAMES
     held = np.minimum(len(bands) - first, SPAN_FRAMES)
@@ -151,7 +151,7 @@ def pack_tensors(bands: np.ndarray) -> bytes:
 def unpack_tensors(data: bytes) -> tuple[np.ndarray, list[tuple[float, float]]]:
     """The frames [frames, BANDS] that pack_tensors stored, and the time span of each tensor."""
     found = pa.ipc.open_stream(data).read_all().combine_chunks()
-    tensors = found["frames"].chunk(0).to_numpy_ndarray() if found.num_rows else np.zeros((0, SPAN_FRAMES, BANDS), np.float32)
+    tensors = found["frames"].chunk(0).to_numpy_ndarray() if found.num_rows else np.zeros((0, SPAN_FRAMES, BANDS), np.float16)
     kept = np.arange(SPAN_FRAMES) < found["n_frames"].to_numpy()[:, None]
     return tensors[kept], list(zip(found["start"].to_pylist(), found["end"].to_pylist(), strict=True))
 
@@ -197,9 +197,8 @@ def write_features(stored: DataFrame, label: str = "audio-features") -> DataFram
 
 
 def feature_digest(tensors: bytes) -> str:
-    """A digest of stored tensors: SHA-256 of all frames in thousandths."""
-    frames, _ = unpack_tensors(tensors)
-    return hashlib.sha256(np.round(frames.astype(np.float64) * 1000).astype("<i4").tobytes()).hexdigest()
+    """A digest of stored tensors: SHA-256 of all frames."""
+    return hashlib.sha256(unpack_tensors(tensors)[0].astype("<f2").tobytes()).hexdigest()
 
 
 def op8_audio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
