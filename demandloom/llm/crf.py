@@ -38,22 +38,26 @@ def units(w: str) -> list[str]:
     return [w, *(f"{w[:k]}*" for k in STEMS if len(w) > k)] if w else []
 
 
-def _numbers(names) -> list[int]:
-    return [crc32(x.encode("utf-8", "surrogatepass")) % FEATURES for x in names]
+def word_hashes(word: str) -> tuple[int, ...]:
+    """Hashes of a word, of its stems (their length alone where the word is no longer) and of its end, and its length."""
+    w = bare(word)
+    n = len(w)
+    h = lambda x: crc32(x.encode("utf-8", "surrogatepass"))
+    return (h(w), *(h(w[:k]) if n > k else k for k in STEMS), h(w[-4:]), min(n, 12))
 
 
-def token_features(word: str) -> tuple[list[int], list[int], list[int]]:
-    """Feature numbers of a word for its own tag, for the tag of the token after it and of the one before it."""
-    w = bare(word)
-    own = ("bias", f"w {w}", *(f"p {w[:k]}" if len(w) > k else f"p{k}" for k in STEMS), f"s {w[-4:]}", f"n {min(len(w), 12)}")
-    return _numbers(own), _numbers((f"l {w}", f"l {w[:5]}*")), _numbers((f"r {w}", f"r {w[:5]}*"))
+def features_of(hashes: list[tuple[int, ...]]) -> np.ndarray:
+    """[words, 12] feature numbers: a bias, word, stems, end and length for its own tag, then word and 5-stem for the next token's tag and for the one before."""
+    wide = np.concatenate([np.array(hashes, np.uint64).reshape(-1, 7), np.zeros((len(hashes), 1), np.uint64)], axis=1)
+    mixed = (wide[:, [7, 0, 1, 2, 3, 4, 5, 6, 0, 2, 0, 2]] + np.arange(12, dtype=np.uint64) * np.uint64(0x9E3779B9)) * np.uint64(0x9E3779B97F4A7C15)
+    return (mixed >> np.uint64(40)).astype(np.int64) % FEATURES
 
 
-def chain_features(tokens: list[str], at: int) -> list[list[int]]:
-    """Features of the WINDOW tokens from ``at`` on; beyond the text's ends stands the empty word."""
-    get = lambda k: token_features(tokens[k] if 0 <= k < len(tokens) else "")
-    around = [get(k) for k in range(at - 1, at + WINDOW + 1)]
-    return [around[k][0] + around[k - 1][1] + around[k + 1][2] for k in range(1, WINDOW + 1)]
+def chain_features(tokens: list[str], blocks: list[int]) -> np.ndarray:
+    """[blocks, WINDOW, 12] features of the tokens of numbered blocks of WINDOW tokens; beyond the text's ends stands the empty word."""
+    every = features_of([word_hashes(t) for t in ("", *tokens, *[""] * (WINDOW + 1))])
+    at = np.array(blocks, np.int64)[:, None] * WINDOW + np.arange(WINDOW) + 1
+    return np.concatenate([every[at][:, :, :8], every[at - 1][:, :, 8:10], every[at + 1][:, :, 10:]], axis=2)
 
 
 @dataclass
@@ -65,8 +69,12 @@ class Crf:
 
     def emission(self, word: str) -> tuple[float, float, float]:
         """What a word adds to the log-odds of its own tag, of the next token's and of the one before."""
-        own, after, before = token_features(word)
-        return float(self.weight[own].sum()), float(self.weight[after].sum()), float(self.weight[before].sum())
+        return tuple(self.emissions([word])[0].tolist())
+
+    def emissions(self, words: list[str]) -> np.ndarray:
+        """[words, 3]: see emission."""
+        weight = self.weight[features_of([word_hashes(w) for w in words])].astype(np.float64)
+        return np.add.reduceat(weight, (0, 8, 10), axis=1)
 
 
 def _sweep(e: np.ndarray, fresh: np.ndarray, start: float, t: np.ndarray) -> np.ndarray:
@@ -162,15 +170,12 @@ def training_blocks(texts: list[str], toxic: np.ndarray, seed: int = 0) -> Block
         if not blocks:
             continue
         marked = np.unique(np.nonzero(hit)[0] // WINDOW)[:MARKED_BLOCKS].tolist()
-        for k in sorted({*marked, *rng.integers(0, blocks, OTHER_BLOCKS).tolist()}):
-            part = np.zeros(WINDOW, bool)
-            own = hit[k * WINDOW : (k + 1) * WINDOW]
-            part[: len(own)] = own
-            chains.append(chain_features(tokens, k * WINDOW))
-            tags.append(part)
-            owner.append(d)
-    width = len(chain_features([], 0)[0])
-    return Blocks(np.array(chains, np.int64).reshape(-1, WINDOW, width), np.array(tags, bool).reshape(-1, WINDOW), np.array(owner, np.int64), np.asarray(toxic, bool))
+        some = sorted({*marked, *rng.integers(0, blocks, OTHER_BLOCKS).tolist()})
+        padded = np.concatenate([hit, np.zeros(blocks * WINDOW - len(hit), bool)]).reshape(blocks, WINDOW)
+        chains.append(chain_features(tokens, some))
+        tags.append(padded[some])
+        owner += [d] * len(some)
+    return Blocks(np.concatenate([np.zeros((0, WINDOW, 12), np.int64), *chains]), np.concatenate([np.zeros((0, WINDOW), bool), *tags]), np.array(owner, np.int64), np.asarray(toxic, bool))
 
 
 def expectations(model: Crf, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

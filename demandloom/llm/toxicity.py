@@ -11,39 +11,50 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandloom.llm import crf
-from demandloom.llm.common import LONG_WORD, WORDS_KEPT, packed, slices, table
+from demandloom.llm.common import LONG_WORD, packed, slices, table
 
 #: Labelled documents that the model is fitted on, about: a bounded sample by hash of the id.
 TRAIN_DOCS = 8_000
 #: Longer texts aren't drawn for the fit, which bounds what the driver holds; they are scored like all others.
 TRAIN_LONGEST = 100_000
 THRESHOLD, SPAN_THRESHOLD = 0.3, 0.5
+#: Words whose emissions a task remembers: about 80 MB.
+WORDS_HELD = 400_000
 _TOKEN = re.compile(r"\S+")
 
 
 class Emissions(dict):
-    """word -> place of its three emissions; at most WORDS_KEPT words and those of one slice of texts."""
+    """word -> place of its three emissions; at most WORDS_HELD words and those of one slice of texts."""
 
     def __init__(self, model: crf.Crf):
-        self.model, self.rows, self.used = model, np.zeros((1 << 16, 3)), 1
+        self.model, self.rows, self.used, self.fresh = model, np.zeros((1 << 16, 3)), 1, []
         self.rows[0] = model.emission("")  # stands beyond both ends of a text
 
     def __missing__(self, word: str) -> int:
         at = self.used
-        if at == len(self.rows):
-            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-        self.rows[at] = self.model.emission(word)
         self.used += 1
+        self.fresh.append(word)
         if len(word) <= LONG_WORD:
             self[word] = at
         return at
 
+    def fill(self) -> None:
+        """Emissions of the words met since the last call, by one gather."""
+        while self.used > len(self.rows):
+            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+        for k in range(0, len(self.fresh), 1 << 16):
+            part = self.fresh[k : k + (1 << 16)]
+            first = self.used - len(self.fresh) + k
+            self.rows[first : first + len(part)] = self.model.emissions(part)
+        self.fresh.clear()
+
     def of(self, words: list[list[str]]) -> np.ndarray:
         """Log-odds of all tokens, each of its own word and of the words beside it in its text."""
-        if self.used > WORDS_KEPT:
+        if self.used > WORDS_HELD:
             self.clear()
             self.used = 1
         at = np.fromiter((k for ws in words for k in (0, *map(self.__getitem__, ws), 0)), np.int64)
+        self.fill()
         own, after, before = self.rows[at].T
         return (own + np.concatenate([[0.0], after[:-1]]) + np.concatenate([before[1:], [0.0]]))[_inside(words)] if len(at) else np.zeros(0)
 
