@@ -10,10 +10,11 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 
 import numpy as np
 
-from demandloom.llm.common import Recent, text_parts, worker_kept
+from demandloom.llm.common import LONG_WORD, WORDS_KEPT, text_parts, worker_kept
 
 #: The rules of a vocabulary file whose words may be encoded one by one.
 NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
@@ -27,7 +28,7 @@ SPLITTER = {
 #: The same splitter for the letters of Latin-1, and what the pieces may not be taken from.
 _LETTERS = "a-zß-öø-ÿ"
 _SPLIT = re.compile(rf"[{_LETTERS}]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\s{_LETTERS}0-9]+")
-_ODD = re.compile("[^\\s!-~À-ÖØ-öø-ÿ]|[\x1c-\x1f]|<\\|")
+_ODD = re.compile("[^\t-\r !-~À-ÖØ-öø-ÿ]")
 
 
 def _byte_letters() -> list[str]:
@@ -58,24 +59,31 @@ class TextIds:
         self.tokenizer.no_padding()
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
         self.letters = _byte_letters()
-        self.pieces = Recent(self._piece) if splits_into_words(path) else None
+        self.pieces: dict[str, bytes] | None = {} if splits_into_words(path) else None
 
     def _library(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
-    def _piece(self, piece: str) -> bytes:
-        shown = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
-        return np.array([t.id for t in self.tokenizer.model.tokenize(shown)], self.kind).tobytes()
+    def _encoded(self, found: list[str]) -> bytes:
+        """The ids of split pieces; what is new among them is encoded once, and remembered if it isn't long."""
+        held, code, tokenize = self.pieces, "H" if self.kind.itemsize == 2 else "I", self.tokenizer.model.tokenize
+        if len(held) > 2 * WORDS_KEPT:
+            held.clear()
+        fresh = set(found).difference(held)
+        for piece in fresh:
+            shown = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
+            held[piece] = array(code, [t.id for t in tokenize(shown)]).tobytes()
+        out = b"".join(map(held.__getitem__, found))
+        for piece in [x for x in fresh if len(x) > LONG_WORD]:
+            del held[piece]
+        return out
 
     def raw(self, text: str | None) -> bytes:
         if not text:
             return b""
         if self.pieces is None or "<|" in text:
             return self._library(text)
-        out = []
-        for part in text_parts(text):
-            out += [self._library(part)] if _ODD.search(part) else map(self.pieces.__getitem__, _SPLIT.findall(part.lower()))
-        return b"".join(out)
+        return b"".join([self._library(part) if _ODD.search(part) else self._encoded(_SPLIT.findall(part.lower())) for part in text_parts(text)])
 
     def ids(self, text: str | None, end: int) -> np.ndarray:
         """All ids of ``text`` and then ``end``, as unsigned 32-bit integers."""
