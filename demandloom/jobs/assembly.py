@@ -6,12 +6,15 @@ what those folders hold.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, fields
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Grains that are computed side by side.
+GRAINS_AT_ONCE = 4
 CATEGORY = ("category_qty", "category_qty_7d", "category_sold")
 
 
@@ -30,13 +33,17 @@ class Parts:
 
 
 def write_all_features(parts: Parts, path: str) -> None:
-    """Write every grain; those with dates in folders by month (a number yyyymm)."""
-    for f in fields(parts):
-        df = getattr(parts, f.name)
+    """Write every grain, a few at a time; those with dates in folders by month (a number yyyymm)."""
+
+    def write(name: str) -> None:
+        df = getattr(parts, name)
         if "date" in df.columns:
-            df.withColumn("month", F.year("date") * 100 + F.month("date")).write.mode("overwrite").partitionBy("month").parquet(f"{path}/{f.name}")
+            df.withColumn("month", F.year("date") * 100 + F.month("date")).write.mode("overwrite").partitionBy("month").parquet(f"{path}/{name}")
         else:
-            df.write.mode("overwrite").parquet(f"{path}/{f.name}")
+            df.write.mode("overwrite").parquet(f"{path}/{name}")
+
+    with ThreadPoolExecutor(GRAINS_AT_ONCE) as pool:
+        list(pool.map(write, (f.name for f in fields(parts))))
 
 
 def stored(spark: SparkSession, path: str) -> Parts:

@@ -141,11 +141,10 @@ def test_files(spark, tmp_path):
     assert io.read_csv_prefix(spark, f"{tmp_path}/csv", "id int, date date, s string").count() == 4
     assert io.read_csv_table(spark, f"{tmp_path}/csv/a", "id int, date date, s string", ["s"]).orderBy("s").first().s == "x"
     io.export_months(df, f"{tmp_path}/months")
-    plan = spark.read.parquet(f"{tmp_path}/months").filter("yr_mon = 2402")
+    plan = spark.read.parquet(f"{tmp_path}/months").filter("yr_mon = 202402")
     assert plan.count() == 1
-    io.export_month(df, "2401", f"{tmp_path}/one")
-    io.write_all_features(df, f"{tmp_path}/all")
-    assert spark.read.parquet(f"{tmp_path}/one/2401").first().id == 1 and spark.read.parquet(f"{tmp_path}/all").count() == 2
+    io.export_month(df, 2024, 1, f"{tmp_path}/one")
+    assert spark.read.parquet(f"{tmp_path}/one/202401").first().id == 1
     df.createOrReplaceTempView("small")
     io.query_to_csv(spark, "SELECT id FROM small", f"{tmp_path}/q")
     assert io.read_csv_table(spark, f"{tmp_path}/q", "id int").count() == 2
