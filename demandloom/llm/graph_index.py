@@ -2,7 +2,7 @@
 
 Greedy searches from the medoid propose neighbours; a candidate is kept only if no neighbour
 kept before is closer to it, by the factor alpha, than the point itself; the reverse edges are
-added and pruned alike. Largest inner product is turned into least distance by one more
+added, and pruned alike where a point gets more than the degree. Largest inner product is turned into least distance by one more
 coordinate that gives all vectors the same length.
 """
 
@@ -14,6 +14,8 @@ import numpy as np
 
 DEGREE, BUILD_BEAM, SEARCH_BEAM, ALPHA, WIDTH = 32, 48, 128, 1.2, 4
 _CELLS = 32 << 20
+#: Points pruned in one step, so that the matrices of their candidates stay in a processor's cache.
+_PRUNED = 64
 _HEAD = struct.Struct("<4sIIII")
 
 
@@ -66,23 +68,29 @@ def _greedy(points: np.ndarray, graph: np.ndarray, starts: np.ndarray, queries:
 
 def _prune(points: np.ndarray, who: np.ndarray, candidates: np.ndarray, alpha: float, degree: int) -> np.ndarray:
     """[len(who), degree] neighbours chosen from candidates [len(who), k] (-1: none)."""
+    if len(who) > _PRUNED:
+        return np.concatenate([_prune(points, who[k : k + _PRUNED], candidates[k : k + _PRUNED], alpha, degree) for k in range(0, len(who), _PRUNED)])
     candidates = np.sort(candidates, axis=1)
     alive = (candidates >= 0) & (candidates != who[:, None])
     alive[:, 1:] &= candidates[:, 1:] != candidates[:, :-1]
     near = points[np.maximum(candidates, 0)]
     squares = np.einsum("bkd,bkd->bk", near, near)
     own = np.maximum(squares + np.einsum("bd,bd->b", points[who], points[who])[:, None] - 2 * np.matmul(near, points[who][:, :, None])[:, :, 0], 0)
-    apart = np.maximum(squares[:, :, None] + squares[:, None, :] - 2 * np.matmul(near, near.transpose(0, 2, 1)), 0)
-    out = np.full((len(who), degree), -1, np.int32)
     line = np.arange(len(who))
+    # nearest first, so that the first one alive is the next to keep
+    order = np.argsort(np.where(alive, own, np.inf), axis=1, kind="stable")
+    column = line[:, None]
+    candidates, alive, near, squares, own = candidates[column, order], alive[column, order], near[column, order], squares[column, order], own[column, order]
+    # alpha**2 * |x - y|**2 > own(y), solved for the inner product
+    beyond = 2 * np.matmul(near, near.transpose(0, 2, 1)) - squares[:, :, None] < (squares - own / (alpha * alpha))[:, None, :]
+    out = np.full((len(who), degree), -1, np.int32)
     for k in range(degree):
-        left = np.where(alive, own, np.inf)
-        pick = left.argmin(axis=1)
+        pick = alive.argmax(axis=1)
         ok = alive[line, pick]
         if not ok.any():
             break
         out[ok, k] = candidates[line, pick][ok]
-        alive &= ~(alpha * alpha * apart[line, pick] <= own)
+        alive &= beyond[line, pick]
         alive[line, pick] = False
     return out
 
@@ -117,7 +125,12 @@ def build_graph(points: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEAM
                     wide = np.full((len(part), int(many[part].max())), -1, np.int64)
                     spots = np.arange(wide.shape[1])[None, :] < many[part][:, None]
                     wide[spots] = source[(first[part][:, None] + np.arange(wide.shape[1]))[spots]]
-                    graph[nodes[part]] = _prune(points, nodes[part], np.concatenate([graph[nodes[part]], wide], 1), factor, degree)
+                    wide = np.sort(np.concatenate([graph[nodes[part]], wide], 1), axis=1)[:, ::-1]
+                    wide[:, 1:][wide[:, 1:] == wide[:, :-1]] = -1
+                    wide = -np.sort(-wide, axis=1)
+                    over = (wide >= 0).sum(axis=1) > degree  # the others have room for all
+                    graph[nodes[part[~over]]] = wide[~over, :degree]
+                    graph[nodes[part[over]]] = _prune(points, nodes[part[over]], wide[over], factor, degree)
     return graph, entry
 
 

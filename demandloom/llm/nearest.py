@@ -20,8 +20,8 @@ from demandloom.llm.common import materialise, table
 from demandloom.llm.graph_index import pack_index, search_index, unpack_index
 
 TOP, QUERY_EVERY = 20, 20
-#: Distinct vectors of one shard, about; larger shards suit larger executors.
-SHARD_ROWS = 4_500
+#: Distinct vectors of one shard, about. Larger shards make searches cheaper, builds dearer and recall lower.
+SHARD_ROWS = 9_000
 QUERY_BLOCK = 512
 
 
@@ -42,6 +42,7 @@ def build_shards(rows: DataFrame, top: int = TOP, shard_rows: int = SHARD_ROWS)
     distinct = materialise(few.groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("members")).withColumn("dim", F.size("vector")), "vectors")
     square = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     sizes = distinct.groupBy("dim").agg(F.count("*").alias("_rows"), F.max(square).alias("longest")).withColumn("shards", F.ceil(F.col("_rows") / shard_rows).cast("int"))
+    every = sizes.agg(F.sum("shards")).first()[0] or 1
     placed = distinct.join(F.broadcast(sizes), "dim").withColumn("shard", F.pmod(F.xxhash64("vector"), F.col("shards")).cast("int"))  # a row for each vector length
 
     def build(group: pd.DataFrame) -> pd.DataFrame:
@@ -49,7 +50,8 @@ def build_shards(rows: DataFrame, top: int = TOP, shard_rows: int = SHARD_ROWS)
         data = pack_index(np.stack(group["vector"].to_numpy()).astype(np.float64), [list(m) for m in group["members"]], float(group["longest"].iloc[0]))
         return pd.DataFrame({"dim": group["dim"].iloc[:1], "shard": group["shard"].iloc[:1], "shards": group["shards"].iloc[:1], "index": [data]})
 
-    return materialise(placed.groupBy("dim", "shard").applyInPandas(build, "dim int, shard int, shards int, index binary"), "graph-index")
+    # a given number of parts isn't coalesced by their small sizes, so that few tasks build two shards
+    return materialise(placed.repartition(2 * every, "dim", "shard").groupBy("dim", "shard").applyInPandas(build, "dim int, shard int, shards int, index binary"), "graph-index")
 
 
 def search_shards(index: DataFrame, queries: DataFrame, top: int = TOP) -> DataFrame:
