@@ -36,12 +36,15 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def materialise(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back: cuts lineage, survives lost executors."""
+def materialise(df: DataFrame, label: str, codec: str | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder and read it back: cuts lineage, survives lost executors.
+
+    The columns ``by`` become folders, so that filters on them leave files unread.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     schema = df.schema
-    df.write.parquet(path, compression=codec)
+    df.write.parquet(path, partitionBy=list(by) or None, compression=codec)
     out = spark.read.schema(schema).parquet(path)
     out._written_to = path
     return out

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandloom.llm import audio, language, line_dedup, mixing, near_dedup, nearest, packing, pii, token_output, toxicity
+from demandloom.llm import audio, curve, divergence, language, line_dedup, mixing, near_dedup, nearest, packing, pii, search, token_output, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,8 +21,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_audio_features": audio.op8_audio_features,
         "op9_bagminhash_near_dedup": near_dedup.op9_bagminhash_near_dedup,
         "op10_best_fit_packing": packing.op10_best_fit_packing,
+        "op11_source_divergence": divergence.op11_source_divergence,
+        "op12_curve_packing": curve.op12_curve_packing,
+        "op13_ranked_search": search.op13_ranked_search,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_pii": pii.OP4_SQL, "op6_curriculum_mixing": mixing.OP6_SQL, "op7_line_dedup": line_dedup.OP7_SQL}
+    return {"op4_pii": pii.OP4_SQL, "op6_curriculum_mixing": mixing.OP6_SQL, "op7_line_dedup": line_dedup.OP7_SQL, "op11_source_divergence": divergence.OP11_SQL, "op13_ranked_search": search.OP13_SQL}

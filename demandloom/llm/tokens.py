@@ -1,9 +1,9 @@
 """Token ids of whole texts by the tokenizers library, with recent words encoded once a worker.
 
-For a vocabulary file with the normaliser and word splitter below, white space never joins
-two words, so the ids of a text are those of its split pieces in order, and a piece is encoded by
-the file's own model. Any other file, and texts for which that might not hold (characters outside
-Latin-1, special-token strings, separators that only Python treats as space), are encoded whole.
+For a vocabulary file with one of the two sets of rules below, the ids of a text are those of its split pieces in
+order, and a piece is encoded by the file's own model. Any other file, and texts for which that might not
+hold (characters outside Latin-1, special-token strings, separators that only Python treats as space), are
+encoded whole.
 """
 
 from __future__ import annotations
@@ -11,10 +11,11 @@ from __future__ import annotations
 import json
 import re
 from array import array
+from collections.abc import Iterator
 
 import numpy as np
 
-from demandloom.llm.common import LONG_WORD, WORDS_KEPT, text_parts, worker_kept
+from demandloom.llm.common import LONG_WORD, SLICE_BYTES, WORDS_KEPT, text_parts, worker_kept
 
 #: The rules of a vocabulary file whose words may be encoded one by one.
 NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
@@ -29,6 +30,11 @@ SPLITTER = {
 _LETTERS = "a-zß-öø-ÿ"
 _SPLIT = re.compile(rf"[{_LETTERS}]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\s{_LETTERS}0-9]+")
 _ODD = re.compile("[^\t-\r !-~À-ÖØ-öø-ÿ]")
+#: Fixed value: the rule of a vocabulary file over bytes, in which a word keeps the space before it.
+BYTE_SPLITTER = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+_ANY = "A-Za-zÀ-ÖØ-öø-ÿ"
+_BYTE_SPLIT = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{_ANY}]+| ?[0-9]+| ?[^\s{_ANY}0-9]+|\s+(?!\S)|\s+")
+_WORD_END = re.compile(r"\S(?=\s)")
 
 
 def _byte_letters() -> list[str]:
@@ -48,6 +54,25 @@ def splits_into_words(path: str) -> bool:
     return rules.get("normalizer") == NORMALIZER and rules.get("pre_tokenizer") == SPLITTER and all(x["content"].startswith("<|") for x in rules.get("added_tokens", []))
 
 
+def splits_into_spaced_words(path: str) -> bool:
+    """True if the file's rules are those of ``BYTE_SPLITTER``."""
+    with open(path, encoding="utf-8") as f:
+        rules = json.load(f)
+    return rules.get("normalizer") is None and rules.get("pre_tokenizer") == BYTE_SPLITTER and all(x["content"].startswith("<|") for x in rules.get("added_tokens", []))
+
+
+def word_parts(text: str, size: int = SLICE_BYTES) -> Iterator[str]:
+    """A text in parts of about ``size`` characters that end where a word ends, so that no run of white space is torn."""
+    at = 0
+    while len(text) - at > size:
+        found = _WORD_END.search(text, at + size - 1)
+        to = found.end() if found else len(text)
+        yield text[at:to]
+        at = to
+    if at < len(text):
+        yield text[at:]
+
+
 class TextIds:
     """Ids of texts as little-endian 16-bit (32-bit for large vocabularies) integers."""
 
@@ -59,7 +84,8 @@ class TextIds:
         self.tokenizer.no_padding()
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
         self.letters = _byte_letters()
-        self.pieces: dict[str, bytes] | None = {} if splits_into_words(path) else None
+        self.spaced = splits_into_spaced_words(path)
+        self.pieces: dict[str, bytes] | None = {} if self.spaced or splits_into_words(path) else None
 
     def _library(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
@@ -71,7 +97,7 @@ class TextIds:
             held.clear()
         fresh = set(found).difference(held)
         for piece in fresh:
-            shown = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
+            shown = piece if piece.isascii() and not self.spaced else "".join([self.letters[b] for b in piece.encode()])
             held[piece] = array(code, [t.id for t in tokenize(shown)]).tobytes()
         out = b"".join(map(held.__getitem__, found))
         for piece in [x for x in fresh if len(x) > LONG_WORD]:
@@ -83,6 +109,8 @@ class TextIds:
             return b""
         if self.pieces is None or "<|" in text:
             return self._library(text)
+        if self.spaced:
+            return b"".join([self._library(part) if _ODD.search(part) else self._encoded(_BYTE_SPLIT.findall(part)) for part in word_parts(text)])
         return b"".join([self._library(part) if _ODD.search(part) else self._encoded(_SPLIT.findall(part.lower())) for part in text_parts(text)])
 
     def ids(self, text: str | None, end: int) -> np.ndarray:
@@ -99,7 +127,7 @@ def text_ids(path: str) -> TextIds:
     return worker_kept(("ids", path), lambda: TextIds(path))
 
 
-def default_tokenizer() -> str:
+def default_tokenizer(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
