@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandloom.llm.common import discard, materialise, maybe_broadcast, packed, table
+from demandloom.llm.common import discard, materialise, maybe_broadcast, once, packed, table
 
 MIN_SITES = 8
 #: Lines of fewer words than MIN_WORDS are left alone, and so are documents of which spread lines make up over MAX_PART; neither is on by default.
@@ -35,6 +35,17 @@ def _bare_length(text: Column) -> Column:
     return F.char_length(F.translate(text, "\n\t\r ", ""))
 
 
+def _without(lines: Column, gone: Column) -> Column:
+    """``lines`` without those at the sorted places ``gone``: the stretches between them, so the work is linear in the lines."""
+
+    def stretch(all_lines: Column, k: Column) -> Column:
+        start = F.when(k == 0, 1).otherwise(F.get(gone, k - 1) + 2)
+        end = F.when(k == F.size(gone), F.size(all_lines)).otherwise(F.get(gone, k))
+        return F.slice(all_lines, start, end - start + 1)
+
+    return once(lines, lambda all_lines: F.flatten(F.transform(F.sequence(F.lit(0), F.size(gone)), lambda k: stretch(all_lines, k))))
+
+
 def spread_lines(lines: DataFrame, min_sites: int = MIN_SITES, margin: float = MARGIN, lg_k: int = LG_K) -> DataFrame:
     """Keys (h1, h2) of lines shown by at least ``min_sites`` distinct sites, of rows (h1, h2, site).
 
@@ -86,12 +97,12 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     gone = hit.groupBy("id", "text_hash", "chars").agg(F.collect_set(F.struct("line", "length")).alias("gone"))
     if max_part < 1:
         gone = gone.filter(F.aggregate("gone", F.lit(0).cast("long"), lambda a, x: a + x["length"]) <= max_part * F.col("chars"))
-    gone = materialise(gone.select("id", "text_hash", F.col("gone.line").alias("gone")), "lines-removed")
+    gone = materialise(gone.select("id", "text_hash", F.array_sort("gone.line").alias("gone")), "lines-removed")
     discard(lines, spread)
     keyed = packed(docs).select("row", F.coalesce(F.col("row").getField(id_col).cast("string"), F.lit("null")).alias("id"), F.xxhash64(F.col("row").getField(text_col)).alias("text_hash"))
     joined = keyed.join(gone.hint("merge"), ["id", "text_hash"], "left")  # both sides grow with the corpus
     text = F.col("row").getField(text_col)
-    left = F.array_join(F.filter(_lines(text), lambda x, k: ~F.array_contains(F.col("gone"), k)), "\n")
+    left = F.array_join(_without(_lines(text), F.col("gone")), "\n")
     new = F.when(F.col("gone").isNull(), text).otherwise(left)
     return joined.select(
         *((new if c == text_col else F.col("row").getField(c)).alias(c) for c in kept),
