@@ -7,8 +7,8 @@ shortly before it. Base spans always stay; added kinds need ``MIN_SCORE``, which
 a checksum reach only in context.
 
 Offsets come from marking matches in the text: matches stand between two private-use
-characters, the text is split there, and running lengths give code points. Classes are
-possessive and start only where a run starts, so that long runs cost linear time.
+characters, the text is split there, and running lengths, summed in blocks, give code points. Classes are
+possessive and start only where a run starts, so that long runs and many matches cost linear time.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandloom.llm.common import table
+from demandloom.llm.common import once, table
 
 MARK, STAND_IN = "\ue000", "\ue001"
 BASE = ("email", "ip", "card", "phone")
@@ -49,6 +49,8 @@ CONTEXT = {
     "ssn": "ssn|social|security|tax id|identity",
     "secret": "token|secret|passw|credential|api.?key|access.?key|private.?key|auth",
 }
+#: Entries of a block of running lengths; the last of LEVELS levels has an entry for BLOCK ** LEVELS parts.
+BLOCK, LEVELS = 64, 2
 NEEDS["secret"] = f"(?i){CONTEXT['secret']}"
 
 
@@ -95,24 +97,41 @@ def valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
+def before(sizes: Column, levels: int = LEVELS) -> Column:
+    """For each entry of a bound array the sum of the entries before it.
+
+    Blocks of BLOCK entries are summed first and the sums before each block come from the same function, so an
+    entry adds up at most BLOCK numbers a level however long the array is.
+    """
+    inner = lambda part: F.aggregate(part, F.lit(0), lambda a, x: a + x)
+    if not levels:
+        return F.transform(sizes, lambda x, k: inner(F.slice(sizes, 1, k)))
+    block = lambda k: F.floor(k / BLOCK).cast("int")
+    sums = F.transform(F.sequence(F.lit(0), block(F.greatest(F.size(sizes), F.lit(1)) - 1)), lambda b: inner(F.slice(sizes, b * BLOCK + 1, F.lit(BLOCK))))
+    return once(
+        once(sums, lambda s: before(s, levels - 1)),
+        lambda earlier: F.transform(sizes, lambda x, k: F.get(earlier, block(k)) + inner(F.slice(sizes, block(k) * BLOCK + 1, k % BLOCK))),
+    )
+
+
 def spans(kind: str, text: Column) -> Column:
     """array<struct<start, kind_no, kind, end, score>> of a non-null text that holds no MARK."""
-    parts = F.split(F.regexp_replace(text, f"({PATTERNS[kind]})", f"{MARK}$1{MARK}"), MARK, -1)
-    # running (end of the part, found spans); parts 1, 3, ... are matches
-    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("no"), F.lit("").alias("before"), F.array().cast("array<struct<start:int,kind_no:int,kind:string,end:int,score:double>>").alias("found"))
-
-    def step(a: Column, part: Column) -> Column:
-        end = a["at"] + F.char_length(part)
-        score = F.lit(PRIOR[kind] + CHECKED.get(kind, 0.0)) + F.when(F.lower(a["before"]).rlike(CONTEXT[kind]), CONTEXT_BONUS).otherwise(0.0)
-        span = F.struct(a["at"].alias("start"), F.lit(KINDS.index(kind)).alias("kind_no"), F.lit(kind).alias("kind"), end.alias("end"), F.least(score, F.lit(1.0)).alias("score"))
-        keep = (F.pmod(a["no"], F.lit(2)) == 1) & valid(kind, part)
-        if kind not in BASE:
-            keep = keep & (score >= MIN_SCORE)
-        return F.struct(end.alias("at"), (a["no"] + 1).alias("no"), F.right(part, F.lit(CONTEXT_CHARS)).alias("before"), F.when(keep, F.array_append(a["found"], span)).otherwise(a["found"]).alias("found"))
-
-    found = F.aggregate(parts, start, step, lambda a: a["found"])
-    may = text.rlike(NEEDS[kind])
-    return F.when(may, found).otherwise(F.array().cast("array<struct<start:int,kind_no:int,kind:string,end:int,score:double>>"))
+    parts = F.split(F.regexp_replace(text, f"({PATTERNS[kind]})", f"{MARK}$1{MARK}"), MARK, -1)  # parts 1, 3, ... are matches
+
+    def match(all_parts: Column, starts: Column, k: Column) -> Column:
+        return F.struct(F.get(starts, k).alias("at"), F.get(all_parts, k).alias("text"), F.right(F.get(all_parts, k - 1), F.lit(CONTEXT_CHARS)).alias("before"))
+
+    def scored(x: Column) -> Column:
+        score = F.lit(PRIOR[kind] + CHECKED.get(kind, 0.0)) + F.when(F.lower(x["before"]).rlike(CONTEXT[kind]), CONTEXT_BONUS).otherwise(0.0)
+        return F.struct(x["at"].alias("start"), F.lit(KINDS.index(kind)).alias("kind_no"), F.lit(kind).alias("kind"), (x["at"] + F.char_length(x["text"])).alias("end"), F.least(score, F.lit(1.0)).alias("score"))
+
+    def found(all_parts: Column) -> Column:
+        matches = once(once(F.transform(all_parts, lambda p: F.char_length(p)), lambda sizes: before(sizes)), lambda starts: F.transform(F.sequence(F.lit(1), F.size(all_parts) - 2, F.lit(2)), lambda k: match(all_parts, starts, k)))
+        spans_ = F.transform(F.filter(matches, lambda x: valid(kind, x["text"])), scored)
+        return spans_ if kind in BASE else F.filter(spans_, lambda x: x["score"] >= MIN_SCORE)
+
+    none = F.array().cast("array<struct<start:int,kind_no:int,kind:string,end:int,score:double>>")
+    return F.when(text.rlike(NEEDS[kind]), once(parts, lambda all_parts: F.when(F.size(all_parts) > 1, found(all_parts)).otherwise(none))).otherwise(none)
 
 
 def find_personal_data(docs: DataFrame, text_col: str = "text", name: str = "pii") -> DataFrame:
