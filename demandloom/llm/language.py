@@ -14,7 +14,7 @@ from math import log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
@@ -24,6 +24,8 @@ from demandloom.llm.common import LONG_WORD, SLICE_BYTES, WORDS_KEPT, cuts, disc
 TRAIN_DOCS = 4_000
 #: Longer texts are not drawn for the fit, which bounds what the driver holds; they are scored like all others.
 TRAIN_LONGEST = 100_000
+#: Characters of all texts that the fit reads.
+TRAIN_CHARS = 100_000_000
 #: Each language has about TRAIN_DOCS / LEAST_PART of them at least, or all that it has.
 LEAST_PART = 20
 SMOOTH, HOST_WEIGHT, SUFFIX_WEIGHT = 0.5, 20.0, 50.0
@@ -144,11 +146,38 @@ class WordScores(dict):
 
 
 def declared_in_markup(text: Column) -> Column:
-    """The primary language tag that an html element or xml:lang attribute at the text's start declares, or null."""
-    found = F.lower(F.regexp_extract(text, r"(?i)<[a-z][^<>]{0,200}?\s(?:xml:)?lang\s*=\s*[\"']?([a-z]{2,3})", 1))
+    """The primary language tag that the first element of a text declares by lang or xml:lang, or null.
+
+    White space, a declaration, a document type and comments may stand before the element, and nothing else;
+    elements further on, which may quote other languages, declare nothing for the text.
+    """
+    found = F.lower(F.regexp_extract(text, r"(?is)\A\s*+(?:(?:<!--.*?-->|<[?!][^<>]*+>)\s*+)*+<[a-z][^<>]*?\s(?:xml:)?lang\s*+=\s*+[\"']?([a-z]{2,3})(?![a-z])", 1))
     return F.when(found != "", found)
 
 
+def text_of_markup(html: Column) -> Column:
+    """A page's text: scripts, styles, comments and tags become spaces; a null page has a null text."""
+    return F.regexp_replace(html, r"(?is)<(script|style)\b[^<>]*+>.*?</\1\s*+>|<!--.*?-->|<[a-z/!?][^<>]*+>", " ")
+
+
+def host_of(address: Column) -> Column:
+    """The host of an address in lower case, or null where there is none."""
+    return F.lower(F.try_parse_url(address, F.lit("HOST")))
+
+
+def documents_and_pages(docs: DataFrame, pages: DataFrame) -> DataFrame:
+    """Rows (doc_id, page_id, text, lang, host, declared) of documents and of web pages.
+
+    A document's host is its source. A page brings its markup's text, the language that its markup declares, and the host of
+    its address; its doc_id is -1 - page_id, so ids of documents and pages never meet.
+    """
+    none = F.lit(None).cast("string")
+    ours = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(None).cast("long").alias("page_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("host"), declared_in_markup(F.col("text")).alias("declared"))
+    page = F.col("page_id").cast("long")
+    theirs = pages.select((-1 - page).alias("doc_id"), page.alias("page_id"), text_of_markup(F.col("html")).alias("text"), none.alias("lang"), host_of(F.col("url")).alias("host"), declared_in_markup(F.col("html")).alias("declared"))
+    return ours.unionByName(theirs)
+
+
 def address_suffix(host: Column) -> Column:
     """What follows the last dot of a host name, in lower case; null without a dot."""
     return F.when(F.contains(host, F.lit(".")), F.lower(F.regexp_extract(host, r"\.([^.]+)$", 1)))
@@ -164,8 +193,9 @@ def training_rows(docs: DataFrame, id_col: str, text_col: str, label_col: str, t
 
     The languages and their rates come from counts over all rows, so a language stays however rare
     it is. Rows are told apart by id and text: repeated ones count once, and those that only share
-    an id are drawn one by one. Texts of over ``longest`` characters are not drawn, and no more
-    than four times ``train_docs`` rows are.
+    an id are drawn one by one. Texts of over ``longest`` characters are not drawn, no more
+    than four times ``train_docs`` rows are, and no more than TRAIN_CHARS characters in all: languages then
+    get their rows in turns, so that a rare one keeps its own.
     """
     keyed = docs.filter(F.col(label_col).isNotNull() & (F.char_length(text_col) <= longest)).select(F.col(text_col).alias("t"), F.col(label_col).alias("l"), F.xxhash64(F.col(id_col), F.col(text_col), F.lit(5)).alias("_h"))
     counts = keyed.select("l", "_h").distinct().groupBy("l").agg(F.count("*").alias("n")).collect()  # one row a language
@@ -173,7 +203,10 @@ def training_rows(docs: DataFrame, id_col: str, text_col: str, label_col: str, t
     shares = [(x["l"], max(1, round(1_000_000_000 * min(1.0, max(train_docs / total, train_docs / LEAST_PART / x["n"]))))) for x in counts]
     rates = docs.sparkSession.createDataFrame(shares, keyed.select("l", F.lit(0).alias("_share")).schema)
     drawn = keyed.join(F.broadcast(rates), "l").filter(F.pmod("_h", F.lit(1_000_000_000)) < F.col("_share"))
-    return drawn.dropDuplicates(["l", "_h"]).orderBy("_h").limit(4 * train_docs).select("t", "l")
+    few = drawn.dropDuplicates(["l", "_h"]).orderBy("_h").limit(4 * train_docs)
+    turn = few.withColumn("_turn", F.row_number().over(Window.partitionBy("l").orderBy("_h")))
+    used = F.sum(F.char_length("t")).over(Window.orderBy("_turn", "_h"))  # over the drawn rows alone
+    return turn.withColumn("_used", used).filter(F.col("_used") <= TRAIN_CHARS).select("t", "l")
 
 
 def _prior_sums(scored: DataFrame, classes: int) -> tuple[DataFrame, list[float]]:
@@ -245,5 +278,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = identify(table(spark, sf_dir, "documents"), host=F.col("source"), keep=["doc_id"])
-    return found.select("doc_id", "language", F.round("posterior", 6).alias("posterior"), "accepted")
+    """All documents and all pages: documents fit the text model, pages bring declared languages, suffixes and hosts."""
+    rows = documents_and_pages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages"))
+    found = identify(rows, host=F.col("host"), declared=F.col("declared"), keep=["doc_id", "page_id"])
+    return found.select("doc_id", "page_id", "language", F.round("posterior", 6).alias("posterior"), "accepted")
