@@ -85,6 +85,7 @@ class TextIds:
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
         self.letters = _byte_letters()
         self.spaced = splits_into_spaced_words(path)
+        self.older: dict[str, bytes] = {}  # with spaces, the words before the last 2 * WORDS_KEPT as well, as there are more kinds of them
         self.pieces: dict[str, bytes] | None = {} if self.spaced or splits_into_words(path) else None
 
     def _library(self, text: str) -> bytes:
@@ -94,11 +95,16 @@ class TextIds:
         """The ids of split pieces; what is new among them is encoded once, and remembered if it isn't long."""
         held, code, tokenize = self.pieces, "H" if self.kind.itemsize == 2 else "I", self.tokenizer.model.tokenize
         if len(held) > 2 * WORDS_KEPT:
+            if self.spaced:
+                self.older = dict(held)
             held.clear()
         fresh = set(found).difference(held)
         for piece in fresh:
-            shown = piece if piece.isascii() and not self.spaced else "".join([self.letters[b] for b in piece.encode()])
-            held[piece] = array(code, [t.id for t in tokenize(shown)]).tobytes()
+            known = self.older.get(piece)
+            if known is None:
+                shown = piece if piece.isascii() and not self.spaced else "".join([self.letters[b] for b in piece.encode()])
+                known = array(code, [t.id for t in tokenize(shown)]).tobytes()
+            held[piece] = known
         out = b"".join(map(held.__getitem__, found))
         for piece in [x for x in fresh if len(x) > LONG_WORD]:
             del held[piece]
