@@ -1,20 +1,12 @@
-"""The wide training table: one row a shop, item and day with the features of every grain.
-
-Each grain is computed and written once, dated ones in folders by month; a month's table joins
-what those folders hold.
-"""
+"""The wide training table: one row a shop, item and day with the features of every grain."""
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, fields
-from datetime import date
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Grains that are computed side by side.
-GRAINS_AT_ONCE = 4
 CATEGORY = ("category_qty", "category_qty_7d", "category_sold")
 
 
@@ -23,6 +15,7 @@ class Parts:
     """Feature tables by grain. Columns other than keys have a prefix of their grain; additional has the pairs that only the test period has."""
 
     pairs: DataFrame
+    pair_totals: DataFrame
     shops: DataFrame
     items: DataFrame
     dates: DataFrame
@@ -32,32 +25,6 @@ class Parts:
     additional: DataFrame
 
 
-def write_all_features(parts: Parts, path: str) -> None:
-    """Write every grain, a few at a time; those with dates in folders by month (a number yyyymm)."""
-
-    def write(name: str) -> None:
-        df = getattr(parts, name)
-        if "date" in df.columns:
-            df.withColumn("month", F.year("date") * 100 + F.month("date")).write.mode("overwrite").partitionBy("month").parquet(f"{path}/{name}")
-        else:
-            df.write.mode("overwrite").parquet(f"{path}/{name}")
-
-    with ThreadPoolExecutor(GRAINS_AT_ONCE) as pool:
-        list(pool.map(write, (f.name for f in fields(parts))))
-
-
-def stored(spark: SparkSession, path: str) -> Parts:
-    return Parts(**{f.name: spark.read.parquet(f"{path}/{f.name}") for f in fields(Parts)})
-
-
-def cut(df: DataFrame, first: date, last: date) -> DataFrame:
-    """The period's rows of a stored grain; months outside it are never read."""
-    if "date" not in df.columns:
-        return df
-    months = F.col("month").between(first.year * 100 + first.month, last.year * 100 + last.month)
-    return df.filter(months & F.col("date").between(F.lit(first), F.lit(last))).drop("month")
-
-
 def join_once(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
     """A join that has every column name once: of columns that both sides have, the left one's stay."""
     taken = {c.lower() for c in left.columns if c not in on}
@@ -65,8 +32,8 @@ def join_once(left: DataFrame, right: DataFrame, on: list[str], how: str = "inne
 
 
 def merge_all_features(parts: Parts, pairs: DataFrame | None = None) -> DataFrame:
-    """Inner joins of all grains but the category's. The planner broadcasts what its statistics show to be small."""
-    df = parts.pairs if pairs is None else pairs
+    """Inner joins of all grains but the category's; given pairs, which training may not have, get no totals. The planner broadcasts what its statistics show to be small."""
+    df = join_once(parts.pairs, parts.pair_totals, ["shop_id", "item_id"]) if pairs is None else pairs
     for part, on in ((parts.shops, ["shop_id"]), (parts.items, ["item_id"]), (parts.dates, ["date"]), (parts.item_dates, ["item_id", "date"]), (parts.shop_dates, ["shop_id", "date"])):
         df = join_once(df, part, on)
     return df
@@ -76,12 +43,11 @@ def zero_fill(df: DataFrame, columns=CATEGORY) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in columns})
 
 
-def feature_table(parts: Parts, first: date, last: date, additional: bool = False) -> DataFrame:
-    """The period's pair days (or those of additional pairs) joined to all stored grains.
+def feature_table(parts: Parts, additional: bool = False) -> DataFrame:
+    """The pair days (or those of additional pairs) joined to all grains.
 
     For additional pairs the category's days may be missing and count as 0.
     """
-    now = Parts(**{f.name: cut(getattr(parts, f.name), first, last) for f in fields(parts)})
-    category = now.category_dates.withColumnRenamed("item_category_id", "sid_item_category_id")
-    wide = join_once(merge_all_features(now, now.additional if additional else None), category, ["shop_id", "sid_item_category_id", "date"], "left" if additional else "inner")
+    category = parts.category_dates.withColumnRenamed("item_category_id", "sid_item_category_id")
+    wide = join_once(merge_all_features(parts, parts.additional if additional else None), category, ["shop_id", "sid_item_category_id", "date"], "left" if additional else "inner")
     return zero_fill(wide) if additional else wide

@@ -37,9 +37,10 @@ def cell(ids: np.ndarray, projected: np.ndarray, bits: int = BITS) -> np.ndarray
 
     A text without ids lies in the middle.
     """
-    kinds, counts = np.unique(ids, return_counts=True)
-    weights = 1 + np.log(counts)
-    at = weights @ projected[kinds] / np.sqrt(max(float(weights @ weights), 1.0))
+    ordered = np.sort(ids, kind="stable")  # which is a radix sort of 16-bit ids
+    firsts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])[: len(ordered)])
+    weights = 1 + np.log(np.diff(firsts, append=len(ordered)))
+    at = weights @ projected.take(ordered[firsts], axis=0) / np.sqrt(max(float(weights @ weights), 1.0))
     return np.minimum((1 << bits) / (1 + np.exp(-1.702 * at)), (1 << bits) - 1).astype(np.int64)
 
 

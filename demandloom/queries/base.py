@@ -47,23 +47,38 @@ CTE = {
     "clean": "SELECT * FROM clean_all WHERE item_price > 0 AND date >= DATE '2024-01-01'",
     "train": "SELECT * FROM clean WHERE date <= DATE '2024-01-23'",
     "test": "SELECT DISTINCT shop_id, item_id FROM clean WHERE date >= DATE '2024-01-24'",
+    "cats": "SELECT CAST(range AS INT) AS item_id, CAST(range % 2 AS INT) AS item_category_id FROM range(5)",
+    "named_train": "SELECT t.*, c.item_category_id AS cat FROM train t JOIN cats c ON t.item_id = c.item_id",
 }
-NEEDS = {"closing_sales": ["sales"], "launched_sales": ["sales", "items"], "known_shops": ["shops"], "known_items": ["items"], "d": ["panel_sales"], "g": ["d"], "clean_all": ["g"], "clean": ["clean_all"], "train": ["clean"], "test": ["clean"]}
+#: The same names over five months of order lines, and the dates that statements name.
+SEASON_CTE = CTE | {
+    "panel_sales": "SELECT * FROM sales WHERE date BETWEEN DATE '1998-01-01' AND DATE '1998-05-31'",
+    "clean": "SELECT * FROM clean_all WHERE item_price > 0 AND date >= DATE '1998-01-01'",
+    "train": "SELECT * FROM clean WHERE date <= DATE '1998-04-30'",
+    "test": "SELECT DISTINCT shop_id, item_id FROM clean WHERE date >= DATE '1998-05-01'",
+    "cats": "SELECT CAST(item_id AS BIGINT) AS item_id, item_category_id FROM items",
+}
+SEASON_DATES = {"DATE '2024-01-23'": "DATE '1998-04-30'", "DATE '2024-01-01'": "DATE '1998-01-01'"}
+NEEDS = {"closing_sales": ["sales"], "launched_sales": ["sales", "items"], "known_shops": ["shops"], "known_items": ["items"], "d": ["panel_sales"], "g": ["d"], "clean_all": ["g"], "clean": ["clean_all"], "train": ["clean"], "test": ["clean"], "named_train": ["train", "cats"]}
+SEASON_NEEDS = NEEDS | {"panel_sales": ["sales"], "cats": ["items"]}
 
 
-def with_ctes(body: str, *names: str) -> str:
+def with_ctes(body: str, *names: str, season: bool = False) -> str:
     """``body`` after the named table expressions and all that they need; it may begin with its own ("WITH x AS ...")."""
     order: list[str] = []
+    ctes, needs = (SEASON_CTE, SEASON_NEEDS) if season else (CTE, NEEDS)
+    for ours, theirs in SEASON_DATES.items() if season else ():
+        body = body.replace(ours, theirs)
 
     def add(name: str) -> None:
-        for x in NEEDS.get(name, ()):
+        for x in needs.get(name, ()):
             add(x)
         if name not in order:
             order.append(name)
 
     for n in names:
         add(n)
-    head = ",\n".join(f"{n} AS ({CTE[n]})" for n in order)
+    head = ",\n".join(f"{n} AS ({ctes[n]})" for n in order)
     body = body.strip()
     if not head:
         return body
@@ -72,7 +87,7 @@ def with_ctes(body: str, *names: str) -> str:
     return f"WITH {head}, {body[5:]}" if body.upper().startswith("WITH ") else f"WITH {head}\n{body}"
 
 
-def query(name: str, sql: str | None = None, *ctes: str):
+def query(name: str, sql: str | None = None, *ctes: str, season: bool = False):
     """Register a function (spark, sf_dir) -> DataFrame with its SQL over the named table expressions."""
 
     def add(f):
@@ -80,7 +95,7 @@ def query(name: str, sql: str | None = None, *ctes: str):
             raise ValueError(f"two queries named {name}")
         QUERIES[name] = f
         if sql is not None:
-            SQL[name] = with_ctes(sql, *ctes)
+            SQL[name] = with_ctes(sql, *ctes, season=season)
         return f
 
     return add

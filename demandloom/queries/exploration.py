@@ -8,13 +8,15 @@ from pyspark.sql import functions as F
 
 from demandloom.jobs import analysis as J
 from demandloom.jobs import assembly as W
+from demandloom.jobs.grain_store import SIDES, GrainStore
 from demandloom.operators import dates as T
 from demandloom.operators import dims as D
+from demandloom.operators import panel as P
 from demandloom.operators.clean import add_col_prefix
 from demandloom.params import PANEL, SALES
 from demandloom.queries import dims as QD
 from demandloom.queries import panel as QP
-from demandloom.queries.base import SQL, query, with_ctes
+from demandloom.queries.base import query, with_ctes
 from demandloom.sources import adapters as A
 from demandloom.sources import io
 
@@ -144,87 +146,104 @@ query("dedupe_join_columns", "SELECT s.shop_id, s.item_id, s.date, s.date_block_
 
 def panel_shops(train, categories):
     """What training tells of each shop; the panel's shops have no names, so no cities."""
-    return add_col_prefix(D.shop_activity_counts(train, categories).withColumn("rows", F.col("n_sales")), "s_", ["shop_id"])
+    return add_col_prefix(D.shop_activity_counts(train, categories), "s_", ["shop_id"])
 
 
-def panel_items(train, test, categories):
+def panel_items(train, test, categories, calendar):
     """What training tells of each item, and its category; the panel's categories have no names."""
-    df = D.item_first_sale_month(train, test, PANEL.train_start, PANEL.test_start.month - 1).drop("first_date").join(D.items_in_category(categories), "item_id")
+    df = D.item_first_sale_month(train, test, calendar.train_start, calendar.test_start.month - 1).drop("first_date").join(D.items_in_category(categories), "item_id")
     for f in (D.item_price_cv, D.item_qty_mad, D.item_unique_counts, D.item_gap_stats):
         df = df.join(f(train), "item_id", "left")
     return add_col_prefix(df.withColumns({c: F.round(c, 6) for c in ("price_cv", "qty_mad", "gap_mean", "gap_std")}), "i_", ["item_id"])
 
 
-def panel_dates(train):
+def panel_dates(train, calendar):
     """Calendar, cycles, holidays, events, totals and lags of the panel's days."""
-    df = T.build_date_features(PANEL, train)
+    df = T.build_date_features(calendar, train)
     return df.withColumns({c: F.round(c, 9) for c in df.columns if c.endswith(("_sin", "_cos"))})
 
 
-def parts(s, d):
-    """The panel's feature tables by grain."""
-    train, test = QP.split(s, d)
-    categories = A.panel_categories(s, d)
+def parts(s, d, source=QP.ORDERS):
+    """The feature tables of a source by grain."""
+    train, test = QP.split(s, d, source)
+    categories = source.categories(s, d)
     return W.Parts(
-        pairs=QP.rounded(QP.shop_item_dates(s, d)),
+        pairs=QP.rounded(QP.shop_item_dates(s, d, source)),
+        pair_totals=add_col_prefix(P.shop_item_totals(train), "si_", ["shop_id", "item_id"]),
         shops=panel_shops(train, categories),
-        items=panel_items(train, test, categories),
-        dates=panel_dates(train),
-        item_dates=QP.rounded(QP.item_dates(s, d)),
-        shop_dates=QP.rounded(QP.shop_dates(s, d)),
-        category_dates=QP.shop_category_dates(s, d).withColumnRenamed("qty", "category_qty"),
-        additional=QP.rounded(QP.additional_pair_dates(s, d)),
+        items=panel_items(train, test, categories, source.calendar),
+        dates=panel_dates(train, source.calendar),
+        item_dates=QP.rounded(QP.item_dates(s, d, source)),
+        shop_dates=QP.rounded(QP.shop_dates(s, d, source)),
+        category_dates=QP.shop_category_dates(s, d, source).withColumnRenamed("qty", "category_qty"),
+        additional=QP.rounded(QP.additional_pair_dates(s, d, source)),
     )
 
 
-def stored(s, d):
-    """The same, written by month and read back."""
-    path = io.scratch_path(s, "grains")
-    W.write_all_features(parts(s, d), path)
-    return W.stored(s, path)
+_stores = {}
+
+
+def store(s, d, source=QP.ORDERS, renew=False):
+    """The session's grain store of a source, built on first use or anew on demand."""
+    key = (s.sparkContext.applicationId, d, source.calendar)
+    if renew or key not in _stores:
+        made = GrainStore(s, io.scratch_path(s, "grains"))
+        made.put(parts(s, d, source))
+        if key in _stores:
+            _stores.pop(key).delete()
+        _stores[key] = made
+    return _stores[key]
 
 
 _CATEGORY = "category_qty, category_qty_7d, category_sold"
 _ZERO = "coalesce(category_qty, 0) AS category_qty, coalesce(category_qty_7d, 0) AS category_qty_7d, coalesce(category_sold, 0) AS category_sold"
-_PANEL_SHOPS = "SELECT shop_id, count(*) AS s_n_sales, count(DISTINCT item_id) AS s_n_items, count(DISTINCT item_id % 2) AS s_n_categories, count(*) AS s_rows FROM train GROUP BY 1"
-_PANEL_ITEMS = """WITH known AS (SELECT item_id, CAST(item_id % 2 AS INT) AS i_item_category_id, count(*) OVER (PARTITION BY item_id % 2) AS i_n_in_category FROM (SELECT DISTINCT item_id FROM panel_sales)),
+_PANEL_SHOPS = "SELECT shop_id, count(*) AS s_n_sales, count(DISTINCT item_id) AS s_n_items, count(DISTINCT cat) AS s_n_categories FROM named_train GROUP BY 1"
+_PAIR_TOTALS = "SELECT *, CAST(rank() OVER (PARTITION BY item_id ORDER BY si_qty DESC) AS INT) AS si_shop_rank FROM (SELECT shop_id, item_id, sum(item_cnt_day) AS si_qty, count(DISTINCT date) AS si_n_dates FROM train GROUP BY 1, 2)"
+_PANEL_ITEMS = """WITH known AS (SELECT item_id, item_category_id AS i_item_category_id, count(*) OVER (PARTITION BY item_category_id) AS i_n_in_category FROM cats),
 sums AS (SELECT item_id, min(date) AS f, round(stddev_pop(item_price) / nullif(avg(item_price), 0), 6) AS i_price_cv, avg(item_cnt_day) AS m, count(DISTINCT shop_id) AS i_n_shops, count(DISTINCT date) AS i_n_dates FROM train GROUP BY 1),
 mad AS (SELECT item_id, round(avg(abs(item_cnt_day - m)), 6) AS i_qty_mad FROM train JOIN sums USING (item_id) GROUP BY 1),
 item_gap AS (SELECT item_id, date - lag(date) OVER (PARTITION BY item_id ORDER BY date) AS gap FROM (SELECT DISTINCT item_id, date FROM train)),
 item_gaps AS (SELECT item_id, round(avg(gap), 6) AS i_gap_mean, round(stddev_pop(gap), 6) AS i_gap_std, quantile_cont(CAST(gap AS DOUBLE), 0.5) AS i_gap_median, CAST(min(gap) AS INT) AS i_gap_min, CAST(max(gap) AS INT) AS i_gap_max FROM item_gap GROUP BY 1)
-SELECT item_id, CAST(CASE WHEN f IS NULL OR date_trunc('month', f) = DATE '2024-01-01' THEN 0 ELSE month(f) - 1 END AS INT) AS i_month_of_first_sale, i_item_category_id, i_n_in_category, i_price_cv, i_qty_mad, i_n_shops, i_n_dates, i_gap_mean, i_gap_std, i_gap_median, i_gap_min, i_gap_max
+SELECT item_id, CAST(CASE WHEN f IS NULL THEN {month} WHEN date_trunc('month', f) = DATE '2024-01-01' THEN 0 ELSE month(f) - 1 END AS INT) AS i_month_of_first_sale, i_item_category_id, i_n_in_category, i_price_cv, i_qty_mad, i_n_shops, i_n_dates, i_gap_mean, i_gap_std, i_gap_median, i_gap_min, i_gap_max
 FROM known LEFT JOIN sums USING (item_id) LEFT JOIN mad USING (item_id) LEFT JOIN item_gaps USING (item_id) WHERE item_id IN (SELECT item_id FROM train) OR item_id IN (SELECT item_id FROM test)"""
-_PARTS, _CYCLE, _HOLIDAY, _EVENT = QD.calendar_sql(PANEL)
-_PANEL_DATES = f"""WITH a AS (SELECT date, {_PARTS}, {_HOLIDAY}, {_EVENT} FROM ({QD.spine_sql('train', PANEL)})),
-b AS (SELECT a.*, {_CYCLE}, coalesce(q, 0.0) AS total_qty FROM a LEFT JOIN (SELECT date, sum(item_cnt_day) AS q FROM train GROUP BY 1) t USING (date)), c AS (SELECT *, {QD._LAGS} FROM b)
+
+
+def panel_dates_sql(calendar) -> str:
+    named, cycle, holiday, event = QD.calendar_sql(calendar)
+    return f"""WITH a AS (SELECT date, {named}, {holiday}, {event} FROM ({QD.spine_sql('train', calendar)})),
+b AS (SELECT a.*, {cycle}, coalesce(q, 0.0) AS total_qty FROM a LEFT JOIN (SELECT date, sum(item_cnt_day) AS q FROM train GROUP BY 1) t USING (date)), c AS (SELECT *, {QD._LAGS} FROM b)
 SELECT date, COLUMNS(lambda c: c <> 'date') AS 'd_\\0' FROM c"""
 
 
-def wide_sql(kind: str | None, columns: str = "*", where: str = "true", pairs: str = "build_shop_item_date_features") -> str:
+def wide_sql(source, kind: str | None, columns: str = "*", where: str = "true", additional: bool = False) -> str:
     """The join of the grains' own statements; kind is that of the category's join (None: no such join)."""
+    of = lambda body, *names: with_ctes(body, *names, season=source is QP.ORDERS)
     cat = QP.CATEGORY_SQL.format(cols="shop_id, item_category_id, date, qty AS category_qty, category_qty_7d, category_sold")
-    category = f"{kind} JOIN (SELECT shop_id, item_category_id AS sid_item_category_id, date, {_CATEGORY} FROM ({with_ctes(cat, 'train')})) c USING (shop_id, sid_item_category_id, date)" if kind is not None else ""
-    return f"""SELECT {columns} FROM ({SQL[pairs]}) p
-JOIN ({with_ctes(_PANEL_SHOPS, 'train')}) s USING (shop_id) JOIN ({with_ctes(_PANEL_ITEMS, 'train', 'test')}) i USING (item_id) JOIN ({with_ctes(_PANEL_DATES, 'train')}) d USING (date)
-JOIN ({SQL['build_item_date_features']}) id USING (item_id, date) JOIN ({SQL['build_shop_date_features']}) sd USING (shop_id, date)
+    category = f"{kind} JOIN (SELECT shop_id, item_category_id AS sid_item_category_id, date, {_CATEGORY} FROM ({of(cat, 'named_train')})) c USING (shop_id, sid_item_category_id, date)" if kind is not None else ""
+    return f"""SELECT {columns} FROM ({of(QP.ADDITIONAL_SQL if additional else QP.PAIR_SQL, 'train', 'test', 'cats')}) p
+JOIN ({of(_PANEL_SHOPS, 'named_train')}) s USING (shop_id) JOIN ({of(_PANEL_ITEMS.format(month=source.calendar.test_start.month - 1), 'train', 'test', 'cats')}) i USING (item_id) JOIN ({of(panel_dates_sql(source.calendar), 'train')}) d USING (date)
+JOIN ({of(QP.ITEM_SQL, 'train', 'test', 'cats')}) id USING (item_id, date) JOIN ({of(QP.SHOP_SQL, 'named_train', 'test')}) sd USING (shop_id, date)
+{"" if additional else f"JOIN ({of(_PAIR_TOTALS, 'train')}) si USING (shop_id, item_id)"}
 {category} WHERE {where}"""
 
 
-#: All days of the month that training has.
-MONTH = (PANEL.train_start, PANEL.train_end)
 _FILLED = f"* REPLACE ({_ZERO})"
-_JAN = "date BETWEEN DATE '2024-01-01' AND DATE '2024-01-23'"
-_ADDL = "additional_shop_item_dates"
-query("write_all_features", SQL["build_shop_item_date_features"])(lambda s, d: stored(s, d).pairs.drop("month"))
-query("merge_all_features", wide_sql(None))(lambda s, d: W.merge_all_features(W.Parts(**{k: v.drop("month") for k, v in vars(stored(s, d)).items()})))
-query("monthly_feature_table", wide_sql("", "*", _JAN))(lambda s, d: W.feature_table(stored(s, d), *MONTH))
-query("monthly_feature_table_addl", wide_sql("LEFT", _FILLED, _JAN, _ADDL))(lambda s, d: W.feature_table(stored(s, d), *MONTH, additional=True))
-query("zero_fill_category_cols", wide_sql("LEFT", f"shop_id, item_id, date, {_ZERO}", _JAN, _ADDL))(lambda s, d: W.feature_table(stored(s, d), *MONTH, additional=True).select("shop_id", "item_id", "date", *W.CATEGORY))
 
 
-def both(s, d):
-    grains = stored(s, d)
-    return W.feature_table(grains, *MONTH).unionByName(W.feature_table(grains, *MONTH, additional=True))
+def months(source, first, last):
+    """Register the wide tables of a source; ``first`` and ``last`` are the days of one month."""
+    name = (lambda x: x) if source is QP.ORDERS else (lambda x: f"{x}_of_events")
+    between = f"date BETWEEN DATE '{first}' AND DATE '{last}'"
+    of = lambda s, d, **how: W.feature_table(store(s, d, source).parts(first, last, how.pop("sides", tuple(SIDES))), **how)
+    query(name("write_all_features"), wide_sql(source, None))(lambda s, d: W.merge_all_features(store(s, d, source, renew=True).parts()))
+    query(name("merge_all_features"), wide_sql(source, None))(lambda s, d: W.merge_all_features(store(s, d, source).parts()))
+    query(name("monthly_feature_table"), wide_sql(source, "", "*", between))(of)
+    query(name("monthly_feature_table_addl"), wide_sql(source, "LEFT", _FILLED, between, True))(lambda s, d: of(s, d, additional=True))
+    query(name("zero_fill_category_cols"), wide_sql(source, "LEFT", f"shop_id, item_id, date, {_ZERO}", between, True))(lambda s, d: of(s, d, sides=(), additional=True).select("shop_id", "item_id", "date", *W.CATEGORY))
+    query(name("union_train_addl"), f"{wide_sql(source, '', '* EXCLUDE (si_qty, si_n_dates, si_shop_rank)', between)} UNION ALL BY NAME {wide_sql(source, 'LEFT', _FILLED, between, True)}")(
+        lambda s, d: of(s, d).drop("si_qty", "si_n_dates", "si_shop_rank").unionByName(of(s, d, additional=True))
+    )
 
 
-query("union_train_addl", f"{wide_sql('', '*', _JAN)} UNION ALL BY NAME {wide_sql('LEFT', _FILLED, _JAN, _ADDL)}")(both)
+months(QP.ORDERS, date(1998, 3, 1), date(1998, 3, 31))
+months(QP.EVENTS, PANEL.train_start, PANEL.train_end)

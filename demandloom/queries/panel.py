@@ -1,32 +1,50 @@
-"""Panel features at the three grains, over the cleaned event sales."""
+"""Panel features at the three grains: over the cleaned event sales, whose pairs sell often, and over five months of order
+lines, which have thousands of items in many categories.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandloom.jobs.analysis import new_pairs_not_in_train
 from demandloom.operators import panel as P
 from demandloom.operators.clean import add_col_prefix, clean_sales
-from demandloom.params import PANEL
+from demandloom.params import PANEL, SEASON, Calendar
 from demandloom.queries.base import query
 from demandloom.sources import adapters as A
 
 
-def clean(spark: SparkSession, sf: str) -> DataFrame:
-    return clean_sales(A.panel_sales(spark, sf), PANEL.train_start)
+@dataclass(frozen=True)
+class Source:
+    """Sales of a period, and the categories of their items."""
+
+    calendar: Calendar
+    sales: Callable[[SparkSession, str], DataFrame]
+    categories: Callable[[SparkSession, str], DataFrame]
+
+
+EVENTS = Source(PANEL, A.panel_sales, A.panel_categories)
+ORDERS = Source(SEASON, A.season_sales, A.season_categories)
+
+
+def clean(spark: SparkSession, sf: str, source: Source = EVENTS) -> DataFrame:
+    return clean_sales(source.sales(spark, sf), source.calendar.train_start)
 
 
-def split(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+def split(spark: SparkSession, sf: str, source: Source = EVENTS) -> tuple[DataFrame, DataFrame]:
     """Train rows, and the pairs of the test period."""
-    df = clean(spark, sf)
-    return df.filter(F.col("date") <= F.lit(PANEL.train_end)), df.filter(F.col("date") >= F.lit(PANEL.test_start)).select("shop_id", "item_id").distinct()
+    df = clean(spark, sf, source)
+    return df.filter(F.col("date") <= F.lit(source.calendar.train_end)), df.filter(F.col("date") >= F.lit(source.calendar.test_start)).select("shop_id", "item_id").distinct()
 
 
-def dense(spark: SparkSession, sf: str, levels, price: bool = False) -> DataFrame:
-    train, test = split(spark, sf)
+def dense(spark: SparkSession, sf: str, levels, price: bool = False, source: Source = EVENTS) -> DataFrame:
+    train, test = split(spark, sf, source)
     daily = train.groupBy(*levels, "date").agg(F.sum("item_cnt_day").alias("qty"), *((F.avg("item_price").alias("price"),) if price else ()))
-    return P.densify(daily, levels, test, PANEL.train_end)
+    return P.densify(daily, levels, test, source.calendar.train_end)
 
 
 _DENSE = "dense AS (SELECT {k}, date, coalesce(qty, 0.0) AS qty, qty IS NOT NULL AS sold, price FROM spine LEFT JOIN daily USING ({k}, date))"
@@ -193,14 +211,25 @@ def q_partners(spark, sf):
     return P.unique_partners_before(dense(spark, sf, P.ITEM), train, P.ITEM, "shop_id", "n_shops_before").drop("qty", "sold")
 
 
-_more, _col = partners_sql("shop_id", "(SELECT *, item_id % 2 AS cat FROM train)", "cat", "n_categories_before")
+def twice(name: str, sql: str, *ctes: str):
+    """Register a function (spark, sf, source) over the order lines, and as <name>_of_events over the events."""
 
+    def add(f):
+        query(name, sql, *ctes, season=True)(lambda spark, sf: f(spark, sf, ORDERS))
+        query(f"{name}_of_events", sql, *ctes)(lambda spark, sf: f(spark, sf, EVENTS))
+        return f
 
-@query("unique_categories_before", dense_sql(P.SHOP, f"SELECT shop_id, date, {_col} FROM dense LEFT JOIN n USING (shop_id, date) {frames(P.SHOP)}", _more), "train", "test")
-def q_categories(spark, sf):
-    train, _ = split(spark, sf)
-    named = train.join(A.panel_categories(spark, sf), "item_id")
-    return P.unique_partners_before(dense(spark, sf, P.SHOP), named, P.SHOP, "item_category_id", "n_categories_before").drop("qty", "sold")
+    return add
+
+
+_more, _col = partners_sql("shop_id", "named_train", "cat", "n_categories_before")
+
+
+@twice("unique_categories_before", dense_sql(P.SHOP, f"SELECT shop_id, date, {_col} FROM dense LEFT JOIN n USING (shop_id, date) {frames(P.SHOP)}", _more), "named_train", "test")
+def q_categories(spark, sf, source):
+    train, _ = split(spark, sf, source)
+    named = train.join(source.categories(spark, sf), "item_id")
+    return P.unique_partners_before(dense(spark, sf, P.SHOP, source=source), named, P.SHOP, "item_category_id", "n_categories_before").drop("qty", "sold")
 
 
 def all_sql(levels, prefix: str, more: str = "", extra: str = "", joins: str = "", dense: str = _DENSE) -> str:
@@ -212,7 +241,7 @@ def all_sql(levels, prefix: str, more: str = "", extra: str = "", joins: str = "
     return dense_sql(levels, body, MODES.replace("{frames}", frames(levels)) + spike_more(levels) + f", sn2 AS (SELECT {k}, date, n_spikes FROM sn)" + more + ", " + select, dense)
 
 
-_CAT = """, named AS (SELECT item_id, date, qty, item_id % 2 AS cat FROM dense), cd AS (SELECT cat, date, sum(qty) AS q FROM named GROUP BY ALL),
+_CAT = """, named AS (SELECT item_id, date, qty, item_category_id AS cat FROM dense JOIN cats USING (item_id)), cd AS (SELECT cat, date, sum(qty) AS q FROM named GROUP BY ALL),
 cs AS (SELECT cat, CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date FROM cd GROUP BY cat),
 cq AS (SELECT cat, date, coalesce(sum(coalesce(q, 0.0)) OVER (PARTITION BY cat ORDER BY date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING), 0.0) AS category_qty_7d FROM cs LEFT JOIN cd USING (cat, date)),
 ci AS (SELECT cs.cat, cs.date, count(DISTINCT item_id) AS category_items_7d FROM cs LEFT JOIN named n ON n.cat = cs.cat AND n.qty > 0 AND n.date BETWEEN cs.date - 7 AND cs.date - 1 GROUP BY ALL),
@@ -221,17 +250,17 @@ cat_all AS (SELECT named.item_id, named.date, CAST(cat AS INT) AS item_category_
 
 for _name, _cols in (("category_qty_last_7d", "category_qty_7d"), ("category_unique_items_7d", "category_items_7d"), ("category_qty_per_item_7d", "category_qty_per_item_7d")):
 
-    @query(_name, dense_sql(P.ITEM, f"SELECT item_id, date, {_cols} FROM cat_all", _CAT), "train", "test")
-    def q_category(spark, sf, cols=_cols):
-        df = P.category_demand(dense(spark, sf, P.ITEM), A.panel_categories(spark, sf))
+    @twice(_name, dense_sql(P.ITEM, f"SELECT item_id, date, {_cols} FROM cat_all", _CAT), "train", "test", "cats")
+    def q_category(spark, sf, source, cols=_cols):
+        df = P.category_demand(dense(spark, sf, P.ITEM, source=source), source.categories(spark, sf))
         return rounded(df.select("item_id", "date", cols))
 
 
-def item_dates(spark: SparkSession, sf: str) -> DataFrame:
-    train, test = split(spark, sf)
-    df = P.build_panel(train, test, P.ITEM, PANEL.train_end)
+def item_dates(spark: SparkSession, sf: str, source: Source = EVENTS) -> DataFrame:
+    train, test = split(spark, sf, source)
+    df = P.build_panel(train, test, P.ITEM, source.calendar.train_end)
     df = P.unique_partners_before(df, train, P.ITEM, "shop_id", "n_shops_before")
-    df = P.category_demand(df, A.panel_categories(spark, sf)).drop("item_category_id", "sold")
+    df = P.category_demand(df, source.categories(spark, sf)).drop("item_category_id", "sold")
     return add_col_prefix(df, "id_", ["item_id", "date"])
 
 
@@ -239,79 +268,79 @@ _m, _c = partners_sql("item_id", "train", "shop_id", "n_shops_before")
 ITEM_SQL = all_sql(P.ITEM, "id_", _CAT + _m, f", {_c}, category_qty_7d, category_items_7d, category_qty_per_item_7d", "LEFT JOIN n USING (item_id, date) LEFT JOIN cat_all USING (item_id, date)")
 
 
-@query("build_item_date_features", ITEM_SQL, "train", "test")
-def q_item_dates(spark, sf):
-    return rounded(item_dates(spark, sf))
+@twice("build_item_date_features", ITEM_SQL, "train", "test", "cats")
+def q_item_dates(spark, sf, source):
+    return rounded(item_dates(spark, sf, source))
 
 
-def shop_dates(spark: SparkSession, sf: str) -> DataFrame:
-    train, test = split(spark, sf)
-    df = P.build_panel(train, test, P.SHOP, PANEL.train_end)
+def shop_dates(spark: SparkSession, sf: str, source: Source = EVENTS) -> DataFrame:
+    train, test = split(spark, sf, source)
+    df = P.build_panel(train, test, P.SHOP, source.calendar.train_end)
     df = P.unique_partners_before(df, train, P.SHOP, "item_id", "n_items_before")
-    df = P.unique_partners_before(df, train.join(A.panel_categories(spark, sf), "item_id"), P.SHOP, "item_category_id", "n_categories_before")
+    df = P.unique_partners_before(df, train.join(source.categories(spark, sf), "item_id"), P.SHOP, "item_category_id", "n_categories_before")
     return add_col_prefix(df.drop("sold"), "sd_", ["shop_id", "date"])
 
 
 _m1, _c1 = partners_sql("shop_id", "train", "item_id", "n_items_before")
-_m2, _c2 = partners_sql("shop_id", "(SELECT *, item_id % 2 AS cat FROM train)", "cat", "n_categories_before")
+_m2, _c2 = partners_sql("shop_id", "named_train", "cat", "n_categories_before")
 _m2 = _m2.replace(", f AS", ", f2 AS").replace(", n AS", ", n2 AS").replace("FROM f GROUP", "FROM f2 GROUP").replace("count(*) AS k", "count(*) AS k2")
 SHOP_SQL = all_sql(P.SHOP, "sd_", _m1 + _m2, f", {_c1}, {_c2.replace('sum(k)', 'sum(k2)')}", "LEFT JOIN n USING (shop_id, date) LEFT JOIN n2 USING (shop_id, date)")
 
 
-@query("build_shop_date_features", SHOP_SQL, "train", "test")
+@query("build_shop_date_features", SHOP_SQL, "named_train", "test")
 def q_shop_dates(spark, sf):
     return rounded(shop_dates(spark, sf))
 
 
-def shop_item_dates(spark: SparkSession, sf: str) -> DataFrame:
-    train, test = split(spark, sf)
-    df = P.build_panel(train, test, P.PAIR, PANEL.train_end, extras=("price",))
-    return named_pairs(spark, sf, df)
+def shop_item_dates(spark: SparkSession, sf: str, source: Source = EVENTS) -> DataFrame:
+    train, test = split(spark, sf, source)
+    df = P.build_panel(train, test, P.PAIR, source.calendar.train_end, extras=("price",))
+    return named_pairs(spark, sf, df, source)
 
 
-def named_pairs(spark: SparkSession, sf: str, df: DataFrame) -> DataFrame:
+def named_pairs(spark: SparkSession, sf: str, df: DataFrame, source: Source = EVENTS) -> DataFrame:
     """A pair panel with its items' categories."""
-    return add_col_prefix(df.join(A.panel_categories(spark, sf), "item_id", "left").drop("sold"), "sid_", ["shop_id", "item_id", "date"])
+    return add_col_prefix(df.join(source.categories(spark, sf), "item_id", "left").drop("sold"), "sid_", ["shop_id", "item_id", "date"])
 
 
-def additional_pair_dates(spark: SparkSession, sf: str) -> DataFrame:
+def additional_pair_dates(spark: SparkSession, sf: str, source: Source = EVENTS) -> DataFrame:
     """The pair features of pairs that only the test period has."""
-    train, test = split(spark, sf)
-    days = P.additional_days(new_pairs_not_in_train(test, train), train, PANEL.train_end)
-    return named_pairs(spark, sf, P.panel_features(days, P.PAIR, ("price",)))
+    train, test = split(spark, sf, source)
+    days = P.additional_days(new_pairs_not_in_train(test, train), train, source.calendar.train_end)
+    return named_pairs(spark, sf, P.panel_features(days, P.PAIR, ("price",)), source)
 
 
 _PAIR_PARTS = (
-    P.PAIR, "sid_", _DEV, ", round(coalesce(stddev_pop(price) OVER w / nullif(avg(price) OVER w, 0), 0.0), 10) AS price_cv, round(coalesce(list_avg(list_transform(l1, lambda x: abs(x - list_avg(l1)))), 0.0), 10) AS qty_mean_ad, round(coalesce(1.4826 * list_median(list_transform(l1, lambda x: abs(x - list_median(l1)))), 0.0), 10) AS qty_median_ad, CAST(item_id % 2 AS INT) AS item_category_id",
-    "JOIN (SELECT shop_id, item_id, date, l1 FROM s2) USING (shop_id, item_id, date)",
+    P.PAIR, "sid_", _DEV, ", round(coalesce(stddev_pop(price) OVER w / nullif(avg(price) OVER w, 0), 0.0), 10) AS price_cv, round(coalesce(list_avg(list_transform(l1, lambda x: abs(x - list_avg(l1)))), 0.0), 10) AS qty_mean_ad, round(coalesce(1.4826 * list_median(list_transform(l1, lambda x: abs(x - list_median(l1)))), 0.0), 10) AS qty_median_ad, item_category_id",
+    "JOIN (SELECT shop_id, item_id, date, l1 FROM s2) USING (shop_id, item_id, date) LEFT JOIN cats USING (item_id)",
 )
 PAIR_SQL, ADDITIONAL_SQL = all_sql(*_PAIR_PARTS), all_sql(*_PAIR_PARTS, dense=ADDITIONAL)
 
 
-@query("build_shop_item_date_features", PAIR_SQL, "train", "test")
+@query("build_shop_item_date_features", PAIR_SQL, "train", "test", "cats")
 def q_pair_dates(spark, sf):
     return rounded(shop_item_dates(spark, sf))
 
 
-@query("additional_shop_item_dates", ADDITIONAL_SQL, "train", "test")
+@query("additional_shop_item_dates", ADDITIONAL_SQL, "train", "test", "cats")
 def q_additional(spark, sf):
     return rounded(additional_pair_dates(spark, sf))
 
 
-CATEGORY_SQL = """WITH cd AS (SELECT shop_id, CAST(item_id % 2 AS INT) AS item_category_id, date, sum(item_cnt_day) AS q FROM train GROUP BY ALL),
+CATEGORY_SQL = """WITH cd AS (SELECT shop_id, cat AS item_category_id, date, sum(item_cnt_day) AS q FROM named_train GROUP BY ALL),
 cs AS (SELECT shop_id, item_category_id, CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date FROM cd GROUP BY shop_id, item_category_id),
 shop_cat AS (SELECT shop_id, item_category_id, date, coalesce(q, 0.0) AS qty, coalesce(sum(coalesce(q, 0.0)) OVER (PARTITION BY shop_id, item_category_id ORDER BY date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING), 0.0) AS category_qty_7d,
  CAST(coalesce(sum(coalesce(q, 0.0)) OVER (PARTITION BY shop_id, item_category_id ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0) <> 0 AS INT) AS category_sold FROM cs LEFT JOIN cd USING (shop_id, item_category_id, date))
 SELECT {cols} FROM shop_cat"""
 
 
-def shop_category_dates(spark: SparkSession, sf: str) -> DataFrame:
-    return P.shop_category_panel(split(spark, sf)[0], A.panel_categories(spark, sf))
+def shop_category_dates(spark: SparkSession, sf: str, source: Source = EVENTS) -> DataFrame:
+    return P.shop_category_panel(split(spark, sf, source)[0], source.categories(spark, sf))
 
 
 for _name, _cols in (("shop_category_daily_qty", "qty"), ("shop_category_qty_last_7d", "category_qty_7d"), ("shop_category_sold_flag", "category_sold")):
 
-    @query(_name, CATEGORY_SQL.format(cols=f"shop_id, item_category_id, date, {_cols}"), "train")
+    @query(_name, CATEGORY_SQL.format(cols=f"shop_id, item_category_id, date, {_cols}"), "named_train")
     def q_shop_category(spark, sf, cols=_cols):
         return shop_category_dates(spark, sf).select("shop_id", "item_category_id", "date", cols)
 
@@ -374,13 +403,13 @@ def q_until_last(spark, sf):
 
 @query(
     "shop_closure_flags",
-    "WITH l AS (SELECT shop_id, max(date) AS z FROM sales GROUP BY 1), x AS (SELECT DISTINCT s.shop_id, s.date, z, (year(z) - year(s.date)) * 12 + month(z) - month(s.date) AS m FROM sales s JOIN l ON s.shop_id = l.shop_id) SELECT shop_id, date, CAST(z < DATE '2001-08-01' AS INT) AS closed, CAST(z < DATE '2001-08-01' AND m = 0 AS INT) AS last_month, CAST(z < DATE '2001-08-01' AND m = 1 AS INT) AS second_last_month FROM x",
-    "sales",
+    "WITH l AS (SELECT shop_id, max(date) AS z FROM closing_sales GROUP BY 1), x AS (SELECT DISTINCT s.shop_id, s.date, z, (year(z) - year(s.date)) * 12 + month(z) - month(s.date) AS m FROM closing_sales s JOIN l ON s.shop_id = l.shop_id) SELECT shop_id, date, CAST(z < DATE '2001-08-01' AS INT) AS closed, CAST(z < DATE '2001-08-01' AND m = 0 AS INT) AS last_month, CAST(z < DATE '2001-08-01' AND m = 1 AS INT) AS second_last_month FROM x",
+    "closing_sales",
 )
 def q_closures(spark, sf):
     from datetime import date
 
-    return P.shop_closure_flags(A.sales(spark, sf), date(2001, 8, 1))
+    return P.shop_closure_flags(A.closing_sales(spark, sf), date(2001, 8, 1))
 
 
 @query("shop_item_totals", "SELECT shop_id, item_id, sum(item_cnt_day) AS qty, count(DISTINCT date) AS n_dates FROM train GROUP BY 1, 2", "train")

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandloom.params import PANEL
+from demandloom.params import PANEL, SEASON
 
 
 RELEASE_PRICE = 490_000
@@ -60,8 +60,18 @@ def item_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def panel_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The five items of the panel: item_id, item_category_id."""
-    return panel_sales(spark, sf_dir).select("item_id", F.pmod(F.col("item_id"), F.lit(2)).alias("item_category_id")).distinct()
+    """The five items of the panel and the parities that stand for their categories: item_id, item_category_id."""
+    return spark.range(5).select(F.col("id").cast("int").alias("item_id"), F.pmod("id", F.lit(2)).cast("int").alias("item_category_id"))
+
+
+def season_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales of all shops and items in five months."""
+    return sales(spark, sf_dir).filter(F.col("date").between(F.lit(SEASON.train_start), F.lit(SEASON.test_end)))
+
+
+def season_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All items with their categories: item_id, item_category_id."""
+    return items(spark, sf_dir).select(F.col("item_id").cast("long").alias("item_id"), "item_category_id")
 
 
 def shops(spark: SparkSession, sf_dir: str) -> DataFrame:

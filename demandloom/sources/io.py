@@ -75,3 +75,9 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         shared = "file://" + tempfile.mkdtemp(prefix="demandloom-")
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of any file system that Spark reaches."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
