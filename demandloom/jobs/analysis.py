@@ -8,6 +8,9 @@ from datetime import date
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from demandloom.functions.asof import last_before
+from demandloom.functions.selection import exact_quantiles
+
 from demandloom.functions.windows import by, cv
 
 PAIR = ("shop_id", "item_id")
@@ -135,13 +138,12 @@ def extreme_rows(sales: DataFrame) -> DataFrame:
 def match_returns(sales: DataFrame) -> DataFrame:
     """Each negative row with the latest earlier date of a sale of equal shop, item, price and quantity, or null.
 
-    One ordered pass over the four keys instead of a many-to-many join; dates strictly before count.
+    An as-of join over stretches of each key's history instead of a many-to-many join; dates strictly before count.
     """
-    size = F.abs("item_cnt_day")
-    day = F.datediff("date", F.lit(date(1970, 1, 1)))
-    w = Window.partitionBy("shop_id", "item_id", "item_price", "_size").orderBy("_day").rangeBetween(Window.unboundedPreceding, -1)
-    found = sales.withColumns({"_size": size, "_day": day}).withColumn("sold_on", F.max(F.when(F.col("item_cnt_day") > 0, F.col("date"))).over(w))
-    return found.filter("item_cnt_day < 0").drop("_size", "_day")
+    sized = sales.withColumn("_size", F.abs("item_cnt_day"))
+    sold = F.when(F.col("item_cnt_day") > 0, F.col("date"))
+    found = last_before(sized, ["shop_id", "item_id", "item_price", "_size"], F.datediff("date", F.lit(date(1970, 1, 1))), sold, "sold_on")
+    return found.filter("item_cnt_day < 0").drop("_size")
 
 
 def unmatched_returns_by_month(sales: DataFrame) -> DataFrame:
@@ -254,5 +256,8 @@ def daily_mean_to_calendar(df: DataFrame, value: str, day: str, calendar: DataFr
 
 
 def monthly_median(df: DataFrame, day: str, columns: Sequence[str]) -> DataFrame:
-    """Monthly median of every column, in one aggregate."""
-    return df.groupBy(F.trunc(day, "month").alias("month")).agg(*(F.percentile(c, F.lit(0.5)).alias(c) for c in columns))
+    """Monthly median of every column, by exact selection; null where a month has no value."""
+    rows = df.withColumn("month", F.trunc(day, "month"))
+    found = exact_quantiles(rows, columns, [0.5], ["month"]).groupBy("key").agg(*(F.max(F.when(F.col("field") == c, F.col("q")[0])).alias(c) for c in columns))
+    every = rows.select(F.struct("month").alias("key")).distinct()
+    return every.join(found, "key", "left").select("key.month", *(F.col(c) for c in columns))

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandloom.functions.windows import before, by
+from demandloom.operators.running import add_order_statistics
 
 PAIR, ITEM, SHOP = ("shop_id", "item_id"), ("item_id",), ("shop_id",)
 EPOCH = date(1970, 1, 1)
@@ -74,19 +75,21 @@ def sale_day_counts(levels):
     return {f"sale_days_{n}": _or0(F.sum(flag).over(before(levels, d))) for n, d in (("7d", 7), ("30d", 30), ("all", None))}
 
 
-def _five(prefix: str, levels, days: int | None) -> dict[str, Column]:
-    q, w = F.col("qty"), before(levels, days)
+def rolling_7d_stats(levels):
+    """Of the previous 7 days; the first row has its own quantity."""
+    q, w = F.col("qty"), before(levels, 7)
     stats = {"max": F.max(q), "min": F.min(q), "mean": F.avg(q), "mode": F.mode(-q, True), "median": F.percentile(q, F.lit(0.5))}
-    return {f"{prefix}_{k}": F.coalesce(-c.over(w) if k == "mode" else c.over(w), q) for k, c in stats.items()}
+    return {f"qty_7d_{k}": F.coalesce(-c.over(w) if k == "mode" else c.over(w), q) for k, c in stats.items()}
 
 
-def rolling_7d_stats(levels):
-    """Of the previous 7 days; the first row has its own quantity."""
-    return _five("qty_7d", levels, 7)
+def expanding_qty_moments(levels):
+    q, w = F.col("qty"), before(levels)
+    return {f"qty_all_{k}": F.coalesce(c.over(w), q) for k, c in (("max", F.max(q)), ("min", F.min(q)), ("mean", F.avg(q)))}
 
 
-def expanding_qty_stats(levels):
-    return _five("qty_all", levels, None)
+def expanding_qty_stats(panel: DataFrame, levels: Sequence[str]) -> DataFrame:
+    """Largest, smallest, mean, mode and median of all quantities before the day."""
+    return add_order_statistics(panel.withColumns(expanding_qty_moments(levels)), levels, ("qty_all_mode", "qty_all_median"), placed=True)
 
 
 def expanding_cv2(levels):
@@ -105,13 +108,10 @@ def qty_lags(levels):
     return {f"qty_lag{k}": F.coalesce(F.lag("qty", k).over(by(levels)), F.lit(0.0)) for k in (1, 2, 3, 7)}
 
 
-def expanding_gap_stats(levels):
+def expanding_gap_moments(levels):
     """Of the gap column days_since_prev_sale on sale days before the day; the first sale's gap is 0."""
     w, gap = before(levels), F.when(F.col("qty") > 0, F.col("days_since_prev_sale"))
-    stats = {
-        "max": F.max(gap).over(w), "min": F.min(gap).over(w), "mean": F.avg(gap).over(w), "median": F.percentile(gap, F.lit(0.5)).over(w), "mode": -F.mode(-gap, True).over(w), "std": F.stddev_pop(gap).over(w),
-    }
-    return {f"gap_{k}": F.coalesce(c, F.lit(0)) for k, c in stats.items()}
+    return {f"gap_{k}": F.coalesce(c.over(w), F.lit(0)) for k, c in (("max", F.max(gap)), ("min", F.min(gap)), ("mean", F.avg(gap)), ("std", F.stddev_pop(gap)))}
 
 
 def last_two_step(levels):
@@ -130,62 +130,37 @@ def days_since_max_qty(levels):
     return {"days_since_max_qty": _or0(day + top["day"])}
 
 
-def median_of(values: Column) -> Column:
-    """The median of an array; null if it is empty."""
-    ordered, n = F.sort_array(values), F.size(values)
-    low, high = F.try_element_at(ordered, F.floor((n + 1) / 2).cast("int")), F.try_element_at(ordered, F.floor(n / 2).cast("int") + 1)
-    return F.when(n > 0, (low + high) / 2)
-
-
-def _mean_of(values: Column) -> Column:
-    return F.try_divide(F.aggregate(values, F.lit(0.0), lambda a, x: a + x), F.size(values))
-
-
-def spikes_before_day(levels):
-    """Earlier positive quantities above median + 2 population deviations of the earlier positive ones."""
-    w, p = before(levels), _positive()
-    limit = F.percentile(p, F.lit(0.5)).over(w) + 2 * F.stddev_pop(p).over(w)
-    n = F.size(F.filter(F.collect_list(p).over(w), lambda x: x > F.col("_limit")))
-    return {"_limit": limit}, {"n_spikes": F.when(F.col("_limit").isNull(), 0).otherwise(n)}
-
-
 def expanding_price_cv(levels):
     w = before(levels)
     return {"price_cv": F.coalesce(F.try_divide(F.stddev_pop("price").over(w), F.avg("price").over(w)), F.lit(0.0))}
 
 
-def expanding_deviations(levels):
-    """Mean and median (times 1.4826) absolute deviation of the quantities of observed days before the day."""
-    seen = F.collect_list(F.when(F.col("sold"), F.col("qty"))).over(before(levels))
-    mean, middle = _mean_of(F.col("_seen")), median_of(F.col("_seen"))
-    return {"_seen": seen}, {
-        "qty_mean_ad": F.coalesce(_mean_of(F.transform("_seen", lambda x: F.abs(x - F.col("_mean")))), F.lit(0.0)),
-        "qty_median_ad": F.coalesce(1.4826 * median_of(F.transform("_seen", lambda x: F.abs(x - F.col("_middle")))), F.lit(0.0)),
-    }, {"_mean": mean, "_middle": middle}
-
-
 SIMPLE = (
-    prev_nonzero_qty, days_since_prev_sale, days_since_first_sale, first_week_month, sale_day_counts, rolling_7d_stats, expanding_qty_stats, expanding_cv2, expanding_adi, qty_lags, days_since_max_qty,
+    prev_nonzero_qty, days_since_prev_sale, days_since_first_sale, first_week_month, sale_day_counts, rolling_7d_stats, expanding_cv2, expanding_adi, qty_lags, days_since_max_qty,
 )
 
 
 def add_gap_stats(panel: DataFrame, levels: Sequence[str]) -> DataFrame:
     df = panel if "days_since_prev_sale" in panel.columns else panel.withColumns(days_since_prev_sale(levels))
-    return df.withColumns(expanding_gap_stats(levels))
+    return add_order_statistics(df.withColumns(expanding_gap_moments(levels)), levels, ("gap_median", "gap_mode"), placed=True)
 
 
 def add_last_two_qty_diff(panel: DataFrame, levels: Sequence[str]) -> DataFrame:
     return panel.withColumns(last_two_step(levels)).withColumns(last_two_qty_diff(levels)).drop("_step")
 
 
+def _spike_flag(panel: DataFrame) -> DataFrame:
+    return panel.withColumn("had_spike", (F.col("n_spikes") > 0).cast("int"))
+
+
 def add_spikes(panel: DataFrame, levels: Sequence[str]) -> DataFrame:
-    limit, count = spikes_before_day(levels)
-    return panel.withColumns(limit).withColumns(count).withColumn("had_spike", (F.col("n_spikes") > 0).cast("int")).drop("_limit")
+    """Earlier positive quantities above median + 2 population deviations of the earlier positive ones."""
+    return _spike_flag(add_order_statistics(panel, levels, ("n_spikes",)))
 
 
 def add_deviations(panel: DataFrame, levels: Sequence[str]) -> DataFrame:
-    seen, out, middle = expanding_deviations(levels)
-    return panel.withColumns(seen).withColumns(middle).withColumns(out).drop("_seen", "_mean", "_middle")
+    """Mean and median (times 1.4826) absolute deviation of the quantities of observed days before the day."""
+    return add_order_statistics(panel, levels, ("qty_mean_ad", "qty_median_ad"))
 
 
 def unique_partners_before(panel: DataFrame, sales: DataFrame, levels: Sequence[str], partner: str, name: str) -> DataFrame:
@@ -196,14 +171,16 @@ def unique_partners_before(panel: DataFrame, sales: DataFrame, levels: Sequence[
 
 
 def panel_features(panel: DataFrame, levels: Sequence[str], extras: Sequence[str] = ()) -> DataFrame:
-    """A dense panel with all features that its levels share."""
+    """A dense panel with all features that its levels share: windows by key first, then one pass for order statistics."""
     columns: dict[str, Column] = {}
-    for f in SIMPLE:
+    for f in (*SIMPLE, expanding_qty_moments):
         columns |= f(levels)
-    df = add_spikes(add_last_two_qty_diff(add_gap_stats(panel.withColumns(columns), levels), levels), levels)
+    df = add_last_two_qty_diff(panel.withColumns(columns).withColumns(expanding_gap_moments(levels)), levels)
+    wanted = ["qty_all_mode", "qty_all_median", "gap_median", "gap_mode", "n_spikes"]
     if "price" in extras:
-        df = add_deviations(df.withColumns(expanding_price_cv(levels)), levels).drop("price")
-    return df
+        df = df.withColumns(expanding_price_cv(levels)).drop("price")
+        wanted += ["qty_mean_ad", "qty_median_ad"]
+    return _spike_flag(add_order_statistics(df, levels, wanted, placed=True))
 
 
 def build_panel(sales: DataFrame, test: DataFrame, levels: Sequence[str], train_end: date, extras: Sequence[str] = ()) -> DataFrame:
@@ -278,15 +255,29 @@ def shop_item_totals(sales: DataFrame) -> DataFrame:
 # Category demand.
 
 
-def category_demand(panel: DataFrame, categories: DataFrame) -> DataFrame:
+def sliding_distinct(events: DataFrame, days: DataFrame, group: Sequence[str], member: str, width: int, name: str) -> DataFrame:
+    """``days`` with ``name``: distinct members with an event in the ``width`` days before the day.
+
+    ``days`` has every day of a group (rows group, date). A member's events cover stretches of days; a stretch counts +1 where it begins and
+    -1 after its end, and these are summed in order. The work doesn't depend on the width.
+    """
+    w = by([*group, member])
+    known = events.select(*group, member, "date").distinct()
+    near = known.select(*group, "date", F.lag("date").over(w).alias("_before"), F.lead("date").over(w).alias("_after"))
+    begins = F.when(F.col("_before").isNull() | (F.datediff("date", "_before") > width), F.struct(F.date_add("date", 1).alias("date"), F.lit(1).alias("step")))
+    ends = F.when(F.col("_after").isNull() | (F.datediff("_after", "date") > width), F.struct(F.date_add("date", width + 1).alias("date"), F.lit(-1).alias("step")))
+    steps = near.select(*group, F.explode(F.filter(F.array(begins, ends), lambda x: x.isNotNull())).alias("_x")).groupBy(*group, F.col("_x.date").alias("date")).agg(F.sum("_x.step").alias("_step"))
+    run = by(group).rowsBetween(Window.unboundedPreceding, 0)
+    return days.join(steps, [*group, "date"], "left").withColumn(name, _or0(F.sum("_step").over(run))).drop("_step")
+
+
+def category_demand(panel: DataFrame, categories: DataFrame, width: int = 7) -> DataFrame:
     """Of the item's category over the previous 7 days: quantity, distinct items sold, and their ratio."""
     named = panel.join(categories, "item_id")
     key = ("item_category_id",)
     daily = densify(named.groupBy(*key, "date").agg(F.sum("qty").alias("qty")), key)
-    seen = named.filter("qty > 0").select(*key, "item_id", F.explode(F.sequence(F.date_add("date", 1), F.date_add("date", 7))).alias("date")).distinct()
-    counts = seen.groupBy(*key, "date").agg(F.count("*").alias("category_items_7d"))
-    whole = daily.withColumn("category_qty_7d", F.coalesce(F.sum("qty").over(before(key, 7)), F.lit(0.0))).drop("qty", "sold").join(counts, [*key, "date"], "left")
-    whole = whole.withColumn("category_items_7d", _or0(F.col("category_items_7d")))
+    whole = daily.withColumn("category_qty_7d", F.coalesce(F.sum("qty").over(before(key, width)), F.lit(0.0))).drop("qty", "sold")
+    whole = sliding_distinct(named.filter("qty > 0"), whole, key, "item_id", width, "category_items_7d")
     whole = whole.withColumn("category_qty_per_item_7d", F.coalesce(F.try_divide("category_qty_7d", "category_items_7d"), F.lit(0.0)))
     return named.join(whole, [*key, "date"], "left")
 

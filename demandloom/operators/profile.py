@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from demandloom.functions.selection import exact_quantiles, ranked
+
+QUARTILES = (0.25, 0.5, 0.75)
+
 
 def _long(df: DataFrame, aggs: dict[str, Column], name: str) -> DataFrame:
     """One aggregate a column, as rows (column, name, rows)."""
@@ -57,11 +61,11 @@ def date_gap_check(df: DataFrame, col: str = "date") -> DataFrame:
 
 def describe_columns(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """count, mean, sample std, min, exact quartiles and max of each column, a row for each column (and group)."""
-    stats = []
-    for c in columns:
-        q = F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-        stats.append(F.struct(F.lit(c).alias("field"), F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"), q[0].alias("q25"), q[1].alias("q50"), q[2].alias("q75"), F.max(c).cast("double").alias("max")))
-    return df.groupBy(*by).agg(F.array(*stats).alias("_s")).select(*by, F.explode("_s").alias("s")).select(*by, "s.*")
+    key = F.struct(*(F.col(f"`{c}`").alias(c) for c in by)) if by else F.struct(F.lit(0).alias("all"))
+    stats = [F.struct(F.lit(c).alias("field"), F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max")) for c in columns]
+    plain = df.groupBy(*((key.alias("key"),) if by else ())).agg(F.array(*stats).alias("_s")).select("key" if by else key.alias("key"), F.explode("_s").alias("s")).select("key", "s.*")
+    met = plain.join(exact_quantiles(df, columns, QUARTILES, by).select("key", "field", "q"), ["key", "field"], "left")
+    return met.select(*(F.col("key")[c].alias(c) for c in by), "field", "n", "mean", "std", "min", F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75"), "max")
 
 
 def value_counts(df: DataFrame, col: str, keep_nulls: bool = False) -> DataFrame:
@@ -88,17 +92,16 @@ def boxplot_stats(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
 
     Values are first counted by (group, value), so that a large group is summed up before it meets its quartiles.
     """
-    counted = df.filter(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
-    q = F.percentile("_v", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("_n"))
-    box = counted.groupBy(*by).agg(q.alias("_q"))
-    box = box.select(*by, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
-    same = [counted[c].eqNullSafe(box[c]) for c in by]
-    met = counted.join(box, same[0] if len(same) == 1 else same[0] & same[1]).drop(*(box[c] for c in by))
+    key = F.struct(*(F.col(f"`{c}`").alias(c) for c in by))
+    counted = df.filter(F.col(value).isNotNull()).groupBy(key.alias("key"), F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
+    box = exact_quantiles(df, [value], QUARTILES, by).select("key", *(F.col("q")[k].alias(c) for k, c in enumerate(("q1", "median", "q3"))))
+    met = counted.join(box, "key")
     room = 1.5 * (F.col("q3") - F.col("q1"))
     inside = (F.col("_v") >= F.col("q1") - room) & (F.col("_v") <= F.col("q3") + room)
-    return met.groupBy(*by).agg(
+    out = met.groupBy("key").agg(
         F.first("q1").alias("q1"), F.first("median").alias("median"), F.first("q3").alias("q3"), F.min(F.when(inside, F.col("_v"))).alias("whisker_low"), F.max(F.when(inside, F.col("_v"))).alias("whisker_high"), F.sum(F.when(inside, 0).otherwise(F.col("_n"))).alias("n_outliers"), F.sum("_n").alias("n")
     )
+    return out.select(*(F.col("key")[c].alias(c) for c in by), *out.columns[1:])
 
 
 def melt(df: DataFrame, ids: Sequence[str], values: Sequence[str]) -> DataFrame:
@@ -117,9 +120,7 @@ def ordinal_rating(col: str | Column) -> Column:
 
 def rank_density(df: DataFrame, label: str) -> DataFrame:
     """label, n, share, 0-based rank by descending share (ties by label) and log(rank + 1)."""
-    from pyspark.sql import Window
-
     counts = df.groupBy(label).agg(F.count("*").alias("n"))
     total = df.agg(F.count("*").alias("_total"))
-    ranked = counts.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), F.asc(label))) - 1)
-    return ranked.join(F.broadcast(total)).select(label, "n", (F.col("n") / F.col("_total")).alias("share"), "rank", F.log1p("rank").alias("log_rank"))
+    out = ranked(counts, [F.desc("n"), F.asc(label)])
+    return out.join(F.broadcast(total)).select(label, "n", (F.col("n") / F.col("_total")).alias("share"), "rank", F.log1p("rank").alias("log_rank"))

@@ -135,10 +135,15 @@ def simple(name: str, levels) -> None:
 for _f in P.SIMPLE:
     simple(_f.__name__, P.PAIR)
 simple("rolling_7d_stats", P.ITEM)
-simple("expanding_qty_stats", P.SHOP)
 simple("days_since_max_qty", P.ITEM)
 
 _PAIR = "shop_id, item_id"
+for _levels, _grain in ((P.PAIR, ""), (P.SHOP, "shop_")):
+
+    @query(f"{_grain}expanding_qty_stats", dense_sql(_levels, f"SELECT {', '.join(_levels)}, date, {_SQL['expanding_qty_stats']} FROM m {frames(_levels)}", MODES.replace("{frames}", frames(_levels))), "train", "test")
+    def q_expanding(spark, sf, levels=_levels):
+        return rounded(P.expanding_qty_stats(dense(spark, sf, levels), levels).drop("qty", "sold"))
+
 
 
 @query("daily_qty", "SELECT shop_id, item_id, date, sum(item_cnt_day) AS qty FROM train GROUP BY 1, 2, 3", "train")
