@@ -183,6 +183,11 @@ def dow_share_by_shop(sales: DataFrame) -> DataFrame:
     return daily.select("shop_id", "dow", (100 * F.try_divide("_q", F.sum("_q").over(Window.partitionBy("shop_id")))).alias("pct"))
 
 
+def largest_dow_share(sales: DataFrame) -> DataFrame:
+    """The weekday of a shop with the largest percentage of all, the first by shop and weekday of several."""
+    return dow_share_by_shop(sales).withColumn("pct", F.round("pct", 9)).filter("pct is not null").orderBy(F.desc("pct"), "shop_id", "dow").limit(1)
+
+
 def items_by_shop_count(sales: DataFrame) -> DataFrame:
     return count_of_counts(sales.groupBy("item_id").agg(F.count_distinct("shop_id").alias("n_shops")), "n_shops")
 
@@ -210,6 +215,12 @@ def share_at_most(df: DataFrame, column: str, most: int) -> DataFrame:
     return df.agg(F.avg((F.col(column) <= most).cast("int")).alias("share"))
 
 
+def id_set_difference(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """The ids that only one of two tables has: key and side, only_a or only_b."""
+    only = lambda x, y, side: x.select(key).distinct().join(y.select(key).distinct(), key, "left_anti").withColumn("side", F.lit(side))
+    return only(a, b, "only_a").unionByName(only(b, a, "only_b"))
+
+
 def id_sets(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     """How many ids are only in a, only in b, and in both, from one full join of distinct ids."""
     x = a.select(key).distinct().withColumn("_a", F.lit(1))

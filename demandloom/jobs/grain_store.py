@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandloom.jobs.assembly import Parts
-from demandloom.sources.io import remove_path
+from demandloom.sources.io import path_exists, remove_path
 
 #: Tables that are written side by side.
 TABLES_AT_ONCE = 4
@@ -112,12 +112,9 @@ class GrainStore:
 
     def manifest(self) -> DataFrame:
         """Rows (grain, month, rows, version) of what is current; month is 0 for grains without dates."""
-        try:
-            written = self.spark.read.schema(MANIFEST).json(f"{self.root}/manifest")
-        except Exception as e:  # a store without a manifest has nothing yet
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
+        if not path_exists(self.spark, f"{self.root}/manifest"):
             return self.spark.createDataFrame([], MANIFEST)
+        written = self.spark.read.schema(MANIFEST).json(f"{self.root}/manifest")
         return written.groupBy("grain", "month").agg(F.max_by("rows", "version").alias("rows"), F.max("version").alias("version"))
 
     def _current(self, grain: str, table: str, first: date | None, last: date | None) -> DataFrame:

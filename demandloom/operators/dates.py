@@ -21,13 +21,19 @@ def date_spine(df: DataFrame, until: date | None = None, col: str = "date") -> D
     return ends.filter("a is not null").select(F.explode(F.sequence("a", last)).alias("date"))
 
 
-def calendar_parts(df: DataFrame, start: date) -> DataFrame:
-    """Counters from ``start`` and parts of each date; weeks are ISO weeks, Monday is weekday 0."""
+def calendar_parts(df: DataFrame, start: date, short_february: bool = False) -> DataFrame:
+    """Counters from ``start`` and parts of each date; weeks are ISO weeks, Monday is weekday 0.
+
+    With ``short_february`` every February counts as 28 days long, also in leap years.
+    """
     d = F.col("date")
     months = (F.year(d) - start.year) * 12 + F.month(d) - start.month
+    length = F.day(F.last_day(d))
+    if short_february:
+        length = F.when(F.month(d) == 2, 28).otherwise(length)
     return df.withColumns(
         {
-            "month_counter": months, "day_counter": F.datediff(d, F.lit(start)) + 1, "year": F.year(d), "month": F.pmod(months, F.lit(12)), "days_in_month": F.day(F.last_day(d)),
+            "month_counter": months, "day_counter": F.datediff(d, F.lit(start)) + 1, "year": F.year(d), "month": F.pmod(months, F.lit(12)), "days_in_month": length,
             "weekday": F.weekday(d), "weekend": (F.weekday(d) >= 5).cast("int"), "quarter": F.quarter(d), "quarter_counter": F.floor(months / 3).cast("int") + 1, "week": F.weekofyear(d),
         }
     )

@@ -9,20 +9,25 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from demandloom.functions.selection import exact_quantiles, ranked
+from demandloom.sources.io import write_counted
 
 QUARTILES = (0.25, 0.5, 0.75)
 
 
-def _long(df: DataFrame, aggs: dict[str, Column], name: str) -> DataFrame:
-    """One aggregate a column, as rows (column, name, rows)."""
-    one = df.agg(F.count("*").alias("_rows"), *(c.alias(k) for k, c in aggs.items()))
-    pairs = F.array(*(F.struct(F.lit(k).alias("field"), F.col(f"`{k}`").cast("long").alias(name)) for k in aggs))
-    return one.select("_rows", F.explode(pairs).alias("p")).select("p.*", F.col("_rows").alias("n_rows"))
+def _counted(df: DataFrame, counts: dict[str, Column], name: str, path: str | None) -> DataFrame:
+    """Rows (field, name, n_rows); with a path the table is written there and the counts come from the writing pass."""
+    own = {f"_{k}": c for k, c in enumerate(counts.values())} | {"_rows": F.count(F.lit(1))}
+    pairs = lambda value: [(c, value(f"_{k}"), value("_rows")) for k, c in enumerate(counts)]
+    if path:
+        seen = write_counted(df, path, own)
+        return df.sparkSession.createDataFrame(pairs(lambda k: int(seen[k])), f"field string, {name} long, n_rows long")
+    one = df.agg(*(c.alias(k) for k, c in own.items()))
+    return one.select(F.explode(F.array(*(F.struct(F.lit(c).alias("field"), F.col(n).cast("long").alias(name), F.col(r).cast("long").alias("n_rows")) for c, n, r in pairs(lambda k: k)))).alias("p")).select("p.*")
 
 
-def missing_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """column, n_missing, pct of rows."""
-    out = _long(df, {c: F.count_if(F.col(f"`{c}`").isNull()) for c in columns or df.columns}, "n_missing")
+def missing_profile(df: DataFrame, columns: Sequence[str] | None = None, path: str | None = None) -> DataFrame:
+    """column, n_missing, pct of rows; observed while the table is written to ``path``, if one is given."""
+    out = _counted(df, {c: F.count_if(F.col(f"`{c}`").isNull()) for c in columns or df.columns}, "n_missing", path)
     return out.select("field", "n_missing", F.try_divide(100.0 * F.col("n_missing"), F.col("n_rows")).alias("pct"))
 
 
@@ -31,10 +36,10 @@ def null_report(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     return missing_profile(df, columns).filter("n_missing > 0").select("field", "n_missing")
 
 
-def zero_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """column, n_zero, pct of rows; a null isn't a zero."""
+def zero_profile(df: DataFrame, columns: Sequence[str] | None = None, path: str | None = None) -> DataFrame:
+    """column, n_zero, pct of rows; a null isn't a zero. Observed while the table is written to ``path``, if one is given."""
     columns = columns or [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
-    out = _long(df, {c: F.count_if(F.col(f"`{c}`") == 0) for c in columns}, "n_zero")
+    out = _counted(df, {c: F.count_if(F.col(f"`{c}`") == 0) for c in columns}, "n_zero", path)
     return out.select("field", "n_zero", F.try_divide(100.0 * F.col("n_zero"), F.col("n_rows")).alias("pct"))
 
 

@@ -36,6 +36,7 @@ CTE = {
        CASE p_size % 6 WHEN 0 THEN 'Ex' WHEN 1 THEN 'Gd' WHEN 2 THEN 'TA' WHEN 3 THEN 'Fa' WHEN 4 THEN 'Po' END AS quality FROM part""",
     "image_labels": "SELECT doc_id AS Image, concat(lang, '-', source) AS Id FROM documents",
     "closing_sales": "SELECT * FROM sales WHERE shop_id % 5 <> 0 OR date < DATE '1999-01-01' + CAST(shop_id % 24 * 30 AS INT)",
+    "miscounted_sales": "SELECT * REPLACE (CASE WHEN shop_id % 13 = 0 AND day(date) = 1 THEN date_block_num - 1 ELSE date_block_num END AS date_block_num) FROM sales",
     "launched_sales": "SELECT s.* FROM sales s JOIN items i ON s.item_id = i.item_id WHERE date >= DATE '1995-01-01' + CAST(item_category_id * 37 % 2500 AS INT)",
     "known_shops": "SELECT * FROM shops WHERE shop_id % 10 <> 0",
     "known_items": "SELECT * FROM items WHERE item_id % 7 <> 0",
@@ -59,7 +60,7 @@ SEASON_CTE = CTE | {
     "cats": "SELECT CAST(item_id AS BIGINT) AS item_id, item_category_id FROM items",
 }
 SEASON_DATES = {"DATE '2024-01-23'": "DATE '1998-04-30'", "DATE '2024-01-01'": "DATE '1998-01-01'"}
-NEEDS = {"closing_sales": ["sales"], "launched_sales": ["sales", "items"], "known_shops": ["shops"], "known_items": ["items"], "d": ["panel_sales"], "g": ["d"], "clean_all": ["g"], "clean": ["clean_all"], "train": ["clean"], "test": ["clean"], "named_train": ["train", "cats"]}
+NEEDS = {"closing_sales": ["sales"], "miscounted_sales": ["sales"], "launched_sales": ["sales", "items"], "known_shops": ["shops"], "known_items": ["items"], "d": ["panel_sales"], "g": ["d"], "clean_all": ["g"], "clean": ["clean_all"], "train": ["clean"], "test": ["clean"], "named_train": ["train", "cats"]}
 SEASON_NEEDS = NEEDS | {"panel_sales": ["sales"], "cats": ["items"]}
 
 

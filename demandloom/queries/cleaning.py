@@ -89,7 +89,7 @@ def q_nulls(spark, sf):
 
 @query("missing_profile", f"SELECT field, n AS n_missing, round(100.0 * n / t, 8) AS pct FROM ({_NULLS})", "housing")
 def q_missing(spark, sf):
-    return R.missing_profile(A.housing(spark, sf), _COLS).withColumn("pct", F.round("pct", 8)).orderBy(F.desc("n_missing"), "field")
+    return R.missing_profile(A.housing(spark, sf), _COLS, io.scratch_path(spark, "housing")).withColumn("pct", F.round("pct", 8)).orderBy(F.desc("n_missing"), "field")
 
 
 @query(
@@ -98,7 +98,7 @@ def q_missing(spark, sf):
     "housing",
 )
 def q_zeros(spark, sf):
-    return R.zero_profile(A.housing(spark, sf), ["num_room", "life_sq"]).withColumn("pct", F.round("pct", 8))
+    return R.zero_profile(A.housing(spark, sf), ["num_room", "life_sq"], io.scratch_path(spark, "housing")).withColumn("pct", F.round("pct", 8))
 
 
 @query("frame_summary", "SELECT CAST(place AS INT) AS place, field, type, (SELECT count(*) FROM panel_sales) AS n_rows, CAST(6 AS INT) AS n_columns FROM (VALUES (0, 'shop_id', 'bigint'), (1, 'item_id', 'int'), (2, 'date', 'date'), (3, 'date_block_num', 'int'), (4, 'item_price', 'double'), (5, 'item_cnt_day', 'double')) t(place, field, type)", "panel_sales")
@@ -121,9 +121,9 @@ def q_gaps(spark, sf):
     return R.date_gap_check(S(spark, sf))
 
 
-@query("check_month_index", "SELECT count(*) AS n_wrong FROM sales WHERE (year(date) - 1995) * 12 + month(date) - 1 <> date_block_num", "sales")
+@query("check_month_index", "SELECT count(*) AS n_wrong FROM miscounted_sales WHERE (year(date) - 1995) * 12 + month(date) - 1 <> date_block_num", "miscounted_sales")
 def q_month_index(spark, sf):
-    return S(spark, sf).filter((F.year("date") - 1995) * 12 + F.month("date") - 1 != F.col("date_block_num")).agg(F.count("*").alias("n_wrong"))
+    return A.miscounted_sales(spark, sf).filter((F.year("date") - 1995) * 12 + F.month("date") - 1 != F.col("date_block_num")).agg(F.count("*").alias("n_wrong"))
 
 
 def _describe_sql(c: str, by: str = "") -> str:
@@ -185,7 +185,7 @@ def q_duplicates(spark, sf):
 @query("read_table_cast", "SELECT event_id, CAST(user_id AS INT) AS user_id, event_type FROM events")
 def q_cast(spark, sf):
     rows = A.table(spark, sf, "events").select("event_id", F.col("user_id").cast("string").alias("user_id"), "event_type")
-    return io.read_table_cast(rows, {"user_id": "int", "event_type": "int", "absent": "int"})[0]
+    return io.read_table_cast(rows, {"user_id": "int", "event_type": "int", "absent": "int"}, io.scratch_path(spark, "cast"))[0]
 
 
 # other data sets
@@ -288,17 +288,48 @@ def q_scale(spark, sf):
     return _round(N.standard_scale(_points(spark, sf).drop("z"), ["x", "y"]), "x", "y")
 
 
-@query(
-    "pca_fit_transform",
-    f"WITH p AS ({_XY}), m AS (SELECT avg(x) AS mx, stddev_pop(x) AS sx, avg(y) AS my, stddev_pop(y) AS sy, sign(corr(x, y)) AS s FROM p) SELECT l_orderkey, l_linenumber, round(((x - mx) / sx + s * (y - my) / sy) / sqrt(2), 6) AS pc1 FROM p, m",
-)
+_FEATURES = ("quantity", "price", "paid", "discount", "added")
+_FIVE = "SELECT l_orderkey, l_linenumber, l_quantity AS quantity, l_extendedprice AS price, l_extendedprice * (1 - l_discount) AS paid, l_discount AS discount, l_discount + l_tax AS added FROM lineitem"
+
+
+def _five(spark, sf):
+    price, off = F.col("l_extendedprice"), F.col("l_discount")
+    return A.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_quantity").alias("quantity"), price.alias("price"), (price * (1 - off)).alias("paid"), off.alias("discount"), (off + F.col("l_tax")).alias("added"))
+
+
+def _pca_sql(k: int, body: str) -> str:
+    """The correlation matrix, and its first components by power iteration; each is taken out of the matrix before the next."""
+    n = len(_FEATURES)
+    moments = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _FEATURES)
+    z = ", ".join(f"({c} - m_{c}) / s_{c} AS {c}" for c in _FEATURES)
+    matrix = "[" + ", ".join("[" + ", ".join(f"covar_samp({a}, {b})" for b in _FEATURES) + "]" for a in _FEATURES) + "]"
+    steps = [f"WITH RECURSIVE f AS ({_FIVE}), m AS (SELECT {moments} FROM f), z AS (SELECT l_orderkey, l_linenumber, {z} FROM f, m), c0 AS (SELECT {matrix} AS c FROM z)"]
+    start = "[" + ", ".join(str(1.0 / (j + 1)) for j in range(n)) + "]"
+    for j in range(k):
+        times = f"list_transform(c, lambda r: list_dot_product(r, v))"
+        steps.append(
+            f"it{j}(i, v) AS (SELECT 0, CAST({start} AS DOUBLE[]) UNION ALL SELECT i + 1, list_transform(w, lambda x: x / sqrt(list_dot_product(w, w))) FROM (SELECT i, {times} AS w FROM it{j}, c{j} WHERE i < 2000)), "
+            f"u{j} AS (SELECT v, list_dot_product({times}, v) AS variance FROM it{j}, c{j} WHERE i = 2000), "
+            f"p{j} AS (SELECT list_transform(v, lambda x: x * sign(list_sort(list_transform(v, lambda y: {{'a': abs(y), 'y': y}}))[{n}].y)) AS v, variance FROM u{j}), "
+            f"c{j + 1} AS (SELECT list_transform(range(1, {n + 1}), lambda a: list_transform(range(1, {n + 1}), lambda b: c[a][b] - variance * v[a] * v[b])) AS c FROM c{j}, p{j})"
+        )
+    return ", ".join(steps) + " " + body
+
+
+@query("pca_fit_transform", _pca_sql(3, f"SELECT l_orderkey, l_linenumber, {', '.join('round(' + ' + '.join(f'{c} * p{j}.v[{i + 1}]' for i, c in enumerate(_FEATURES)) + f', 6) AS pc{j + 1}' for j in range(3))} FROM z, p0, p1, p2"))
 def q_pca(spark, sf):
     from demandloom.operators import numeric as N
 
-    df = _points(spark, sf).drop("z")
-    components, _, _ = N.pca_fit(df, ["x", "y"], 1)
-    # both loadings have one magnitude here; the first is made the positive one
-    return _round(N.pca_transform(df, ["x", "y"], components * (1 if components[0][0] > 0 else -1)).select("l_orderkey", "l_linenumber", "pc1"), "pc1")
+    df = _five(spark, sf)
+    model = N.pca_fit(df, _FEATURES, 3)
+    return _round(N.pca_transform(df, model).select("l_orderkey", "l_linenumber", "pc1", "pc2", "pc3"), "pc1", "pc2", "pc3")
+
+
+@query("pca_components", _pca_sql(3, " UNION ALL ".join(f"SELECT {j + 1} AS component, '{c}' AS field, round(v[{i + 1}], 6) AS loading, round(variance, 6) AS variance, round(variance / {len(_FEATURES)} * (SELECT 1 - 1.0 / count(*) FROM z), 6) AS ratio FROM p{j}" for j in range(3) for i, c in enumerate(_FEATURES))))
+def q_components(spark, sf):
+    from demandloom.operators import numeric as N
+
+    return _round(N.pca_fit(_five(spark, sf), _FEATURES, 3).table(spark), "loading", "variance", "ratio")
 
 
 @query("sample_rows", "SELECT o_orderkey FROM orders WHERE CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT) % 100 < 50")

@@ -224,6 +224,11 @@ def q_parts(spark, sf):
     return T.calendar_parts(facts(spark, sf), SALES.train_start)
 
 
+@query("calendar_parts_short_february", f"SELECT date, shop_id, {_PARTS} FROM ({_FACTS})".replace("CAST(day(last_day(date)) AS INT)", "CAST(CASE WHEN month(date) = 2 THEN 28 ELSE day(last_day(date)) END AS INT)"), "sales")
+def q_short(spark, sf):
+    return T.calendar_parts(facts(spark, sf), SALES.train_start, short_february=True)
+
+
 def _nine(df, *columns):
     return df.withColumns({c: F.round(c, 9) for c in columns})
 

@@ -101,6 +101,7 @@ query("shops_not_every_dow", "SELECT shop_id, count(DISTINCT isodow(date)) AS n_
 _DOW = "SELECT shop_id, CAST(isodow(date) - 1 AS INT) AS dow, round(100 * sum(item_cnt_day) / nullif(sum(sum(item_cnt_day)) OVER (PARTITION BY shop_id), 0), 9) AS pct FROM sales GROUP BY shop_id, isodow(date)"
 query("dow_share_by_shop", _DOW, "sales")(lambda s, d: J.dow_share_by_shop(S(s, d)).withColumn("pct", F.round("pct", 9)))
 query("dow_share_top", f"SELECT * FROM ({_DOW}) WHERE dow = 1 AND pct IS NOT NULL ORDER BY pct DESC, shop_id LIMIT 1", "sales")(lambda s, d: J.dow_share_by_shop(S(s, d)).withColumn("pct", F.round("pct", 9)).filter("dow = 1 and pct is not null").orderBy(F.desc("pct"), "shop_id").limit(1))
+query("dow_share_largest", f"SELECT * FROM ({_DOW}) WHERE pct IS NOT NULL ORDER BY pct DESC, shop_id, dow LIMIT 1", "sales")(lambda s, d: J.largest_dow_share(S(s, d)))
 query("items_by_shop_count", "SELECT n_shops, count(*) AS n_keys FROM (SELECT count(DISTINCT shop_id) AS n_shops FROM sales GROUP BY item_id) GROUP BY 1", "sales")(lambda s, d: J.items_by_shop_count(S(s, d)))
 _RUN = "SELECT item_id, date, running, CAST(date - min(date) OVER (PARTITION BY item_id) <= 7 AS INT) AS first_week, running / nullif(max(running) OVER (PARTITION BY item_id), 0) AS share FROM (SELECT item_id, date, sum(sum(item_cnt_day)) OVER (PARTITION BY item_id ORDER BY date) AS running FROM sales GROUP BY item_id, date)"
 query("running_share", f"SELECT * REPLACE (round(share, 8) AS share) FROM ({_RUN})", "sales")(lambda s, d: J.running_share(S(s, d)).withColumn("share", F.round("share", 8)))
@@ -111,9 +112,14 @@ query("days_to_half_share", f"SELECT round(avg(CASE WHEN n_days <= 200 THEN 1 EL
 query("item_qty_moments", "SELECT item_id, round(avg(item_cnt_day), 8) AS qty_mean, round(stddev_pop(item_cnt_day), 7) AS qty_std FROM sales GROUP BY 1", "sales")(lambda s, d: S(s, d).groupBy("item_id").agg(F.round(F.avg("item_cnt_day"), 8).alias("qty_mean"), F.round(F.stddev_pop("item_cnt_day"), 7).alias("qty_std")))
 for _k in ("item_id", "shop_id"):
     _a, _b = f"SELECT {_k} FROM {_TRAIN}", f"SELECT {_k} FROM {_TEST}"
-    query("id_set_difference" if _k == "item_id" else "id_set_difference_shops", f"SELECT count(*) FILTER (b IS NULL) AS only_a, count(*) FILTER (a IS NULL) AS only_b, count(*) FILTER (a IS NOT NULL AND b IS NOT NULL) AS \"both\" FROM (SELECT DISTINCT {_k}, 1 AS a FROM ({_a})) x FULL JOIN (SELECT DISTINCT {_k}, 1 AS b FROM ({_b})) y USING ({_k})", "sales")(
+    query("id_set_counts" if _k == "item_id" else "id_set_counts_shops", f"SELECT count(*) FILTER (b IS NULL) AS only_a, count(*) FILTER (a IS NULL) AS only_b, count(*) FILTER (a IS NOT NULL AND b IS NOT NULL) AS \"both\" FROM (SELECT DISTINCT {_k}, 1 AS a FROM ({_a})) x FULL JOIN (SELECT DISTINCT {_k}, 1 AS b FROM ({_b})) y USING ({_k})", "sales")(
         lambda s, d, k=_k: J.id_sets(TT(s, d)[0], TT(s, d)[1], k)
     )
+query("id_set_difference", f"SELECT item_id, 'only_a' AS side FROM (SELECT item_id FROM {_OLD} EXCEPT SELECT item_id FROM {_NEW_TEST}) UNION ALL SELECT item_id, 'only_b' FROM (SELECT item_id FROM {_NEW_TEST} EXCEPT SELECT item_id FROM {_OLD})", "launched_sales")(lambda s, d: J.id_set_difference(*launched(s, d), "item_id"))
+_CLOSED = [x.replace("sales", "closing_sales") for x in (_TRAIN, _TEST)]
+query("id_set_difference_shops", f"SELECT shop_id, 'only_a' AS side FROM (SELECT shop_id FROM {_CLOSED[0]} EXCEPT SELECT shop_id FROM {_CLOSED[1]}) UNION ALL SELECT shop_id, 'only_b' FROM (SELECT shop_id FROM {_CLOSED[1]} EXCEPT SELECT shop_id FROM {_CLOSED[0]})", "closing_sales")(
+    lambda s, d: J.id_set_difference(A.closing_sales(s, d).filter(F.col("date") <= F.lit(SALES.train_end)), A.closing_sales(s, d).filter(F.col("date") >= F.lit(SALES.test_start)), "shop_id")
+)
 query("id_set_intersection", f"SELECT item_id FROM {_TRAIN} INTERSECT SELECT item_id FROM {_TEST}", "sales")(lambda s, d: TT(s, d)[0].select("item_id").intersect(TT(s, d)[1].select("item_id")))
 query("subset_first_seen", f"SELECT CAST(date_trunc('month', f) AS DATE) AS month, count(*) AS n_items FROM (SELECT item_id, min(date) AS f FROM {_OLD} GROUP BY 1 HAVING count(DISTINCT date) = 1) WHERE item_id IN (SELECT item_id FROM {_NEW_TEST}) GROUP BY 1", "launched_sales")(
     lambda s, d: J.subset_first_seen(*launched(s, d))

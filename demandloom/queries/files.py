@@ -37,19 +37,27 @@ def q_prefix(spark, sf):
     return io.read_csv_prefix(spark, folder, _SCHEMA)
 
 
+def _unnamed(spark, name: str, df):
+    """The rows of a table whose name is dropped; its files stay until their scratch scope ends."""
+    rows = spark.read.schema(df.schema).parquet(*df.inputFiles())
+    spark.sql(f"DROP TABLE {name}")
+    return rows
+
+
 @query("write_table", "SELECT * FROM panel_sales", "panel_sales")
 def q_table(spark, sf):
-    name = f"sales_{uuid.uuid4().hex}"
-    io.write_table(A.panel_sales(spark, sf).limit(0), name)
-    io.write_table(A.panel_sales(spark, sf), name)
-    return spark.table(name)
+    root, name = io.scratch_path(spark, "tables"), f"sales_{uuid.uuid4().hex}"
+    io.write_table(A.panel_sales(spark, sf).limit(0), name, root)
+    return _unnamed(spark, name, io.write_table(A.panel_sales(spark, sf), name, root))
 
 
 @query("create_table_as", "SELECT item_id, sum(item_cnt_day) AS qty FROM panel_sales GROUP BY 1", "panel_sales")
 def q_ctas(spark, sf):
     view = f"v_{uuid.uuid4().hex}"
     A.panel_sales(spark, sf).createOrReplaceTempView(view)
-    return io.create_table_as(spark, f"t_{view}", f"SELECT item_id, sum(item_cnt_day) AS qty FROM {view} GROUP BY item_id")
+    made = io.create_table_as(spark, f"t_{view}", f"SELECT item_id, sum(item_cnt_day) AS qty FROM {view} GROUP BY item_id", io.scratch_path(spark, "tables"))
+    spark.catalog.dropTempView(view)
+    return _unnamed(spark, f"t_{view}", made)
 
 
 @query("query_to_csv", "SELECT shop_id, count(*) AS n FROM panel_sales GROUP BY 1", "panel_sales")
@@ -57,6 +65,7 @@ def q_query(spark, sf):
     view, path = f"v_{uuid.uuid4().hex}", io.scratch_path(spark, "query")
     A.panel_sales(spark, sf).createOrReplaceTempView(view)
     io.query_to_csv(spark, f"SELECT shop_id, count(*) AS n FROM {view} GROUP BY shop_id", path)
+    spark.catalog.dropTempView(view)
     return io.read_csv_table(spark, path, "shop_id long, n long")
 
 
@@ -73,5 +82,4 @@ def q_month(spark, sf):
 @query("export_months", _MONTH, "sales")
 def q_months(spark, sf):
     path = io.scratch_path(spark, "months")
-    io.export_months(A.sales(spark, sf).drop("date_block_num"), path)
-    return spark.read.parquet(path).filter(F.col("yr_mon") == 199803).drop("yr_mon")
+    return io.export_months(A.sales(spark, sf).drop("date_block_num"), path).filter(F.col("yr_mon") == 199803).drop("yr_mon")

@@ -149,3 +149,9 @@ def known_shops(spark: SparkSession, sf_dir: str) -> DataFrame:
 def known_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An item table that lacks one item in seven."""
     return items(spark, sf_dir).filter("item_id % 7 <> 0")
+
+
+def miscounted_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales in which some shops count the first day of a month to the month before."""
+    wrong = (F.pmod("shop_id", F.lit(13)) == 0) & (F.day("date") == 1)
+    return sales(spark, sf_dir).withColumn("date_block_num", F.when(wrong, F.col("date_block_num") - 1).otherwise(F.col("date_block_num")))
