@@ -18,7 +18,7 @@ BLOCK = 512
 #: Factor of a median deviation that makes it comparable to a standard deviation.
 NORMAL = 1.4826
 #: What can be asked for, with the types.
-STATISTICS = {"qty_all_mode": "double", "qty_all_median": "double", "gap_median": "double", "gap_mode": "double", "n_spikes": "int", "qty_mean_ad": "double", "qty_median_ad": "double"}
+STATISTICS = {"qty_all_mode": "double", "qty_all_median": "double", "gap_median": "double", "gap_mode": "int", "n_spikes": "int", "qty_mean_ad": "double", "qty_median_ad": "double"}
 
 
 class Ordered:
@@ -141,7 +141,7 @@ class Day:
         if name == "gap_median":
             return self.gaps.median() if self.gaps.n else 0.0
         if name == "gap_mode":
-            return 0.0 if self.gap_mode.value is None else self.gap_mode.value
+            return 0 if self.gap_mode.value is None else self.gap_mode.value
         if name == "n_spikes":
             return self.positive.above(self.positive.median() + 2 * self.spread.deviation()) if self.positive.n else 0
         if name == "qty_mean_ad":
