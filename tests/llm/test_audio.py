@@ -49,10 +49,21 @@ def test_stored_tensors_have_a_fixed_shape_and_all_frames(spark):
     row = audio.write_features(audio.write_audio(spark.createDataFrame([(1, text)], "doc_id long, text string"))).first()
     frames, spans = audio.unpack_tensors(bytes(row.tensors))
     want, found, seconds = audio.features(audio.wav(audio.payload(text)[1]))
-    assert np.array_equal(frames, want.astype(np.float16)) and [(s.start, s.end) for s in row.spans] == found and row.seconds == seconds
+    assert np.array_equal(frames, want) and frames.dtype == np.float32 and [(s.start, s.end) for s in row.spans] == found and row.seconds == seconds
     assert spans[0][0] == 0 and abs(spans[-1][1] - seconds) < 0.03 and all(b > a for a, b in spans)
 
 
+def test_half_floats_on_demand_stay_within_the_stated_error(spark):
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
+    error = 0.0
+    for text in texts:
+        want = audio.features(audio.wav(audio.payload(text)[1]))[0]
+        frames = audio.unpack_tensors(audio.pack_tensors(want, "float16"))[0]
+        assert frames.dtype == np.float16 and frames.shape == want.shape
+        error = max(error, float(np.abs(frames.astype(np.float32) - want).max()))
+    assert 0 < error <= 0.004
+
+
 def test_log_mel_against_a_direct_transform():
     """Every step by its definition: convolution with the filter's phases, a sum of sines, triangles over mel."""
     x = (np.frombuffer(audio.payload("Direct sums are slow, but right. " * 20)[1], np.uint8).astype(np.float64) - 128) / 128

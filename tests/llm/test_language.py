@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -32,7 +34,10 @@ def test_evidence_is_fused(spark):
     assert got[0].accepted and got[0].language == "en"
 
 
-@pytest.mark.parametrize("text,tag", [('<html lang="fr-CA">', "fr"), ("<p xml:lang=en>", "en"), ("no markup lang=de", None)])
+@pytest.mark.parametrize("text,tag", [
+    ('<html lang="fr-CA">', "fr"), ("<p xml:lang=en>", "en"), ("no markup lang=de", None), ("words first <p lang=fr>", None), ("<html><body lang=fr>", None), ("<a lang=english>", None), (None, None), ("", None),
+    (' <?xml version="1.0"?>\n<!-- lang=fr > --><!DOCTYPE html><HTML class="' + "x" * 500 + '" LANG = de>', "de"),
+])
 def test_declared_language(spark, text, tag):
     assert spark.createDataFrame([(text,)], "t string").select(L.declared_in_markup(F.col("t")).alias("d")).first().d == tag
 
@@ -77,6 +82,8 @@ def brute_force(rows, names, known, unseen):
         towards = (s + L.SUFFIX_WEIGHT * every) / (s.sum() + L.SUFFIX_WEIGHT)
         prior = np.maximum(host[h] - shares[r], 0) + L.HOST_WEIGHT * towards
         total = logs[r] + np.log(prior + 1e-9)
+        if len(r) > 4 and r[4] in names:
+            total += [np.log(L.DECLARED_TRUST if c == r[4] else (1 - L.DECLARED_TRUST) / len(names)) for c in classes]
         total[-1] += np.log(L.OTHER_PRIOR)
         post = softmax(total)
         letters = any(c.isalpha() for c in r[1] or "")
@@ -100,3 +107,49 @@ def test_fusion_against_brute_force(spark):
     assert len(got) == len(rows)
     for r in got:
         assert r.language == want[r.doc_id][0] and abs(r.posterior - want[r.doc_id][1]) < 1e-9, r
+
+
+def test_query_over_documents_and_pages(spark, tmp_path):
+    """All four kinds of evidence, in the registered query: pages declare languages and have hosts and suffixes."""
+    rng = np.random.default_rng(6)
+    vocabulary = {"en": ["the", "thing", "with", "shall"], "de": ["der", "und", "nicht", "schon"], "fr": ["le", "quel", "vous", "eaux"]}
+    said = lambda lang, n: " ".join(str(rng.choice(vocabulary[lang])) for _ in range(n))
+    docs = [(k, said(("en", "de", "fr")[k % 3], 1 + k % 5), ("en", "de", "fr")[k % 3], f"src{k % 4}") for k in range(120)] + [(200, None, "en", "src0"), (201, "zq zq", None, None)]
+    pages = []
+    for k in range(90):
+        lang = ("en", "de", "fr")[k % 3]
+        text = said(lang, k % 3) if k % 2 else "zq xw"
+        head = f"<!DOCTYPE html><html lang='{lang}-XX'>" if k % 4 else "<html>"
+        pages.append((k, f"https://H{k % 5}.{'de' if lang == 'de' else 'com'}/a?b={k}", f"{head}<script>var the=1</script><p title=und>{text}</p><!-- le -->"))
+    pages += [(900, None, None), (901, "no address", "<html lang=en>"), (None, "http://h1.com", "<p>the thing</p>")]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    rows = [(("d", i), t, None, s) for i, t, _, s in docs]
+    for i, url, html in pages:
+        text = None if html is None else re.sub(r"<!DOCTYPE html>|<html[^>]*>|<script>.*?</script>|<p[^>]*>|</p>|<!-- le -->", " ", html)
+        declared = re.search(r"<html lang='?([a-z]+)", html or "")
+        rows.append((("p", i), text, None, re.sub(r"https?://([^/]*).*", r"\1", url).lower() if url and "//" in url else None, declared and declared.group(1)))
+    names, known, unseen = L.fit([d[1] for d in docs if d[1] and d[2]], [d[2] for d in docs if d[1] and d[2]])
+    want = brute_force(rows, names, {g: np.array(v) for g, v in known.items()}, np.array(unseen))
+    got = L.op5_language_id(spark, str(tmp_path)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        page = r.page_id is not None or r.doc_id is None
+        language, posterior = want["p" if page else "d", r.page_id if page else r.doc_id]
+        assert r.language == language and abs(r.posterior - posterior) < 2e-6, r
+        assert not page or r.page_id is None or r.doc_id == -1 - r.page_id
+    told = [r for r in got if r.page_id is not None and r.page_id < 90 and r.page_id % 2 == 0 and r.page_id % 4]
+    assert told and all(r.language == ("en", "de", "fr")[r.page_id % 3] for r in told)  # by what their markup declares
+
+
+def test_of_equally_likely_languages_the_first_is_given(spark):
+    rows = [(k, text, lang, "h") for k, (text, lang) in enumerate([("aaa", "x"), ("aaa", "y"), ("bbb", "x"), ("bbb", "y"), ("aaa", None)])]
+    got = {r.doc_id: r.language for r in L.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), host=F.col("source")).collect()}
+    assert got[4] == "x"
+
+
+def test_the_sample_is_bounded_in_characters_and_keeps_every_language(spark, monkeypatch):
+    monkeypatch.setattr(L, "TRAIN_CHARS", 3_000)
+    rows = [(k, "word " * 100 + str(k), "rare" if k % 100 == 0 else "often") for k in range(300)]
+    got = L.training_rows(spark.createDataFrame(rows, "doc_id long, text string, lang string"), "doc_id", "text", "lang", 1_000).collect()
+    assert sum(len(r.t) for r in got) <= 3_000 and {r.l for r in got} == {"rare", "often"}

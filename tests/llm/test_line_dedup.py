@@ -1,5 +1,7 @@
 """Which documents and lines take part in the removal of spread lines."""
 
+import time
+
 import duckdb
 
 from demandloom.llm import line_dedup
@@ -50,3 +52,23 @@ def test_removals_are_those_of_the_sql(spark):
     want = {r[0]: r[1:] for r in con.sql(line_dedup.OP7_SQL).fetchall()}
     got = {r.doc_id: (r.n_lines, r.n_removed, r.text) for r in line_dedup.op7_line_dedup(spark, sf).collect()}
     assert got == want and sum(r[1] for r in want.values()) > 500
+
+
+def test_many_removed_lines_in_a_text_take_nearly_linear_time(spark):
+    def took(n):
+        rows = [(k, "\n".join(f"own {i} of {k}" if i % 3 == 0 else f"line {i} of all" for i in range(n)), f"s{k}") for k in range(8)]
+        begun = time.time()
+        got = removed(spark, rows)
+        spent = time.time() - begun
+        for k, (text, gone) in got.items():
+            assert gone == n - len(range(0, n, 3)) and text == "\n".join(f"own {i} of {k}" for i in range(0, n, 3))
+        return spent
+
+    took(100)
+    small = took(4_000)
+    assert took(40_000) < 8 * small + 6  # ten times the lines
+
+
+def test_first_last_and_neighbouring_lines_go(spark):
+    rows = [(k, f"{FOOT}\n{FOOT}\nown {k}\n\n{FOOT}\nmore {k}\n{FOOT}", f"s{k}") for k in range(8)]
+    assert all(x == (f"own {k}\n\nmore {k}", 4) for k, x in removed(spark, rows).items())

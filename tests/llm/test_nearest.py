@@ -63,3 +63,12 @@ def test_few_rows(spark):
     assert nearest(spark.createDataFrame([], schema), F.lit(True)).count() == 0
     two = nearest(spark.createDataFrame([(0, [1.0, 2.0]), (7, [3.0, 1.0]), (9, [1.0])], schema), F.col("vec_id") == 0).collect()
     assert [(r.query_id, r.rank, r.vec_id, r.score) for r in two] == [(0, 1, 7, 5.0)]
+
+
+def test_columns_with_clashing_names_play_no_part(spark):
+    rng = np.random.default_rng(3)
+    rows = [(k, [float(x) for x in rng.normal(size=8)]) for k in range(60)]
+    plain = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    clash = plain.withColumns({c: F.lit("own") for c in ("Vector", "asks", "shard", "node", "key", "query_id", "rank", "score", "row", "id", "hits", "block")})
+    of = lambda df: sorted(map(tuple, nearest(df, F.col("vec_id") % 7 == 0, top=5).collect()))
+    assert of(clash) == of(plain) and len(of(plain)) == 9 * 5

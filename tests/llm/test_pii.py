@@ -1,11 +1,13 @@
 import hashlib
 import re
+import time
 
 import duckdb
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from demandloom.llm import pii
 from demandloom.llm.pii import OP4_SQL, find_personal_data, listed
 
 #: The base expressions as they are stated.
@@ -81,3 +83,26 @@ def test_sql_states_the_same(spark, found):
     for doc_id, digest, spans in con.execute(f"SELECT doc_id, base_sha256, spans FROM ({OP4_SQL})").fetchall():
         assert spans == found[doc_id].listed
         assert digest == hashlib.sha256(",".join(brute_force(TEXTS[doc_id] if doc_id < 1000 else more[doc_id - 1000])).encode()).hexdigest()
+
+
+def test_many_matches_in_a_text_take_nearly_linear_time(spark):
+    def took(n):
+        text = " ".join(f"write to u{k}@ex{k % 7}.org or +49 30 {1000000 + k}" for k in range(n))
+        begun = time.time()
+        row = find_personal_data(spark.createDataFrame([(text,)], "text string")).select(listed(F.col("pii")).alias("s"), F.size("pii").alias("n")).first()
+        spent = time.time() - begun
+        assert row.n == 2 * n
+        if n <= 2_000:
+            assert row.s.split(",") == brute_force(text)
+        return spent
+
+    took(100)
+    small = took(2_000)
+    assert took(32_000) < 8 * small + 4  # sixteen times the matches
+
+
+@pytest.mark.parametrize("n", [1, 2, 64, 65, 4096, 5000])
+def test_running_lengths_in_blocks(spark, n):
+    sizes = [k * 7 % 13 for k in range(n)]
+    got = spark.createDataFrame([(sizes,)], "s array<int>").select(pii.once(F.col("s"), lambda s: pii.before(s)).alias("b")).first().b
+    assert got == [sum(sizes[:k]) for k in range(n)] if n <= 65 else got[-1] == sum(sizes[:-1]) and got[4000] == sum(sizes[:4000])
