@@ -21,7 +21,8 @@ import numpy as np
 FEATURES = 1 << 18
 WINDOW, LANE = 12, 64
 STEMS = (4, 5, 6, 7)
-#: Blocks of a training document that hold a seed word, at most, and other blocks of it.
+#: Blocks of a training document that the fit draws, at most: of those that hold a seed word, and of the others. What is
+#: drawn stands for all blocks of its kind, by its weight.
 MARKED_BLOCKS, OTHER_BLOCKS = 20, 3
 #: Shares of documents whose label is toxic without a toxic token, and clean with one.
 NOISE_TOXIC, NOISE_CLEAN = 0.02, 0.05
@@ -151,31 +152,37 @@ def seed_words(texts: list[str], toxic: np.ndarray, least: int = 5, ratio: float
 
 @dataclass
 class Blocks:
-    """Blocks of WINDOW tokens of the training documents: features [n, WINDOW, k], seed tags, document numbers, and labels of documents."""
+    """Blocks of WINDOW tokens of the training documents: features [n, WINDOW, k], seed tags, document numbers, blocks that each stands for, and labels of documents."""
 
     x: np.ndarray
     seeded: np.ndarray
     doc: np.ndarray
+    weight: np.ndarray
     toxic: np.ndarray
 
 
 def training_blocks(texts: list[str], toxic: np.ndarray, seed: int = 0) -> Blocks:
-    """Blocks that hold seed words, of clean documents too, and a few others of each document."""
+    """Blocks that hold seed words, of clean documents too, and a few others of each document, weighted so as to stand for all its blocks."""
     seeds, rng = seed_words(texts, toxic), np.random.default_rng(seed)
-    chains, tags, owner = [], [], []
+    chains, tags, owner, weight = [], [], [], []
     for d, text in enumerate(texts):
         tokens = text.split()
         hit = np.array([not seeds.isdisjoint(units(bare(t))) for t in tokens], bool)
         blocks = -(-len(tokens) // WINDOW)
         if not blocks:
             continue
-        marked = np.unique(np.nonzero(hit)[0] // WINDOW)[:MARKED_BLOCKS].tolist()
-        some = sorted({*marked, *rng.integers(0, blocks, OTHER_BLOCKS).tolist()})
+        marked = np.unique(np.nonzero(hit)[0] // WINDOW)
+        others = np.setdiff1d(np.arange(blocks), marked)
+        some = []
+        for kind, most in ((marked, MARKED_BLOCKS), (others, OTHER_BLOCKS)):
+            drawn = kind if len(kind) <= most else rng.choice(kind, most, replace=False)
+            some += drawn.tolist()
+            weight += [len(kind) / max(len(drawn), 1)] * len(drawn)
         padded = np.concatenate([hit, np.zeros(blocks * WINDOW - len(hit), bool)]).reshape(blocks, WINDOW)
         chains.append(chain_features(tokens, some))
         tags.append(padded[some])
         owner += [d] * len(some)
-    return Blocks(np.concatenate([np.zeros((0, WINDOW, 12), np.int64), *chains]), np.concatenate([np.zeros((0, WINDOW), bool), *tags]), np.array(owner, np.int64), np.asarray(toxic, bool))
+    return Blocks(np.concatenate([np.zeros((0, WINDOW, 12), np.int64), *chains]), np.concatenate([np.zeros((0, WINDOW), bool), *tags]), np.array(owner, np.int64), np.array(weight, np.float64), np.asarray(toxic, bool))
 
 
 def expectations(model: Crf, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -205,7 +212,7 @@ def expectations(model: Crf, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
 
 def label_factors(none: np.ndarray, blocks: Blocks) -> tuple[np.ndarray, float]:
     """What a document's label does to the odds of tags with any toxic token, and the labels' log-likelihood; none: log P(all clean) a block."""
-    clean = np.exp(np.minimum(np.bincount(blocks.doc, none, len(blocks.toxic)), 0.0))
+    clean = np.exp(np.minimum(np.bincount(blocks.doc, none * blocks.weight, len(blocks.toxic)), 0.0))
     clean = np.clip(clean, 1e-12, 1 - 1e-12)
     told = np.where(blocks.toxic, (1 - clean) + NOISE_TOXIC * clean, NOISE_CLEAN * (1 - clean) + clean)
     return np.where(blocks.toxic, 1.0, NOISE_CLEAN) / told, float(np.log(told).sum())
@@ -222,8 +229,8 @@ def gradient(model: Crf, blocks: Blocks, hidden: bool) -> tuple[np.ndarray, np.n
         q = (blocks.seeded & blocks.toxic[blocks.doc][:, None]).astype(np.float64)
         a, b = np.stack([1 - q[:, :-1], q[:, :-1]], 2), np.stack([1 - q[:, 1:], q[:, 1:]], 2)
         pairs = np.einsum("nka,nkb->nab", a, b)
-    more = q - p
-    return np.bincount(blocks.x.ravel(), np.repeat(more.ravel(), blocks.x.shape[2]), FEATURES), (pairs - joint).sum(axis=0), float(more[:, 0].sum())
+    more = (q - p) * blocks.weight[:, None]
+    return np.bincount(blocks.x.ravel(), np.repeat(more.ravel(), blocks.x.shape[2]), FEATURES), ((pairs - joint) * blocks.weight[:, None, None]).sum(axis=0), float(more[:, 0].sum())
 
 
 def train(texts: list[str], toxic: np.ndarray, seeded_rounds: int = 25, rounds: int = 50, rate: float = 0.5, penalty: float = 1e-4, seed: int = 0) -> Crf:

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from demandloom.llm import crf
@@ -17,6 +17,8 @@ from demandloom.llm.common import LONG_WORD, packed, slices, table
 TRAIN_DOCS = 8_000
 #: Longer texts aren't drawn for the fit, which bounds what the driver holds; they are scored like all others.
 TRAIN_LONGEST = 100_000
+#: Characters of all texts that the fit reads.
+TRAIN_CHARS = 100_000_000
 THRESHOLD, SPAN_THRESHOLD = 0.3, 0.5
 #: Words whose emissions a task remembers: about 80 MB.
 WORDS_HELD = 400_000
@@ -87,17 +89,19 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """The field and the weights that turn its marginals into a score, both fitted on the sample.
 
     Only labels of ids that aren't held out are read. Of several labels of an id the largest
-    counts. At most twice ``train_docs`` texts of at most TRAIN_LONGEST characters reach the
-    driver. Without both kinds of label all scores are the smoothed share of toxic ones.
+    counts. At most twice ``train_docs`` texts of at most TRAIN_LONGEST characters, and of at most
+    TRAIN_CHARS in all, reach the driver; longer ones are scored like all others. Without both kinds of label all scores are the smoothed share of toxic ones.
     """
     known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col))).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("toxic"))
-    share = max(1, round(1_000_000 * train_docs / max(labels.count(), 1)))
+    share = max(1, round(1_000_000 * train_docs / max(known.count(), 1)))
     sample = known.filter(F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1_000_000)) < share).limit(2 * train_docs)
     row = packed(docs)
     text = F.coalesce(F.col("row").getField(text_col).cast("string"), F.lit(""))
     # equal rows count once; ids that many rows share are drawn from by hash of the text
     drawn = row.select(F.col("row").getField(id_col).alias("id"), text.alias("t")).filter(F.char_length("t") <= TRAIN_LONGEST).join(F.broadcast(sample), "id").distinct()
-    rows = drawn.orderBy(F.xxhash64("id", "t")).limit(2 * train_docs).toArrow().sort_by([("id", "ascending"), ("t", "ascending")])
+    few = drawn.withColumn("_h", F.xxhash64("id", "t")).orderBy("_h").limit(2 * train_docs)
+    used = F.sum(F.char_length("t")).over(Window.orderBy("_h", "id", "t"))  # over the drawn rows alone
+    rows = few.withColumn("_used", used).filter(F.col("_used") <= TRAIN_CHARS).drop("_h", "_used").toArrow().sort_by([("id", "ascending"), ("t", "ascending")])
     texts, toxic = rows["t"].to_pylist(), np.array(rows["toxic"].to_pylist(), np.float64) > 0
     if not toxic.any() or toxic.all():
         share = (toxic.sum() + 0.1) / (len(toxic) + 1.0)
@@ -111,7 +115,8 @@ def score(docs: DataFrame, model: crf.Crf, weights: np.ndarray, id_col: str = "d
     """(doc_id, score, spans) of every whole text: spans are array<struct<start, end, p>> in code points.
 
     A span joins neighbouring tokens whose marginal is at least SPAN_THRESHOLD; p is their largest.
-    Null texts count as empty: no token, the score of a text without toxic ones. Equal texts get
+    Null texts count as empty: no token, the score of a text without toxic ones. Very long texts are scored whole; other
+    columns, whatever their names, play no part. Equal texts get
     equal scores; null ids and repeated rows keep their own row; an empty table gives an empty one.
     """
     held = docs.sparkSession.sparkContext.broadcast((model, weights))
