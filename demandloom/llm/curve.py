@@ -21,27 +21,31 @@ from demandloom.llm.tokens import default_tokenizer, text_ids
 
 SEQUENCE = 1024
 #: The curve fills a cube of DIMENSIONS x 2^BITS cells a side; ids are hashed to HASHED signed entries.
-DIMENSIONS, BITS, HASHED, SEED = 4, 15, 4096, 12
+DIMENSIONS, BITS, HASHED, SEED = 4, 15, 1024, 12
 TOKENIZER = "byte_bpe_50k.json"
 
 
-def projection(ids: int, dimensions: int = DIMENSIONS, hashed: int = HASHED, seed: int = SEED) -> np.ndarray:
-    """For each token id the coordinates that it adds: its sign times the projected entry that it is hashed to."""
-    made = np.random.default_rng(seed)
-    entry, sign = made.integers(0, hashed, ids), made.choice([-1.0, 1.0], ids)
-    return made.choice([-1.0, 1.0], (hashed, dimensions))[entry] * sign[:, None]
+class Projection:
+    """Token ids are hashed to HASHED signed entries of a document's vector, whose damped counts are projected to few dimensions."""
 
+    def __init__(self, ids: int, dimensions: int = DIMENSIONS, hashed: int = HASHED, seed: int = SEED):
+        made = np.random.default_rng(seed)
+        self.entry, self.sign = made.integers(0, hashed, ids), made.choice([-1.0, 1.0], ids)
+        self.axes = made.choice([-1.0, 1.0], (hashed, dimensions))
 
-def cell(ids: np.ndarray, projected: np.ndarray, bits: int = BITS) -> np.ndarray:
-    """The cell of a document's ids: its damped counts, projected and scaled to unit length, through a logistic curve.
+    def vector(self, ids: np.ndarray) -> np.ndarray:
+        """The hashed vector of a document, counts damped to their signed logarithm."""
+        counts = np.bincount(self.entry.take(ids), self.sign.take(ids), len(self.axes))
+        return np.copysign(np.log1p(np.abs(counts)), counts)
 
-    A text without ids lies in the middle.
-    """
-    ordered = np.sort(ids, kind="stable")  # which is a radix sort of 16-bit ids
-    firsts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])[: len(ordered)])
-    weights = 1 + np.log(np.diff(firsts, append=len(ordered)))
-    at = weights @ projected.take(ordered[firsts], axis=0) / np.sqrt(max(float(weights @ weights), 1.0))
-    return np.minimum((1 << bits) / (1 + np.exp(-1.702 * at)), (1 << bits) - 1).astype(np.int64)
+    def cells(self, documents: list[np.ndarray], bits: int = BITS) -> np.ndarray:
+        """The cell of each document: its vector, scaled to unit length and projected, through a logistic curve.
+
+        A text without ids lies in the middle.
+        """
+        vectors = np.array([self.vector(ids) for ids in documents]).reshape(-1, len(self.axes))
+        at = vectors @ self.axes / np.sqrt(np.maximum((vectors * vectors).sum(axis=1, keepdims=True), 1e-9))
+        return np.minimum((1 << bits) / (1 + np.exp(-1.702 * at)), (1 << bits) - 1).astype(np.int64)
 
 
 def hilbert(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -84,16 +88,16 @@ def curve_places(docs: DataFrame, tokenizer: str, end_id: int = 0, id_col: str =
         cache, at = text_ids(tokenizer), TaskContext.get().partitionId() << 33
         projected = worker_kept_projection(cache.tokenizer.get_vocab_size(with_added_tokens=True))
         for batch in slices(batches, "text"):
-            cells, ties, sizes, raws = [], [], [], []
+            documents, ties, sizes, raws = [], [], [], []
             for text in batch.column("text"):
                 raw = cache.raw(text.as_py())
                 ids = np.frombuffer(raw, cache.kind)
-                cells.append(cell(ids, projected))
+                documents.append(ids)
                 raw += end_id.to_bytes(cache.kind.itemsize, "little")
                 ties.append(zlib.crc32(raw))
                 sizes.append(len(ids) + 1)
                 raws.append(raw)
-            place = hilbert(np.array(cells, np.int64).reshape(-1, DIMENSIONS))
+            place = np.concatenate([np.zeros(0, np.int64), *(hilbert(projected.cells(documents[k : k + 256])) for k in range(0, len(documents), 256))])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(at, at + batch.num_rows)), batch.column("doc_id"), pa.array(place), pa.array(ties, pa.int64()), pa.array(sizes, pa.int64()), pa.array(raws, pa.binary())],
                 names=["row", "doc_id", "place", "tie", "n", "ids"],
@@ -104,14 +108,14 @@ def curve_places(docs: DataFrame, tokenizer: str, end_id: int = 0, id_col: str =
     return rows.mapInArrow(places, "row long, doc_id long, place long, tie long, n long, ids binary")
 
 
-_projected: dict[int, np.ndarray] = {}
+_projected: dict[int, Projection] = {}
 
 
-def worker_kept_projection(ids: int) -> np.ndarray:
+def worker_kept_projection(ids: int) -> Projection:
     """The projection of a worker process, made once."""
     if ids not in _projected:
         _projected.clear()
-        _projected[ids] = projection(ids)
+        _projected[ids] = Projection(ids)
     return _projected[ids]
 
 

@@ -33,7 +33,7 @@ _ODD = re.compile("[^\t-\r !-~À-ÖØ-öø-ÿ]")
 #: Fixed value: the rule of a vocabulary file over bytes, in which a word keeps the space before it.
 BYTE_SPLITTER = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
 _ANY = "A-Za-zÀ-ÖØ-öø-ÿ"
-_BYTE_SPLIT = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{_ANY}]+| ?[0-9]+| ?[^\s{_ANY}0-9]+|\s+(?!\S)|\s+")
+_BYTE_SPLIT = re.compile(rf" ?[{_ANY}]+|'(?:s|t|re|ve|m|ll|d)| ?[0-9]+| ?[^\s{_ANY}0-9]+|\s+(?!\S)|\s+")
 _WORD_END = re.compile(r"\S(?=\s)")
 
 
@@ -85,7 +85,7 @@ class TextIds:
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
         self.letters = _byte_letters()
         self.spaced = splits_into_spaced_words(path)
-        self.older: dict[str, bytes] = {}  # with spaces, the words before the last 2 * WORDS_KEPT as well, as there are more kinds of them
+        self.older: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] | None = {} if self.spaced or splits_into_words(path) else None
 
     def _library(self, text: str) -> bytes:
@@ -95,28 +95,41 @@ class TextIds:
         """The ids of split pieces; what is new among them is encoded once, and remembered if it isn't long."""
         held, code, tokenize = self.pieces, "H" if self.kind.itemsize == 2 else "I", self.tokenizer.model.tokenize
         if len(held) > 2 * WORDS_KEPT:
-            if self.spaced:
-                self.older = dict(held)
             held.clear()
         fresh = set(found).difference(held)
         for piece in fresh:
-            known = self.older.get(piece)
-            if known is None:
-                shown = piece if piece.isascii() and not self.spaced else "".join([self.letters[b] for b in piece.encode()])
-                known = array(code, [t.id for t in tokenize(shown)]).tobytes()
-            held[piece] = known
+            shown = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
+            held[piece] = array(code, [t.id for t in tokenize(shown)]).tobytes()
         out = b"".join(map(held.__getitem__, found))
         for piece in [x for x in fresh if len(x) > LONG_WORD]:
             del held[piece]
         return out
 
+    def _spaced(self, found: list[str]) -> bytes:
+        """The ids of pieces that may begin with a space; of these there are more kinds, so two generations are remembered."""
+        if len(self.pieces) > 2 * WORDS_KEPT:
+            self.older = self.pieces
+            self.pieces = {}
+        held, older = self.pieces, self.older
+        code, tokenize, letters = "H" if self.kind.itemsize == 2 else "I", self.tokenizer.model.tokenize, self.letters
+        out = list(map(held.get, found))
+        for k in [k for k, x in enumerate(out) if x is None]:
+            piece = found[k]
+            known = held.get(piece) or older.get(piece)  # an earlier one of this text may have been the same
+            if known is None:
+                known = array(code, [t.id for t in tokenize("".join([letters[b] for b in piece.encode()]))]).tobytes()
+            if len(piece) <= LONG_WORD:
+                held[piece] = known
+            out[k] = known
+        return b"".join(out)
+
     def raw(self, text: str | None) -> bytes:
         if not text:
             return b""
         if self.pieces is None or "<|" in text:
             return self._library(text)
         if self.spaced:
-            return b"".join([self._library(part) if _ODD.search(part) else self._encoded(_BYTE_SPLIT.findall(part)) for part in word_parts(text)])
+            return b"".join([self._library(part) if _ODD.search(part) else self._spaced(_BYTE_SPLIT.findall(part)) for part in word_parts(text)])
         return b"".join([self._library(part) if _ODD.search(part) else self._encoded(_SPLIT.findall(part.lower())) for part in text_parts(text)])
 
     def ids(self, text: str | None, end: int) -> np.ndarray:
