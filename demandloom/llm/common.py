@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from typing import Any
 
 import numpy as np
@@ -22,20 +23,42 @@ SLICE_BYTES, WORDS_KEPT, LONG_WORD = 1 << 20, 125_000, 64
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
 
-    On one machine (master ``local``) a temporary folder is made and set where that is unset. On a
-    cluster it must be set: a folder of one machine would lose rows there.
+    On one machine (master ``local``) a temporary folder of the application takes its place where that is unset. On a
+    cluster it must be set: a folder of one machine would lose rows there. The session's settings stay as they are.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        master = spark.sparkContext.master
-        if not master.startswith("local") or master.startswith("local-cluster"):
+        context = spark.sparkContext
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="demandloom-")
-        spark.conf.set("spark.checkpoint.dir", found)
-        spark.sparkContext.setCheckpointDir(found)
+        if context.applicationId not in _own_dirs:
+            _own_dirs[context.applicationId] = "file://" + tempfile.mkdtemp(prefix="demandloom-")
+        found = _own_dirs[context.applicationId]
     return found.rstrip("/")
 
 
+_own_dirs: dict[str, str] = {}
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """A scope: what ``materialise`` writes inside of it is removed when it ends, so results must be used by then."""
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield paths
+    finally:
+        _scopes.remove(paths)
+        for path in paths:
+            _remove(spark, path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def materialise(df: DataFrame, label: str, codec: str | None = None, by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: cuts lineage, survives lost executors.
 
@@ -44,6 +67,8 @@ def materialise(df: DataFrame, label: str, codec: str | None = None, by: Sequenc
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     schema = df.schema
+    for scope in _scopes:
+        scope.append(path)
     df.write.parquet(path, partitionBy=list(by) or None, compression=codec)
     out = spark.read.schema(schema).parquet(path)
     out._written_to = path
@@ -53,9 +78,7 @@ def materialise(df: DataFrame, label: str, codec: str | None = None, by: Sequenc
 def discard(*written: DataFrame) -> None:
     """Delete the folders of tables that ``materialise`` wrote and that nothing reads any more."""
     for df in written:
-        spark = df.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(df._written_to)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _remove(df.sparkSession, df._written_to)
 
 
 def cuts(values: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:

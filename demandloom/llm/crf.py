@@ -24,6 +24,8 @@ STEMS = (4, 5, 6, 7)
 #: Blocks of a training document that the fit draws, at most: of those that hold a seed word, and of the others. What is
 #: drawn stands for all blocks of its kind, by its weight.
 MARKED_BLOCKS, OTHER_BLOCKS = 20, 3
+#: Blocks that the fit works on at a time, which bounds what it holds besides them.
+AT_ONCE = 4_096
 #: Shares of documents whose label is toxic without a toxic token, and clean with one.
 NOISE_TOXIC, NOISE_CLEAN = 0.02, 0.05
 _EDGES = re.compile(r"[\W_]+")
@@ -179,13 +181,19 @@ def training_blocks(texts: list[str], toxic: np.ndarray, seed: int = 0) -> Block
             some += drawn.tolist()
             weight += [len(kind) / max(len(drawn), 1)] * len(drawn)
         padded = np.concatenate([hit, np.zeros(blocks * WINDOW - len(hit), bool)]).reshape(blocks, WINDOW)
-        chains.append(chain_features(tokens, some))
+        chains.append(chain_features(tokens, some).astype(np.int32))
         tags.append(padded[some])
         owner += [d] * len(some)
-    return Blocks(np.concatenate([np.zeros((0, WINDOW, 12), np.int64), *chains]), np.concatenate([np.zeros((0, WINDOW), bool), *tags]), np.array(owner, np.int64), np.array(weight, np.float64), np.asarray(toxic, bool))
+    return Blocks(np.concatenate([np.zeros((0, WINDOW, 12), np.int32), *chains]), np.concatenate([np.zeros((0, WINDOW), bool), *tags]), np.array(owner, np.int64), np.array(weight, np.float64), np.asarray(toxic, bool))
 
 
-def expectations(model: Crf, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def expectations(model: Crf, x: np.ndarray, at_once: int = AT_ONCE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``expected`` of all blocks, so many at a time."""
+    parts = [expected(model, x[k : k + at_once]) for k in range(0, max(len(x), 1), at_once)]
+    return tuple(np.concatenate(same) for same in zip(*parts, strict=True))
+
+
+def expected(model: Crf, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each block: P(toxic) of its tokens [n, WINDOW], of pairs of tags [n, 2, 2] summed over its steps, and log P(all clean)."""
     n = len(x)
     s = np.clip(model.weight[x].sum(axis=2).astype(np.float64), -30, 30)
@@ -230,7 +238,11 @@ def gradient(model: Crf, blocks: Blocks, hidden: bool) -> tuple[np.ndarray, np.n
         a, b = np.stack([1 - q[:, :-1], q[:, :-1]], 2), np.stack([1 - q[:, 1:], q[:, 1:]], 2)
         pairs = np.einsum("nka,nkb->nab", a, b)
     more = (q - p) * blocks.weight[:, None]
-    return np.bincount(blocks.x.ravel(), np.repeat(more.ravel(), blocks.x.shape[2]), FEATURES), ((pairs - joint) * blocks.weight[:, None, None]).sum(axis=0), float(more[:, 0].sum())
+    weights = np.zeros(FEATURES)
+    for k in range(0, len(more), AT_ONCE):
+        x = blocks.x[k : k + AT_ONCE]
+        weights += np.bincount(x.ravel(), np.repeat(more[k : k + AT_ONCE].ravel(), x.shape[2]), FEATURES)
+    return weights, ((pairs - joint) * blocks.weight[:, None, None]).sum(axis=0), float(more[:, 0].sum())
 
 
 def train(texts: list[str], toxic: np.ndarray, seeded_rounds: int = 25, rounds: int = 50, rate: float = 0.5, penalty: float = 1e-4, seed: int = 0) -> Crf:

@@ -82,7 +82,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     training time at which its first words are due (null if it isn't taken).
 
     A null text has size 0 and a null source is a source of its own, sorted last; repeated
-    rows each count; an empty table gives an empty one. No document passes ``cap`` times its size.
+    rows each count; very long texts count whole; other columns of ``docs``, whatever their names, play no part; an empty
+    table gives an empty one. No document passes ``cap`` times its size.
     """
     passes = ceil(cap)
     key = document_key(F.col(id_col), F.col(text_col))
@@ -112,7 +113,7 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
 
     Columns are those of ``docs``, whatever their names. Repeats of a document stand next to each
     other. Null texts and null sources take part as ``mix`` says; repeated rows share the copies of
-    all of them, which differ by one at most; an empty table gives an empty one.
+    all of them, which differ by one at most; very long texts stay whole; an empty table gives an empty one.
     """
     id_col, text_col, source_col = (options.get(k, v) for k, v in (("id_col", "doc_id"), ("text_col", "text"), ("source_col", "source")))
     named = lambda key, source: F.md5(F.concat(key, F.when(source.isNull(), F.lit("0")).otherwise(F.concat(F.lit("1"), source.cast("string")))).cast("binary"))

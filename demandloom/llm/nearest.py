@@ -88,7 +88,7 @@ def nearest(rows: DataFrame, is_query: Column, top: int = TOP, id_col: str = "ve
     Rows with a null id, or whose vector is null, empty, zero or holds a null or non-finite
     component, take no part. Only vectors of one length compare. Repeated rows count once; of different
     vectors under one id the smallest (as an array) counts. Fewer candidates give fewer rows,
-    ties go to the smaller id, an empty table gives none.
+    ties go to the smaller id, other columns, whatever their names, play no part, an empty table gives none.
     """
     kept = rows.filter(F.col(id_col).isNotNull() & usable(F.col(vector_col)))
     kept = kept.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("vector"), F.coalesce(is_query, F.lit(False)).alias("asks"))

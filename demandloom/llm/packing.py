@@ -75,8 +75,8 @@ def plan_best_fit(counts: dict[int, int], size: int) -> list[tuple[int, int, int
 def token_pieces(docs: DataFrame, tokenizer: str, size: int = SEQUENCE, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pieces of at most ``size`` ids of every text with its end id: doc_id, piece, start, length, ids_crc32.
 
-    Only texts over ``size`` ids are cut. A null text counts as empty (its end id alone);
-    null ids and repeated rows keep their own pieces; an empty table gives none.
+    Only texts over ``size`` ids are cut; very long ones are encoded whole. A null text counts as empty (its end id alone);
+    other columns of ``docs``, whatever their names, play no part; null ids and repeated rows keep their own pieces; an empty table gives none.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

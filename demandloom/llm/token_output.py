@@ -169,7 +169,8 @@ def write_token_segments(docs: DataFrame, tokenizer: str, end_id: int = 1, id_co
     Columns: part, segment (place in part), before (ids of the part before it), n_ids, data.
     Documents are range-partitioned by id, so parts follow one another in id order. A null
     text counts as empty (its end id alone); null ids come last; rows that share an id are
-    ordered by a hash of their text; an empty table gives an empty one.
+    ordered by a hash of their text; very long texts are encoded whole; other columns of ``docs``, whatever their names, play
+    no part; an empty table gives an empty one.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     keys = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text").asc()]

@@ -12,6 +12,7 @@ import json
 import re
 from array import array
 from collections.abc import Iterator
+from operator import attrgetter
 
 import numpy as np
 
@@ -30,10 +31,22 @@ SPLITTER = {
 _LETTERS = "a-zß-öø-ÿ"
 _SPLIT = re.compile(rf"[{_LETTERS}]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\s{_LETTERS}0-9]+")
 _ODD = re.compile("[^\t-\r !-~À-ÖØ-öø-ÿ]")
+_EVEN = bytes(k for k in range(256) if not _ODD.match(chr(k)))
+
+
+def _plain(text: str) -> bool:
+    """True if no character is one of ``_ODD``; quicker for most texts than a search."""
+    try:
+        return not text.encode("latin-1").translate(None, _EVEN)
+    except UnicodeEncodeError:
+        return False
+
+
 #: Fixed value: the rule of a vocabulary file over bytes, in which a word keeps the space before it.
 BYTE_SPLITTER = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
 _ANY = "A-Za-zÀ-ÖØ-öø-ÿ"
 _BYTE_SPLIT = re.compile(rf" ?[{_ANY}]+|'(?:s|t|re|ve|m|ll|d)| ?[0-9]+| ?[^\s{_ANY}0-9]+|\s+(?!\S)|\s+")
+_ID = attrgetter("id")
 _WORD_END = re.compile(r"\S(?=\s)")
 
 
@@ -112,12 +125,14 @@ class TextIds:
             self.pieces = {}
         held, older = self.pieces, self.older
         code, tokenize, letters = "H" if self.kind.itemsize == 2 else "I", self.tokenizer.model.tokenize, self.letters
+        blank = letters[32]
         out = list(map(held.get, found))
         for k in [k for k, x in enumerate(out) if x is None]:
             piece = found[k]
             known = held.get(piece) or older.get(piece)  # an earlier one of this text may have been the same
             if known is None:
-                known = array(code, [t.id for t in tokenize("".join([letters[b] for b in piece.encode()]))]).tobytes()
+                shown = f"{blank}{piece[1:]}" if piece[0] == " " and piece[1:].isascii() and piece[1:].isalpha() else "".join([letters[b] for b in piece.encode()])
+                known = array(code, list(map(_ID, tokenize(shown)))).tobytes()
             if len(piece) <= LONG_WORD:
                 held[piece] = known
             out[k] = known
@@ -129,7 +144,7 @@ class TextIds:
         if self.pieces is None or "<|" in text:
             return self._library(text)
         if self.spaced:
-            return b"".join([self._library(part) if _ODD.search(part) else self._spaced(_BYTE_SPLIT.findall(part)) for part in word_parts(text)])
+            return b"".join([self._spaced(_BYTE_SPLIT.findall(part)) if _plain(part) else self._library(part) for part in word_parts(text)])
         return b"".join([self._library(part) if _ODD.search(part) else self._encoded(_SPLIT.findall(part.lower())) for part in text_parts(text)])
 
     def ids(self, text: str | None, end: int) -> np.ndarray:

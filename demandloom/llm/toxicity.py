@@ -19,6 +19,8 @@ TRAIN_DOCS = 8_000
 TRAIN_LONGEST = 100_000
 #: Characters of all texts that the fit reads.
 TRAIN_CHARS = 100_000_000
+#: Texts whose marginals the fit takes at a time.
+AT_ONCE = 256
 THRESHOLD, SPAN_THRESHOLD = 0.3, 0.5
 #: Words whose emissions a task remembers: about 80 MB.
 WORDS_HELD = 400_000
@@ -107,8 +109,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         share = (toxic.sum() + 0.1) / (len(toxic) + 1.0)
         return crf.Crf(), np.array([0.0, 0.0, 0.0, 0.0, np.log(share / (1 - share))])
     model = crf.train(texts, toxic)
-    p, ends = token_marginals(texts, Emissions(model))
-    return model, crf.fit_scores(crf.summary(p, ends), toxic.astype(np.float64))
+    words = Emissions(model)
+    x = np.concatenate([crf.summary(*token_marginals(texts[k : k + AT_ONCE], words)) for k in range(0, len(texts), AT_ONCE)])
+    return model, crf.fit_scores(x, toxic.astype(np.float64))
 
 
 def score(docs: DataFrame, model: crf.Crf, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

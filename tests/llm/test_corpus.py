@@ -1,11 +1,13 @@
 """Mixing, line removal, toxicity and the pipeline on small tables."""
 
+from pathlib import Path
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from demandloom.llm import crf, line_dedup, mixing, near_dedup, toxicity
+from demandloom.llm import common, crf, line_dedup, mixing, near_dedup, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -202,3 +204,11 @@ def test_pipeline_stages_and_result(spark):
     copies = docs.groupBy("doc_id").count()
     pieces = got.filter("piece = 0").groupBy("doc_id").count()
     assert sorted(map(tuple, copies.collect())) == sorted(map(tuple, pieces.collect()))
+
+
+def test_what_a_scope_wrote_goes_with_it(spark, tmp_path):
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    with common.scratch(spark) as paths:
+        out = line_dedup.dedup_lines(spark.createDataFrame([(1, "a\nb", "s")], "doc_id long, text string, source string")).collect()
+    assert len(out) == 1 and paths and not any(Path(p.removeprefix("file://")).exists() for p in paths)
+    assert spark.conf.get("spark.checkpoint.dir", None) == before
