@@ -15,7 +15,7 @@ from demandloom.jobs import analysis as J
 from demandloom.operators import numeric as N
 from demandloom.operators import panel as P
 from demandloom.operators import profile as R
-from demandloom.operators.running import BLOCK, Mode, Ordered
+from demandloom.operators.running import BLOCK, Mode, Ordered, Spread, spikes
 from demandloom.sources import io
 
 D0 = date(2020, 1, 1)
@@ -86,6 +86,23 @@ def test_order_statistics_of_numbers():
     assert len(o.blocks) > 1
 
 
+def test_a_quantity_exactly_at_the_limit_is_no_spike():
+    def count(values):
+        o, s = Ordered(), Spread()
+        for x in values:
+            o.add(float(x))
+            s.add(float(x))
+        return spikes(o, s)
+
+    at = [1, 1, 2, 2, 2, 3, 4, 5, 5, 5, 6, 7, 10, 11, 12, 13, 14, 14]  # median 5, deviation 4.5: the limit is 14
+    rng = random.Random(8)
+    for _ in range(300):
+        rng.shuffle(at)
+        assert count(at) == 0 and count([x / 8 for x in at]) == 0
+    assert count([x * 2.0**40 for x in at]) == count([0.1] * 30) == 0
+    assert count([1] * 20 + [14]) == 1 and count([1.0, 1.0, float("inf")]) == 0 and count([1e-300, 1e300]) == 0
+
+
 def test_a_key_of_many_days_takes_nearly_linear_time(spark):
     def took(days):
         df = spark.range(days).select(F.lit(1).alias("shop_id"), F.lit(1).alias("item_id"), F.date_add(F.lit(D0), F.col("id").cast("int")).alias("date"), ((F.col("id") * 7919) % 997).cast("double").alias("qty"), F.lit(True).alias("sold"))
