@@ -5,7 +5,9 @@ from datetime import date, timedelta
 from pyspark.sql import functions as F
 
 from demandloom.operators import panel as P
+from demandloom.queries import exploration as X
 from demandloom.queries import panel as QP
+from demandloom.sources import io
 
 SF = "/root/testdata/sf0.001"
 D0 = date(2024, 1, 1)
@@ -30,3 +32,17 @@ def test_days_without_sales_have_the_features_of_their_age(spark):
     got = short.drop("price").join(P.empty_features(spark, 40, P.PAIR, ("price",)), "age").select(*want.columns)
     assert got.schema.simpleString() == want.schema.simpleString()
     assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
+def test_a_query_builds_the_grains_that_it_reads(spark):
+    X._stores.clear()
+    with io.scratch(spark):
+        few = X.store(spark, SF, grains=(*X.ADDITIONAL, *X.CATEGORY), sides=())
+        assert set(few.open) == {"additional_days", *X.SHARED, "category_dates"}
+        assert few.parts(sides=()).pairs is None and few.parts(sides=()).additional.count() > 0
+        more = X.store(spark, SF, grains=(*X.ADDITIONAL, *X.CATEGORY))
+        assert more is few and {t for t in more.open if t.startswith("additional")} == {"additional_days", "additional_gaps", "additional_quantities", "additional_changes", "additional_deviations"}
+        assert more.parts().additional.count() == few.parts(sides=()).additional.count()
+        assert not [r for r in spark.read.json(f"{few.root}/manifest").collect() if r["grain"] == "pairs"]
+        X._stores.clear()
+        few.close()
