@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from demandloom.llm.common import materialise, shuffle_partitions, slices, table
-from demandloom.llm.tokens import default_tokenizer, text_ids
+from demandloom.llm.tokens import TEXTS_BYTES, default_tokenizer, text_ids
 
 MAGIC = b"PFR1"
 BLOCK = 128
@@ -184,13 +184,14 @@ def write_token_segments(docs: DataFrame, tokenizer: str, end_id: int = 1, id_co
             data = encode_segment(np.concatenate(held), names, lengths)
             return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "segment": pa.array([segment], pa.int32()), "before": pa.array([before], pa.int64()), "n_ids": pa.array([count], pa.int64()), "data": pa.array([data], pa.binary())})
 
-        for batch in slices(batches, "text"):
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                ids = cache.ids(text.as_py(), end_id)
-                held.append(ids)
+        for batch in slices(batches, "text", TEXTS_BYTES):
+            ids, sizes = cache.ids_of(batch.column("text"), end_id)
+            to = 0
+            for doc_id, size in zip(batch.column("doc_id").to_pylist(), sizes.tolist(), strict=True):
+                held.append(ids[to : to + size])
                 names.append(doc_id)
-                lengths.append(len(ids))
-                count += len(ids)
+                lengths.append(size)
+                count, to = count + size, to + size
                 if count >= SEGMENT_IDS:
                     yield flush()
                     held, names, lengths, before, segment, count = [], [], [], before + count, segment + 1, 0

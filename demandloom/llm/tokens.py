@@ -11,13 +11,18 @@ from __future__ import annotations
 import json
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from operator import attrgetter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from demandloom.llm.common import LONG_WORD, SLICE_BYTES, WORDS_KEPT, text_parts, worker_kept
 
+#: Bytes of text that ``TextIds.ids_of`` is best given at a time: the more, the fewer repeats between slices.
+TEXTS_BYTES = 4 * SLICE_BYTES
+
 #: The rules of a vocabulary file whose words may be encoded one by one.
 NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
 SPLITTER = {
@@ -31,6 +36,7 @@ SPLITTER = {
 _LETTERS = "a-zß-öø-ÿ"
 _SPLIT = re.compile(rf"[{_LETTERS}]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\s{_LETTERS}0-9]+")
 _ODD = re.compile("[^\t-\r !-~À-ÖØ-öø-ÿ]")
+_LINE_SPLIT = re.compile(rf"\n|{_SPLIT.pattern}")
 _EVEN = bytes(k for k in range(256) if not _ODD.match(chr(k)))
 
 
@@ -86,11 +92,52 @@ def word_parts(text: str, size: int = SLICE_BYTES) -> Iterator[str]:
         yield text[at:]
 
 
+def _lines(values: pa.Array) -> str:
+    """All values, a line break between them."""
+    return pc.binary_join(pa.ListArray.from_arrays([0, len(values)], values), "\n")[0].as_py() if len(values) else ""
+
+
+def _runs(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """ids[start : start + size] for each start and size, one after another."""
+    to = np.cumsum(sizes)
+    return ids[np.repeat(starts - (to - sizes), sizes) + np.arange(int(to[-1]) if len(to) else 0)]
+
+
+class Known:
+    """Ids of recent strings in flat arrays, which are searched and added to for many strings at once.
+
+    ``make`` gives the ids of strings, in order and one after another, and how many each has. Beyond ``most`` strings, or
+    64 bytes for each of so many, only the short ones of the last call stay.
+    """
+
+    def __init__(self, make: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], most: int, kind: np.dtype):
+        self.make, self.most = make, most
+        self.keys, self.ids, self.sizes = pa.array([], pa.string()), np.zeros(0, kind), np.zeros(0, np.int64)
+
+    def of(self, keys: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of ``keys``, one after another, and how many each has."""
+        found = pc.index_in(keys, value_set=self.keys)
+        missing = found.is_null().to_numpy(zero_copy_only=False)
+        at = found.fill_null(0).to_numpy().astype(np.int64)
+        if missing.any():
+            new = keys.filter(pa.array(missing))
+            ids, sizes = self.make(new)
+            at[missing] = len(self.keys) + np.arange(len(new))
+            self.keys, self.ids, self.sizes = pa.concat_arrays([self.keys, new]), np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes])
+        out, sizes = _runs(self.ids, (np.cumsum(self.sizes) - self.sizes)[at], self.sizes[at]), self.sizes[at]
+        if len(self.keys) > self.most or self.keys.nbytes + self.ids.nbytes > 64 * self.most:
+            short = pc.less_equal(pc.binary_length(keys), LONG_WORD)
+            kept = short.to_numpy(zero_copy_only=False)
+            self.keys, self.ids, self.sizes = keys.filter(short), out[np.repeat(kept, sizes)], sizes[kept]
+        return out, sizes
+
+
 class TextIds:
     """Ids of texts as little-endian 16-bit (32-bit for large vocabularies) integers."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import CharDelimiterSplit
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
@@ -100,6 +147,15 @@ class TextIds:
         self.spaced = splits_into_spaced_words(path)
         self.older: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] | None = {} if self.spaced or splits_into_words(path) else None
+        self.chunks, self.words = Known(self._chunk_ids, 2 * WORDS_KEPT, self.kind), Known(self._word_ids, 2 * WORDS_KEPT, self.kind)
+        #: The model alone, over words in lines, and which ids end a word, if its vocabulary says so.
+        self.lines, self.closing = Tokenizer(self.tokenizer.model), None
+        self.lines.pre_tokenizer = CharDelimiterSplit("\n")
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        if suffix and self.pieces is not None and not self.spaced:
+            vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+            self.closing = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.closing[[k for x, k in vocabulary.items() if x.endswith(suffix)]] = True
 
     def _library(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
@@ -138,6 +194,76 @@ class TextIds:
             out[k] = known
         return b"".join(out)
 
+    def _word_ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of split pieces; the model takes all at once where it marks the end of a word, else one by one."""
+        shown = _lines(words)
+        if not shown.isascii():
+            shown = "\n".join([x if x.isascii() else "".join([self.letters[b] for b in x.encode()]) for x in shown.split("\n")])
+        if self.closing is not None:
+            ids = np.array(self.lines.encode_batch_fast([shown], add_special_tokens=False)[0].ids, self.kind)
+            to = np.nonzero(self.closing[ids])[0] + 1
+            if len(to) == len(words) and (not len(to) or to[-1] == len(ids)):
+                return ids, np.diff(to, prepend=0)
+        found = [list(map(_ID, self.tokenizer.model.tokenize(x))) for x in shown.split("\n")[: len(words)]]
+        return np.array([k for x in found for k in x], self.kind), np.array(list(map(len, found)), np.int64)
+
+    def _chunk_ids(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of runs without white space, by their split pieces."""
+        found = pa.array(_LINE_SPLIT.findall(f"{_lines(chunks)}\n".lower()), pa.string())
+        between = pc.equal(found, "\n")
+        coded = pc.dictionary_encode(found.filter(pc.invert(between)))
+        ids, sizes = self.words.of(coded.dictionary)
+        at, between = coded.indices.to_numpy(), between.to_numpy(zero_copy_only=False)
+        each = np.zeros(len(found), np.int64)
+        each[~between] = sizes[at]
+        return _runs(ids, (np.cumsum(sizes) - sizes)[at], sizes[at]), np.diff(np.cumsum(each)[between], prepend=0)
+
+    def _by_chunks(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """What ``ids_of`` returns; each kind of run without white space is looked up once.
+
+        The splitter's pieces hold no white space and don't depend on what is beside the run.
+        """
+        split = pc.ascii_split_whitespace(texts)
+        coded = pc.dictionary_encode(split.flatten())
+        chunks, at = coded.dictionary, coded.indices.to_numpy()
+        offsets = split.offsets.to_numpy().astype(np.int64)
+        offsets -= offsets[0]
+        counts, marks, own = np.diff(offsets), np.full(len(texts), len(chunks)), []
+        lines = _lines(chunks)
+        if "<|" in lines or not _plain(lines):  # a text with such a run is one run of its own
+            odd = np.array(["<|" in x or bool(_ODD.search(x)) for x in lines.split("\n")])
+            met = np.concatenate([[0], np.cumsum(odd[at])])
+            whole = met[offsets[1:]] > met[offsets[:-1]]
+            at, counts = at[~np.repeat(whole, counts)], np.where(whole, 0, counts)
+            own = [np.frombuffer(self._library(texts[int(k)].as_py()), self.kind) for k in np.nonzero(whole)[0]]
+            marks[whole] += 1 + np.arange(len(own))
+            chunks = pc.if_else(pa.array(odd), "", chunks)
+        ids, sizes = self.chunks.of(chunks)
+        blank = np.zeros(1, self.kind)  # where ``end`` goes
+        ids = np.concatenate([ids, blank, *(x for ids_own in own for x in (ids_own, blank))])
+        sizes = np.concatenate([sizes, [1], np.array([len(x) + 1 for x in own], np.int64)])
+        ends = np.cumsum(counts)
+        at = np.insert(at, ends, marks)
+        out = _runs(ids, (np.cumsum(sizes) - sizes)[at], sizes[at]).astype("<u4")
+        closed = np.cumsum(sizes[at])[ends + np.arange(len(texts))]
+        out[closed - 1] = end
+        return out, np.diff(closed, prepend=0)
+
+    def ids_of(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all ``texts`` one after another, ``end`` behind each, as unsigned 32-bit integers, and how many each has.
+
+        A null text counts as empty. Texts should be a slice of about ``TEXTS_BYTES``; one that is longer alone is taken in parts.
+        """
+        if self.pieces is None or self.spaced or not len(texts):
+            found = [self.ids(text.as_py(), end) for text in texts]
+            return np.concatenate([np.zeros(0, "<u4"), *found]), np.array(list(map(len, found)), np.int64)
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        if len(texts) > 1 or pc.binary_length(texts)[0].as_py() <= TEXTS_BYTES:
+            return self._by_chunks(texts, end)
+        parts = [self._by_chunks(pa.array([part]), end)[0][:-1] for part in text_parts(texts[0].as_py())]
+        out = np.concatenate([*parts, np.array([end], "<u4")])
+        return out, np.array([len(out)], np.int64)
+
     def raw(self, text: str | None) -> bytes:
         if not text:
             return b""

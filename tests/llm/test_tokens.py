@@ -1,8 +1,10 @@
 """Tokens, segments and packing against the library itself and brute force."""
 
+import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -28,6 +30,52 @@ def test_ids_of_any_text(text):
     assert cache.ids(text, 1).tolist()[:-1] == cache.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def _same_as_library(texts, cache):
+    ids, lengths = cache.ids_of(pa.array(texts, pa.string()), 1)
+    want = [[*cache.tokenizer.encode(t or "", add_special_tokens=False).ids, 1] for t in texts]
+    assert ids.dtype == np.uint32 and ids.tolist() == [x for w in want for x in w] and lengths.tolist() == list(map(len, want))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(max_size=30), st.text(" \t\nabcÄß'st!<|1_", max_size=40)), max_size=8))
+def test_ids_of_many_texts(texts):
+    _same_as_library(texts, text_ids(default_tokenizer()))
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_ids_of_odd_and_long_texts_beside_others(name):
+    cache = TextIds(default_tokenizer(name))
+    cache.chunks.most = cache.words.most = 5  # so that hardly any is remembered
+    for texts in ([*TEXTS, None, "plain words", *TEXTS], [None], [""], [], ["  "], ["Don't stop, " * 400_000], ["y" * 300, "y" * 300]):
+        _same_as_library(texts, cache)
+        _same_as_library(texts, cache)
+    assert len(cache.chunks.keys) < 100 and len(cache.words.keys) < 100
+
+
+def test_words_are_encoded_one_by_one_where_the_model_does_not_mark_their_end():
+    cache = TextIds(default_tokenizer())
+    cache.closing = None
+    _same_as_library([*TEXTS, None], cache)
+
+
+def test_many_texts_take_less_time_together():
+    rng = np.random.default_rng(0)
+    parts = np.array(["the", "in", "an", "er", "tion", "ing", "ou", "re", "nd", "es", "wh", "at"])
+    words = ["".join(x) for x in parts[rng.integers(0, 12, (40_000, 4))]]
+    texts = [" ".join(words[k] for k in (40_000 * rng.random(500) ** 4).astype(int)) for _ in range(2000)]
+    column, took = pa.array(texts), {}
+    for name, work in (("one by one", lambda c: [c.ids(t, 1) for t in texts]), ("together", lambda c: c.ids_of(column, 1))):
+        took[name] = min(_seconds(work) for _ in range(3))
+    assert took["together"] < 0.8 * took["one by one"]
+
+
+def _seconds(work):
+    cache = TextIds(default_tokenizer())
+    began = time.process_time()
+    work(cache)
+    return time.process_time() - began
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 2**32 - 1), max_size=300), min_size=1, max_size=5))
 def test_segments_round_trip(docs):
