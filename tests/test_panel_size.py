@@ -4,6 +4,8 @@ from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
+from demandloom import catalog
+from demandloom.jobs import assembly as W
 from demandloom.operators import panel as P
 from demandloom.queries import exploration as X
 from demandloom.queries import panel as QP
@@ -11,6 +13,7 @@ from demandloom.sources import io
 
 SF = "/root/testdata/sf0.001"
 D0 = date(2024, 1, 1)
+MARCH = date(1998, 3, 1), date(1998, 3, 31)
 
 
 def test_the_features_of_a_grain_are_computed_once(spark):
@@ -46,3 +49,23 @@ def test_a_query_builds_the_grains_that_it_reads(spark):
         assert not [r for r in spark.read.json(f"{few.root}/manifest").collect() if r["grain"] == "pairs"]
         X._stores.clear()
         few.close()
+
+
+def test_a_month_is_built_alone_and_its_shared_grains_are_joined_once(spark):
+    X._stores.clear()
+    with io.scratch(spark):
+        wide = catalog.queries()["union_train_addl"](spark, SF)
+        plan = wide._jdf.queryExecution().executedPlan().toString()
+        assert [sum("FileScan" in line and f"_{grain}[" in line for line in plan.splitlines()) for grain in ("item_dates", "shop_dates")] == [1, 1]
+        made = X.store(spark, SF, grains=(), month=199803)
+        made.parts()
+        assert made.months("pairs") == made.months("item_dates") == [199803]
+        assert not {"pair_totals", "additional_gaps"} & set(made.open)
+        got = sorted(map(repr, wide.collect()))
+        whole = X.store(spark, SF)
+        parts = whole.parts(*MARCH)
+        assert whole is made and whole.months("pairs") == [199801, 199802, 199803, 199804]
+        both = W.feature_table(parts).drop("si_qty", "si_n_dates", "si_shop_rank").unionByName(W.feature_table(parts, True))
+        assert set(both.columns) == set(wide.columns) and got == sorted(map(repr, both.select(*wide.columns).collect()))
+        X._stores.clear()
+        whole.close()
